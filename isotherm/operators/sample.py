@@ -19,8 +19,8 @@ _BITS, _LEVEL_BITS = 52, 13
 
 
 def _cut_point(positions: DataFrame, n: int) -> tuple[int, int, int]:
-    """Bounds ``lo <= hi`` of the finest needed prefix around the n-th smallest position,
-    and how many rows to take from inside it."""
+    """``lo, hi, need``: rows below ``lo`` belong to the n smallest, and ``need`` more of
+    the few rows in ``[lo, hi)``."""
     lo, width, before = 0, _BITS, 0
     while True:
         width -= _LEVEL_BITS
@@ -32,7 +32,9 @@ def _cut_point(positions: DataFrame, n: int) -> tuple[int, int, int]:
                 break
             before += row["n"]
         need = n - before
-        if size == need or size <= 10_000 or width == 0:
+        if size == need:
+            return lo + (1 << width), lo + (1 << width), 0
+        if size <= 10_000 or width == 0:
             return lo, lo + (1 << width), need
 
 
@@ -46,6 +48,8 @@ def sample_rows(df: DataFrame, n: int, *, ids: Sequence[str], seed: int = 42) ->
         return df
     lo, hi, need = _cut_point(positioned.select("_pos"), n)
     sure = positioned.filter(F.col("_pos") < lo)
+    if need == 0:
+        return sure.drop("_pos")
     edge = positioned.filter((F.col("_pos") >= lo) & (F.col("_pos") < hi))
     return sure.unionByName(edge.orderBy("_pos", *ids).limit(need)).drop("_pos")
 
