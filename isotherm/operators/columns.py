@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,13 +90,13 @@ def resolve_themes(
     return chosen
 
 
-def column_stats(df: DataFrame, stats: Mapping[str, Column]) -> Column:
-    """All the given aggregates of ``df`` as one scalar-subquery struct.
+def column_stats(df: DataFrame, stats: Mapping[str, Column]) -> Row:
+    """All the given global aggregates of ``df`` in one job; one row returns.
 
-    One global aggregate, evaluated once when the consuming query runs; read a value
-    back with ``.getField(name)``.
+    The fitted numbers then enter later plans as literals, so a plan with many columns
+    holds its input once and not once per column.
     """
-    return df.agg(F.struct(*[c.alias(n) for n, c in stats.items()]).alias("stats")).scalar()
+    return df.agg(*[c.alias(n) for n, c in stats.items()]).head()
 
 
 def cluster_results(

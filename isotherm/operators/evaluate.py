@@ -181,26 +181,37 @@ def k_sweep(
     seed: int = km.SEED,
     measure: str = "euclidean",
 ) -> DataFrame:
-    """``k, inertia, silhouette, davies_bouldin``; all K share the cached points.
+    """``k, inertia, silhouette, davies_bouldin`` per K.
 
-    ``measure`` picks the exact Euclidean silhouette (quadratic) or the squared one (linear).
+    Restarts of all K run side by side: one pass over the cached points per round serves
+    as many runs as fit the partial-sum limit. ``measure`` picks the exact Euclidean
+    silhouette (quadratic) or the squared one (linear).
     """
     if measure not in ("euclidean", "squared"):
         raise ValueError(f"unknown measure {measure!r}")
-    out = []
+    seeds = km.restart_seeds(n_init, seed)
     with km.CachedPoints(points, ids=ids, features=features) as blocks:
-        for k in k_range:
-            best = km.best_of(
-                km.fit_restarts(blocks, k, n_init=n_init, max_iter=max_iter, tol=tol, seed=seed)
-            )
-            scored = km.assign_nearest(points, best.centroids, features=features)
-            sil = (
-                silhouette(scored, ids=ids, features=features)
-                if measure == "euclidean"
-                else silhouette_squared(scored, features=features)
+        runs = [(k, s) for k in k_range for s in seeds]
+        starts = km.parallel_init(blocks, [k for k, _ in runs], [s for _, s in runs])
+        fits: list[km.Fit] = []
+        for group in km.fused_groups(starts):
+            fits += km.lloyd_blocks(
+                blocks,
+                [starts[i] for i in group],
+                max_iter=max_iter,
+                tol=tol,
+                seeds=[runs[i][1] for i in group],
             )
-            db = davies_bouldin(scored, features=features)
-            out.append((int(k), best.cost, sil.head()[0], db.head()[0]))
+    out = []
+    for position, k in enumerate(k_range):
+        best = km.best_of(fits[position * n_init : (position + 1) * n_init])
+        scored = km.assign_nearest(points, best.centroids, features=features)
+        sil = (
+            silhouette(scored, ids=ids, features=features)
+            if measure == "euclidean"
+            else silhouette_squared(scored, features=features)
+        )
+        out.append((int(k), best.cost, sil.head()[0], davies_bouldin(scored, features=features).head()[0]))
     return points.sparkSession.createDataFrame(
         out, "k int, inertia double, silhouette double, davies_bouldin double"
     )

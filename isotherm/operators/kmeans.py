@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ INIT_ROUNDS, OVERSAMPLE = 2, 2.0
 RANDOM_TOL, RANDOM_N_INIT = 0.01, 3
 
 _COUNT, _COST = -1, -2
+# Partials that may travel straight to the driver; more are added up on the executors.
+_DIRECT_ROWS = 500_000
 _PARTIAL = "run int, cluster int, dim int, value double"
 
 Blocks = Iterator[tuple[np.ndarray, np.ndarray]]
@@ -38,7 +41,18 @@ Blocks = Iterator[tuple[np.ndarray, np.ndarray]]
 # --------------------------------------------------------------------------- packing
 
 
-def pack_points(points: DataFrame, *, ids: Sequence[str], features: str = "features") -> DataFrame:
+class PackedPoints:
+    """Blocks of points and the number of tasks that scan them."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df = df
+
+    @cached_property
+    def tasks(self) -> int:
+        return self.df.rdd.getNumPartitions()
+
+
+def pack_points(points: DataFrame, *, ids: Sequence[str], features: str = "features") -> PackedPoints:
     """``h binary, x binary, d int``: row hashes and vectors of one Arrow batch per row.
 
     ``ids`` is the row key; its hash drives every random choice, so results do not depend
@@ -63,7 +77,7 @@ def pack_points(points: DataFrame, *, ids: Sequence[str], features: str = "featu
     source = points.select(
         hash_bits(*ids).alias("h"), F.col(features).cast("array<double>").alias("x")
     )
-    return source.mapInArrow(pack, "h binary, x binary, d int")
+    return PackedPoints(source.mapInArrow(pack, "h binary, x binary, d int"))
 
 
 def _unpack(batches: Iterable[pa.RecordBatch]) -> Blocks:
@@ -75,7 +89,7 @@ def _unpack(batches: Iterable[pa.RecordBatch]) -> Blocks:
             )
 
 
-def _scan(blocks: DataFrame, schema: str, fold: Callable[[Blocks], Iterable[dict]]) -> DataFrame:
+def _scan(blocks: PackedPoints, schema: str, fold: Callable[[Blocks], Iterable[dict]]) -> DataFrame:
     """One pass in which ``fold`` turns the blocks of a task into a few column batches."""
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -83,84 +97,95 @@ def _scan(blocks: DataFrame, schema: str, fold: Callable[[Blocks], Iterable[dict
         for out in fold(_unpack(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(out[n]) for n in names], names=names)
 
-    return blocks.mapInArrow(run, schema)
+    return blocks.df.mapInArrow(run, schema)
 
 
 # --------------------------------------------------------------------------- passes
 
 
-def partial_sums(blocks: DataFrame, centers: Sequence[np.ndarray]) -> DataFrame:
+def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True) -> DataFrame:
     """Map side of a round: per task, run and non-empty cluster the vector sum (one row
-    per dimension), the count (``dim`` -1) and the cost (``dim`` -2)."""
+    per dimension, unless ``vectors`` is off), the count (``dim`` -1) and the cost
+    (``dim`` -2)."""
     centers = [np.asarray(c, dtype=float) for c in centers]
 
     def fold(points: Blocks) -> Iterator[dict]:
-        totals = [[np.zeros_like(c), np.zeros(len(c)), np.zeros(len(c))] for c in centers]
+        totals = [np.zeros((len(c), (c.shape[1] if vectors else 0) + 2)) for c in centers]
         for _, x in points:
             for c, total in zip(centers, totals, strict=True):
                 best, d2 = kernels.nearest(x, c)
-                sums, counts = kernels.group_sums(x, best, len(c))
-                total[0] += sums
-                total[1] += counts
-                total[2] += np.bincount(best, weights=d2, minlength=len(c))
-        for run, (sums, counts, cost) in enumerate(totals):
-            used = np.flatnonzero(counts)
-            if not len(used):
-                continue
-            width = sums.shape[1] + 2
-            yield {
-                "run": np.full(len(used) * width, run, dtype=np.int32),
-                "cluster": np.repeat(used, width).astype(np.int32),
-                "dim": np.tile(np.r_[np.arange(width - 2), _COUNT, _COST], len(used)).astype(np.int32),
-                "value": np.hstack([sums[used], counts[used, None], cost[used, None]]).ravel(),
-            }
+                sums, counts = kernels.group_sums(x if vectors else x[:, :0], best, len(c))
+                total[:, :-2] += sums
+                total[:, _COST] += np.bincount(best, weights=d2, minlength=len(c))
+                total[:, _COUNT] += counts
+        for run, total in enumerate(totals):
+            used = np.flatnonzero(total[:, _COUNT])
+            if len(used):
+                width = total.shape[1]
+                dims = np.r_[np.arange(width - 2), _COST, _COUNT]
+                yield {
+                    "run": np.full(len(used) * width, run, dtype=np.int32),
+                    "cluster": np.repeat(used, width).astype(np.int32),
+                    "dim": np.tile(dims, len(used)).astype(np.int32),
+                    "value": total[used].ravel(),
+                }
 
     return _scan(blocks, _PARTIAL, fold)
 
 
-def _round(blocks: DataFrame, centers: Sequence[np.ndarray]):
-    """Reduce side: sums, counts and cost per run."""
-    rows = (
-        partial_sums(blocks, centers)
-        .groupBy("run", "cluster", "dim")
-        .agg(F.sum("value").alias("value"))
-        .toPandas()
-    )
+def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True):
+    """Reduce side: sums, counts and cost per run.
+
+    Few tasks and small partials go to the driver as they are, which saves a shuffle on
+    small data; otherwise Catalyst adds them up first, so K x d values per run return.
+    """
+    partials = partial_sums(blocks, centers, vectors=vectors)
+    widths = [(np.shape(c)[1] if vectors else 0) + 2 for c in centers]
+    if blocks.tasks * sum(len(c) * w for c, w in zip(centers, widths, strict=True)) > _DIRECT_ROWS:
+        partials = partials.groupBy("run", "cluster", "dim").agg(F.sum("value").alias("value"))
+    rows = partials.toArrow()
+    run, cluster, dim, value = (rows.column(n).to_numpy() for n in ("run", "cluster", "dim", "value"))
+    order = np.argsort(run, kind="stable")
+    bounds = np.searchsorted(run[order], np.arange(len(centers) + 1))
     out = []
-    for run, c in enumerate(centers):
-        mine = rows[rows["run"] == run]
-        sums, counts = np.zeros_like(np.asarray(c, dtype=float)), np.zeros(len(c))
-        body = mine[mine["dim"] >= 0]
-        sums[body["cluster"], body["dim"]] = body["value"]
-        tally = mine[mine["dim"] == _COUNT]
-        counts[tally["cluster"]] = tally["value"]
-        out.append((sums, counts, float(mine.loc[mine["dim"] == _COST, "value"].sum())))
+    for number, (c, width) in enumerate(zip(centers, widths, strict=True)):
+        # the negative dims of cost and count land in the last two columns
+        mine = order[bounds[number] : bounds[number + 1]]
+        total = np.zeros((len(c), width))
+        np.add.at(total, (cluster[mine], dim[mine]), value[mine])
+        out.append((total[:, :-2], total[:, _COUNT], float(total[:, _COST].sum())))
     return out
 
 
-def _smallest_draws(blocks: DataFrame, seeds: Sequence[int], k: int) -> list[np.ndarray]:
-    """For every seed the k points with the smallest draws: a uniform sample."""
-    out = []
-    for seed in seeds:
+def _smallest_draws(blocks: PackedPoints, seeds: Sequence[int], k: int) -> list[np.ndarray]:
+    """For every seed the k points with the smallest draws: a uniform sample. A task
+    returns at most k points per seed."""
 
-        def fold(points: Blocks, seed=seed) -> Iterator[dict]:
-            kept: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+    def drawn(seeds: Sequence[int]) -> DataFrame:
+        def fold(points: Blocks) -> Iterator[dict]:
+            kept: dict = {}
             for h, x in points:
-                u = kernels.uniform(h, seed)
-                if kept is not None:
-                    u, h, x = (np.concatenate(p) for p in zip(kept, (u, h, x), strict=True))
-                first = np.lexsort((h, u))[:k]
-                kept = (u[first], h[first], x[first])
-            if kept is not None:
-                yield {"u": kept[0], "h": kept[1], "x": list(kept[2])}
-
-        drawn = _scan(blocks, "u double, h long, x array<double>", fold)
-        rows = drawn.orderBy("u", "h", "x").limit(k).collect()
-        out.append(np.array([r["x"] for r in rows]))
-    return out
+                for run, seed in enumerate(seeds):
+                    u, bits, rows = kernels.uniform(h, seed), h, x
+                    if run in kept:
+                        u, bits, rows = (np.concatenate(p) for p in zip(kept[run], (u, bits, rows), strict=True))
+                    first = np.lexsort((bits, u))[:k]
+                    kept[run] = (u[first], bits[first], rows[first])
+            for run, (u, bits, rows) in kept.items():
+                yield {"run": np.full(len(u), run, np.int32), "u": u, "h": bits, "x": list(rows)}
+
+        return _scan(blocks, "run int, u double, h long, x array<double>", fold)
+
+    if k == 1:
+        smallest = drawn(seeds).groupBy("run").agg(F.min(F.struct("u", "h", "x")).alias("s"))
+        found = {r["run"]: [r["s"]["x"]] for r in smallest.collect()}
+        return [np.array(found[run]) for run in range(len(seeds))]
+    return [
+        np.array([r["x"] for r in drawn([seed]).orderBy("u", "h", "x").limit(k).collect()]) for seed in seeds
+    ]
 
 
-def farthest_in_blocks(blocks: DataFrame, centers: np.ndarray) -> np.ndarray:
+def farthest_in_blocks(blocks: PackedPoints, centers: np.ndarray) -> np.ndarray:
     """The point with the largest distance to its nearest center; the row hash breaks ties."""
 
     def fold(points: Blocks) -> Iterator[dict]:
@@ -178,7 +203,7 @@ def farthest_in_blocks(blocks: DataFrame, centers: np.ndarray) -> np.ndarray:
 
 
 def _sample_by_distance(
-    blocks: DataFrame, centers: Sequence[np.ndarray], factors: Sequence[float], seeds: Sequence[int]
+    blocks: PackedPoints, centers: Sequence[np.ndarray], factors: Sequence[float], seeds: Sequence[int]
 ) -> list[np.ndarray]:
     """Keep a point with probability ``factor * d2``, for every run in one pass.
 
@@ -203,19 +228,22 @@ def _sample_by_distance(
 
 
 def parallel_init(
-    blocks: DataFrame,
-    k: int,
+    blocks: PackedPoints,
+    k: int | Sequence[int],
     seeds: Sequence[int],
     *,
     rounds: int = INIT_ROUNDS,
     oversample: float = OVERSAMPLE,
 ) -> list[np.ndarray]:
     """k-means|| starts for all seeds together: two passes per oversampling round and one
-    pass for the weights, however many restarts there are."""
-    centers = _smallest_draws(blocks, seeds, 1)
+    pass for the weights, however many restarts there are. ``k`` may differ per seed."""
+    ks = [k] * len(seeds) if isinstance(k, int) else list(k)
+    distinct = sorted(set(seeds))
+    first = dict(zip(distinct, _smallest_draws(blocks, distinct, 1), strict=True))
+    centers = [first[s] for s in seeds]
     live = [True] * len(seeds)
     for number in range(rounds):
-        costs = [cost for _, _, cost in _round(blocks, centers)]
+        costs = [cost for _, _, cost in _round(blocks, centers, vectors=False)]
         live = [on and cost > 0.0 for on, cost in zip(live, costs, strict=True)]
         runs = [i for i, on in enumerate(live) if on]
         if not runs:
@@ -223,16 +251,16 @@ def parallel_init(
         found = _sample_by_distance(
             blocks,
             [centers[i] for i in runs],
-            [oversample * k / costs[i] for i in runs],
+            [oversample * ks[i] / costs[i] for i in runs],
             [seeds[i] + number * ROUND_STEP for i in runs],
         )
         for i, extra in zip(runs, found, strict=True):
             centers[i] = np.vstack([centers[i], extra])
-    starts: list[np.ndarray | None] = [pad_candidates(c, k) if len(c) <= k else None for c in centers]
+    starts = [pad_candidates(c, n) if len(c) <= n else None for c, n in zip(centers, ks, strict=True)]
     large = [i for i, s in enumerate(starts) if s is None]
     if large:
-        for i, (_, counts, _) in zip(large, _round(blocks, [centers[i] for i in large]), strict=True):
-            starts[i] = kernels.weighted_kmeans(centers[i], counts, k, seeds[i])
+        for i, (_, counts, _) in zip(large, _round(blocks, [centers[i] for i in large], vectors=False), strict=True):
+            starts[i] = kernels.weighted_kmeans(centers[i], counts, ks[i], seeds[i])
     return starts
 
 
@@ -253,8 +281,22 @@ class Fit:
     costs: list[float] = field(default_factory=list)
 
 
+def fused_groups(starts: Sequence[np.ndarray], limit: int = 50_000) -> list[list[int]]:
+    """Runs that share a pass: consecutive ones while a task emits at most ``limit`` partials."""
+    groups: list[list[int]] = []
+    size = limit + 1
+    for i, s in enumerate(starts):
+        width = len(s) * (np.shape(s)[1] + 2)
+        if size + width > limit:
+            groups.append([])
+            size = 0
+        groups[-1].append(i)
+        size += width
+    return groups
+
+
 def lloyd_blocks(
-    blocks: DataFrame,
+    blocks: PackedPoints,
     starts: Sequence[np.ndarray],
     *,
     max_iter: int = MAX_ITER,
@@ -292,7 +334,7 @@ def lloyd_blocks(
             current[i], iterations[i] = updated, step
             trace[i].append(cost)
             done[i] = tol is not None and shift < tol
-    final = _round(blocks, current)
+    final = _round(blocks, current, vectors=False)
     return [
         Fit(
             c, cost, n, stop, counts.astype(np.int64), attempt=i,
@@ -308,13 +350,14 @@ class CachedPoints:
     """Packed points, cached for the duration of a fit."""
 
     def __init__(self, points: DataFrame, *, ids: Sequence[str], features: str = "features") -> None:
-        self.blocks = pack_points(points, ids=ids, features=features).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks = pack_points(points, ids=ids, features=features)
 
-    def __enter__(self) -> DataFrame:
+    def __enter__(self) -> PackedPoints:
+        self.blocks.df.persist(StorageLevel.MEMORY_AND_DISK)
         return self.blocks
 
     def __exit__(self, *exc: object) -> None:
-        self.blocks.unpersist()
+        self.blocks.df.unpersist()
 
 
 def restart_seeds(n_init: int, seed: int = SEED) -> list[int]:
@@ -322,7 +365,7 @@ def restart_seeds(n_init: int, seed: int = SEED) -> list[int]:
 
 
 def fit_restarts(
-    blocks: DataFrame,
+    blocks: PackedPoints,
     k: int = K,
     *,
     n_init: int = N_INIT,
@@ -428,7 +471,11 @@ def vector_sums(df: DataFrame, *, label: str = "cluster", features: str = "featu
             )
 
     price = F.col(cost) if cost else F.lit(0.0)
-    source = df.select(F.col(label).cast("long"), F.col(features).cast("array<double>"), price.cast("double"))
+    source = df.select(
+        F.col(label).cast("long").alias("label"),
+        F.col(features).cast("array<double>").alias("x"),
+        price.cast("double").alias("cost"),
+    )
     return (
         source.mapInArrow(fold, "label long, dim int, value double")
         .groupBy("label", "dim")
@@ -500,7 +547,7 @@ def centroid_shift(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.agg(F.sqrt(F.max(squared_distance("a", "b"))).alias("shift"))
 
 
-def partial_record_count(blocks: DataFrame, centroids: np.ndarray) -> DataFrame:
+def partial_record_count(blocks: PackedPoints, centroids: np.ndarray) -> DataFrame:
     """How far one round shrinks: points in, (task, cluster) partials out."""
     emitted = partial_sums(blocks, [centroids]).filter(F.col("dim") == _COUNT)
     return emitted.agg(

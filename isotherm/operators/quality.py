@@ -61,9 +61,9 @@ def inf_clean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def mean_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace missing values by the column mean."""
+    """Replace missing values by the column mean (fitted in one job)."""
     means = column_stats(df, {c: F.avg(nan_as_null(c)) for c in columns})
-    return df.withColumns({c: F.coalesce(nan_as_null(c), means.getField(c)) for c in columns})
+    return df.withColumns({c: F.coalesce(nan_as_null(c), F.lit(means[c])) for c in columns})
 
 
 def zero_fill(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -97,7 +97,7 @@ def corr_prune(
 
 
 def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Standardise with the population std; a constant column becomes 0."""
+    """Standardise with the population std (fitted in one job); a constant column becomes 0."""
     stats = column_stats(
         df,
         {
@@ -108,9 +108,8 @@ def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
     def scaled(i: int, c: str):
-        std = stats.getField(f"s{i}")
-        centred = F.col(c) - stats.getField(f"m{i}")
-        return F.when(std > 0, centred / std).otherwise(centred * 0.0)
+        mean, std = stats[f"m{i}"], stats[f"s{i}"]
+        return (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.when(F.col(c).isNotNull(), F.lit(0.0))
 
     return df.withColumns({c: scaled(i, c) for i, c in enumerate(columns)})
 

@@ -122,14 +122,14 @@ def vector_string(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT c_custkey, round(45.53e0 + c_custkey * 0.00037e0, 4) AS lat, round(-124.77e0 + c_custkey * 0.00053e0, 4) AS lon
+@query("""SELECT c_custkey, round(45.53e0 + c_custkey / 30011e0, 4) AS lat, round(-124.77e0 + c_custkey / 20011e0, 4) AS lon
 FROM customer""")
 def coord_round(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf, "customer").select(
         "c_custkey",
-        exprs.round_coord(F.lit(45.53) + key * F.lit(0.00037)).alias("lat"),
-        exprs.round_coord(F.lit(-124.77) + key * F.lit(0.00053)).alias("lon"),
+        exprs.round_coord(F.lit(45.53) + key / F.lit(30011.0)).alias("lat"),
+        exprs.round_coord(F.lit(-124.77) + key / F.lit(20011.0)).alias("lon"),
     )
 
 

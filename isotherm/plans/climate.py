@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from isotherm.operators import features as ft
@@ -13,6 +12,7 @@ from isotherm.operators import kmeans as km
 from isotherm.operators import quality, reduce
 from isotherm.operators.grid import Grid
 from isotherm.operators.regrid import Product, regrid_products
+from isotherm.sources import tables
 
 
 def combined_daily(products: Sequence[Product], target: Grid | None = None, **options) -> DataFrame:
@@ -45,22 +45,18 @@ def cluster_locations(
 ) -> Clustering:
     """Fill, prune, standardise, reduce and cluster a feature table (one row a location).
 
-    The feature table is the first small result of the flow, read by several passes, so
-    it is cached while they run; what is returned is lazy again.
+    The feature table is the first small result of the flow and several passes read it,
+    so it is written once to the shared folder; the daily rows are read a single time.
     """
+    features = tables.materialise(features, "features")
     names = numeric_features(features, keys)
-    cached = features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        filled = quality.mean_fill(cached, names)
-        dropped = reduce.redundant_columns(reduce.correlation_matrix(filled, names), names, threshold)
-        kept = [c for c in names if c not in set(dropped)]
-        reduction = reduce.fit_reduction(filled.select(*keys, *kept), kept, variance=variance)
-        scores = reduce.apply_reduction(reduction.model, filled.select(*keys, *kept), keep=keys)
-        fit = km.kmeans(scores, k, ids=keys, **kmeans_options)
-    finally:
-        cached.unpersist()
-    filled = quality.mean_fill(features, names).select(*keys, *kept)
+    filled = quality.mean_fill(features, names)
+    dropped = reduce.redundant_columns(reduce.correlation_matrix(filled, names), names, threshold)
+    kept = [c for c in names if c not in set(dropped)]
+    filled = filled.select(*keys, *kept)
+    reduction = reduce.fit_reduction(filled, kept, variance=variance)
     scores = reduce.apply_reduction(reduction.model, filled, keep=keys)
+    fit = km.kmeans(scores, k, ids=keys, **kmeans_options)
     assignments = km.assign_nearest(scores, fit.centroids)
     return Clustering(assignments, scores, filled, dropped, reduction, fit)
 

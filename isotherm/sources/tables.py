@@ -74,6 +74,16 @@ def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage result to the shared folder once and go on from the files.
+
+    Later passes neither repeat the stage nor depend on the executors that computed it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_json(row: DataFrame, path: str) -> None:
     """Metrics or metadata: one row."""
     row.coalesce(1).write.mode("overwrite").json(path)
