@@ -32,11 +32,9 @@ class Axis:
     def index(self, coord: Column, tolerance: float = 1e-3) -> Column:
         """Integer index of a node; a coordinate off the axis fails the job."""
         p = self.position(coord)
-        i = F.round(p)
-        on_axis = (F.abs(p - i) <= tolerance) & (i >= 0) & (i < self.size)
-        message = F.concat(
-            F.lit(f"not a node of the axis {self}: "), F.coalesce(coord.cast("string"), F.lit("NULL"))
-        )
+        i = F.rint(p)
+        on_axis = (F.abs(p - i) <= tolerance) & i.between(0, self.size - 1)
+        message = F.concat(F.lit(f"not a node of {self}: "), F.coalesce(coord.cast("string"), F.lit("NULL")))
         return F.when(on_axis, i.cast("int")).otherwise(F.raise_error(message).cast("int"))
 
     @staticmethod

@@ -9,14 +9,16 @@ re-uses that partitioning, so one shuffle carries source rows, not expanded ones
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isotherm.functions.exprs import nan_as_null, round_coord
-from isotherm.operators.grid import Grid
+from isotherm.operators.grid import Axis, Grid
 
 MARKER, LINEAR, NEAREST = 0, 1, 2
 
@@ -41,66 +43,117 @@ class Product:
     circular: Sequence[str] = ()
 
 
-def _axis_cell(axis, coord: Column):
-    """Lower node, fraction, inside flag and nearest node along one axis."""
-    p = axis.position(coord)
-    lower = F.least(F.greatest(F.floor(p), F.lit(0)), F.lit(max(axis.size - 2, 0))).cast("int")
-    inside = (p >= -_EDGE) & (p <= axis.size - 1 + _EDGE) & F.lit(axis.size > 1)
-    frac = F.least(F.greatest(p - lower, F.lit(0.0)), F.lit(1.0))
-    nearest = F.least(F.greatest(F.ceil(p - 0.5), F.lit(0)), F.lit(axis.size - 1)).cast("int")
-    return lower, frac, inside, nearest
+_WEIGHT_SCHEMA = (
+    "tile int, src_lat_i int, src_lon_i int, lat_i int, lon_i int, kind int, w double, n_w int"
+)
+
+
+def _axis_cell(source: Axis, coord: np.ndarray):
+    """Lower node, fraction, inside flag and nearest node (ties to the lower) along one axis."""
+    p = (coord - source.start) / source.step
+    lower = np.clip(np.floor(p), 0, max(source.size - 2, 0)).astype(np.int64)
+    inside = (p >= -_EDGE) & (p <= source.size - 1 + _EDGE) & (source.size > 1)
+    nearest = np.clip(np.ceil(p - 0.5), 0, source.size - 1).astype(np.int64)
+    return lower, np.clip(p - lower, 0.0, 1.0), inside, nearest
+
+
+def _weight_rows(nodes: np.ndarray, source: Grid, target: Grid, tile: int, linear: bool, nearest: bool) -> pa.Table:
+    """Weight rows of the given target nodes."""
+    lat_i, lon_i = np.divmod(nodes, target.lon.size)
+    y, v, in_y, y_near = _axis_cell(source.lat, target.lat.start + lat_i * target.lat.step)
+    x, u, in_x, x_near = _axis_cell(source.lon, target.lon.start + lon_i * target.lon.step)
+    right = u >= v
+    inside = in_y & in_x & linear
+    corners = [
+        (y, x, 1.0 - np.maximum(u, v)),
+        (np.where(right, y, y + 1), np.where(right, x + 1, x), np.abs(u - v)),
+        (y + 1, x + 1, np.minimum(u, v)),
+    ]
+    n_w = sum((inside & (w > _EDGE)).astype(np.int64) for _, _, w in corners)
+    nowhere = np.full(len(nodes), -1)
+    parts = [(nowhere, nowhere, np.zeros(len(nodes)), np.ones(len(nodes), bool), MARKER)]
+    parts += [(a, b, w, inside & (w > _EDGE), LINEAR) for a, b, w in corners]
+    if nearest:
+        parts.append((y_near, x_near, np.ones(len(nodes)), np.ones(len(nodes), bool), NEAREST))
+    tiles = (lat_i // tile) * -(-target.lon.size // tile) + lon_i // tile
+    columns = [
+        np.concatenate([np.asarray(values)[keep] for values, keep in chunk])
+        for chunk in zip(
+            *[
+                [(tiles, k), (a, k), (b, k), (lat_i, k), (lon_i, k), (np.full(len(nodes), kind), k), (w, k), (n_w, k)]
+                for a, b, w, k, kind in parts
+            ],
+            strict=True,
+        )
+    ]
+    types = [pa.int32()] * 6 + [pa.float64(), pa.int32()]
+    names = [field.split()[0] for field in _WEIGHT_SCHEMA.split(", ")]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
 def regrid_weights(
-    spark: SparkSession, source: Grid, target: Grid, *, tile: int = 64, linear: bool = True, nearest: bool = True
+    spark: SparkSession,
+    source: Grid,
+    target: Grid,
+    *,
+    tile: int = 64,
+    linear: bool = True,
+    nearest: bool = True,
+    local: bool = True,
 ) -> DataFrame:
-    """``tile, src_lat_i, src_lon_i, lat_i, lon_i, kind, w, n_w``, at most four rows a target.
+    """``tile, src_lat_i, src_lon_i, lat_i, lon_i, kind, w, n_w``, at most five rows a target.
 
     A cell is split along the diagonal from its low-low to its high-high corner; outside
-    the hull of the source nodes only the nearest node (ties to the lower one) remains.
+    the hull of the source nodes only the nearest node remains. The same kernel runs on
+    the driver for a small target and in tasks for a large one (``local=False``).
     """
-    y0, v, in_y, y_near = _axis_cell(source.lat, F.col("lat"))
-    x0, u, in_x, x_near = _axis_cell(source.lon, F.col("lon"))
-
-    def entry(y: Column, x: Column, kind: int, w: Column) -> Column:
-        return F.struct(
-            y.cast("int").alias("src_lat_i"),
-            x.cast("int").alias("src_lon_i"),
-            F.lit(kind).alias("kind"),
-            w.alias("w"),
-        )
+    if local:
+        rows = _weight_rows(np.arange(target.size), source, target, tile, linear, nearest)
+        return spark.createDataFrame(rows, _WEIGHT_SCHEMA)
 
-    lower_right = u >= v
-    corners = F.array(
-        entry(y0, x0, LINEAR, 1.0 - F.greatest(u, v)),
-        entry(F.when(lower_right, y0).otherwise(y0 + 1), F.when(lower_right, x0 + 1).otherwise(x0),
-              LINEAR, F.abs(u - v)),
-        entry(y0 + 1, x0 + 1, LINEAR, F.least(u, v)),
-    )
-    vertices = F.when(in_y & in_x & F.lit(linear), F.filter(corners, lambda e: e["w"] > _EDGE)).otherwise(
-        F.slice(corners, 1, 0)
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _weight_rows(
+                batch.column(0).to_numpy(), source, target, tile, linear, nearest
+            ).to_batches()
+
+    return spark.range(target.size).mapInArrow(make, _WEIGHT_SCHEMA)
+
+
+def _measures(product: Product) -> list[str]:
+    """Columns that are interpolated: a circular measure travels as sine and cosine."""
+    plain = [c for c in product.params if c not in product.circular]
+    return plain + [f"{c}__{part}" for c in product.circular for part in ("sin", "cos")]
+
+
+def _stacked_rows(product: Product, number: int, time: str) -> DataFrame:
+    """Rows of one product keyed by node index, a missing measure as NaN.
+
+    NaN survives the weighted sum, so a missing vertex makes the target missing; NULL is
+    left to mean "measure of another product". One marker per time keeps every target of
+    that time in the result, also where all rows around it are absent.
+    """
+    rows = product.rows
+    for c in product.circular:
+        rows = rows.withColumns({f"{c}__sin": F.sin(F.radians(c)), f"{c}__cos": F.cos(F.radians(c))})
+    measures = _measures(product)
+    rows = rows.select(
+        F.lit(number).alias("p"),
+        time,
+        product.grid.lat.index(F.col("lat")).alias("src_lat_i"),
+        product.grid.lon.index(F.col("lon")).alias("src_lon_i"),
+        *measures,
     )
-    entries = vertices
-    if nearest:
-        entries = F.concat(vertices, F.array(entry(y_near, x_near, NEAREST, F.lit(1.0))))
-    entries = F.concat(entries, F.array(entry(F.lit(-1), F.lit(-1), MARKER, F.lit(0.0))))
-    per_row = -(-target.lon.size // tile)
-    tile_id = F.floor(F.col("lat_i") / tile).cast("int") * per_row + F.floor(F.col("lon_i") / tile).cast("int")
-    return (
-        target.nodes(spark)
-        .select(
-            tile_id.alias("tile"), "lat_i", "lon_i", F.size(vertices).alias("n_w"), entries.alias("e")
+    if not product.unique:
+        rows = rows.groupBy("p", time, "src_lat_i", "src_lon_i").agg(
+            *[F.avg(nan_as_null(F.col(c).cast("double"))).alias(c) for c in measures]
         )
-        .select("tile", "lat_i", "lon_i", "n_w", F.inline("e"))
+    marked = [F.expr(f"coalesce(cast(`{c}` AS double), double('NaN')) AS `{c}`") for c in measures]
+    rows = rows.select("p", time, "src_lat_i", "src_lon_i", *marked)
+    markers = product.rows.groupBy(time).agg(F.lit(number).alias("p")).select(
+        "p", time, F.lit(-1).alias("src_lat_i"), F.lit(-1).alias("src_lon_i")
     )
-
-
-def _unit_circle(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    parts = {}
-    for c in names:
-        parts[f"{c}__sin"] = F.sin(F.radians(c))
-        parts[f"{c}__cos"] = F.cos(F.radians(c))
-    return df.withColumns(parts) if parts else df
+    return rows.unionByName(markers, allowMissingColumns=True)
 
 
 def regrid_products(
@@ -121,7 +174,7 @@ def regrid_products(
 
     ``method``: ``linear`` leaves targets outside the hull, or next to a missing source
     value, missing; ``nearest`` uses the nearest node only; ``linear+nearest`` falls back.
-    The weight table is broadcast while ``4 * target.size`` rows stay below
+    The weight table is broadcast while ``5 * target.size`` rows a product stay below
     ``broadcast_limit``; beyond that it is joined by shuffle on (tile, source node).
     """
     if method not in ("linear", "nearest", "linear+nearest"):
@@ -130,91 +183,61 @@ def regrid_products(
     use_linear, use_nearest = method != "nearest", method != "linear"
     single_tile = max(target.lat.size, target.lon.size) <= tile
     small = 5 * target.size * len(products) * _WEIGHT_ROW_BYTES <= broadcast_limit
-    hint = (lambda df: F.broadcast(df)) if small else (lambda df: df.hint("merge"))
+
+    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        return left.join(F.broadcast(right) if small else right.hint("merge"), keys)
 
     stacked = weights = None
     for number, product in enumerate(products):
-        plain = [c for c in product.params if c not in product.circular]
-        measures = plain + [f"{c}__{part}" for c in product.circular for part in ("sin", "cos")]
-        w = regrid_weights(spark, product.grid, target, tile=tile, linear=use_linear, nearest=use_nearest)
-        w = w.withColumn("p", F.lit(number))
-        rows = _unit_circle(product.rows, product.circular)
-        rows = rows.select(
-            F.lit(number).alias("p"),
-            time,
-            product.grid.lat.index(F.col("lat")).alias("src_lat_i"),
-            product.grid.lon.index(F.col("lon")).alias("src_lon_i"),
-            *[nan_as_null(F.col(c).cast("double")).alias(c) for c in measures],
-        )
-        if not product.unique:
-            rows = rows.groupBy("p", time, "src_lat_i", "src_lon_i").agg(
-                *[F.avg(c).alias(c) for c in measures]
-            )
-        # One marker per time keeps every target of that time in the result, also where
-        # all source rows around it are absent.
-        markers = product.rows.groupBy(time).agg(F.lit(number).alias("p")).select(
-            "p", time, F.lit(-1).alias("src_lat_i"), F.lit(-1).alias("src_lon_i")
-        )
-        rows = rows.unionByName(markers, allowMissingColumns=True)
+        w = regrid_weights(
+            spark, product.grid, target, tile=tile, linear=use_linear, nearest=use_nearest, local=small
+        ).withColumn("p", F.lit(number))
+        rows = _stacked_rows(product, number, time)
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
         weights = w if weights is None else weights.unionByName(w)
-
     if single_tile:
         stacked = stacked.withColumn("tile", F.lit(0))
     else:
         routes = weights.select("p", "src_lat_i", "src_lon_i", "tile").distinct()
-        stacked = stacked.join(hint(routes), ["p", "src_lat_i", "src_lon_i"])
-    expanded = stacked.repartition(time, "tile").join(
-        hint(weights), ["p", "tile", "src_lat_i", "src_lon_i"]
-    )
+        stacked = joined(stacked, routes, ["p", "src_lat_i", "src_lon_i"])
+    expanded = joined(stacked.repartition(time, "tile"), weights, ["p", "tile", "src_lat_i", "src_lon_i"])
 
     aggregates, outputs = [], []
     for number, product in enumerate(products):
-        mine = F.col("p") == number
-        is_linear = mine & (F.col("kind") == LINEAR)
-        is_nearest = mine & (F.col("kind") == NEAREST)
-        aggregates += [
-            F.count_if(is_linear).alias(f"_n{number}"),
-            F.max(F.when(mine, F.col("n_w"))).alias(f"_w{number}"),
-        ]
-        complete = (F.col(f"_w{number}") > 0) & (F.col(f"_n{number}") == F.col(f"_w{number}"))
-
-        def resolved(c: str, complete=complete) -> Column:
-            # NaN carries "one of the vertices is missing" through the sum.
-            near = F.col(f"_n_{c}")
-            if not use_linear:
-                return near
-            value = F.when(complete, nan_as_null(F.col(f"_l_{c}")))
-            return F.coalesce(value, near) if use_nearest else value
-
-        plain = [c for c in product.params if c not in product.circular]
-        parts = [f"{c}__{part}" for c in product.circular for part in ("sin", "cos")]
-        for c in plain + parts:
+        aggregates.append(f"count_if(p = {number} AND kind = {LINEAR}) AS _n{number}")
+        aggregates.append(f"max(CASE WHEN p = {number} THEN n_w END) AS _w{number}")
+        for c in _measures(product):
             if use_linear:
-                filled = F.coalesce(F.col(c), F.lit(float("nan")))
-                aggregates.append(F.sum(F.when(is_linear, F.col("w") * filled)).alias(f"_l_{c}"))
+                aggregates.append(f"sum(CASE WHEN kind = {LINEAR} THEN w * `{c}` END) AS `_l_{c}`")
             if use_nearest:
-                aggregates.append(F.max(F.when(is_nearest, F.col(c))).alias(f"_n_{c}"))
+                aggregates.append(f"max(CASE WHEN kind = {NEAREST} THEN `{c}` END) AS `_n_{c}`")
+
+        def resolved(c: str, number: int = number) -> str:
+            linear = f"CASE WHEN _n{number} > 0 AND _n{number} = _w{number} AND NOT isnan(`_l_{c}`) THEN `_l_{c}` END"
+            near = f"CASE WHEN NOT isnan(`_n_{c}`) THEN `_n_{c}` END"
+            if method == "linear":
+                return linear
+            return near if method == "nearest" else f"coalesce({linear}, {near})"
+
         for c in product.params:
             if c in product.circular:
-                angle = F.degrees(F.atan2(resolved(f"{c}__sin"), resolved(f"{c}__cos")))
-                outputs.append(F.pmod(angle, F.lit(360.0)).alias(c))
+                angle = f"degrees(atan2({resolved(f'{c}__sin')}, {resolved(f'{c}__cos')}))"
+                outputs.append(f"pmod({angle}, 360D) AS `{c}`")
             else:
-                outputs.append(resolved(c).alias(c))
-        suffix = f"_{product.name}" if len(products) > 1 else ""
+                outputs.append(f"{resolved(c)} AS `{c}`")
         if use_linear:
-            outputs.append((F.col(f"_w{number}") == 0).alias(f"is_extrapolated{suffix}"))
+            suffix = f"_{product.name}" if len(products) > 1 else ""
+            outputs.append(f"_w{number} = 0 AS is_extrapolated{suffix}")
 
-    grouped = expanded.groupBy(time, "tile", "lat_i", "lon_i").agg(*aggregates)
-    for number in range(len(products)):
-        grouped = grouped.filter(F.col(f"_w{number}").isNotNull())
-    return grouped.select(
+    in_all = " AND ".join(f"_w{number} IS NOT NULL" for number in range(len(products)))
+    grouped = expanded.groupBy(time, "tile", "lat_i", "lon_i").agg(*[F.expr(a) for a in aggregates])
+    return grouped.filter(in_all).select(
         time,
         "lat_i",
         "lon_i",
         round_coord(target.lat.value(F.col("lat_i"))).alias("lat"),
         round_coord(target.lon.value(F.col("lon_i"))).alias("lon"),
-        *outputs,
+        *[F.expr(o) for o in outputs],
     )
 
 
