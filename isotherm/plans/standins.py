@@ -189,3 +189,14 @@ def settle_sql(expr: str, digits: int) -> str:
     """The quantisation of :func:`isotherm.functions.exprs.settle`."""
     scale = f"{10**digits}e0"
     return f"floor(({expr}) * {scale} + 0.4871e0) / {scale}"
+
+
+def regime_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily points in 14 dimensions: the four measures, standardised, and their products."""
+    from isotherm.operators.reduce import zscore
+
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    measures = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rows = zscore(table(spark, sf_dir, "lineitem").select(*keys, *measures), measures)
+    products = [F.col(a) * F.col(b) for i, a in enumerate(measures) for b in measures[i:]]
+    return rows.select(*keys, F.array(*measures, *products).alias("features"))
