@@ -47,6 +47,19 @@ def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
     return best, np.einsum("ij,ij->i", gap, gap)
 
 
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of a to all rows of b.
+
+    One matrix product; pairs so close that it cancels are measured directly.
+    """
+    size = np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b)
+    d2 = size - 2.0 * (a @ b.T)
+    i, j = np.nonzero(d2 < 1e-5 * size)
+    gap = a[i] - b[j]
+    d2[i, j] = np.einsum("ij,ij->i", gap, gap)
+    return np.sqrt(np.maximum(d2, 0.0))
+
+
 def group_sums(points: np.ndarray, group: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Vector sum and count per group index ``0..size-1``."""
     counts = np.bincount(group, minlength=size)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,76 +12,71 @@ from pyspark.sql import functions as F
 from isotherm.functions import kernels
 from isotherm.operators import kmeans as km
 
-_PAIR_SCHEMA = "id long, own long, other long, total double, n long"
+_PAIR_SCHEMA = "id long, labeling int, own long, other long, total double, n long"
 
 
-def silhouette_samples(
-    df: DataFrame, *, ids: Sequence[str], label: str = "cluster", features: str = "features", block_rows: int = 2048
-) -> DataFrame:
-    """Exact Euclidean silhouette per row, for any number of rows.
+def _silhouette_rows(rows: DataFrame, block_rows: int) -> DataFrame:
+    """``id, labeling, own, silhouette`` from ``id long, labels array<long>, x array<double>``.
 
     Rows are dealt into hashed blocks of about ``block_rows``; a task measures one pair of
     blocks and returns distance *sums* per (row, cluster), so no pair of points leaves it.
-    The arithmetic stays quadratic, memory and task size do not grow; where that cost is
-    too high use :func:`silhouette_squared`. Output: ``*ids, cluster, silhouette``.
+    Several labelings of the same points share the distances.
     """
-    n = df.count()
-    n_blocks = max(1, -(-n // block_rows))
-    rows = df.select(
-        *ids,
-        F.xxhash64(*ids).alias("id"),
-        F.col(label).cast("long").alias("own"),
-        F.col(features).cast("array<double>").alias("x"),
-    )
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("id", "x"), F.lit(n_blocks)).cast("int")).select(
-        "id", "own", "x", "b"
-    )
+    n_blocks = max(1, -(-rows.count() // block_rows))
+    dealt = rows.withColumn("b", F.pmod(F.xxhash64("id", "x"), F.lit(n_blocks)).cast("int"))
     last = F.lit(n_blocks - 1)
     left = dealt.withColumns({"i": F.col("b"), "j": F.explode(F.sequence(F.col("b"), last))})
     right = dealt.withColumns({"j": F.col("b"), "i": F.explode(F.sequence(F.lit(0), F.col("b")))})
+    schema = pa.schema(
+        [("id", pa.int64()), ("labeling", pa.int32()), ("own", pa.int64()), ("other", pa.int64()),
+         ("total", pa.float64()), ("n", pa.int64())]
+    )
 
-    def sums_to(a: pa.Table, xa: np.ndarray, b: pa.Table, xb: np.ndarray) -> pa.Table:
-        """Distance sums of every row of a to the clusters of b."""
-        values, group = np.unique(b.column("own").to_numpy(), return_inverse=True)
-        order = np.argsort(group, kind="stable")
-        counts = np.bincount(group, minlength=len(values))
-        starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-        total = np.empty((len(xa), len(values)))
-        for k in range(0, len(xa), 64):
-            gap = np.sqrt(((xa[k : k + 64, None, :] - xb[None, order, :]) ** 2).sum(axis=2))
-            total[k : k + 64] = np.add.reduceat(gap, starts, axis=1)
-        width = len(values)
-        return pa.table(
-            {
-                "id": np.repeat(a.column("id").to_numpy(), width),
-                "own": np.repeat(a.column("own").to_numpy(), width),
-                "other": np.tile(values, len(xa)),
-                "total": total.ravel(),
-                "n": np.tile(counts, len(xa)),
-            }
-        )
+    def unpacked(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        labels = t.column("labels").combine_chunks()
+        own = labels.flatten().to_numpy().reshape(len(labels), -1)
+        return t.column("id").to_numpy(), own, kernels.as_matrix(t.column("x"))
+
+    def sums_to(a, b) -> Iterator[pa.Table]:
+        """Distance sums of every row of a to the clusters of b, per labeling."""
+        (ids, own_a, xa), (_, own_b, xb) = a, b
+        for k in range(0, len(xa), 256):
+            gap = kernels.distances(xa[k : k + 256], xb)
+            for labeling in range(own_b.shape[1]):
+                values, group = np.unique(own_b[:, labeling], return_inverse=True)
+                member = np.zeros((len(xb), len(values)))
+                member[np.arange(len(xb)), group] = 1.0
+                total, width, height = gap @ member, len(values), len(gap)
+                yield pa.table(
+                    [
+                        np.repeat(ids[k : k + 256], width),
+                        np.full(width * height, labeling, np.int32),
+                        np.repeat(own_a[k : k + 256, labeling], width),
+                        np.tile(values, height),
+                        total.ravel(),
+                        np.tile(member.sum(axis=0).astype(np.int64), height),
+                    ],
+                    schema=schema,
+                )
 
     def measure(a: pa.Table, b: pa.Table) -> pa.Table:
-        empty = pa.table({n: pa.array([], t) for n, t in (
-            ("id", pa.int64()), ("own", pa.int64()), ("other", pa.int64()), ("total", pa.float64()), ("n", pa.int64()))})
         if not a.num_rows or not b.num_rows:
-            return empty
-        xa = kernels.as_matrix(a.column("x"))
-        same = a.column("i")[0].as_py() == a.column("j")[0].as_py()
-        if same:
-            return sums_to(a, xa, a, xa)
-        xb = kernels.as_matrix(b.column("x"))
-        return pa.concat_tables([sums_to(a, xa, b, xb), sums_to(b, xb, a, xa)])
+            return schema.empty_table()
+        one = unpacked(a)
+        if a.column("i")[0].as_py() == a.column("j")[0].as_py():
+            return pa.concat_tables(sums_to(one, one))
+        two = unpacked(b)
+        return pa.concat_tables([*sums_to(one, two), *sums_to(two, one)])
 
     sums = (
         left.groupBy("i", "j")
         .cogroup(right.groupBy("i", "j"))
         .applyInArrow(measure, _PAIR_SCHEMA)
-        .groupBy("id", "own", "other")
+        .groupBy("id", "labeling", "own", "other")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
     is_own = F.col("own") == F.col("other")
-    per_row = sums.groupBy("id", "own").agg(
+    per_row = sums.groupBy("id", "labeling", "own").agg(
         F.max(F.when(is_own, F.col("n"))).alias("n_own"),
         F.max(F.when(is_own, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
         F.min(F.when(~is_own, F.col("total") / F.col("n"))).alias("b"),
@@ -89,13 +84,45 @@ def silhouette_samples(
     score = F.when((F.col("n_own") == 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )
-    scored = per_row.select("id", score.alias("silhouette"))
-    return rows.select(*ids, "id", F.col("own").cast("int").alias("cluster")).join(scored, "id").drop("id")
+    return per_row.select("id", "labeling", "own", score.alias("silhouette"))
+
+
+def silhouette_samples(
+    df: DataFrame, *, ids: Sequence[str], label: str = "cluster", features: str = "features", block_rows: int = 2048
+) -> DataFrame:
+    """Exact Euclidean silhouette per row, for any number of rows: ``*ids, cluster, silhouette``.
+
+    The arithmetic is quadratic by nature, memory and task size do not grow; where that
+    cost is too high use :func:`silhouette_squared`. ``ids`` must be a row key.
+    """
+    rows = df.select(
+        *ids,
+        F.xxhash64(*ids).alias("id"),
+        F.array(F.col(label).cast("long")).alias("labels"),
+        F.col(features).cast("array<double>").alias("x"),
+    )
+    scored = _silhouette_rows(rows.select("id", "labels", "x"), block_rows)
+    return rows.select(*ids, "id", F.col("labels")[0].cast("int").alias("cluster")).join(
+        scored.select("id", "silhouette"), "id"
+    ).drop("id")
 
 
-def silhouette(df: DataFrame, **options) -> DataFrame:
+def silhouette(df: DataFrame, *, label: str = "cluster", **options) -> DataFrame:
     """Mean Euclidean silhouette: one row."""
-    return silhouette_samples(df, **options).agg(F.avg("silhouette").alias("silhouette"))
+    return silhouette_many(df, labels=[label], **options).select("silhouette")
+
+
+def silhouette_many(
+    df: DataFrame, *, ids: Sequence[str], labels: Sequence[str], features: str = "features", block_rows: int = 2048
+) -> DataFrame:
+    """Mean Euclidean silhouette of several label columns: ``labeling, silhouette``."""
+    rows = df.select(
+        F.xxhash64(*ids).alias("id"),
+        F.array(*[F.col(c).cast("long") for c in labels]).alias("labels"),
+        F.col(features).cast("array<double>").alias("x"),
+    )
+    scored = _silhouette_rows(rows, block_rows)
+    return scored.groupBy("labeling").agg(F.avg("silhouette").alias("silhouette"))
 
 
 def silhouette_squared(df: DataFrame, *, label: str = "cluster", features: str = "features") -> DataFrame:
@@ -136,7 +163,7 @@ def silhouette_squared(df: DataFrame, *, label: str = "cluster", features: str =
 
 
 def davies_bouldin(df: DataFrame, *, label: str = "cluster", features: str = "features") -> DataFrame:
-    """Mean over clusters of the worst (s_i + s_j) / d_ij; K rows meet as one array."""
+    """Mean over clusters of the worst (s_i + s_j) / d_ij; only K rows meet."""
     ids, means = km.collect_centroids(
         km.centroid_update(df, label=label, features=features, d2=None)
     )
@@ -158,17 +185,19 @@ def davies_bouldin(df: DataFrame, *, label: str = "cluster", features: str = "fe
         .agg(F.avg("away").alias("s"))
     )
     s = {r["own"]: r["s"] for r in scatter.collect()}
-    spread = np.array([s[i] for i in ids])
-    between = np.sqrt(((means[:, None] - means[None]) ** 2).sum(axis=2))
-    if len(ids) < 2 or np.allclose(spread, 0):
-        value = 0.0
-    else:
-        ratio = (spread[:, None] + spread[None]) / np.where(between > 0, between, np.inf)
-        np.fill_diagonal(ratio, -np.inf)
-        value = float(ratio.max(axis=1).mean())
+    value = _davies_bouldin(means, np.array([s[i] for i in ids]))
     return df.sparkSession.createDataFrame([(value,)], "davies_bouldin double")
 
 
+def _davies_bouldin(means: np.ndarray, scatter: np.ndarray) -> float:
+    if len(means) < 2 or np.allclose(scatter, 0):
+        return 0.0
+    between = kernels.distances(means, means)
+    ratio = (scatter[:, None] + scatter) / np.where(between > 0, between, np.inf)
+    np.fill_diagonal(ratio, -np.inf)
+    return float(ratio.max(axis=1).mean())
+
+
 def k_sweep(
     points: DataFrame,
     *,
@@ -202,16 +231,22 @@ def k_sweep(
                 tol=tol,
                 seeds=[runs[i][1] for i in group],
             )
-    out = []
-    for position, k in enumerate(k_range):
-        best = km.best_of(fits[position * n_init : (position + 1) * n_init])
-        scored = km.assign_nearest(points, best.centroids, features=features)
-        sil = (
-            silhouette(scored, ids=ids, features=features)
-            if measure == "euclidean"
-            else silhouette_squared(scored, features=features)
-        )
-        out.append((int(k), best.cost, sil.head()[0], davies_bouldin(scored, features=features).head()[0]))
+        best = [km.best_of(fits[i * n_init : (i + 1) * n_init]) for i in range(len(k_range))]
+        spread = km.cluster_scatter(blocks, [f.centroids for f in best])
+    centers = [f.centroids for f in best]
+    labelled = km.assign_many(points, centers, features=features)
+    names = [f"cluster{i}" for i in range(len(centers))]
+    if measure == "euclidean":
+        rows = silhouette_many(labelled, ids=ids, labels=names, features=features).collect()
+        scores = {r["labeling"]: r["silhouette"] for r in rows}
+    else:
+        scores = {
+            i: silhouette_squared(labelled, label=c, features=features).head()[0] for i, c in enumerate(names)
+        }
+    out = [
+        (int(k), f.cost, scores[i], _davies_bouldin(*spread[i]))
+        for i, (k, f) in enumerate(zip(k_range, best, strict=True))
+    ]
     return points.sparkSession.createDataFrame(
         out, "k int, inertia double, silhouette double, davies_bouldin double"
     )

@@ -416,6 +416,41 @@ def lloyd(
         return lloyd_blocks(blocks, [centroids], **options)[0]
 
 
+def cluster_scatter(
+    blocks: PackedPoints, centers: Sequence[np.ndarray]
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For every set of centers: means of its non-empty clusters and the mean Euclidean
+    distance of their members to them. Two passes for all sets together."""
+    means = []
+    for c, (sums, counts, _) in zip(centers, _round(blocks, centers), strict=True):
+        means.append(np.where(counts[:, None] > 0, sums / np.where(counts > 0, counts, 1.0)[:, None], c))
+
+    def fold(points: Blocks) -> Iterator[dict]:
+        totals = [np.zeros((len(c), 2)) for c in centers]
+        for _, x in points:
+            for c, m, total in zip(centers, means, totals, strict=True):
+                best, _ = kernels.nearest(x, c)
+                away = np.sqrt(((x - m[best]) ** 2).sum(axis=1))
+                total[:, 0] += np.bincount(best, weights=away, minlength=len(c))
+                total[:, 1] += np.bincount(best, minlength=len(c))
+        for run, total in enumerate(totals):
+            yield {
+                "run": np.full(len(total), run, np.int32),
+                "cluster": np.arange(len(total), dtype=np.int32),
+                "away": total[:, 0],
+                "n": total[:, 1],
+            }
+
+    sums = _scan(blocks, "run int, cluster int, away double, n double", fold)
+    rows = sums.groupBy("run", "cluster").agg(F.sum("away").alias("away"), F.sum("n").alias("n")).collect()
+    out = []
+    for run, m in enumerate(means):
+        mine = {r["cluster"]: r["away"] / r["n"] for r in rows if r["run"] == run and r["n"] > 0}
+        used = sorted(mine)
+        out.append((m[used], np.array([mine[j] for j in used])))
+    return out
+
+
 # --------------------------------------------------------------------------- row-level operators
 
 
@@ -445,6 +480,25 @@ def assign_nearest(
     )
 
 
+def assign_many(
+    df: DataFrame, centroids: Sequence[np.ndarray], *, features: str = "features", prefix: str = "cluster"
+) -> DataFrame:
+    """Nearest centroid under several sets of centroids: ``cluster0``, ``cluster1``, ..."""
+    sets = [np.asarray(c, dtype=float) for c in centroids]
+
+    @F.arrow_udf("array<int>")
+    def assign(rows: pa.Array) -> pa.Array:
+        if len(rows) == 0:
+            return pa.array([], pa.list_(pa.int32()))
+        x = kernels.as_matrix(rows)
+        labels = np.stack([kernels.nearest(x, c)[0] for c in sets], axis=1).astype(np.int32)
+        offsets = np.arange(len(labels) + 1, dtype=np.int32) * len(sets)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(labels.ravel()))
+
+    labelled = df.withColumn("_near", assign(F.col(features).cast("array<double>")))
+    return labelled.withColumns({f"{prefix}{i}": F.col("_near")[i] for i in range(len(sets))}).drop("_near")
+
+
 def vector_sums(df: DataFrame, *, label: str = "cluster", features: str = "features", cost: str | None = None) -> DataFrame:
     """``label, dim, value``: sums per label and dimension, count (-1) and cost (-2).
 

@@ -1,76 +1,121 @@
-"""Correlation pruning, standardisation and principal components."""
+"""Correlation pruning, standardisation and principal components.
+
+Everything here rests on two passes over the rows: one global aggregate for the moments
+of the columns, one Gramian of the standardised columns. d x d numbers reach the driver.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from isotherm.functions import kernels
 from isotherm.functions.exprs import nan_as_null
 from isotherm.operators.columns import column_stats
 
+# Partial Gramian values that may travel straight to the driver.
+_DIRECT_VALUES = 8_000_000
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pearson matrix with pairwise-complete rows; a constant column gives NaN.
 
-    One pass for the moments of the columns and one distributed Gramian. Columns with
-    missing values enter the Gramian three times (value, square, presence), which yields
-    the joint count, sums and products of every pair. Only d x d numbers reach the driver.
-    """
-    moments = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[
-            F.struct(
-                F.count(nan_as_null(c)).alias("n"),
-                F.avg(nan_as_null(c)).alias("m"),
-                F.stddev_pop(nan_as_null(c)).alias("s"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).head()
-    n, d = moments["n"], len(columns)
-    stats = [moments[f"c{i}"] for i in range(d)]
-    usable = [i for i in range(d) if stats[i]["s"]]
-    out = np.full((d, d), np.nan)
-    if not usable:
-        return out
+@dataclass(frozen=True)
+class Moments:
+    rows: int
+    counts: np.ndarray
+    means: np.ndarray
+    stds: np.ndarray  # population
 
-    def scaled(i: int):
-        return (nan_as_null(columns[i]) - F.lit(stats[i]["m"])) / F.lit(stats[i]["s"])
+    @property
+    def complete(self) -> bool:
+        return bool((self.counts == self.rows).all())
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
+    """Row count, and count, mean and population std per column, missing values left out."""
+    stats = {"rows": F.count(F.lit(1))}
+    for i, c in enumerate(columns):
+        value = nan_as_null(F.col(c).cast("double"))
+        stats |= {f"n{i}": F.count(value), f"m{i}": F.avg(value), f"s{i}": F.stddev_pop(value)}
+    row = column_stats(df, stats)
+    d = range(len(columns))
+    return Moments(
+        row["rows"],
+        np.array([row[f"n{i}"] for i in d], dtype=float),
+        np.array([0.0 if row[f"m{i}"] is None else row[f"m{i}"] for i in d]),
+        np.array([row[f"s{i}"] or 0.0 for i in d]),
+    )
 
-    values = [F.coalesce(scaled(i), F.lit(0.0)) for i in usable]
-    if all(stats[i]["n"] == n for i in usable):
-        vectors = df.select(array_to_vector(F.array(*values)).alias("v"))
-        out[np.ix_(usable, usable)] = Correlation.corr(vectors, "v").head()[0].toArray()
-        return out
 
-    squares = [F.coalesce(scaled(i) * scaled(i), F.lit(0.0)) for i in usable]
-    present = [F.when(nan_as_null(columns[i]).isNotNull(), 1.0).otherwise(0.0) for i in usable]
-    vectors = df.select(array_to_vector(F.array(*values, *squares, *present)).alias("v"))
-    # A column present in every row is constant: its correlation is NaN, its covariance 0.
-    r = np.nan_to_num(Correlation.corr(vectors, "v").head()[0].toArray(), nan=0.0)
-    summary = vectors.select(Summarizer.metrics("mean", "std").summary(F.col("v")).alias("s")).head()[0]
-    mean, std = summary["mean"].toArray(), summary["std"].toArray()
-    gram = (n - 1) * r * np.outer(std, std) + n * np.outer(mean, mean)
-    u = len(usable)
-    joint = np.round(gram[2 * u :, 2 * u :])
-    sums, masses = gram[:u, 2 * u :], gram[u : 2 * u, 2 * u :]
-    top = joint * gram[:u, :u] - sums * sums.T
-    spread = joint * masses - sums**2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        pairwise = np.clip(top / np.sqrt(spread * spread.T), -1.0, 1.0)
-    out[np.ix_(usable, usable)] = np.where((spread > 0) & (spread.T > 0), pairwise, np.nan)
+def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: bool) -> dict[str, np.ndarray]:
+    """Sums over rows of standardised values z: ``p`` = z_i z_j, and with ``masked`` also
+    over rows where both are present ``n`` = 1, ``s`` = z_i, ``q`` = z_i^2 (by i, j).
+
+    A task reduces its rows to d partial rows with matrix products; partials of many
+    tasks are added up by Catalyst before they travel.
+    """
+    kinds = ["p", "n", "s", "q"] if masked else ["p"]
+    mean, scale = stats.means, np.where(stats.stds > 0, stats.stds, 1.0)
+    d = len(columns)
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {k: np.zeros((d, d)) for k in kinds}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            z = (x - mean) / scale
+            if masked:
+                present = ~np.isnan(z)
+                z = np.where(present, z, 0.0)
+                mask = present.astype(np.float64)
+                total["n"] += mask.T @ mask
+                total["s"] += z.T @ mask
+                total["q"] += (z * z).T @ mask
+            elif np.isnan(z).any():
+                raise ValueError("missing values where none are allowed; fill them first")
+            total["p"] += z.T @ z
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(d, dtype=np.int32))] + [pa.array(list(total[k])) for k in kinds],
+            names=["i", *kinds],
+        )
+
+    source = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    partials = source.mapInArrow(fold, "i int, " + ", ".join(f"{k} array<double>" for k in kinds))
+    if partials.rdd.getNumPartitions() * d * d * len(kinds) > _DIRECT_VALUES:
+        cells = partials.select("i", F.posexplode(F.arrays_zip(*kinds)).alias("j", "c"))
+        sums = cells.groupBy("i", "j").agg(*[F.sum(F.col("c")[k]).alias(k) for k in kinds]).toArrow()
+        out = {k: np.zeros((d, d)) for k in kinds}
+        at = sums.column("i").to_numpy(), sums.column("j").to_numpy()
+        for k in kinds:
+            out[k][at] = sums.column(k).to_numpy()
+        return out
+    rows = partials.toArrow()
+    out = {k: np.zeros((d, d)) for k in kinds}
+    for k in kinds:
+        np.add.at(out[k], rows.column("i").to_numpy(), np.array(rows.column(k).to_pylist()).reshape(-1, d))
     return out
 
 
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Pearson matrix with pairwise-complete rows; a constant column gives NaN."""
+    stats = moments(df, columns)
+    if stats.complete:
+        r = gramians(df, columns, stats, masked=False)["p"] / max(stats.rows, 1)
+    else:
+        g = gramians(df, columns, stats, masked=True)
+        top = g["n"] * g["p"] - g["s"] * g["s"].T
+        spread = g["n"] * g["q"] - g["s"] ** 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = np.where((spread > 0) & (spread.T > 0), top / np.sqrt(spread * spread.T), np.nan)
+    constant = stats.stds <= 0
+    r = np.clip(r, -1.0, 1.0)
+    r[constant, :] = np.nan
+    r[:, constant] = np.nan
+    return r
+
+
 def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Absolute correlation of every pair ``i < j``, in long form."""
     r = correlation_matrix(df, columns)
@@ -98,40 +143,56 @@ def corr_prune(
 
 def zscore(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Standardise with the population std (fitted in one job); a constant column becomes 0."""
-    stats = column_stats(
-        df,
-        {
-            f"{kind}{i}": fn(F.col(c))
-            for i, c in enumerate(columns)
-            for kind, fn in (("m", F.avg), ("s", F.stddev_pop))
-        },
-    )
+    stats = moments(df, columns)
 
     def scaled(i: int, c: str):
-        mean, std = stats[f"m{i}"], stats[f"s{i}"]
-        return (F.col(c) - F.lit(mean)) / F.lit(std) if std else F.when(F.col(c).isNotNull(), F.lit(0.0))
+        if stats.stds[i] > 0:
+            return (F.col(c) - F.lit(float(stats.means[i]))) / F.lit(float(stats.stds[i]))
+        return F.when(F.col(c).isNotNull(), F.lit(0.0))
 
     return df.withColumns({c: scaled(i, c) for i, c in enumerate(columns)})
 
 
 @dataclass(frozen=True)
 class Reduction:
-    """Fitted scaler and components, and what they keep."""
+    """Fitted standardisation and components: everything a later run needs to score rows."""
 
-    model: PipelineModel
     columns: list[str]
-    ratios: list[float]
-    components: int
-    for_thresholds: dict[float, int]
+    means: np.ndarray
+    stds: np.ndarray
+    loadings: np.ndarray  # d x components
+    ratios: np.ndarray  # variance share of every component, largest first
+
+    @property
+    def components(self) -> int:
+        return self.loadings.shape[1]
 
     @property
     def variance_retained(self) -> float:
-        return float(sum(self.ratios[: self.components]))
+        return float(self.ratios[: self.components].sum())
 
     @property
     def compression(self) -> float:
         return len(self.columns) / self.components
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One Parquet row."""
+        row = (
+            self.columns, self.means.tolist(), self.stds.tolist(), self.loadings.tolist(), self.ratios.tolist()
+        )
+        schema = (
+            "columns array<string>, means array<double>, stds array<double>, "
+            "loadings array<array<double>>, ratios array<double>"
+        )
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Reduction:
+        row = spark.read.parquet(path).head()
+        return Reduction(
+            list(row["columns"]), *[np.array(row[n]) for n in ("means", "stds", "loadings", "ratios")]
+        )
+
 
 def components_for(ratios: Sequence[float], threshold: float) -> int:
     """Smallest count whose cumulative share reaches the threshold, else all."""
@@ -163,58 +224,57 @@ def components_for_variance(
 
 
 def fit_reduction(
-    df: DataFrame,
-    columns: Sequence[str],
-    *,
-    variance: float = 0.95,
-    components: int | None = None,
-    thresholds: Sequence[float] = (0.90, 0.95, 0.99),
+    df: DataFrame, columns: Sequence[str], *, variance: float = 0.95, components: int | None = None
 ) -> Reduction:
-    """Standardise and fit principal components, all as stages that can be saved.
+    """Standardise (population std) and fit principal components in two passes.
 
-    ML's scaler divides by the sample std; the second stage turns that into the
-    population std. The last stage fixes signs: the largest loading of a component is
-    positive. Centering happens in the scaler, as the transform of ML's PCA does none.
+    Signs are fixed: the largest loading of a component is positive. Without a given
+    count the smallest one that reaches ``variance`` is kept.
     """
-    columns, d = list(columns), len(columns)
-    assembler = VectorAssembler(inputCols=columns, outputCol="_raw", handleInvalid="error")
-    raw = assembler.transform(df).select("_raw")
-    n = raw.count()
-    scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_z").fit(raw)
-    ddof = ElementwiseProduct(
-        scalingVec=Vectors.dense([np.sqrt(n / max(n - 1, 1))] * d), inputCol="_z", outputCol="_scaled"
-    )
-    scaled = ddof.transform(scaler.transform(raw)).select("_scaled")
-
-    def fit(k: int):
-        return PCA(k=k, inputCol="_scaled", outputCol="_pc").fit(scaled)
-
-    full = fit(d if components is None else components)
-    ratios = [float(x) for x in full.explainedVariance.toArray()]
-    chosen = components if components is not None else components_for(ratios, variance)
-    pca = full if chosen == len(ratios) else fit(chosen)
-    loadings = pca.pc.toArray()
-    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(chosen)])
-    signs[signs == 0] = 1.0
-    flip = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol="_pc", outputCol="_scores")
+    stats = moments(df, columns)
+    if not stats.complete:
+        raise ValueError("missing values where none are allowed; fill them first")
+    covariance = gramians(df, columns, stats, masked=False)["p"] / max(stats.rows, 1)
+    values, vectors = np.linalg.eigh(covariance)
+    values, vectors = np.clip(values[::-1], 0.0, None), vectors[:, ::-1]
+    total = values.sum()
+    ratios = values / total if total > 0 else np.zeros_like(values)
+    # no more components than the data can span
+    limit = min(len(values), max(stats.rows, 1))
+    kept = min(components if components is not None else components_for(ratios, variance), limit)
+    loadings = vectors[:, :kept]
+    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(kept)])
     return Reduction(
-        model=PipelineModel([assembler, scaler, ddof, pca, flip]),
-        columns=columns,
+        columns=list(columns),
+        means=stats.means,
+        stds=stats.stds,
+        loadings=loadings * np.where(signs == 0, 1.0, signs),
         ratios=ratios,
-        components=chosen,
-        for_thresholds={t: components_for(ratios, t) for t in thresholds},
     )
 
 
 def apply_reduction(
-    model: PipelineModel, df: DataFrame, *, keep: Sequence[str] = ("lat", "lon"), out: str = "features"
+    reduction: Reduction, df: DataFrame, *, keep: Sequence[str] = ("lat", "lon"), out: str = "features"
 ) -> DataFrame:
-    """Scores of a fitted (or reloaded) model as ``array<double>``."""
-    return model.transform(df).select(*keep, vector_to_array("_scores").alias(out))
+    """Scores of a fitted (or reloaded) reduction as ``array<double>``."""
+    mean = reduction.means
+    scale = np.where(reduction.stds > 0, reduction.stds, 1.0)
+    projection = reduction.loadings * (reduction.stds > 0)[:, None]
+
+    @F.arrow_udf("array<double>")
+    def score(rows: pa.Array) -> pa.Array:
+        if len(rows) == 0:
+            return pa.array([], pa.list_(pa.float64()))
+        scores = ((kernels.as_matrix(rows) - mean) / scale) @ projection
+        offsets = np.arange(len(scores) + 1, dtype=np.int32) * scores.shape[1]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel()))
+
+    vector = F.array(*[F.col(c).cast("double") for c in reduction.columns])
+    return df.select(*keep, score(vector).alias(out))
 
 
-def variance_table(df: DataFrame, reduction: Reduction) -> DataFrame:
+def variance_table(spark: SparkSession, reduction: Reduction) -> DataFrame:
     """Explained share and running share per component."""
     running = np.cumsum(reduction.ratios)
     rows = [(i + 1, float(r), float(c)) for i, (r, c) in enumerate(zip(reduction.ratios, running, strict=True))]
-    return df.sparkSession.createDataFrame(rows, "pc int, ratio double, cumulative double")
+    return spark.createDataFrame(rows, "pc int, ratio double, cumulative double")

@@ -291,14 +291,14 @@ def _feature_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
 @query()
 def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
     features, names = _feature_table(spark, sf)
-    return rd.variance_table(features, rd.fit_reduction(features, names))
+    return rd.variance_table(spark, rd.fit_reduction(features, names))
 
 
 @query()
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
     features, names = _feature_table(spark, sf)
     reduction = rd.fit_reduction(features, names)
-    scores = rd.apply_reduction(reduction.model, features)
+    scores = rd.apply_reduction(reduction, features)
     flat = [settle(F.col("features")[i], 4).alias(f"PC{i + 1}") for i in range(min(3, reduction.components))]
     return scores.select("lat", "lon", F.size("features").alias("n_components"), *flat)
 
@@ -308,8 +308,8 @@ def apply_model(spark: SparkSession, sf: str) -> DataFrame:
     """Fit, save, reload and score again."""
     features, names = _feature_table(spark, sf)
     path = tables.scratch_path(spark, "model")
-    tables.save_model(rd.fit_reduction(features, names).model, path)
-    scores = rd.apply_reduction(tables.load_model(path), features)
+    rd.fit_reduction(features, names).save(spark, path)
+    scores = rd.apply_reduction(rd.Reduction.load(spark, path), features)
     return scores.select("lat", "lon", *[settle(F.col("features")[i], 4).alias(f"PC{i + 1}") for i in range(3)])
 
 

@@ -55,7 +55,7 @@ def cluster_locations(
     kept = [c for c in names if c not in set(dropped)]
     filled = filled.select(*keys, *kept)
     reduction = reduce.fit_reduction(filled, kept, variance=variance)
-    scores = reduce.apply_reduction(reduction.model, filled, keep=keys)
+    scores = reduce.apply_reduction(reduction, filled, keep=keys)
     fit = km.kmeans(scores, k, ids=keys, **kmeans_options)
     assignments = km.assign_nearest(scores, fit.centroids)
     return Clustering(assignments, scores, filled, dropped, reduction, fit)
@@ -66,7 +66,7 @@ def daily_regimes(
 ) -> DataFrame:
     """Standardise and reduce the daily rows themselves: keys and ``features``."""
     reduction = reduce.fit_reduction(df.select(*keys, *params), params, components=components)
-    return reduce.apply_reduction(reduction.model, df, keep=keys)
+    return reduce.apply_reduction(reduction, df, keep=keys)
 
 
 def climate_clusters(

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,10 +125,3 @@ def verify_written(df: DataFrame, path: str, *, fmt: str = "parquet") -> DataFra
         raise ValueError(f"wrote {wanted} rows, read {found}")
     return back
 
-
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
