@@ -35,18 +35,23 @@ class Moments:
 
 
 def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
-    """Row count, and count, mean and population std per column, missing values left out."""
+    """Row count, and count, mean and population std per column, missing values left out.
+
+    The std of a constant column is set to 0: merging partial variances can leave a
+    residue of the last bit.
+    """
     stats = {"rows": F.count(F.lit(1))}
     for i, c in enumerate(columns):
         value = nan_as_null(F.col(c).cast("double"))
-        stats |= {f"n{i}": F.count(value), f"m{i}": F.avg(value), f"s{i}": F.stddev_pop(value)}
+        stats |= {f"n{i}": F.count(value), f"m{i}": F.avg(value)}
+        stats |= {f"s{i}": F.when(F.max(value) > F.min(value), F.stddev_pop(value)).otherwise(F.lit(0.0))}
     row = column_stats(df, stats)
     d = range(len(columns))
     return Moments(
         row["rows"],
         np.array([row[f"n{i}"] for i in d], dtype=float),
         np.array([0.0 if row[f"m{i}"] is None else row[f"m{i}"] for i in d]),
-        np.array([row[f"s{i}"] or 0.0 for i in d]),
+        np.array([row[f"s{i}"] for i in d]),
     )
 
 

@@ -44,7 +44,7 @@ class Product:
 
 
 _WEIGHT_SCHEMA = (
-    "tile int, src_lat_i int, src_lon_i int, lat_i int, lon_i int, kind int, w double, n_w int"
+    "_tile int, _src_lat_i int, _src_lon_i int, lat_i int, lon_i int, _kind int, _weight double, _vertices int"
 )
 
 
@@ -101,7 +101,8 @@ def regrid_weights(
     nearest: bool = True,
     local: bool = True,
 ) -> DataFrame:
-    """``tile, src_lat_i, src_lon_i, lat_i, lon_i, kind, w, n_w``, at most five rows a target.
+    """Weight table: tile, source node, target node, kind, weight, vertex count; at most
+    five rows a target.
 
     A cell is split along the diagonal from its low-low to its high-high corner; outside
     the hull of the source nodes only the nearest node remains. The same kernel runs on
@@ -138,20 +139,20 @@ def _stacked_rows(product: Product, number: int, time: str) -> DataFrame:
         rows = rows.withColumns({f"{c}__sin": F.sin(F.radians(c)), f"{c}__cos": F.cos(F.radians(c))})
     measures = _measures(product)
     rows = rows.select(
-        F.lit(number).alias("p"),
+        F.lit(number).alias("_p"),
         time,
-        product.grid.lat.index(F.col("lat")).alias("src_lat_i"),
-        product.grid.lon.index(F.col("lon")).alias("src_lon_i"),
+        product.grid.lat.index(F.col("lat")).alias("_src_lat_i"),
+        product.grid.lon.index(F.col("lon")).alias("_src_lon_i"),
         *measures,
     )
     if not product.unique:
-        rows = rows.groupBy("p", time, "src_lat_i", "src_lon_i").agg(
+        rows = rows.groupBy("_p", time, "_src_lat_i", "_src_lon_i").agg(
             *[F.avg(nan_as_null(F.col(c).cast("double"))).alias(c) for c in measures]
         )
     marked = [F.expr(f"coalesce(cast(`{c}` AS double), double('NaN')) AS `{c}`") for c in measures]
-    rows = rows.select("p", time, "src_lat_i", "src_lon_i", *marked)
-    markers = product.rows.groupBy(time).agg(F.lit(number).alias("p")).select(
-        "p", time, F.lit(-1).alias("src_lat_i"), F.lit(-1).alias("src_lon_i")
+    rows = rows.select("_p", time, "_src_lat_i", "_src_lon_i", *marked)
+    markers = product.rows.groupBy(time).agg(F.lit(number).alias("_p")).select(
+        "_p", time, F.lit(-1).alias("_src_lat_i"), F.lit(-1).alias("_src_lon_i")
     )
     return rows.unionByName(markers, allowMissingColumns=True)
 
@@ -179,6 +180,9 @@ def regrid_products(
     """
     if method not in ("linear", "nearest", "linear+nearest"):
         raise ValueError(f"unknown method {method!r}")
+    names = [c for product in products for c in product.params]
+    if len(set(names)) < len(names):
+        raise ValueError("measures of different products share a name")
     spark = products[0].rows.sparkSession
     use_linear, use_nearest = method != "nearest", method != "linear"
     single_tile = max(target.lat.size, target.lon.size) <= tile
@@ -191,26 +195,26 @@ def regrid_products(
     for number, product in enumerate(products):
         w = regrid_weights(
             spark, product.grid, target, tile=tile, linear=use_linear, nearest=use_nearest, local=small
-        ).withColumn("p", F.lit(number))
+        ).withColumn("_p", F.lit(number))
         rows = _stacked_rows(product, number, time)
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
         weights = w if weights is None else weights.unionByName(w)
     if single_tile:
-        stacked = stacked.withColumn("tile", F.lit(0))
+        stacked = stacked.withColumn("_tile", F.lit(0))
     else:
-        routes = weights.select("p", "src_lat_i", "src_lon_i", "tile").distinct()
-        stacked = joined(stacked, routes, ["p", "src_lat_i", "src_lon_i"])
-    expanded = joined(stacked.repartition(time, "tile"), weights, ["p", "tile", "src_lat_i", "src_lon_i"])
+        routes = weights.select("_p", "_src_lat_i", "_src_lon_i", "_tile").distinct()
+        stacked = joined(stacked, routes, ["_p", "_src_lat_i", "_src_lon_i"])
+    expanded = joined(stacked.repartition(time, "_tile"), weights, ["_p", "_tile", "_src_lat_i", "_src_lon_i"])
 
     aggregates, outputs = [], []
     for number, product in enumerate(products):
-        aggregates.append(f"count_if(p = {number} AND kind = {LINEAR}) AS _n{number}")
-        aggregates.append(f"max(CASE WHEN p = {number} THEN n_w END) AS _w{number}")
+        aggregates.append(f"count_if(_p = {number} AND _kind = {LINEAR}) AS _n{number}")
+        aggregates.append(f"max(CASE WHEN _p = {number} THEN _vertices END) AS _w{number}")
         for c in _measures(product):
             if use_linear:
-                aggregates.append(f"sum(CASE WHEN kind = {LINEAR} THEN w * `{c}` END) AS `_l_{c}`")
+                aggregates.append(f"sum(CASE WHEN _kind = {LINEAR} THEN _weight * `{c}` END) AS `_l_{c}`")
             if use_nearest:
-                aggregates.append(f"max(CASE WHEN kind = {NEAREST} THEN `{c}` END) AS `_n_{c}`")
+                aggregates.append(f"max(CASE WHEN _kind = {NEAREST} THEN `{c}` END) AS `_n_{c}`")
 
         def resolved(c: str, number: int = number) -> str:
             linear = f"CASE WHEN _n{number} > 0 AND _n{number} = _w{number} AND NOT isnan(`_l_{c}`) THEN `_l_{c}` END"
@@ -230,7 +234,7 @@ def regrid_products(
             outputs.append(f"_w{number} = 0 AS is_extrapolated{suffix}")
 
     in_all = " AND ".join(f"_w{number} IS NOT NULL" for number in range(len(products)))
-    grouped = expanded.groupBy(time, "tile", "lat_i", "lon_i").agg(*[F.expr(a) for a in aggregates])
+    grouped = expanded.groupBy(time, "_tile", "lat_i", "lon_i").agg(*[F.expr(a) for a in aggregates])
     return grouped.filter(in_all).select(
         time,
         "lat_i",

@@ -269,12 +269,12 @@ def select_k(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- profiles of clusters of sites
 
-_SITE_CLUSTER = F.expr("cast(((site - 1) % 33) div 3 as int)")
+_SITE_CLUSTER = "cast(((site - 1) % 33) div 3 as int)"
 
 
 def _site_features(spark: SparkSession, sf: str) -> DataFrame:
     features = ft.location_features(daily(spark, sf), PARAMS, keys=("site", "lat", "lon"))
-    return features.withColumn("cluster", _SITE_CLUSTER)
+    return features.withColumn("cluster", F.expr(_SITE_CLUSTER))
 
 
 _SITES_SQL = f"""{DAILY_SQL}, f AS (
