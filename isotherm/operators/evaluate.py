@@ -12,56 +12,62 @@ from pyspark.sql import functions as F
 from isotherm.functions import kernels
 from isotherm.operators import kmeans as km
 
-_PAIR_SCHEMA = "id long, labeling int, own long, other long, total double, n long"
-
-
-def _silhouette_rows(rows: DataFrame, block_rows: int) -> DataFrame:
-    """``id, labeling, own, silhouette`` from ``id long, labels array<long>, x array<double>``.
+def _silhouette_rows(
+    df: DataFrame, ids: Sequence[str], labels: Sequence[str], features: str, block_rows: int
+) -> DataFrame:
+    """``_row struct<ids>, labeling, own, silhouette`` for every row and label column.
 
     Rows are dealt into hashed blocks of about ``block_rows``; a task measures one pair of
     blocks and returns distance *sums* per (row, cluster), so no pair of points leaves it.
     Several labelings of the same points share the distances.
     """
+    rows = df.select(
+        F.struct(*ids).alias("_row"),
+        F.array(*[F.col(c).cast("long") for c in labels]).alias("labels"),
+        F.col(features).cast("array<double>").alias("x"),
+    )
     n_blocks = max(1, -(-rows.count() // block_rows))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("id", "x"), F.lit(n_blocks)).cast("int"))
+    dealt = rows.withColumn("b", F.pmod(F.xxhash64("_row", "x"), F.lit(n_blocks)).cast("int"))
     last = F.lit(n_blocks - 1)
     left = dealt.withColumns({"i": F.col("b"), "j": F.explode(F.sequence(F.col("b"), last))})
     right = dealt.withColumns({"j": F.col("b"), "i": F.explode(F.sequence(F.lit(0), F.col("b")))})
-    schema = pa.schema(
-        [("id", pa.int64()), ("labeling", pa.int32()), ("own", pa.int64()), ("other", pa.int64()),
-         ("total", pa.float64()), ("n", pa.int64())]
-    )
+    row_type = rows.schema["_row"].dataType.simpleString()
+    fields = ["_row", "labeling", "own", "other", "total", "n"]
 
-    def unpacked(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def unpacked(t: pa.Table):
         labels = t.column("labels").combine_chunks()
         own = labels.flatten().to_numpy().reshape(len(labels), -1)
-        return t.column("id").to_numpy(), own, kernels.as_matrix(t.column("x"))
+        return t.column("_row").combine_chunks(), own, kernels.as_matrix(t.column("x"))
 
     def sums_to(a, b) -> Iterator[pa.Table]:
         """Distance sums of every row of a to the clusters of b, per labeling."""
-        (ids, own_a, xa), (_, own_b, xb) = a, b
+        (keys, own_a, xa), (_, own_b, xb) = a, b
         for k in range(0, len(xa), 256):
             gap = kernels.distances(xa[k : k + 256], xb)
+            height = len(gap)
             for labeling in range(own_b.shape[1]):
                 values, group = np.unique(own_b[:, labeling], return_inverse=True)
                 member = np.zeros((len(xb), len(values)))
                 member[np.arange(len(xb)), group] = 1.0
-                total, width, height = gap @ member, len(values), len(gap)
+                width = len(values)
+                at = np.repeat(np.arange(k, k + height), width)
                 yield pa.table(
                     [
-                        np.repeat(ids[k : k + 256], width),
-                        np.full(width * height, labeling, np.int32),
-                        np.repeat(own_a[k : k + 256, labeling], width),
-                        np.tile(values, height),
-                        total.ravel(),
-                        np.tile(member.sum(axis=0).astype(np.int64), height),
+                        keys.take(pa.array(at)),
+                        pa.array(np.full(width * height, labeling, np.int32)),
+                        pa.array(own_a[at, labeling]),
+                        pa.array(np.tile(values, height)),
+                        pa.array((gap @ member).ravel()),
+                        pa.array(np.tile(member.sum(axis=0).astype(np.int64), height)),
                     ],
-                    schema=schema,
+                    names=fields,
                 )
 
     def measure(a: pa.Table, b: pa.Table) -> pa.Table:
+        # both sides hold a block for every pair that occurs, unless one block is empty
         if not a.num_rows or not b.num_rows:
-            return schema.empty_table()
+            some = a if a.num_rows else b
+            return next(sums_to(unpacked(some), unpacked(some))).slice(0, 0)
         one = unpacked(a)
         if a.column("i")[0].as_py() == a.column("j")[0].as_py():
             return pa.concat_tables(sums_to(one, one))
@@ -71,12 +77,12 @@ def _silhouette_rows(rows: DataFrame, block_rows: int) -> DataFrame:
     sums = (
         left.groupBy("i", "j")
         .cogroup(right.groupBy("i", "j"))
-        .applyInArrow(measure, _PAIR_SCHEMA)
-        .groupBy("id", "labeling", "own", "other")
+        .applyInArrow(measure, f"_row {row_type}, labeling int, own long, other long, total double, n long")
+        .groupBy("_row", "labeling", "own", "other")
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     )
     is_own = F.col("own") == F.col("other")
-    per_row = sums.groupBy("id", "labeling", "own").agg(
+    per_row = sums.groupBy("_row", "labeling", "own").agg(
         F.max(F.when(is_own, F.col("n"))).alias("n_own"),
         F.max(F.when(is_own, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
         F.min(F.when(~is_own, F.col("total") / F.col("n"))).alias("b"),
@@ -84,7 +90,7 @@ def _silhouette_rows(rows: DataFrame, block_rows: int) -> DataFrame:
     score = F.when((F.col("n_own") == 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
     )
-    return per_row.select("id", "labeling", "own", score.alias("silhouette"))
+    return per_row.select("_row", "labeling", "own", score.alias("silhouette"))
 
 
 def silhouette_samples(
@@ -95,16 +101,8 @@ def silhouette_samples(
     The arithmetic is quadratic by nature, memory and task size do not grow; where that
     cost is too high use :func:`silhouette_squared`. ``ids`` must be a row key.
     """
-    rows = df.select(
-        *ids,
-        F.xxhash64(*ids).alias("id"),
-        F.array(F.col(label).cast("long")).alias("labels"),
-        F.col(features).cast("array<double>").alias("x"),
-    )
-    scored = _silhouette_rows(rows.select("id", "labels", "x"), block_rows)
-    return rows.select(*ids, "id", F.col("labels")[0].cast("int").alias("cluster")).join(
-        scored.select("id", "silhouette"), "id"
-    ).drop("id")
+    scored = _silhouette_rows(df, ids, [label], features, block_rows)
+    return scored.select("_row.*", F.col("own").cast("int").alias("cluster"), "silhouette")
 
 
 def silhouette(df: DataFrame, *, label: str = "cluster", **options) -> DataFrame:
@@ -116,12 +114,7 @@ def silhouette_many(
     df: DataFrame, *, ids: Sequence[str], labels: Sequence[str], features: str = "features", block_rows: int = 2048
 ) -> DataFrame:
     """Mean Euclidean silhouette of several label columns: ``labeling, silhouette``."""
-    rows = df.select(
-        F.xxhash64(*ids).alias("id"),
-        F.array(*[F.col(c).cast("long") for c in labels]).alias("labels"),
-        F.col(features).cast("array<double>").alias("x"),
-    )
-    scored = _silhouette_rows(rows, block_rows)
+    scored = _silhouette_rows(df, ids, labels, features, block_rows)
     return scored.groupBy("labeling").agg(F.avg("silhouette").alias("silhouette"))
 
 
