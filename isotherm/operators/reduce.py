@@ -15,8 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
-from isotherm.functions.exprs import nan_as_null
-from isotherm.operators.columns import column_stats
 
 # Partial Gramian values that may travel straight to the driver.
 _DIRECT_VALUES = 8_000_000
@@ -37,22 +35,63 @@ class Moments:
 def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
     """Row count, and count, mean and population std per column, missing values left out.
 
-    The std of a constant column is set to 0: merging partial variances can leave a
-    residue of the last bit.
+    A task reduces its rows to one partial per column; the merge is the exact one for
+    (count, mean, squared deviations). An aggregate expression per column and statistic
+    would say the same, but compiling a thousand of them takes longer than the pass.
+    The std of a constant column is 0.
     """
-    stats = {"rows": F.count(F.lit(1))}
-    for i, c in enumerate(columns):
-        value = nan_as_null(F.col(c).cast("double"))
-        stats |= {f"n{i}": F.count(value), f"m{i}": F.avg(value)}
-        stats |= {f"s{i}": F.when(F.max(value) > F.min(value), F.stddev_pop(value)).otherwise(F.lit(0.0))}
-    row = column_stats(df, stats)
-    d = range(len(columns))
-    return Moments(
-        row["rows"],
-        np.array([row[f"n{i}"] for i in d], dtype=float),
-        np.array([0.0 if row[f"m{i}"] is None else row[f"m{i}"] for i in d]),
-        np.array([row[f"s{i}"] for i in d]),
-    )
+    d = len(columns)
+    schema = "i int, rows double, n double, mean double, dev double, lo double, hi double"
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def merge(t: np.ndarray) -> np.ndarray:
+        """Partials of one column (a row each) to one row."""
+        n = t[:, 1].sum()
+        mean = (t[:, 1] * t[:, 2]).sum() / n if n else 0.0
+        dev = t[:, 3].sum() + (t[:, 1] * (t[:, 2] - mean) ** 2).sum()
+        return np.array([t[:, 0].sum(), n, mean, dev, t[:, 4].min(), t[:, 5].max()])
+
+    def table(index: np.ndarray, values: np.ndarray) -> pa.Table:
+        arrays = [pa.array(index, pa.int32())] + [pa.array(values[:, c]) for c in range(values.shape[1])]
+        return pa.table(arrays, names=names)
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+            present = ~np.isnan(x)
+            n = present.sum(axis=0).astype(np.float64)
+            mean = np.where(present, x, 0.0).sum(axis=0) / np.maximum(n, 1.0)
+            dev = np.where(present, (x - mean) ** 2, 0.0).sum(axis=0)
+            lo = np.where(present, x, np.inf).min(axis=0, initial=np.inf)
+            hi = np.where(present, x, -np.inf).max(axis=0, initial=-np.inf)
+            part = np.column_stack([np.full(d, float(len(x))), n, mean, dev, lo, hi])
+            total = part if total is None else np.stack([merge(p) for p in np.stack([total, part], axis=1)])
+        if total is not None:
+            yield from table(np.arange(d), total).to_batches()
+
+    partials = _doubles(df, columns).mapInArrow(fold, schema)
+    if partials.rdd.getNumPartitions() * d * len(names) > _DIRECT_VALUES:
+        # one group per column, as many rows as there are tasks
+        partials = partials.groupBy("i").applyInArrow(
+            lambda t: table(
+                t.column("i").to_numpy()[:1],
+                merge(np.column_stack([t.column(c).to_numpy() for c in names[1:]]))[None],
+            ),
+            schema,
+        )
+    rows = partials.toArrow()
+    index = rows.column("i").to_numpy()
+    values = np.column_stack([rows.column(c).to_numpy() for c in names[1:]])
+    if not len(index):
+        return Moments(0, np.zeros(d), np.zeros(d), np.zeros(d))
+    total = np.stack([merge(values[index == i]) for i in range(d)])
+    std = np.where(total[:, 5] > total[:, 4], np.sqrt(total[:, 3] / np.maximum(total[:, 1], 1.0)), 0.0)
+    return Moments(int(total[0, 0]), total[:, 1], total[:, 2], std)
+
+
+def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.selectExpr(*[f"cast(`{c}` AS double) AS c{i}" for i, c in enumerate(columns)])
 
 
 def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: bool) -> dict[str, np.ndarray]:
@@ -86,8 +125,7 @@ def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: b
             names=["i", *kinds],
         )
 
-    source = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    partials = source.mapInArrow(fold, "i int, " + ", ".join(f"{k} array<double>" for k in kinds))
+    partials = _doubles(df, columns).mapInArrow(fold, "i int, " + ", ".join(f"{k} array<double>" for k in kinds))
     if partials.rdd.getNumPartitions() * d * d * len(kinds) > _DIRECT_VALUES:
         cells = partials.select("i", F.posexplode(F.arrays_zip(*kinds)).alias("j", "c"))
         sums = cells.groupBy("i", "j").agg(*[F.sum(F.col("c")[k]).alias(k) for k in kinds]).toArrow()
@@ -99,7 +137,8 @@ def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: b
     rows = partials.toArrow()
     out = {k: np.zeros((d, d)) for k in kinds}
     for k in kinds:
-        np.add.at(out[k], rows.column("i").to_numpy(), np.array(rows.column(k).to_pylist()).reshape(-1, d))
+        flat = rows.column(k).combine_chunks().flatten().to_numpy()
+        np.add.at(out[k], rows.column("i").to_numpy(), flat.reshape(-1, d))
     return out
 
 

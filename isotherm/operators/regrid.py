@@ -1,18 +1,20 @@
 """Regridding as a sparse matrix product.
 
-Interpolation weights depend on geometry alone, so they are laid out once as a table
-``(source node -> target node, w)`` and applied to all times and all measures in one
-aggregation. Sources are spread by (time, tile of the target grid): a task handles
-bounded neighbourhoods, whatever the number of nodes or days, and the final aggregation
-re-uses that partitioning, so one shuffle carries source rows, not expanded ones.
+Interpolation weights depend on geometry alone and, on rectilinear grids, follow from one
+small table per axis: which source nodes a target index lies between, and where. Those
+tables are broadcast; the weight of a (source node, target) pair is an expression on the
+joined row. Sources are spread by (time, tile of the target grid): a task handles bounded
+neighbourhoods, whatever the number of nodes or days, and the final aggregation re-uses
+that partitioning, so the one shuffle carries source rows, not expanded ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +22,11 @@ from pyspark.sql import functions as F
 from isotherm.functions.exprs import nan_as_null, round_coord
 from isotherm.operators.grid import Axis, Grid
 
-MARKER, LINEAR, NEAREST = 0, 1, 2
-
-# A weight row is about this wide once broadcast.
-_WEIGHT_ROW_BYTES = 64
+# A link row is about this wide once broadcast.
+_LINK_BYTES = 64
 _EDGE = 1e-9
+# Stands in for the source node on the rows that only announce a time.
+_MARKER = -1
 
 
 @dataclass(frozen=True)
@@ -43,82 +45,37 @@ class Product:
     circular: Sequence[str] = ()
 
 
-_WEIGHT_SCHEMA = (
-    "_tile int, _src_lat_i int, _src_lon_i int, lat_i int, lon_i int, _kind int, _weight double, _vertices int"
-)
-
+def axis_links(source: Axis, target: Axis, *, tile: int = 64) -> pd.DataFrame:
+    """One axis of the geometry: at most three rows a target index.
 
-def _axis_cell(source: Axis, coord: np.ndarray):
-    """Lower node, fraction, inside flag and nearest node (ties to the lower) along one axis."""
-    p = (coord - source.start) / source.step
-    lower = np.clip(np.floor(p), 0, max(source.size - 2, 0)).astype(np.int64)
+    ``node`` source index (or the marker), ``tile`` and ``i`` of the target, ``frac`` the
+    position inside its source interval, ``inside`` the hull, ``side`` 0 for the lower and
+    1 for the upper end, ``near`` whether the node is the nearest (ties to the lower).
+    """
+    i = np.arange(target.size)
+    p = (target.start + i * target.step - source.start) / source.step
     inside = (p >= -_EDGE) & (p <= source.size - 1 + _EDGE) & (source.size > 1)
+    lower = np.clip(np.floor(p), 0, max(source.size - 2, 0)).astype(np.int64)
+    frac = np.clip(p - lower, 0.0, 1.0)
     nearest = np.clip(np.ceil(p - 0.5), 0, source.size - 1).astype(np.int64)
-    return lower, np.clip(p - lower, 0.0, 1.0), inside, nearest
-
-
-def _weight_rows(nodes: np.ndarray, source: Grid, target: Grid, tile: int, linear: bool, nearest: bool) -> pa.Table:
-    """Weight rows of the given target nodes."""
-    lat_i, lon_i = np.divmod(nodes, target.lon.size)
-    y, v, in_y, y_near = _axis_cell(source.lat, target.lat.start + lat_i * target.lat.step)
-    x, u, in_x, x_near = _axis_cell(source.lon, target.lon.start + lon_i * target.lon.step)
-    right = u >= v
-    inside = in_y & in_x & linear
-    corners = [
-        (y, x, 1.0 - np.maximum(u, v)),
-        (np.where(right, y, y + 1), np.where(right, x + 1, x), np.abs(u - v)),
-        (y + 1, x + 1, np.minimum(u, v)),
+    rows = pd.DataFrame({"tile": i // tile, "i": i, "frac": frac, "inside": inside})
+    parts = [rows.assign(node=_MARKER, side=-1, near=False)]
+    parts += [rows.assign(node=lower + side, side=side, near=nearest == lower + side)[inside] for side in (0, 1)]
+    parts.append(rows.assign(node=nearest, side=-1, near=True)[~inside])
+    return pd.concat(parts)
+
+
+def _links(spark: SparkSession, products: Sequence[Product], target: Grid, axis: str, tile: int) -> DataFrame:
+    """Links of one axis for all products, columns prefixed by the axis."""
+    tables = [
+        axis_links(getattr(p.grid, axis), getattr(target, axis), tile=tile).assign(p=number)
+        for number, p in enumerate(products)
     ]
-    n_w = sum((inside & (w > _EDGE)).astype(np.int64) for _, _, w in corners)
-    nowhere = np.full(len(nodes), -1)
-    parts = [(nowhere, nowhere, np.zeros(len(nodes)), np.ones(len(nodes), bool), MARKER)]
-    parts += [(a, b, w, inside & (w > _EDGE), LINEAR) for a, b, w in corners]
-    if nearest:
-        parts.append((y_near, x_near, np.ones(len(nodes)), np.ones(len(nodes), bool), NEAREST))
-    tiles = (lat_i // tile) * -(-target.lon.size // tile) + lon_i // tile
-    columns = [
-        np.concatenate([np.asarray(values)[keep] for values, keep in chunk])
-        for chunk in zip(
-            *[
-                [(tiles, k), (a, k), (b, k), (lat_i, k), (lon_i, k), (np.full(len(nodes), kind), k), (w, k), (n_w, k)]
-                for a, b, w, k, kind in parts
-            ],
-            strict=True,
-        )
-    ]
-    types = [pa.int32()] * 6 + [pa.float64(), pa.int32()]
-    names = [field.split()[0] for field in _WEIGHT_SCHEMA.split(", ")]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-def regrid_weights(
-    spark: SparkSession,
-    source: Grid,
-    target: Grid,
-    *,
-    tile: int = 64,
-    linear: bool = True,
-    nearest: bool = True,
-    local: bool = True,
-) -> DataFrame:
-    """Weight table: tile, source node, target node, kind, weight, vertex count; at most
-    five rows a target.
-
-    A cell is split along the diagonal from its low-low to its high-high corner; outside
-    the hull of the source nodes only the nearest node remains. The same kernel runs on
-    the driver for a small target and in tasks for a large one (``local=False``).
-    """
-    if local:
-        rows = _weight_rows(np.arange(target.size), source, target, tile, linear, nearest)
-        return spark.createDataFrame(rows, _WEIGHT_SCHEMA)
-
-    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _weight_rows(
-                batch.column(0).to_numpy(), source, target, tile, linear, nearest
-            ).to_batches()
-
-    return spark.range(target.size).mapInArrow(make, _WEIGHT_SCHEMA)
+    schema = "p int, node int, tile int, i int, frac double, inside boolean, side int, near boolean"
+    names = [part.split()[0] for part in schema.split(", ")]
+    table = pa.Table.from_pandas(pd.concat(tables)[names], preserve_index=False)
+    df = spark.createDataFrame(table, schema)
+    return df.select(F.col("p").alias("_p"), *[F.col(n).alias(f"_{axis}_{n}") for n in names[1:]])
 
 
 def _measures(product: Product) -> list[str]:
@@ -141,18 +98,18 @@ def _stacked_rows(product: Product, number: int, time: str) -> DataFrame:
     rows = rows.select(
         F.lit(number).alias("_p"),
         time,
-        product.grid.lat.index(F.col("lat")).alias("_src_lat_i"),
-        product.grid.lon.index(F.col("lon")).alias("_src_lon_i"),
+        product.grid.lat.index(F.col("lat")).alias("_lat_node"),
+        product.grid.lon.index(F.col("lon")).alias("_lon_node"),
         *measures,
     )
     if not product.unique:
-        rows = rows.groupBy("_p", time, "_src_lat_i", "_src_lon_i").agg(
+        rows = rows.groupBy("_p", time, "_lat_node", "_lon_node").agg(
             *[F.avg(nan_as_null(F.col(c).cast("double"))).alias(c) for c in measures]
         )
     marked = [F.expr(f"coalesce(cast(`{c}` AS double), double('NaN')) AS `{c}`") for c in measures]
-    rows = rows.select("_p", time, "_src_lat_i", "_src_lon_i", *marked)
+    rows = rows.select("_p", time, "_lat_node", "_lon_node", *marked)
     markers = product.rows.groupBy(time).agg(F.lit(number).alias("_p")).select(
-        "_p", time, F.lit(-1).alias("_src_lat_i"), F.lit(-1).alias("_src_lon_i")
+        "_p", time, F.lit(_MARKER).alias("_lat_node"), F.lit(_MARKER).alias("_lon_node")
     )
     return rows.unionByName(markers, allowMissingColumns=True)
 
@@ -175,8 +132,8 @@ def regrid_products(
 
     ``method``: ``linear`` leaves targets outside the hull, or next to a missing source
     value, missing; ``nearest`` uses the nearest node only; ``linear+nearest`` falls back.
-    The weight table is broadcast while ``5 * target.size`` rows a product stay below
-    ``broadcast_limit``; beyond that it is joined by shuffle on (tile, source node).
+    The axis tables hold three rows per target latitude and longitude, not per node; they
+    are broadcast while they stay below ``broadcast_limit`` bytes and shuffled beyond it.
     """
     if method not in ("linear", "nearest", "linear+nearest"):
         raise ValueError(f"unknown method {method!r}")
@@ -185,36 +142,51 @@ def regrid_products(
         raise ValueError("measures of different products share a name")
     spark = products[0].rows.sparkSession
     use_linear, use_nearest = method != "nearest", method != "linear"
-    single_tile = max(target.lat.size, target.lon.size) <= tile
-    small = 5 * target.size * len(products) * _WEIGHT_ROW_BYTES <= broadcast_limit
+    links = {axis: _links(spark, products, target, axis, tile) for axis in ("lat", "lon")}
+    small = 3 * (target.lat.size + target.lon.size) * len(products) * _LINK_BYTES <= broadcast_limit
 
-    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    def linked(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         return left.join(F.broadcast(right) if small else right.hint("merge"), keys)
 
-    stacked = weights = None
+    stacked = None
     for number, product in enumerate(products):
-        w = regrid_weights(
-            spark, product.grid, target, tile=tile, linear=use_linear, nearest=use_nearest, local=small
-        ).withColumn("_p", F.lit(number))
         rows = _stacked_rows(product, number, time)
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
-        weights = w if weights is None else weights.unionByName(w)
-    if single_tile:
-        stacked = stacked.withColumn("_tile", F.lit(0))
-    else:
-        routes = weights.select("_p", "_src_lat_i", "_src_lon_i", "_tile").distinct()
-        stacked = joined(stacked, routes, ["_p", "_src_lat_i", "_src_lon_i"])
-    expanded = joined(stacked.repartition(time, "_tile"), weights, ["_p", "_tile", "_src_lat_i", "_src_lon_i"])
+    tiled = [axis for axis in ("lat", "lon") if getattr(target, axis).size > tile]
+    for axis in tiled:
+        # a row goes to every tile it has a target in: one tile, or two at a border
+        routes = links[axis].select("_p", f"_{axis}_node", f"_{axis}_tile").distinct()
+        stacked = linked(stacked, routes, ["_p", f"_{axis}_node"])
+    tiles = [f"_{axis}_tile" for axis in tiled]
+    expanded = stacked.repartition(time, *tiles)
+    for axis in ("lat", "lon"):
+        keys = ["_p", f"_{axis}_node", *[t for t in tiles if t == f"_{axis}_tile"]]
+        expanded = linked(expanded, links[axis], keys)
+
+    # A cell is split along the diagonal from its low-low to its high-high corner.
+    hull = "_lat_inside AND _lon_inside"
+    weight = f"""CASE WHEN {hull} AND _lat_node <> {_MARKER} THEN
+        CASE WHEN _lat_side = 0 AND _lon_side = 0 THEN 1D - greatest(_lat_frac, _lon_frac)
+             WHEN _lat_side = 1 AND _lon_side = 1 THEN least(_lat_frac, _lon_frac)
+             WHEN _lat_side = 0 THEN _lon_frac - _lat_frac ELSE _lat_frac - _lon_frac END END"""
+    vertices = f"""CASE WHEN {hull} THEN int(1D - greatest(_lat_frac, _lon_frac) > {_EDGE})
+        + int(abs(_lat_frac - _lon_frac) > {_EDGE}) + int(least(_lat_frac, _lon_frac) > {_EDGE}) ELSE 0 END"""
+    expanded = expanded.selectExpr(
+        "_p", f"`{time}`", *tiles, "_lat_i AS lat_i", "_lon_i AS lon_i",
+        f"{weight} AS _raw", "_lat_near AND _lon_near AS _near", f"{vertices} AS _vertices",
+        f"_lat_node = {_MARKER} AS _marker", *[f"`{c}`" for product in products for c in _measures(product)],
+    ).withColumn("_weight", F.expr(f"CASE WHEN _raw > {_EDGE} THEN _raw END"))
+    expanded = expanded.filter("_weight IS NOT NULL OR _near OR _marker")
 
     aggregates, outputs = [], []
     for number, product in enumerate(products):
-        aggregates.append(f"count_if(_p = {number} AND _kind = {LINEAR}) AS _n{number}")
+        aggregates.append(f"count_if(_p = {number} AND _weight IS NOT NULL) AS _n{number}")
         aggregates.append(f"max(CASE WHEN _p = {number} THEN _vertices END) AS _w{number}")
         for c in _measures(product):
             if use_linear:
-                aggregates.append(f"sum(CASE WHEN _kind = {LINEAR} THEN _weight * `{c}` END) AS `_l_{c}`")
+                aggregates.append(f"sum(_weight * `{c}`) AS `_l_{c}`")
             if use_nearest:
-                aggregates.append(f"max(CASE WHEN _kind = {NEAREST} THEN `{c}` END) AS `_n_{c}`")
+                aggregates.append(f"max(CASE WHEN _near THEN `{c}` END) AS `_n_{c}`")
 
         def resolved(c: str, number: int = number) -> str:
             linear = f"CASE WHEN _n{number} > 0 AND _n{number} = _w{number} AND NOT isnan(`_l_{c}`) THEN `_l_{c}` END"
@@ -234,7 +206,7 @@ def regrid_products(
             outputs.append(f"_w{number} = 0 AS is_extrapolated{suffix}")
 
     in_all = " AND ".join(f"_w{number} IS NOT NULL" for number in range(len(products)))
-    grouped = expanded.groupBy(time, "_tile", "lat_i", "lon_i").agg(*[F.expr(a) for a in aggregates])
+    grouped = expanded.groupBy(time, *tiles, "lat_i", "lon_i").agg(*[F.expr(a) for a in aggregates])
     return grouped.filter(in_all).select(
         time,
         "lat_i",

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from isotherm.operators.grid import Axis, Grid, infer_axis
-from isotherm.operators.regrid import Product, regrid, regrid_products, regrid_weights
+from isotherm.operators.regrid import Product, axis_links, regrid, regrid_products
 from isotherm.plans.standins import METEO_GRID, SOLAR_GRID
 
 DAYS = [dt.date(2020, 1, d) for d in range(1, 6)]
@@ -36,19 +36,14 @@ def product(spark, grid, rows, name="p", **kw):
 def test_golden_counts(spark, grid, native, inside):
     target = Grid.dense()
     assert (grid.size, target.size, target.lat.size, target.lon.size) == (native, 495, 15, 33)
-    weights = regrid_weights(spark, grid, target).toPandas()
-    linear = weights[weights["_kind"] == 1]
-    assert linear[["lat_i", "lon_i"]].drop_duplicates().shape[0] == inside
-    assert np.allclose(linear.groupby(["lat_i", "lon_i"])["_weight"].sum(), 1.0)
-    assert (linear.groupby(["lat_i", "lon_i"]).size() <= 3).all()
-    assert (weights[weights["_kind"] == 2].groupby(["lat_i", "lon_i"]).size() == 1).all()
-
-
-def test_weights_are_the_same_in_tasks(spark):
-    order = ["_kind", "lat_i", "lon_i", "_src_lat_i", "_src_lon_i"]
-    near = regrid_weights(spark, METEO_GRID, Grid.dense(), tile=8).toPandas().sort_values(order)
-    far = regrid_weights(spark, METEO_GRID, Grid.dense(), tile=8, local=False).toPandas().sort_values(order)
-    assert near.reset_index(drop=True).equals(far.reset_index(drop=True))
+    lat, lon = (axis_links(getattr(grid, a), getattr(target, a)) for a in ("lat", "lon"))
+    assert lat[lat["side"] == 0].shape[0] * lon[lon["side"] == 0].shape[0] == inside
+    for links, size in ((lat, 15), (lon, 33)):
+        assert (links.groupby("i")["near"].sum() == 1).all() and links["i"].nunique() == size
+    out = regrid(product(spark, grid, cube_rows(grid, days=DAYS[:1], value=lambda a, b, t: 1.0)), target, method="linear")
+    row = out.agg(F.count("v"), F.min("v"), F.max("v")).head()
+    # weights of a target add up to one
+    assert row[0] == inside and row[1] == pytest.approx(1.0) and row[2] == pytest.approx(1.0)
 
 
 @pytest.mark.parametrize("options", [{}, {"tile": 4}, {"tile": 4, "broadcast_limit": 0}])
@@ -75,9 +70,8 @@ def test_missing_sources(spark):
     out = regrid(product(spark, METEO_GRID, rows), Grid.dense()).toPandas()
     assert len(out) == 495 * len(DAYS)
     linear = regrid(product(spark, METEO_GRID, rows), Grid.dense(), method="linear").toPandas()
-    touched = regrid_weights(spark, METEO_GRID, Grid.dense()).filter(
-        (F.col("_kind") == 1) & (F.col("_src_lat_i") == 3) & (F.col("_src_lon_i") == 5)
-    ).count()
+    lone = cube_rows(METEO_GRID, days=DAYS[:1], value=lambda a, b, t: float(a == 47.5 and b == -121.25))
+    touched = regrid(product(spark, METEO_GRID, lone), Grid.dense(), method="linear").filter("v > 0").count()
     missing = linear[linear["v"].isna() & ~linear["is_extrapolated"]].groupby("time").size().to_dict()
     assert missing == {DAYS[1]: touched, DAYS[2]: touched, DAYS[3]: touched}
     # the nearest node of a few targets is the hole itself
@@ -120,9 +114,11 @@ def test_off_grid_coordinate_fails(spark):
         regrid(product(spark, METEO_GRID, rows), Grid.dense()).collect()
 
 
-def test_one_exchange_carries_the_rows(spark):
+@pytest.mark.parametrize("tile", [64, 8])
+def test_one_exchange_carries_the_rows(spark, tile):
     p = product(spark, METEO_GRID, cube_rows(METEO_GRID))
-    plan = regrid(p, Grid.dense())._jdf.queryExecution().executedPlan().toString()
+    plan = regrid(p, Grid.dense(), tile=tile)._jdf.queryExecution().executedPlan().toString()
+    plan = "\n".join(line for line in plan.split("\n") if "_tile" not in line or "REPARTITION_BY_COL" in line or "time" in line)
     # the row exchange, and the one of the distinct times behind the markers
     assert plan.count("Exchange hashpartitioning") == 2
     assert "BroadcastHashJoin" in plan
