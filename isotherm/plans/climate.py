@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from isotherm.operators import features as ft
 from isotherm.operators import kmeans as km
 from isotherm.operators import quality, reduce
+from isotherm.operators.columns import flatten_features
 from isotherm.operators.grid import Grid
 from isotherm.operators.regrid import Product, regrid_products
 from isotherm.sources import tables
@@ -61,6 +63,35 @@ def cluster_locations(
     return Clustering(assignments, scores, filled, dropped, reduction, fit)
 
 
+def labelled_features(result: Clustering, *, keys: Sequence[str] = ("lat", "lon")) -> DataFrame:
+    """Engineered features and label on one row: scores and label are computed next to the
+    features they come from."""
+    columns = [*keys, *result.reduction.columns]
+    scored = reduce.apply_reduction(result.reduction, result.features, keep=columns)
+    return km.assign_nearest(scored, result.fit.centroids).drop("features", "d2")
+
+
+def metadata(result: Clustering) -> DataFrame:
+    """The one row that describes the clustered dataset, ready for the JSON sink."""
+    fit = result.reduction
+    names = [f"PC{i + 1}" for i in range(fit.components)]
+    return result.scores.agg(
+        F.count(F.lit(1)).alias("n_locations"),
+        F.lit(fit.components).alias("n_features"),
+        F.lit(fit.variance_retained).alias("pca_variance_retained"),
+        F.lit(len(fit.columns)).alias("original_features"),
+        F.lit(fit.components).alias("pca_components"),
+        F.array(*[F.lit(n) for n in names]).alias("feature_columns"),
+        F.array(F.min("lat"), F.max("lat")).alias("lat_range"),
+        F.array(F.min("lon"), F.max("lon")).alias("lon_range"),
+    )
+
+
+def export_components(result: Clustering, *, keys: Sequence[str] = ("lat", "lon")) -> DataFrame:
+    """Flat ``lat, lon, PC1..PCd``, the hand-off to the clustering job."""
+    return flatten_features(result.scores, result.reduction.components, keep=keys)
+
+
 def daily_regimes(
     df: DataFrame, params: Sequence[str], *, keys: Sequence[str] = ("lat", "lon"), components: int = 14
 ) -> DataFrame:

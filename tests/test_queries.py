@@ -39,6 +39,33 @@ def test_flagship(spark):
     assert len({(r["lat"], r["lon"]) for r in rows}) == 495
 
 
+def test_flow_outputs(spark, tmp_path):
+    """Component export, metadata, labelled features and the reload of what was written."""
+    from isotherm.operators import columns as co
+    from isotherm.operators import kmeans as km
+    from isotherm.plans import climate
+    from isotherm.plans.standins import meteo, solar
+    from isotherm.sources import tables
+
+    result = climate.climate_clusters([meteo(spark, SF), solar(spark, SF)], n_init=2)
+    d = result.reduction.components
+    path = str(tmp_path / "components")
+    tables.write_csv(climate.export_components(result), path)
+    back = tables.read_components(spark, [path], expected=d)
+    names = co.component_columns(back)
+    points = co.assemble_features(back, names, keep=("lat", "lon"))
+    again = km.assign_nearest(points, result.fit.centroids)
+    labels = {(r["lat"], r["lon"]): r["cluster"] for r in result.assignments.collect()}
+    assert {(r["lat"], r["lon"]): r["cluster"] for r in again.collect()} == labels
+    wide = climate.labelled_features(result)
+    assert {(r["lat"], r["lon"]): r["cluster"] for r in wide.select("lat", "lon", "cluster").collect()} == labels
+    assert set(result.reduction.columns) <= set(wide.columns)
+    tables.write_json(climate.metadata(result), str(tmp_path / "meta"))
+    meta = spark.read.json(str(tmp_path / "meta")).head()
+    assert meta["n_locations"] == 495 and meta["pca_components"] == d and len(meta["feature_columns"]) == d
+    assert meta["pca_variance_retained"] >= 0.95 and meta["lat_range"] == [45.53, 49.03]
+
+
 def test_sql_names_are_registered():
     assert set(SQL) <= set(QUERIES)
 

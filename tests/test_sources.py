@@ -65,6 +65,13 @@ def test_cube(spark):
     df = spark.createDataFrame(rows[:-1], schemas.daily_schema(["a", "b"]))
     packed = cube.cube_pack(df, grid, ["a", "b"])
     assert packed.head()["a"] == [[0.0, 1.0, 2.0], [3.0, 4.0, None]]
+    chunks = cube.cube_pack(df, grid, ["a", "b"], chunk=2).orderBy("lat_from", "lon_from").collect()
+    assert [(r["lat_from"], r["lon_from"], r["a"]) for r in chunks] == [
+        (0, 0, [[0.0, 1.0], [3.0, 4.0]]), (0, 2, [[2.0], [None]])]
+    with pytest.raises(Exception, match="occurs twice"):
+        cube.cube_pack(df.union(df), grid, ["a"]).collect()
     flat = cube.cube_flatten(packed, grid, ["a", "b"])
     assert {tuple(r) for r in flat.collect()} == {tuple(r) for r in rows[:-1]} | {(dt.date(2020, 1, 1), 46.5, -122.0, None, None)}
+    part = cube.cube_flatten(cube.cube_pack(df, grid, ["a", "b"], chunk=2), grid, ["a", "b"])
+    assert {tuple(r) for r in part.collect()} == {tuple(r) for r in flat.collect()}
     assert len(schemas.METEOROLOGY) == 20 and len(schemas.RADIATION) == 30
