@@ -25,6 +25,7 @@ from isotherm.plans.standins import (
     assign_sql,
     daily,
     meteo,
+    regime_points,
     solar,
     table,
     update_sql,
@@ -119,6 +120,27 @@ def kmeans_lloyd3(spark: SparkSession, sf: str) -> DataFrame:
     return _centers(spark, fit.centroids)
 
 
+_REGIME_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_REGIME_SQL = f"""s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _MEASURES)} FROM lineitem),
+z AS (SELECT {", ".join(_REGIME_KEYS)}, {", ".join(f"({c} - m_{c}) / s_{c} AS z{i}" for i, c in enumerate(_MEASURES))} FROM lineitem, s),
+pts AS (SELECT row_number() OVER (ORDER BY {", ".join(_REGIME_KEYS)}) AS vec_id, 0 AS label,
+  [z0, z1, z2, z3, {", ".join(f"z{i} * z{j}" for i in range(4) for j in range(i, 4))}] AS x FROM z),
+start AS (SELECT CAST(vec_id - 1 AS INT) AS cluster, x AS c FROM pts WHERE vec_id <= 14)"""
+
+
+@query(f"""WITH {_REGIME_SQL}, {_lloyd_sql(3)}
+SELECT cluster, {", ".join(f"{st(f'c[{i + 1}]', 5)} AS x{i}" for i in range(4))} FROM upd2""")
+def regime_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """All daily rows as points in 14 dimensions, K=14: three rounds from the first 14 keys."""
+    points = regime_points(spark, sf)
+    start = km.first_centroids(points, km.K, order=_REGIME_KEYS)
+    fit = km.lloyd(points, start, ids=_REGIME_KEYS, max_iter=3, tol=None, empty="keep")
+    rows = [(i, *[float(v) for v in c[:4]]) for i, c in enumerate(fit.centroids)]
+    out = spark.createDataFrame(rows, "cluster int, " + ", ".join(f"x{i} double" for i in range(4)))
+    return out.withColumns({f"x{i}": settle(f"x{i}", 5) for i in range(4)})
+
+
 _FAR = 100.0
 
 
