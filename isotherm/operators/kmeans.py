@@ -169,7 +169,9 @@ def _smallest_draws(blocks: PackedPoints, seeds: Sequence[int], k: int) -> list[
                     u, bits, rows = kernels.uniform(h, seed), h, x
                     if run in kept:
                         u, bits, rows = (np.concatenate(p) for p in zip(kept[run], (u, bits, rows), strict=True))
-                    first = np.lexsort((bits, u))[:k]
+                    # rows that share a key share a draw and count once
+                    first = np.unique(bits, return_index=True)[1]
+                    first = first[np.lexsort((bits[first], u[first]))[:k]]
                     kept[run] = (u[first], bits[first], rows[first])
             for run, (u, bits, rows) in kept.items():
                 yield {"run": np.full(len(u), run, np.int32), "u": u, "h": bits, "x": list(rows)}
@@ -181,7 +183,8 @@ def _smallest_draws(blocks: PackedPoints, seeds: Sequence[int], k: int) -> list[
         found = {r["run"]: [r["s"]["x"]] for r in smallest.collect()}
         return [np.array(found[run]) for run in range(len(seeds))]
     return [
-        np.array([r["x"] for r in drawn([seed]).orderBy("u", "h", "x").limit(k).collect()]) for seed in seeds
+        np.array([r["x"] for r in drawn([seed]).dropDuplicates(["h"]).orderBy("u", "h").limit(k).collect()])
+        for seed in seeds
     ]
 
 
@@ -208,18 +211,23 @@ def _sample_by_distance(
     """Keep a point with probability ``factor * d2``, for every run in one pass.
 
     The expected number of points kept is ``oversample * K`` a run, whatever the data size.
+    Rows that share a key share a draw; a task returns such a candidate once.
     """
 
     def fold(points: Blocks) -> Iterator[dict]:
+        seen: list[set[int]] = [set() for _ in centers]
         for h, x in points:
             for run, (c, factor, seed) in enumerate(zip(centers, factors, seeds, strict=True)):
                 _, d2 = kernels.nearest(x, c)
-                hit = (d2 > 0.0) & (kernels.uniform(h, seed) < factor * d2)
-                if hit.any():
-                    yield {"run": np.full(hit.sum(), run, np.int32), "h": h[hit], "x": list(x[hit])}
-
-    rows = _scan(blocks, "run int, h long, x array<double>", fold).collect()
-    rows.sort(key=lambda r: (r["run"], r["h"], r["x"]))
+                hit = np.flatnonzero((d2 > 0.0) & (kernels.uniform(h, seed) < factor * d2))
+                hit = hit[np.unique(h[hit], return_index=True)[1]]
+                hit = hit[[bits not in seen[run] for bits in h[hit].tolist()]] if len(hit) else hit
+                if len(hit):
+                    seen[run].update(h[hit].tolist())
+                    yield {"run": np.full(len(hit), run, np.int32), "h": h[hit], "x": list(x[hit])}
+
+    found = _scan(blocks, "run int, h long, x array<double>", fold).collect()
+    rows = sorted({(r["run"], r["h"]): r for r in found}.values(), key=lambda r: (r["run"], r["h"]))
     d = centers[0].shape[1]
     return [np.array([r["x"] for r in rows if r["run"] == i]).reshape(-1, d) for i in range(len(centers))]
 

@@ -16,6 +16,8 @@ from isotherm.functions.exprs import hash_bits
 
 # The position is cut into levels of 13 bits: 8192 counters a pass.
 _BITS, _LEVEL_BITS = 52, 13
+# Rows of one prefix that may be ranked by sorting.
+_RANKED = 10_000
 
 
 def _cut_point(positions: DataFrame, n: int) -> tuple[int, int, int]:
@@ -34,8 +36,10 @@ def _cut_point(positions: DataFrame, n: int) -> tuple[int, int, int]:
         need = n - before
         if size == need:
             return lo + (1 << width), lo + (1 << width), 0
-        if size <= 10_000 or width == 0:
+        if size <= _RANKED:
             return lo, lo + (1 << width), need
+        if width == 0:
+            raise ValueError(f"{size} rows share one position: ids is not a row key")
 
 
 def sample_rows(df: DataFrame, n: int, *, ids: Sequence[str], seed: int = 42) -> DataFrame:

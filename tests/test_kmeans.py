@@ -227,7 +227,21 @@ def test_points_are_never_collected(spark):
     assert row["n_points"] == 4000 and row["n_partials"] <= 4 * 8
 
 
-def test_samples(spark):
+def test_copies_of_one_row(spark):
+    """A third of the rows is one row, copied: starts stay distinct, candidates stay few."""
+    x, _ = blobs(k=4, per=50)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(7, [30.0, 30.0, 30.0])] * 100
+    df = spark.createDataFrame(rows, "id long, features array<double>").repartition(5)
+    with km.CachedPoints(df, ids=["id"]) as blocks:
+        (start,) = km._smallest_draws(blocks, [3], 20)
+        found = km._sample_by_distance(blocks, [x[:1]], [1e9], [5])[0]
+        fit = km.best_of(km.fit_restarts(blocks, 5, n_init=3))
+    assert len(np.unique(start, axis=0)) == 20
+    assert len(found) <= 200
+    assert fit.sizes.sum() == 300 and 100 in fit.sizes
+
+
+def test_samples(spark, monkeypatch):
     rows = spark.range(495).select("id", (F.col("id") * 2).alias("v"))
     sizes = [sm.fraction_sample(rows, f, ids=["id"]).count() for f in (0.1, 0.25, 0.5)]
     assert sizes == [50, 124, 248]
@@ -240,3 +254,7 @@ def test_samples(spark):
     assert again == sets[0]
     assert sm.sample_rows(big, 0, ids=["id"]).count() == 0
     assert sm.sample_rows(big, 70_000, ids=["id"]).count() == 60_000
+    monkeypatch.setattr(sm, "_RANKED", 20)
+    assert {r["id"] for r in sm.sample_rows(big, 495, ids=["id"]).collect()} == sets[0]
+    with pytest.raises(ValueError, match="row key"):
+        sm.sample_rows(big.select(F.lit(1).alias("id")), 10, ids=["id"])
