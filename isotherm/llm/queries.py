@@ -47,3 +47,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    detect = pii.detector(docs, pii.fit(docs))
+    return docs.select("doc_id", detect(F.col("text")).alias("r")).select(
+        "doc_id", "r.n_email", "r.n_ip", "r.n_card", "r.n_phone", F.sha2("r.base", 256).alias("base_sha256"), "r.spans"
+    )
