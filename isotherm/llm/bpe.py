@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 SHORT = 128
 #: Most chunks (words with their punctuation) and most words that one worker remembers.
-CHUNKS, WORDS = 400_000, 600_000
+CHUNKS, WORDS = 250_000, 400_000
 _NONE = 1 << 60
 _WHITE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 
@@ -218,7 +218,14 @@ class Bpe:
             for ids in batches:
                 yield pd.Series([decode_ids(vocabulary, i or b"") for i in ids], dtype=object)
 
-        self._encode, self._decode = encode, decode
+        @F.pandas_udf("ids binary, decoded string")
+        def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = _encoder(shared)
+            for texts in batches:
+                ids = [encoder(t or "") for t in texts]
+                yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(encoder.vocabulary, i) for i in ids]})
+
+        self._encode, self._decode, self._both = encode, decode, both
 
     def encode(self, text: Column) -> Column:
         """Ids as binary, four little-endian bytes each; never null."""
@@ -227,6 +234,10 @@ class Bpe:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of the ids and of what they decode to, from one pass through Python."""
+        return self._both(F.coalesce(text, F.lit("")))
+
     @staticmethod
     def count(ids: Column) -> Column:
         return (F.octet_length(ids) / 4).cast("long")

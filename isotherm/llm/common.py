@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isotherm.sources.tables import materialise
 
-__all__ = ["fresh", "materialise", "table", "text_of", "words_of"]
+__all__ = ["fresh", "small_batches", "materialise", "table", "text_of", "words_of"]
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Hand texts to Python in smaller batches than Spark's default, for bounded memory with long
+    texts; a session that already asks for fewer rows keeps its setting."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+
+
 def text_of(text: Column) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import table, text_of
+from isotherm.llm.common import small_batches, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +17,11 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             SQL[fn.__name__] = sql
         return fn
@@ -39,13 +43,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from isotherm.llm.bpe import Bpe
 
     bpe = Bpe(spark, tokenizer_path())
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    both = coded.withColumn("decoded", bpe.decode(F.col("ids")))
-    return both.select(
+    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.round_trip(F.col("text")).alias("r"))
+    return coded.select(
         "doc_id",
-        Bpe.count(F.col("ids")).alias("n_tokens"),
-        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        Bpe.count(F.col("r.ids")).alias("n_tokens"),
+        F.sha2("r.ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("r.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
@@ -58,3 +61,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", detect(F.col("text")).alias("r")).select(
         "doc_id", "r.n_email", "r.n_ip", "r.n_card", "r.n_phone", F.sha2("r.base", 256).alias("base_sha256"), "r.spans"
     )
+
+
+@query()
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import secret_scan
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scan = secret_scan.scanner(docs, secret_scan.fit(docs))
+    return docs.select("doc_id", scan(F.col("text")).alias("r")).select(
+        "doc_id", "r.n_assign", "r.n_access", "r.n_hex", F.sha2("r.base", 256).alias("base_sha256"), "r.spans", "r.n_candidates"
+    )
