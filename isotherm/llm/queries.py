@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import small_batches, table, text_of
+from isotherm.llm.common import materialise, small_batches, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +72,20 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", scan(F.col("text")).alias("r")).select(
         "doc_id", "r.n_assign", "r.n_access", "r.n_hex", F.sha2("r.base", 256).alias("base_sha256"), "r.spans", "r.n_candidates"
     )
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import quality_rules as qr
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # the counts are taken once and read twice, by the thresholds and by the verdicts
+    featured = materialise(qr.with_features(docs).drop("text"), "quality")
+    cutoffs = qr.thresholds(featured, table(spark, sf_dir, "labels"))
+    failed = qr.base_failed(F.col("features"))
+    return featured.select(
+        "doc_id",
+        *[F.col("features")[c].alias(c) for c in qr.COUNTS],
+        failed.alias("base_failed"),
+        (~failed & ~qr.rejected(F.col("features"), F.col("lang"), cutoffs)).alias("kept"),
+    )
