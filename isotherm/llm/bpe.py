@@ -223,7 +223,8 @@ class Bpe:
             encoder = _encoder(shared)
             for texts in batches:
                 ids = [encoder(t or "") for t in texts]
-                yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(encoder.vocabulary, i) for i in ids]})
+                decoded = [decode_ids(encoder.vocabulary, i) for i in ids]
+                yield pd.DataFrame({"ids": ids, "decoded": decoded}, dtype=object)
 
         self._encode, self._decode, self._both = encode, decode, both
 

@@ -341,7 +341,7 @@ def detector(docs: DataFrame, weights: Weights):
         for t in texts:
             base, spans = find(t, shared.value) if t else ([], [])
             rows.append((*(sum(s[2] == k for s in base) for k in KINDS), written(base), written(spans)))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in RESULT.split(", ")])
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in RESULT.split(", ")], dtype=object)
 
     return lambda text: detect(F.coalesce(text, F.lit("")))
 

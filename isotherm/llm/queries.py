@@ -89,3 +89,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"),
         (~failed & ~qr.rejected(F.col("features"), F.col("lang"), cutoffs)).alias("kept"),
     )
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=fold != 0)
+    score = toxicity.scorer(docs, model)
+    rows = docs.select("doc_id", (fold == 0).alias("held_out"), score(F.col("text")).alias("r"))
+    return rows.select(
+        "doc_id", "held_out", "r.score", F.when(F.col("r.score") >= 0.5, 1).otherwise(0).alias("predicted"), "r.neighbours", "r.cosines"
+    )

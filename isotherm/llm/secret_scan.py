@@ -331,6 +331,6 @@ def scanner(docs: DataFrame, network: Network):
         for i, (base, n) in enumerate(found):
             spans = in_order(base + added[i]) if i in added else base
             rows.append((*(sum(b[2] == k for b in base) for k in KINDS[:3]), n, written(base), written(spans)))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in RESULT.split(", ")])
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in RESULT.split(", ")], dtype=object)
 
     return lambda text: scan(F.coalesce(text, F.lit("")))
