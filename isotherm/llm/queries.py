@@ -103,3 +103,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "held_out", "r.score", F.when(F.col("r.score") >= 0.5, 1).otherwise(0).alias("predicted"), "r.neighbours", "r.cosines"
     )
+
+
+@query()
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import warc
+
+    archives = warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc.read(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
