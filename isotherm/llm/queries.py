@@ -111,3 +111,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     archives = warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return warc.read(archives, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import sharding
+
+    rows = sharding.placed(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return rows.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
