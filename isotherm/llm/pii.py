@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.llm.common import drawn
+
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 16
 Span = tuple[int, int, str]
@@ -308,17 +310,14 @@ def written_forms(seed: int = 11, each: int = 30) -> list[tuple[str, list[Span]]
     return out
 
 
-def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 2_000, most: int = 600) -> Weights:
+def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 4_000, most: int = 600) -> Weights:
     """Weights from the written forms and the stretches of at most ``train_docs`` documents
-    (those with the smallest hash of the text), ``most`` stretches at the most."""
-    sample = (
-        docs.select(F.col(text).cast("string").alias("t"))
-        .filter(F.col("t").rlike("[0-9@]"))
-        .orderBy(F.xxhash64("t"), F.octet_length("t"))
-        .select(F.expr("regexp_extract_all(t, '[^\\\\s]*[0-9@][^\\\\s]*(?:[ \\\\t][^\\\\s]*[0-9@][^\\\\s]*)*', 0)").alias("s"))
-        .limit(train_docs)
+    (chosen by the hash of the text), ``most`` stretches at the most."""
+    pattern = r"[^\s]*[0-9@][^\s]*(?:[ \t][^\s]*[0-9@][^\s]*)*"
+    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").select(
+        F.slice(F.regexp_extract_all("t", F.lit(pattern), 0), 1, 4).alias("s")
     )
-    seen = sorted({s for row in sample.collect() for s in (row.s or [])[:4] if len(s) <= 200})
+    seen = sorted({s for row in sample.collect() for s in row.s or [] if len(s) <= 200})
     seen.sort(key=lambda s: hashlib.blake2b(s.encode()).digest())
     examples = written_forms()
     for s in seen[:most]:

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.llm.common import drawn
+
 KINDS = ("assign", "access", "hex", "model")
 SHORTEST, BESIDE, TAPS, FILTERS, HIDDEN = 12, 24, 5, 24, 16
 Span = tuple[int, int, str]
@@ -282,16 +284,12 @@ def written_findings(seed: int = 3, each: int = 70) -> list[tuple[str, int, int,
     return out
 
 
-def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 2_000, most: int = 1_200) -> Network:
+def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 4_000, most: int = 1_200) -> Network:
     """The network, trained on written findings and on those of at most ``train_docs``
-    documents with a digit (the smallest hashes of the text), ``most`` findings at the most."""
+    documents (chosen by the hash of the text), ``most`` findings at the most."""
     pieces = r"(?s).{0,40}[A-Za-z0-9+/_.=-]*[0-9][A-Za-z0-9+/_.=-]*.{0,40}"
-    sample = (
-        docs.select(F.col(text).cast("string").alias("t"))
-        .filter(F.col("t").rlike("[0-9]"))
-        .orderBy(F.xxhash64("t"), F.octet_length("t"))
-        .limit(train_docs)
-        .select(F.slice(F.regexp_extract_all("t", F.lit(pieces), 0), 1, 6).alias("s"))
+    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").select(
+        F.slice(F.regexp_extract_all("t", F.lit(pieces), 0), 1, 6).alias("s")
     )
     found = set()
     for s in (s for row in sample.collect() for s in row.s or [] if len(s) <= 400):

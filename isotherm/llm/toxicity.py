@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.llm.common import drawn
+
 TERMS, BLOCK, NEAREST, SOFT = 512, 64, 15, 0.02
 LEAST_CHI = 15.0
 PIECES = (5, 6)
@@ -167,8 +169,7 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, ke
         labels.filter(F.col("toxic").isNotNull() & F.col(key).isNotNull() & learn)
         .groupBy(key).agg(F.max("toxic").alias("y"))
     )
-    order = [F.xxhash64(F.col(key).cast("string")), F.col(key)]
-    chosen = marked.filter("y > 0").orderBy(*order).limit(toxic).union(marked.filter("y <= 0").orderBy(*order).limit(clean))
+    chosen = drawn(marked.filter("y > 0"), toxic, key).union(drawn(marked.filter("y <= 0"), clean, key))
     chosen = chosen.select(F.col(key).alias("_k"), (F.col("y") > 0).cast("int").alias("_y"))
     # at most toxic + clean narrow rows
     return docs.join(F.broadcast(chosen), F.col(key) == F.col("_k")).filter(F.col(text).isNotNull()).select(

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import materialise, text_of
+from isotherm.llm.common import drawn, materialise, text_of
 from isotherm.sources.tables import scratch_path
 
 #: Magic number of the skippable frame that holds a dictionary.
@@ -175,15 +175,12 @@ def write(
     revisit_from: int = 0, samples: int = 1_000, sample_bytes: int = 16_384,
 ) -> DataFrame:
     """Write the archives and return their manifest. The dictionary is trained on at most
-    ``samples`` payloads (smallest hashes) of at most ``sample_bytes`` bytes."""
+    ``samples`` payloads of at most ``sample_bytes`` bytes."""
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     body = text_of(F.col(payload))
-    drawn = (
-        pages.select(body.alias("b")).filter(F.octet_length("b").between(1, sample_bytes))
-        .orderBy(F.xxhash64("b"), "b").limit(samples).collect()
-    )
-    shared = spark.sparkContext.broadcast(dictionary([r.b.encode("utf-8", "surrogatepass") for r in drawn]))
+    some = drawn(pages.select(body.alias("b")), samples, "b").filter(F.octet_length("b").between(1, sample_bytes)).collect()
+    shared = spark.sparkContext.broadcast(dictionary([r.b.encode("utf-8", "surrogatepass") for r in some]))
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, base = _filesystem(folder)
