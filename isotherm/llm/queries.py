@@ -121,3 +121,11 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query()
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import minhash
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=4, percent=80)
