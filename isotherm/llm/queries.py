@@ -129,3 +129,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=4, percent=80)
+
+
+@query()
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import suffix_dedup
+
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
