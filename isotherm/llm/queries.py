@@ -136,3 +136,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from isotherm.llm import suffix_dedup
 
     return suffix_dedup.repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+
+
+@query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import decontaminate
+
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
