@@ -9,7 +9,10 @@ first one per class, then all whose classes are not in one component yet.
 
 What a star may leave open is settled in rounds: in every large bucket that still spans several
 components, the classes outside its largest component are a query set that is run against the
-bucket block by block, until no round finds a link. So only classes that share no band at all are
+bucket block by block. A pair is compared in the first band it shares, and only if the shingles
+that each has in common with any other class are enough for a link, which no pair that is one fails. A
+round takes, for each class and foreign component, the candidates of best estimate, eight times
+as many as the round before, until a round finds no link and has left none out. So only classes that share no band at all are
 missed, with probability (1 - s^rows)^bands at similarity s (5e-8 at 0.8 for 32 bands of 4), and
 what ``miss`` allows.
 
@@ -122,16 +125,17 @@ def described(docs: DataFrame, *, text: str, key: str, k: int, hashes: int) -> D
         sign = Signatures(hashes)
         for batch in batches:
             rows = []
-            for key_, t in zip(batch["key"], batch["t"], strict=True):
+            for key_, mark, t in zip(batch["key"], batch["mark"], batch["t"], strict=True):
                 s = shingles(t, k)
                 if len(s):
-                    rows.append((key_, len(s), xxhash.xxh3_128_digest(s.tobytes()), sign(s).tobytes()))
+                    rows.append((key_, mark, len(s), xxhash.xxh3_128_digest(s.tobytes()), sign(s).tobytes()))
                 else:
-                    rows.append((key_, 0, None, None))
-            yield pd.DataFrame(rows, columns=["key", "n", "set", "sig"], dtype=object)
+                    rows.append((key_, mark, 0, None, None))
+            yield pd.DataFrame(rows, columns=["key", "mark", "n", "set", "sig"], dtype=object)
 
-    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("t"))
-    out = rows.mapInPandas(describe, "key string, n long, set binary, sig binary")
+    # keys travel as strings: a long column with nulls would pass through floating point
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("t"))
+    out = rows.mapInPandas(describe, "key string, mark long, n long, set binary, sig binary")
     return out.withColumn("key", F.col("key").cast("long"))
 
 
@@ -146,9 +150,12 @@ def banded(classes: DataFrame, *, bands: int, rows: int) -> DataFrame:
             value = np.broadcast_to(number, parts.shape[:2])
             for r in range(rows):
                 value = _mixed(value * _U(0x9E3779B97F4A7C15) + parts[:, :, r])
-            yield pd.DataFrame({"bucket": value.ravel().view(np.int64), "set": np.repeat(batch["set"].to_numpy(), bands)})
+            yield pd.DataFrame({
+                "bucket": value.ravel().view(np.int64), "band": np.tile(np.arange(bands, dtype=np.int32), len(batch)),
+                "set": np.repeat(batch["set"].to_numpy(), bands),
+            })
 
-    return classes.select("set", "sig").mapInPandas(band, "bucket long, set binary")
+    return classes.select("set", "sig").mapInPandas(band, "bucket long, band int, set binary")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -192,9 +199,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, *, text: str = "text", key: str = "doc_id", shingle: int = 4, percent: int = 80,
-    bands: int = 32, rows: int = 4, miss: float = 1e-6,
+    bands: int = 32, rows: int = 4, miss: float = 1e-6, mark: str | None = None,
 ) -> DataFrame:
-    """One row per document: ``key``, n_shingles, component_id, kept."""
+    """One row per document: ``key``, n_shingles, component_id, kept and, with ``mark``, the hash of its
+    text under that name."""
     n_hashes = bands * rows
     needed = [least_matches(n, percent / 100, miss) for n in range(BATCH, n_hashes + 1, BATCH)]
     base = materialise(described(docs, text=text, key=key, k=shingle, hashes=n_hashes), "minhash-docs")
@@ -202,9 +210,9 @@ def near_duplicates(
         F.min("key").alias("rep"), F.max("n").alias("n"), F.first("sig").alias("sig")
     )
     classes = materialise(classes, "minhash-classes")
-    rows_ = banded(classes, bands=bands, rows=rows)
-    buckets = rows_.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("low")).filter("m > 1")
-    members = materialise(rows_.join(buckets, "bucket"), "minhash-buckets")
+    parts = banded(classes, bands=bands, rows=rows)
+    buckets = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("set").alias("low")).filter("m > 1")
+    members = materialise(parts.join(buckets, "bucket"), "minhash-buckets")
 
     # small buckets: all pairs of a bounded number; large ones: a star
     lists = members.filter(F.col("m") <= ALL_PAIRS).groupBy("bucket").agg(F.array_sort(F.collect_list("set")).alias("s")).select("s").distinct()
@@ -225,7 +233,7 @@ def near_duplicates(
     pairs = materialise(pairs, "minhash-pairs")
 
     # full sets of every class that any later step may verify
-    large = members.filter(F.col("m") > ALL_PAIRS).select("bucket", "set")
+    large = members.filter(F.col("m") > ALL_PAIRS).select("bucket", "band", "set")
     ends = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).union(large.select("set")).distinct()
     sets = materialise(_needed(docs, classes, ends, text=text, key=key, shingle=shingle), "minhash-sets")
 
@@ -236,23 +244,29 @@ def near_duplicates(
     more = materialise(_verified(rest, sets, percent), "minhash-links")
     links = links.union(more)
     roots = components(links, "minhash-roots")
-    if not large.isEmpty():
-        signed = large.join(classes.select("set", "n", "sig"), "set")
-        while True:
-            found = materialise(_verified(_strays(signed, roots, needed, percent), sets, percent), "minhash-links")
-            if found.isEmpty():
-                break
+    most, left_open = 1, not large.isEmpty()
+    if left_open:
+        common = _common(large, roots, sets)
+        signed = materialise(large.join(common, "set").join(classes.select("set", "n", "sig"), "set"), "minhash-large")
+    while left_open:
+        tried = materialise(_strays(signed, roots, needed, percent, most, rows), "minhash-tried")
+        found = materialise(_verified(tried.select("a", "b").distinct(), sets, percent), "minhash-links")
+        if not found.isEmpty():
             links = links.union(found)
             roots = components(links, "minhash-roots")
+        else:
+            left_open = not tried.filter("more").isEmpty()
+        most *= 8
 
     joined = classes.select("set", "rep").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = joined.join(smallest, "root").select("set", "component_id")
-    out = base.select("key", "n", "set").join(named, "set", "left")
+    out = base.select("key", "mark", "n", "set").join(named, "set", "left")
     own = F.when(F.col("set").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return out.select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept")
-    )
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"),
+        F.col("key").eqNullSafe(own).alias("kept"), *([F.col("mark").alias(mark)] if mark else []),
+    )
 
 
 def _needed(docs: DataFrame, classes: DataFrame, ends: DataFrame, *, text: str, key: str, shingle: int) -> DataFrame:
@@ -279,19 +293,43 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _strays(signed: DataFrame, roots: DataFrame, needed: list[int], percent: int) -> DataFrame:
+def _common(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """For the classes of large buckets that span components: how many of their shingles any other such class has."""
+    rows = large.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    spans = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
+    wanted = large.join(spans, "bucket", "left_semi").select("set").distinct()
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for set_, h in zip(batch["set"], batch["hashes"], strict=True):
+                values = np.frombuffer(h, np.int64)
+                yield pd.DataFrame({"set": pd.Series([set_] * len(values), dtype=object), "h": values})
+
+    each = sets.join(wanted, "set", "left_semi").mapInPandas(spread, "set binary, h long")
+    each = materialise(each, "minhash-shingles")
+    twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    counts = each.join(twice, "h", "left_semi").groupBy("set").agg(F.count(F.lit(1)).alias("f"))
+    return wanted.join(counts, "set", "left").select("set", F.coalesce("f", F.lit(0)).alias("f"))
+
+
+def _strays(signed: DataFrame, roots: DataFrame, needed: list[int], percent: int, most: int, width: int) -> DataFrame:
     """In every bucket, plausible pairs between the classes outside its largest component and all
-    its classes, block against block."""
-    rows = signed.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    rows = materialise(rows, "minhash-strays")
+    its classes, block against block: the ``most`` best for each class and foreign component of a
+    block, ``more`` if that left any out."""
+    # a class with too few common shingles is linked with none
+    rows = signed.filter(100 * F.col("f") >= percent * F.col("n")).join(roots, "set", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "set"))
     sizes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
-    tops = sizes.groupBy("bucket").agg(F.max_by("root", F.struct("m", "root")).alias("top"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("parts"))
+    tops = sizes.groupBy("bucket").agg(
+        F.max_by("root", F.struct("m", "root")).alias("top"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("parts")
+    )
     open_ = rows.join(tops.filter("parts > 1"), "bucket")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     place = lambda salt: F.pmod(F.xxhash64("set", F.lit(salt)), blocks).cast("int")
-    all_ = open_.select("bucket", place(1).alias("block"), "set", "root", "n", "sig", F.lit(False).alias("stray"))
+    columns = ("set", "root", "n", "f", "band", "sig")
+    all_ = open_.select("bucket", place(1).alias("block"), *columns, F.lit(False).alias("stray"))
     strays = open_.filter("root != top").select(
-        "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "set", "root", "n", "sig", F.lit(True).alias("stray"), place(2).alias("part")
+        "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *columns, F.lit(True).alias("stray"), place(2).alias("part")
     )
     # one group for each block of members and each block of strays
     spread = all_.join(strays.select("bucket", "block", "part").distinct(), ["bucket", "block"])
@@ -301,11 +339,24 @@ def _strays(signed: DataFrame, roots: DataFrame, needed: list[int], percent: int
         s, m = group[group["stray"]], group[~group["stray"]]
         out = []
         y = np.frombuffer(b"".join(m["sig"]), dtype=np.uint32).reshape(len(m), -1)
-        for set_, root, n, sig in zip(s["set"], s["root"], s["n"], s["sig"], strict=True):
-            fits = ((m["root"] != root) & (100 * np.minimum(m["n"], n) >= percent * np.maximum(m["n"], n))).to_numpy()
-            x = np.broadcast_to(np.frombuffer(sig, dtype=np.uint32), y[fits].shape)
-            left = survives(x, y[fits], needed)
-            out += [(set_, other) for other in m["set"].to_numpy()[fits][left]]
-        return pd.DataFrame([(min(p), max(p)) for p in out], columns=["a", "b"], dtype=object)
-
-    return together.groupBy("bucket", "block", "part").applyInPandas(compare, "a binary, b binary").distinct()
+        sets, roots_ = m["set"].to_numpy(), m["root"].to_numpy()
+        for set_, root, n, f, band, sig in zip(*(s[c] for c in columns), strict=True):
+            both = np.minimum(m["f"].to_numpy(), f)
+            fits = (roots_ != root) & (100 * both >= percent * (m["n"].to_numpy() + n - both))
+            x = np.frombuffer(sig, dtype=np.uint32)
+            if band:  # a pair that shares an earlier band was met there
+                earlier = (x[: band * width] == y[:, : band * width]).reshape(len(m), band, width).all(2).any(1)
+                fits &= ~earlier
+            at = np.flatnonzero(fits)
+            at = at[survives(np.broadcast_to(x, y[at].shape), y[at], needed)]
+            order = at[np.argsort(-(x == y[at]).sum(1), kind="stable")]
+            seen: dict[bytes, int] = {}
+            for i in order.tolist():
+                seen[roots_[i]] = k = seen.get(roots_[i], 0) + 1
+                if k <= most:
+                    out.append([min(set_, sets[i]), max(set_, sets[i]), False])
+            if out and any(k > most for k in seen.values()):
+                out[-1][2] = True
+        return pd.DataFrame(out, columns=["a", "b", "more"], dtype=object)
+
+    return together.groupBy("bucket", "block", "part").applyInPandas(compare, "a binary, b binary, more boolean")
