@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import fresh, text_of, words_of
+from isotherm.llm.common import fresh, materialise, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Each rule's rate in thousandths, from the columns of ``with_features``.
@@ -184,11 +184,14 @@ def verdicts(
     docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", by: str = "lang",
     risk: float = 0.04, delta: float = 0.05, out: str = "features", cutoffs: Thresholds | None = None,
 ) -> DataFrame:
-    """``docs`` with the struct ``out``: counts, rates, ``base_failed`` and ``kept``."""
-    featured = with_features(docs, text=text, out=out)
+    """``docs`` with the struct ``out``: counts, rates, ``base_failed`` and ``kept``.
+
+    The counts are written with the rows once; thresholds read the narrow columns of that table, and no
+    later filter repeats the counting.
+    """
+    featured = materialise(with_features(docs, text=text, out=out), "quality")
     if cutoffs is None:
-        narrow = featured.select(key, by, out)
-        cutoffs = thresholds(narrow, labels, key=key, by=by, out=out, risk=risk, delta=delta)
+        cutoffs = thresholds(featured, labels, key=key, by=by, out=out, risk=risk, delta=delta)
     f = F.col(out)
     failed = base_failed(f)
     return featured.withColumn(
