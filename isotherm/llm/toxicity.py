@@ -70,6 +70,16 @@ class Vocabulary(dict):
         return Counter(i for found in map(self.__getitem__, text.lower().split()) if found for i in found)
 
 
+_kept: list[Vocabulary] = []
+
+
+def vocabulary_of(terms: list[str]) -> Vocabulary:
+    """The vocabulary of these terms; a worker keeps the last one with what it remembers."""
+    if not _kept or list(_kept[0].number) != terms:
+        _kept[:] = [Vocabulary(terms)]
+    return _kept[0]
+
+
 def weighted(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Term numbers and unit-length weights (1 + ln tf) * idf."""
     terms = np.array(sorted(counts), dtype=np.int64)
@@ -217,7 +227,7 @@ def document_frequencies(docs: DataFrame, terms: list[str], *, text: str) -> tup
     """Number of documents, and of documents with each term, over the whole table."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, counts, n = Vocabulary(terms), np.zeros(len(terms), np.int64), 0
+        vocabulary, counts, n = vocabulary_of(terms), np.zeros(len(terms), np.int64), 0
         for batch in batches:
             n += len(batch)
             for t in batch["t"]:
@@ -246,7 +256,7 @@ def fit(
     idf = np.log((1 + n) / (1 + df)) + 1
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(terms)
+        vocabulary = vocabulary_of(terms)
         for batch in batches:
             counts = [vocabulary.counts(t) for t in batch["text"]]
             yield pd.DataFrame({
@@ -293,7 +303,7 @@ def scorer(docs: DataFrame, model: Model):
     @F.pandas_udf("score double, neighbours array<long>, cosines array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        vocabulary = Vocabulary(m.terms)
+        vocabulary = vocabulary_of(m.terms)
         for texts in batches:
             rows = [m.score(vocabulary.counts(t)) for t in texts]
             yield pd.DataFrame(rows, columns=["score", "neighbours", "cosines"])
