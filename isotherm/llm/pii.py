@@ -40,7 +40,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
-_STRETCH = re.compile(r"\S*[0-9@]\S*(?:[ \t]\S*[0-9@]\S*)*")
+# it begins where a token does, so a long token without a mark is read once
+_STRETCH = re.compile(r"(?<!\S)\S*[0-9@]\S*(?:[ \t]\S*[0-9@]\S*)*")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|[^\s]")
 
 
@@ -313,11 +314,17 @@ def written_forms(seed: int = 11, each: int = 30) -> list[tuple[str, list[Span]]
 def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 4_000, most: int = 600) -> Weights:
     """Weights from the written forms and the stretches of at most ``train_docs`` documents
     (chosen by the hash of the text), ``most`` stretches at the most."""
-    pattern = r"[^\s]*[0-9@][^\s]*(?:[ \t][^\s]*[0-9@][^\s]*)*"
-    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").select(
-        F.slice(F.regexp_extract_all("t", F.lit(pattern), 0), 1, 4).alias("s")
-    )
-    seen = sorted({s for row in sample.collect() for s in row.s or [] if len(s) <= 200})
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for t in batch["t"]:
+                if t and _MARK.search(t):
+                    found += [s for _, s in zip(range(4), (m[0] for m in _STRETCH.finditer(t) if m.end() - m.start() <= 200), strict=False)]
+            yield pd.DataFrame({"s": pd.Series(found, dtype=object)})
+
+    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").mapInPandas(extract, "s string")
+    seen = sorted({row.s for row in sample.collect()})
     seen.sort(key=lambda s: hashlib.blake2b(s.encode()).digest())
     examples = written_forms()
     for s in seen[:most]:

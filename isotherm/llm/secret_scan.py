@@ -287,15 +287,21 @@ def written_findings(seed: int = 3, each: int = 70) -> list[tuple[str, int, int,
 def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 4_000, most: int = 1_200) -> Network:
     """The network, trained on written findings and on those of at most ``train_docs``
     documents (chosen by the hash of the text), ``most`` findings at the most."""
-    pieces = r"(?s).{0,40}[A-Za-z0-9+/_.=-]*[0-9][A-Za-z0-9+/_.=-]*.{0,40}"
-    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").select(
-        F.slice(F.regexp_extract_all("t", F.lit(pieces), 0), 1, 6).alias("s")
-    )
-    found = set()
-    for s in (s for row in sample.collect() for s in row.s or [] if len(s) <= 400):
-        base = base_spans(s)
-        for start, end in candidates(s):
-            found.add((s, start, end, int(any(b[0] < end and b[1] > start for b in base))))
+
+    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for t in batch["t"]:
+                tokens = [c for c in candidates(t) if c[1] - c[0] <= 300][:6] if t else []
+                for start, end in tokens:
+                    left = max(0, start - BESIDE)
+                    s = t[left : end + BESIDE]
+                    hit = any(b[0] < end - left and b[1] > start - left for b in base_spans(s))
+                    out.append((s, start - left, end - left, int(hit)))
+            yield pd.DataFrame(out, columns=["s", "a", "b", "y"], dtype=object)
+
+    sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t")
+    found = {tuple(r) for r in sample.mapInPandas(extract, "s string, a int, b int, y int").collect()}
     found = sorted(found, key=lambda f: hashlib.blake2b(repr(f).encode("utf-8", "surrogatepass")).digest())
     return train(written_findings() + found[:most])
 
