@@ -6,7 +6,7 @@ leftmost ``GRAM``-byte piece of lowest hash. Equal windows have equal anchors, s
 twice or more matter, and each run of windows with one anchor is judged as a whole: equal runs settle
 each other by counting. Where an anchor comes with different runs, their suffixes are sorted: prefix
 polynomial hashes give the common extension of two suffixes by binary search, a merge sort
-built on that comparison orders them, and neighbours whose common extension reaches ``length`` are
+built on that comparison orders those as far from their anchor, and neighbours whose common extension reaches ``length`` are
 repeats, compared byte by byte before they count. An anchor with more than ``VARIANTS`` different runs does
 not go to one task; its windows are counted by two hashes instead, which is exact but for
 collisions of 128 bits.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from isotherm.llm.common import materialise, text_of
 
-GRAM, VARIANTS = 32, 4_096
+GRAM, VARIANTS = 32, 1_024
 PIECE = 1 << 19  # windows handled at once
 BUFFER = 1 << 19  # bytes whose suffixes are sorted together
 _U = np.uint64
@@ -149,37 +149,48 @@ class Suffixes:
         shared = np.minimum(shared, self.length - 1)
         return ~end & (self.data[a + shared] < self.data[b + shared])
 
-    def sort(self, starts: np.ndarray) -> np.ndarray:
-        """Bottom-up merge sort. In each round all pairs of neighbouring runs merge at once: an
-        element's new place is its own rank plus its rank in the other run."""
-        order, n, width = starts.copy(), len(starts), 1
-        while width < n:
+    def sort(self, starts: np.ndarray, cells: np.ndarray | None = None) -> np.ndarray:
+        """Suffixes by cell, and sorted within each. ``cells`` numbers ones that may be equal at all;
+        without it all are in one cell.
+
+        Bottom-up merge sort: in each round all pairs of neighbouring runs of all cells merge at once, an
+        element's new place being its own rank plus its rank in the other run.
+        """
+        n = len(starts)
+        cells = np.zeros(n, np.int64) if cells is None else cells
+        order = np.argsort(cells, kind="stable")
+        cells, order = cells[order], starts[order]
+        first = np.concatenate([[0], np.flatnonzero(np.diff(cells)) + 1]) if n else np.zeros(0, np.int64)
+        size = np.diff(np.concatenate([first, [n]]))
+        first, end = np.repeat(first, size), np.repeat(first + size, size)
+        width, widest = 1, int(size.max(initial=0))
+        while width < widest:
             index = np.arange(n)
-            run = index // width
+            run = (index - first) // width
             left = run % 2 == 0
-            other = np.where(left, run + 1, run - 1) * width
-            low, high = np.minimum(other, n), np.minimum(other + width, n)
+            other = first + np.where(left, run + 1, run - 1) * width
+            low, high = np.minimum(other, end), np.minimum(other + width, end)
             base = low.copy()
             while True:
                 open_ = np.flatnonzero(low < high)
                 if not len(open_):
                     break
                 middle = (low[open_] + high[open_]) >> 1
-                mine, theirs, first = order[open_], order[middle], left[open_]
+                mine, theirs, leading = order[open_], order[middle], left[open_]
                 # an element of the left run goes before equal ones of the right run
-                a, b = np.where(first, theirs, mine), np.where(first, mine, theirs)
-                earlier = np.where(first, self.before(a, b), ~self.before(a, b))
+                earlier = self.before(np.where(leading, theirs, mine), np.where(leading, mine, theirs))
+                earlier = np.where(leading, earlier, ~earlier)
                 low[open_[earlier]] = middle[earlier] + 1
                 high[open_[~earlier]] = middle[~earlier]
-            place = (run // 2) * 2 * width + (index - run * width) + (low - base)
+            place = first + (run // 2) * 2 * width + (index - first - run * width) + (low - base)
             merged = np.empty_like(order)
             merged[place] = order
             order, width = merged, 2 * width
         return order
 
-    def repeated(self, starts: np.ndarray) -> np.ndarray:
-        """Which of the suffixes share their first ``length`` bytes with another."""
-        order = self.sort(starts)
+    def repeated(self, starts: np.ndarray, cells: np.ndarray | None = None) -> np.ndarray:
+        """Which of the suffixes share their first ``length`` bytes with another of their cell."""
+        order = self.sort(starts, cells)
         near = np.flatnonzero(self.extension(order[:-1], order[1:]) >= self.length)
         same = np.zeros(len(near), dtype=bool)
         for at in range(0, len(near), 4096):  # the bytes decide, not the hashes
@@ -275,8 +286,17 @@ def _sorted_repeats(segments: DataFrame, length: int) -> DataFrame:
     def judge(group: list[tuple]) -> list[tuple]:
         data = np.frombuffer(b"".join(g[5] for g in group), dtype=np.uint8)
         offset = np.cumsum([0, *(len(g[5]) for g in group)])
-        starts = np.concatenate([np.arange(o, o + len(g[5]) - length + 1) for o, g in zip(offset, group, strict=False)])
-        flags, at, out = Suffixes(data, length).repeated(starts), 0, []
+        sizes = np.array([len(g[5]) - length + 1 for g in group])
+        inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        starts = np.repeat(offset[:-1], sizes) + inside
+        # equal windows have one anchor, and it as far from their start: these two make the cell
+        grams = _mixed(Hashes(data).windows(GRAM)) >> _U(20)
+        anchor_at = np.concatenate([
+            grams[offset[i : i + 1024, None][: len(group) - i] + np.arange(length - GRAM + 1)].argmin(1) for i in range(0, len(group), 1024)
+        ])
+        number = np.unique(np.array([g[0] for g in group]), return_inverse=True)[1]
+        cells = np.repeat(number, sizes) * length + np.repeat(anchor_at, sizes) - inside
+        flags, at, out = Suffixes(data, length).repeated(starts, cells), 0, []
         for _, alone, t1, t2, first, piece in group:
             n = len(piece) - length + 1
             if alone:
