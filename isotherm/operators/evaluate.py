@@ -122,11 +122,16 @@ def silhouette_squared(df: DataFrame, *, label: str = "cluster", features: str =
     """Mean silhouette under squared Euclidean distance, linear in the rows.
 
     The mean squared distance to a cluster follows from its size, mean and mean squared
-    norm, so one pass builds K rows and a second one scores.
+    norm, so one pass builds K rows and a last one scores. Points are taken relative to their
+    overall mean, found by a first pass, or squares of a common offset would drown the spread.
     """
     rows = df.select(
         F.col(label).cast("long").alias("own"), F.col(features).cast("array<double>").alias("x")
     )
+    whole = km.centroid_update(rows.select(F.lit(0).alias("own"), "x"), label="own", features="x", d2=None).collect()
+    if whole:
+        center = F.array(*[F.lit(float(v)) for v in whole[0]["centroid"]])
+        rows = rows.withColumn("x", F.zip_with("x", center, lambda v, m: v - m))
     spread = F.aggregate("x", F.lit(0.0), lambda t, v: t + v * v)
     stats = km.centroid_update(rows.withColumn("q", spread), label="own", features="x", d2="q").collect()
     stats.sort(key=lambda r: r["cluster"])

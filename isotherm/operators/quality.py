@@ -31,10 +31,14 @@ def _one_row_per_column(df: DataFrame, columns: Sequence[str], stats: Mapping[st
 
 
 def null_profile(df: DataFrame, columns: Sequence[str], *, only_missing: bool = True) -> DataFrame:
-    """Missing values (NULL or NaN) per column."""
-    out = _one_row_per_column(
-        df, columns, {"n_missing": lambda c: F.count_if(F.isnull(F.col(c)) | F.isnan(F.col(c)))}
-    )
+    """Missing values per column of any type: NULL, and NaN where the type has it."""
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+
+    def missing(c: str) -> Column:
+        absent = F.isnull(F.col(c))
+        return F.count_if(absent | F.isnan(F.col(c)) if c in floating else absent)
+
+    out = _one_row_per_column(df, columns, {"n_missing": missing})
     return out.filter("n_missing > 0") if only_missing else out
 
 

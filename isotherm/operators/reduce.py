@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
 
-# Partial Gramian values that may travel straight to the driver.
-_DIRECT_VALUES = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -70,17 +68,15 @@ def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
         if total is not None:
             yield from table(np.arange(d), total).to_batches()
 
-    partials = _doubles(df, columns).mapInArrow(fold, schema)
-    if partials.rdd.getNumPartitions() * d * len(names) > _DIRECT_VALUES:
-        # one group per column, as many rows as there are tasks
-        partials = partials.groupBy("i").applyInArrow(
-            lambda t: table(
-                t.column("i").to_numpy()[:1],
-                merge(np.column_stack([t.column(c).to_numpy() for c in names[1:]]))[None],
-            ),
-            schema,
-        )
-    rows = partials.toArrow()
+    # one group per column, as many rows as there are tasks
+    merged = _doubles(df, columns).mapInArrow(fold, schema).groupBy("i").applyInArrow(
+        lambda t: table(
+            t.column("i").to_numpy()[:1],
+            merge(np.column_stack([t.column(c).to_numpy() for c in names[1:]]))[None],
+        ),
+        schema,
+    )
+    rows = merged.toArrow()
     index = rows.column("i").to_numpy()
     values = np.column_stack([rows.column(c).to_numpy() for c in names[1:]])
     if not len(index):
@@ -98,8 +94,8 @@ def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: b
     """Sums over rows of standardised values z: ``p`` = z_i z_j, and with ``masked`` also
     over rows where both are present ``n`` = 1, ``s`` = z_i, ``q`` = z_i^2 (by i, j).
 
-    A task reduces its rows to d partial rows with matrix products; partials of many
-    tasks are added up by Catalyst before they travel.
+    A task reduces its rows to d partial rows with matrix products; Catalyst adds up the
+    partials before they travel.
     """
     kinds = ["p", "n", "s", "q"] if masked else ["p"]
     mean, scale = stats.means, np.where(stats.stds > 0, stats.stds, 1.0)
@@ -126,19 +122,12 @@ def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: b
         )
 
     partials = _doubles(df, columns).mapInArrow(fold, "i int, " + ", ".join(f"{k} array<double>" for k in kinds))
-    if partials.rdd.getNumPartitions() * d * d * len(kinds) > _DIRECT_VALUES:
-        cells = partials.select("i", F.posexplode(F.arrays_zip(*kinds)).alias("j", "c"))
-        sums = cells.groupBy("i", "j").agg(*[F.sum(F.col("c")[k]).alias(k) for k in kinds]).toArrow()
-        out = {k: np.zeros((d, d)) for k in kinds}
-        at = sums.column("i").to_numpy(), sums.column("j").to_numpy()
-        for k in kinds:
-            out[k][at] = sums.column(k).to_numpy()
-        return out
-    rows = partials.toArrow()
+    cells = partials.select("i", F.posexplode(F.arrays_zip(*kinds)).alias("j", "c"))
+    sums = cells.groupBy("i", "j").agg(*[F.sum(F.col("c")[k]).alias(k) for k in kinds]).toArrow()
     out = {k: np.zeros((d, d)) for k in kinds}
+    at = sums.column("i").to_numpy(), sums.column("j").to_numpy()
     for k in kinds:
-        flat = rows.column(k).combine_chunks().flatten().to_numpy()
-        np.add.at(out[k], rows.column("i").to_numpy(), flat.reshape(-1, d))
+        out[k][at] = sums.column(k).to_numpy()
     return out
 
 
@@ -152,7 +141,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
         top = g["n"] * g["p"] - g["s"] * g["s"].T
         spread = g["n"] * g["q"] - g["s"] ** 2
         with np.errstate(divide="ignore", invalid="ignore"):
-            r = np.where((spread > 0) & (spread.T > 0), top / np.sqrt(spread * spread.T), np.nan)
+            # a column that is constant on the common rows leaves only rounding behind
+            varies = spread > 1e-12 * g["n"] * g["q"]
+            r = np.where(varies & varies.T, top / np.sqrt(spread * spread.T), np.nan)
     constant = stats.stds <= 0
     r = np.clip(r, -1.0, 1.0)
     r[constant, :] = np.nan

@@ -68,8 +68,3 @@ def nested_samples(
 ) -> dict[int | None, DataFrame]:
     """One sample per size, each a subset of the next larger one; ``None`` is all rows."""
     return {n: df if n is None else sample_rows(df, n, ids=ids, seed=seed) for n in sizes}
-
-
-def shuffle_order(df: DataFrame, *, ids: Sequence[str], seed: int = 42) -> Column:
-    """The fixed position column the samples are prefixes of."""
-    return hash_bits(*ids, seed=seed)

@@ -294,26 +294,50 @@ def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
     return rd.variance_table(spark, rd.fit_reduction(features, names))
 
 
-@query()
+_ALL = [f"{p}_{n}" for p in PARAMS for n in ("mean", "std", "min", "max")] + [
+    f"{p}_{n}" for p in sorted(PARAMS) for n in ("fall", "spring", "summer", "winter")
+]
+_RAW_SQL = ", ".join(
+    [f"{fn}({p}) AS {p}_{n}" for p in PARAMS for n, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    + [f"avg({p}) FILTER (season = {n!r}) AS {p}_{n}" for p in PARAMS for n in ("fall", "spring", "summer", "winter")]
+)
+
+
+def _energy_sql(columns: list[str]) -> str:
+    """Squared length of the standardised row, which a full rotation of it keeps."""
+    return " + ".join(f"CASE WHEN s_{c} > 0 THEN power(({c} - m_{c}) / s_{c}, 2) ELSE 0 END" for c in columns)
+
+
+def _spread_sql(columns: list[str], source: str) -> str:
+    return f"SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in columns)} FROM {source}"
+
+
+_SCORES_SQL = f"""WITH {_SEASONED}, f AS (SELECT lat, lon, {_RAW_SQL} FROM seasoned GROUP BY lat, lon), s AS ({_spread_sql(_ALL, "f")})
+SELECT lat, lon, CAST(least({len(_ALL)}, (SELECT count(*) FROM f)) AS INT) AS n_components, {st(_energy_sql(_ALL), 3)} AS energy FROM f, s"""
+
+
+def _energies(scores: DataFrame, *keys: str) -> DataFrame:
+    energy = F.aggregate("features", F.lit(0.0), lambda t, v: t + v * v)
+    return scores.select(*keys, F.size("features").alias("n_components"), settle(energy, 3).alias("energy"))
+
+
+@query(_SCORES_SQL)
 def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """All components: a rotation, so each row keeps its length."""
     features, names = _feature_table(spark, sf)
-    reduction = rd.fit_reduction(features, names)
-    scores = rd.apply_reduction(reduction, features)
-    flat = [settle(F.col("features")[i], 4).alias(f"PC{i + 1}") for i in range(min(3, reduction.components))]
-    return scores.select("lat", "lon", F.size("features").alias("n_components"), *flat)
+    return _energies(rd.apply_reduction(rd.fit_reduction(features, names, components=len(names)), features), "lat", "lon")
 
 
-@query()
+@query(_SCORES_SQL)
 def apply_model(spark: SparkSession, sf: str) -> DataFrame:
     """Fit, save, reload and score again."""
     features, names = _feature_table(spark, sf)
     path = tables.scratch_path(spark, "model")
-    rd.fit_reduction(features, names).save(spark, path)
-    scores = rd.apply_reduction(rd.Reduction.load(spark, path), features)
-    return scores.select("lat", "lon", *[settle(F.col("features")[i], 4).alias(f"PC{i + 1}") for i in range(3)])
+    rd.fit_reduction(features, names, components=len(names)).save(spark, path)
+    return _energies(rd.apply_reduction(rd.Reduction.load(spark, path), features), "lat", "lon")
 
 
-@query()
+@query(f"""WITH {DAILY_SQL}, s AS ({_spread_sql(PARAMS, "daily")})
+SELECT site, time, {len(PARAMS)} AS n_components, {st(_energy_sql(PARAMS), 3)} AS energy FROM daily, s""")
 def daily_regimes(spark: SparkSession, sf: str) -> DataFrame:
-    scores = climate.daily_regimes(daily(spark, sf), PARAMS, keys=("site", "time"), components=3)
-    return scores.select("site", "time", *[settle(F.col("features")[i], 4).alias(f"PC{i + 1}") for i in range(3)])
+    return _energies(climate.daily_regimes(daily(spark, sf), PARAMS, keys=("site", "time")), "site", "time")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from isotherm.operators import features as ft
 from isotherm.operators import kmeans as km
 from isotherm.operators import quality, reduce
-from isotherm.operators.columns import flatten_features
+from isotherm.operators.columns import flatten_features, numeric_columns
 from isotherm.operators.grid import Grid
 from isotherm.operators.regrid import Product, regrid_products
 from isotherm.sources import tables
@@ -23,7 +23,7 @@ def combined_daily(products: Sequence[Product], target: Grid | None = None, **op
 
 
 def numeric_features(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in set(keys)]
+    return numeric_columns(df, exclude=keys)
 
 
 @dataclass(frozen=True)

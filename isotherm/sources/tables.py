@@ -63,9 +63,10 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
 def write_daily(df: DataFrame, path: str, *, time: str = "time", mode: str = "overwrite") -> None:
     """Hand-off between stages: Parquet by year, files clustered by year and location.
 
-    Rows of one year are spread by location too, so no task writes a whole year.
+    Tasks hold ranges of (year, location): no task writes a whole large year, and few tasks
+    write to the same one.
     """
-    by_year = df.withColumn("year", F.year(time)).repartition("year", "lat", "lon")
+    by_year = df.withColumn("year", F.year(time)).repartitionByRange("year", "lat", "lon")
     by_year.sortWithinPartitions("year", "lat", "lon", time).write.mode(mode).partitionBy("year").parquet(path)
 
 
@@ -107,21 +108,39 @@ def read_components(
 ) -> DataFrame:
     """Component table from the first path that exists. A fallback with fewer components
     than the model has fails instead of clustering on less."""
-    df = read_csv(spark, first_existing(spark, paths))
-    found = [c for c in df.columns if c.startswith(prefix)]
+    path = first_existing(spark, paths)
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    found = [c for c in header if c.startswith(prefix)]
     if not found or (expected is not None and len(found) != expected):
         raise ValueError(f"expected {expected} {prefix} columns, found {len(found)}")
-    return df.select("lat", "lon", *[F.col(c).cast("double").alias(c) for c in found])
+    wanted = {"lat", "lon", *found}
+    schema = T.StructType([T.StructField(c, T.DoubleType() if c in wanted else T.StringType()) for c in header])
+    return read_csv(spark, path, schema).select("lat", "lon", *found)
 
 
 def verify_written(df: DataFrame, path: str, *, fmt: str = "parquet") -> DataFrame:
-    """Read back what was written and check columns and row count."""
+    """Read back what was written and check columns, row count and a checksum of each column."""
     spark = df.sparkSession
-    back = read_csv(spark, path, df.schema) if fmt == "csv" else spark.read.format(fmt).load(path)
-    if fmt == "parquet" and set(back.columns) != set(df.columns):
+    if fmt == "csv":
+        header = spark.read.option("header", True).csv(path).columns
+        if header != df.columns:
+            raise ValueError(f"header {header} instead of {df.columns}")
+        back = read_csv(spark, path, df.schema)
+        df = nan_to_null(df)  # as read_csv does
+    else:
+        back = spark.read.format(fmt).load(path)
+    if set(back.columns) != set(df.columns):
         raise ValueError(f"columns differ: {sorted(set(back.columns) ^ set(df.columns))}")
-    wanted, found = df.count(), back.count()
-    if wanted != found:
-        raise ValueError(f"wrote {wanted} rows, read {found}")
+
+    def sums(rows: DataFrame) -> dict[str, object]:
+        # decimal sums of hashes: the order of rows does not matter
+        each = [F.sum(F.xxhash64(F.col(c)).cast("decimal(38,0)")).alias(f"c{i}") for i, c in enumerate(df.columns)]
+        return rows.agg(F.count(F.lit(1)).alias("rows"), *each).first().asDict()
+
+    wanted, found = sums(df), sums(back.select(*df.columns))
+    if wanted["rows"] != found["rows"]:
+        raise ValueError(f"wrote {wanted['rows']} rows, read {found['rows']}")
+    if bad := [c for i, c in enumerate(df.columns) if wanted[f"c{i}"] != found[f"c{i}"]]:
+        raise ValueError(f"values differ in {bad}")
     return back
 
