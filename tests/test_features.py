@@ -159,14 +159,31 @@ def test_correlation_with_holes_equals_pandas(spark):
     assert np.allclose(holed, pdf.corr(), equal_nan=True)
 
 
-def test_large_partials_are_added_by_spark(spark, monkeypatch):
+@pytest.mark.parametrize("tasks", [1, 5, 40])
+def test_partials_are_added_by_spark(spark, tasks):
     pdf = pd.DataFrame(np.random.default_rng(5).normal(size=(200, 3)), columns=list("abc"))
     pdf.loc[::9, "b"] = np.nan
-    monkeypatch.setattr(rd, "_DIRECT_VALUES", 0)
-    got = rd.correlation_matrix(spark.createDataFrame(pdf).repartition(5), list("abc"))
+    got = rd.correlation_matrix(spark.createDataFrame(pdf).repartition(tasks), list("abc"))
     assert np.allclose(got, pdf.corr())
 
 
+def test_constant_on_common_rows_has_no_correlation(spark):
+    rng = np.random.default_rng(2)
+    for _ in range(3):
+        pdf = pd.DataFrame({"a": rng.normal(size=30), "b": rng.normal(size=30)})
+        pdf.loc[10:, "a"], pdf.loc[:9, "b"] = np.nan, np.nan
+        pdf.loc[5:15, "a"] = 0.1 + rng.normal()  # constant wherever b is present
+        got = rd.correlation_matrix(spark.createDataFrame(pdf), ["a", "b"])
+        assert np.isnan(got[0, 1]) and np.isnan(pdf.corr().iloc[0, 1])
+
+
+def test_missing_values_of_any_type(spark):
+    rows = [(None, "x", 1.0, 1), ("2020-01-01", None, float("nan"), None), ("2020-01-02", "y", None, 3)]
+    df = spark.createDataFrame(rows, "d string, s string, v double, n int").withColumn("d", F.to_date("d"))
+    got = {r["param"]: r["n_missing"] for r in qa.null_profile(df, df.columns).collect()}
+    assert got == {"d": 1, "s": 1, "v": 2, "n": 1}
+
+
 def test_prune_is_not_greedy():
     r = np.array([[1, 0.995, 0.5, np.nan], [0.995, 1, 0.995, np.nan], [0.5, 0.995, 1, np.nan], [np.nan] * 4])
     # c goes because of b, although b is dropped itself

@@ -172,6 +172,8 @@ def test_silhouette(spark, block_rows):
     assert np.allclose(got["silhouette"], want)
     assert ev.silhouette(df, ids=["id"], block_rows=block_rows).head()[0] == pytest.approx(want.mean())
     squared = ev.silhouette_squared(df).head()[0]
+    far = df.withColumn("features", F.transform("features", lambda v: v + 1e8))
+    assert ev.silhouette_squared(far).head()[0] == pytest.approx(squared, abs=1e-5)
     assert squared == pytest.approx(silhouette_numpy(x, labels, squared=True).mean())
 
 

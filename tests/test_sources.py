@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from isotherm.operators.grid import Axis, Grid
 from isotherm.sources import cube, schemas, tables
@@ -50,6 +51,25 @@ def test_daily_hand_off_is_partitioned_by_year(spark, tmp_path):
     assert set(tables.pruned_scan(spark, path).columns) == {"lat", "lon", "T2M", "year"}
 
 
+def test_read_back_compares_header_and_values(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, None)], "a double, b double")
+    for fmt, save in (("csv", tables.write_csv), ("parquet", tables.write_parquet)):
+        path = str(tmp_path / fmt)
+        save(df, path)
+        assert tables.verify_written(df, path, fmt=fmt).count() == 2
+        with pytest.raises(ValueError, match="values differ"):
+            tables.verify_written(df.withColumn("b", F.col("b") + 1), path, fmt=fmt)
+        with pytest.raises(ValueError, match="header|columns"):
+            tables.verify_written(df.withColumnRenamed("b", "c"), path, fmt=fmt)
+
+
+def test_malformed_component_fails(spark, tmp_path):
+    path = str(tmp_path / "pc")
+    tables.write_csv(spark.createDataFrame([("1", "2", "0.1", "x")], "lat string, lon string, PC1 string, PC2 string"), path)
+    with pytest.raises(Exception, match="MALFORMED|NumberFormat"):
+        tables.read_components(spark, [path], expected=2).collect()
+
+
 def test_json_and_stage_hand_off(spark, tmp_path):
     row = spark.createDataFrame([([3, 4], 2.5)], "k_range array<int>, score double")
     tables.write_json(row, str(tmp_path / "m"))
