@@ -258,7 +258,7 @@ def kmeans_final(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def cluster_results(spark: SparkSession, sf: str) -> DataFrame:
     """Native products to clustered locations: keys, label, leading components."""
-    result = climate.climate_clusters([meteo(spark, sf), solar(spark, sf)], n_init=3)
+    result = climate.climate_clusters([meteo(spark, sf), solar(spark, sf)])
     return project_results(result.assignments)
 
 
