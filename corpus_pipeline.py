@@ -35,9 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     _ready(spark)
     mark = fresh(docs, "mark")
     kept = minhash.near_duplicates(docs, shingle=5, percent=80, mark=mark).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col(mark).alias("_mark"))
+    name, its_mark = fresh(docs, "kept_id"), fresh(docs, "kept_mark")
+    kept = kept.select(F.col("doc_id").alias(name), F.col(mark).alias(its_mark))
     marked = docs.withColumn(mark, F.xxhash64("text"))
-    left = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(mark) == F.col("_mark")), "left_semi")
+    left = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(name)) & (F.col(mark) == F.col(its_mark)), "left_semi")
     return left.dropDuplicates(["doc_id", mark]).select(*docs.columns)
 
 
