@@ -1,14 +1,14 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-cased words and the 5- and 6-letter pieces inside words. Of the terms in the
-labelled examples, the ``TERMS`` that lean most to the label (chi-square) make the vocabulary;
-their document frequencies are counted over all documents. Examples are ordered so that like ones are
-neighbours and cut into blocks of ``BLOCK``; the index holds, per term, its postings by block and
-the largest weight in each block. A query visits blocks by falling upper bound and stops when
-no block left can reach its k-th best cosine, so the neighbours are exact, ties going to the lower
-example. Votes weigh 1 / (distance + ``SOFT``). A monotone fit (pool adjacent violators) on examples scored
+Terms are lower-cased words and the 5- and 6-letter pieces inside words. All terms of the
+labelled examples make the vocabulary, which the bounded sample alone bounds; their document
+frequencies are counted over all documents. Examples are ordered so that like ones are
+neighbours and cut into blocks of ``BLOCK``; the index holds the postings of every term and, for
+terms in more than one of ``COMMON`` examples, the largest weight in each block. A query reads its rarer
+terms first; blocks whose upper bound stays below the k-th best of these sums are left out where few
+others remain, so the neighbours are exact, ties going to the lower example. Votes weigh 1 / (distance + ``SOFT``). A monotone fit (pool adjacent violators) on examples scored
 against all others turns votes into probabilities; a text without any neighbour gets the rate of the
-examples without one.
+examples without one, smoothed by one example of the overall rate.
 
 The labelled sample is bounded: at most ``toxic`` + ``clean`` examples, those with the smallest hash
 of the key. Index, vocabulary and calibration follow from these bounds and are broadcast.
@@ -20,21 +20,20 @@ toxic if any label says so. Without a toxic example every score is 0.
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isotherm.llm.common import drawn
 
-TERMS, BLOCK, NEAREST, SOFT = 512, 64, 15, 0.02
-LEAST_CHI = 15.0
+BLOCK, COMMON, NEAREST, SOFT = 64, 16, 15, 0.02
 PIECES = (5, 6)
 REMEMBERED = 250_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -66,8 +65,13 @@ class Vocabulary(dict):
             self[chunk] = found
         return found
 
-    def counts(self, text: str) -> Counter:
-        return Counter(i for found in map(self.__getitem__, text.lower().split()) if found for i in found)
+    def numbers(self, chunks) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(self.__getitem__, chunks)), np.int32)
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and in how many chunks of the text each occurs."""
+        terms, tf = np.unique(self.numbers(text.lower().split()), return_counts=True)
+        return terms, tf.astype(np.int32)
 
 
 _kept: list[Vocabulary] = []
@@ -75,64 +79,95 @@ _kept: list[Vocabulary] = []
 
 def vocabulary_of(terms: list[str]) -> Vocabulary:
     """The vocabulary of these terms; a worker keeps the last one with what it remembers."""
-    if not _kept or list(_kept[0].number) != terms:
+    if not _kept or len(_kept[0].number) != len(terms) or any(a != b for a, b in zip(_kept[0].number, terms, strict=True)):
         _kept[:] = [Vocabulary(terms)]
     return _kept[0]
 
 
-def weighted(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers and unit-length weights (1 + ln tf) * idf."""
-    terms = np.array(sorted(counts), dtype=np.int64)
-    w = np.array([1 + math.log(counts[t]) for t in terms.tolist()]) * idf[terms] if len(terms) else np.zeros(0)
-    norm = math.sqrt(float(w @ w))
-    return terms, w / norm if norm else w
+def damped(tf: np.ndarray) -> np.ndarray:
+    return 1 + np.log(tf)
+
+
+def weighted(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Term numbers, unit-length weights (1 + ln tf) * idf, and the length they had."""
+    w = damped(tf) * idf[terms]
+    norm = float(np.sqrt(w @ w))
+    return terms, w / norm if norm else w, norm
 
 
 class BlockMaxIndex:
-    """Postings by term and block, with the largest weight of each."""
+    """Postings by term, with the largest weight of each common term in each block.
+
+    The weight of an example's term is ``damp`` of the given value times ``per_term`` times ``per_example``.
+    Values are few, so postings hold their numbers.
+    """
 
-    def __init__(self, examples: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> None:
+    def __init__(
+        self, examples: list[tuple[np.ndarray, np.ndarray]], n_terms: int, *, damp: Callable[[np.ndarray], np.ndarray] | None = None,
+        per_term: np.ndarray | None = None, per_example: np.ndarray | None = None,
+    ) -> None:
         self.n, self.n_terms = len(examples), n_terms
         self.blocks = -(-max(self.n, 1) // BLOCK)
-        term = np.concatenate([t for t, _ in examples] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([w for _, w in examples] or [np.zeros(0)])
-        example = np.repeat(np.arange(self.n), [len(t) for t, _ in examples])
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order].astype(np.int32), weight[order]
-        cell = term[order] * self.blocks + self.example // BLOCK
-        self.start = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, self.blocks)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: np.ndarray | None = None, visit: int = 16) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest positive cosine, exactly; ``skip`` marks some as absent."""
-        none = np.zeros(0, np.int64), np.zeros(0)
-        if not len(terms):
-            return none
-        bound = weights @ self.most[terms] * (1 + 1e-12)
-        order = np.argsort(-bound, kind="stable")
-        best, scores = none
-        for at in range(0, self.blocks, visit):
-            some = order[at : at + visit]
-            some = some[bound[some] >= (scores[-1] if len(scores) == k else 1e-15)]
-            if not len(some):
-                break
-            cells = (terms[:, None] * self.blocks + some[None, :]).ravel()
-            start, size = self.start[cells], self.start[cells + 1] - self.start[cells]
-            total = int(size.sum())
-            where = np.repeat(start - np.cumsum(size) + size, size) + np.arange(total)
-            w = np.repeat(np.repeat(weights, len(some)), size) * self.weight[where]
-            place = np.repeat(np.tile(np.arange(len(some)), len(terms)), size) * BLOCK + self.example[where] % BLOCK
-            got = np.bincount(place, w, minlength=len(some) * BLOCK)
-            ids = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            hit = got > 0
+        self.per_term = np.ones(n_terms) if per_term is None else per_term
+        self.per_example = np.ones(self.n) if per_example is None else per_example
+        values = np.unique(np.concatenate([np.unique(v) for _, v in examples] or [np.zeros(0)]))
+        small = np.uint16 if len(values) <= 1 << 16 else np.uint32
+        code = np.concatenate([np.searchsorted(values, v).astype(small) for _, v in examples] or [np.zeros(0, small)])
+        self.values = damp(values) if damp else values
+        term = np.concatenate([t for t, _ in examples] or [np.zeros(0)]).astype(np.int32)
+        order = np.argsort(term, kind="stable")
+        self.code = code[order]
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in examples])[order]
+        size = np.bincount(term, minlength=n_terms)
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        common = np.flatnonzero(size * COMMON > self.n)
+        self.row = np.full(n_terms, -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        self.most = np.zeros((len(common), self.blocks))
+        self.cell = np.zeros((len(common), self.blocks + 1), dtype=np.int64)  # where a block's postings begin
+        for r, t in enumerate(common.tolist()):
+            a, b = self.start[t], self.start[t + 1]
+            at = self.example[a:b]
+            np.maximum.at(self.most[r], at // BLOCK, self.values[self.code[a:b]] * self.per_example[at])
+            self.cell[r] = a + np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
+
+    def _sums(self, weights: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """For every example the sum over the given stretches of postings."""
+        parts = [slice(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        if not parts:
+            return np.zeros(self.n)
+        example, code = (np.concatenate([x[p] for p in parts]) for x in (self.example, self.code))
+        return np.bincount(example, np.repeat(weights, end - start) * self.values[code], minlength=self.n) * self.per_example
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: np.ndarray | None = None, visit: int = 4) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest positive cosine, exactly; ``skip`` marks some as absent. Where
+        at most ``visit`` blocks can hold any of them, no other block is read for the common terms."""
+        if not len(terms) or not self.n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        weights = weights * self.per_term[terms]
+        row = self.row[terms]
+        rare, common = row < 0, row >= 0
+        total = self._sums(weights[rare], self.start[terms[rare]], self.start[terms[rare] + 1])
+        if skip is not None:
+            total[skip] = -1.0
+        if common.any():
+            w, row = weights[common], row[common]
+            least = np.partition(total, self.n - k)[self.n - k] if self.n > k else 0.0
+            padded = np.zeros(self.blocks * BLOCK)
+            padded[: self.n] = total
+            bound = (padded.reshape(-1, BLOCK).max(1) + w @ self.most[row]) * (1 + 1e-9)
+            alive = np.flatnonzero(bound >= least)
+            if len(alive) <= visit:
+                total += self._sums(np.repeat(w, len(alive)), self.cell[row][:, alive].ravel(), self.cell[row][:, alive + 1].ravel())
+                total[~np.isin(np.arange(self.n) // BLOCK, alive)] = 0.0
+            else:
+                total += self._sums(w, self.start[terms[common]], self.start[terms[common] + 1])
             if skip is not None:
-                hit &= ~np.isin(ids, skip)
-            best, scores = np.concatenate([best, ids[hit]]), np.concatenate([scores, got[hit]])
-            keep = np.lexsort((best, -scores))[:k]
-            best, scores = best[keep], scores[keep]
-        return best, scores
+                total[skip] = -1.0
+        least = np.partition(total, self.n - k)[self.n - k] if self.n > k else 0.0
+        ids = np.flatnonzero((total >= least) & (total > 0))
+        ids = ids[np.lexsort((ids, -total[ids]))[:k]]
+        return ids, total[ids]
 
 
 @dataclass
@@ -152,8 +187,9 @@ class Model:
         w = 1 / (np.maximum(1 - cosine, 0) + SOFT)
         return float(w @ self.labels[found] / w.sum()), found, cosine
 
-    def score(self, counts: Counter) -> tuple[float, list[int], list[float]]:
-        vote, found, cosine = self.vote(*weighted(counts, self.idf))
+    def score(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int], list[float]]:
+        terms, weights, _ = weighted(*counts, self.idf)
+        vote, found, cosine = self.vote(terms, weights)
         if vote is None:
             return self.alone, [], []
         return float(np.interp(vote, *self.steps)), self.keys[found].tolist(), cosine.tolist()
@@ -187,104 +223,94 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, ke
     )
 
 
-def choose_terms(examples: DataFrame, *, least: int = 4) -> list[str]:
-    """The terms that lean to the label, by chi-square over the examples."""
+def all_terms(examples: DataFrame) -> list[str]:
+    """Every term of the examples, in order. Their number is bounded by the sample."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-
-        def rows() -> pd.DataFrame:
-            both = sorted(counts[0].keys() | counts[1].keys())
-            out = pd.DataFrame({"term": pd.Series(both, dtype=object), "n0": [counts[0][t] for t in both], "n1": [counts[1][t] for t in both]})
-            counts[0].clear()
-            counts[1].clear()
-            return out
-
+        seen: set[str] = set()
         for batch in batches:
-            for t, y in zip(batch["text"], batch["y"], strict=True):
-                counts[y].update({x for c in set(t.lower().split()) for x in terms_of(c)})
-            if len(counts[0]) + len(counts[1]) > 500_000:
-                yield rows()
-        yield rows()
-
-    sizes = {r.y: r.n for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    if not n1:
-        return []
-    sums = (
-        examples.select("text", "y").mapInPandas(tally, "term string, n0 long, n1 long")
-        .groupBy("term").agg(F.sum("n0").cast("double").alias("b"), F.sum("n1").cast("double").alias("a"))
-        .filter((F.col("a") + F.col("b") >= least) & (F.col("a") * n0 > F.col("b") * n1))
-    )
-    a, b = F.col("a"), F.col("b")
-    chi = (a * (n0 - b) - b * (n1 - a)) ** 2 / ((a + b) * (n1 + n0 - a - b) + 1e-9)
-    # chi lacks the constant factor (n1 + n0) / (n1 * n0)
-    lean = sums.withColumn("chi", chi * ((n1 + n0) / max(n1 * n0, 1.0))).filter(F.col("chi") >= LEAST_CHI)
-    return [r.term for r in lean.orderBy(F.desc("chi"), "term").limit(TERMS).collect()]
+            for t in batch["text"]:
+                for c in set(t.lower().split()):
+                    seen |= terms_of(c)
+            if len(seen) > 500_000:
+                yield pd.DataFrame({"term": pd.Series(list(seen), dtype=object)})
+                seen.clear()
+        yield pd.DataFrame({"term": pd.Series(list(seen), dtype=object)})
 
+    return sorted(examples.select("text").mapInPandas(tally, "term string").distinct().toArrow()["term"].to_pylist())
 
-def document_frequencies(docs: DataFrame, terms: list[str], *, text: str) -> tuple[int, np.ndarray]:
+
+def document_frequencies(docs: DataFrame, terms: Broadcast, *, text: str) -> tuple[int, np.ndarray]:
     """Number of documents, and of documents with each term, over the whole table."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, counts, n = vocabulary_of(terms), np.zeros(len(terms), np.int64), 0
+        vocabulary = vocabulary_of(terms.value)
+        counts, n = np.zeros(len(vocabulary.number), np.int64), 0
         for batch in batches:
             n += len(batch)
             for t in batch["t"]:
                 if t:
                     # the set of chunks is enough to tell which terms occur
-                    counts[list({i for c in set(t.lower().split()) for i in vocabulary[c]})] += 1
-        yield pd.DataFrame({"term": range(-1, len(terms)), "n": [n, *counts.tolist()]})
+                    counts[np.unique(vocabulary.numbers(set(t.lower().split())))] += 1
+        some = np.flatnonzero(counts)
+        yield pd.DataFrame({"term": np.append(some, -1).astype(np.int32), "n": np.append(counts[some], n)})
 
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    found = {r.term: r.n for r in rows}
-    return found.get(-1, 0), np.array([found.get(i, 0) for i in range(len(terms))], dtype=np.float64)
+    rows = docs.select(F.col(text).alias("t")).mapInPandas(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    term, n = (rows[c].to_numpy() for c in ("term", "n"))
+    df = np.zeros(len(terms.value))
+    df[term[term >= 0]] = n[term >= 0]
+    return int(n[term < 0].sum()), df
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, text: str = "text", key: str = "doc_id",
     toxic: int = 4_000, clean: int = 8_000, calibrate: int = 3_000,
 ) -> Model:
-    """Choose terms, weigh them over all documents, index the examples and calibrate.
+    """Weigh the examples' terms over all documents, index the examples and calibrate.
 
     ``learn`` says which rows of ``labels`` may be learned from; ``calibrate`` bounds the
     examples that are scored against the others.
     """
     examples = labelled(docs, labels, F.lit(True) if learn is None else learn, text=text, key=key, toxic=toxic, clean=clean)
-    terms = choose_terms(examples)
-    n, df = document_frequencies(docs, terms, text=text) if terms else (0, np.zeros(0))
+    terms = all_terms(examples) if examples.filter("y = 1").limit(1).count() else []
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    n, df = document_frequencies(docs, shared, text=text) if terms else (0, np.zeros(0))
     idf = np.log((1 + n) / (1 + df)) + 1
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = vocabulary_of(terms)
+        vocabulary = vocabulary_of(shared.value)
         for batch in batches:
             counts = [vocabulary.counts(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "key": batch["key"], "y": batch["y"],
-                "terms": [sorted(c) for c in counts], "tf": [[c[i] for i in sorted(c)] for c in counts],
+                "key": batch["key"], "y": batch["y"], "terms": [t.tobytes() for t, _ in counts], "tf": [tf.tobytes() for _, tf in counts],
             })
 
-    rows = examples.mapInPandas(counted, "key long, y int, terms array<int>, tf array<int>").collect() if terms else []
+    rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").collect() if terms else []
+    shared.unpersist()
     ready = []
     for r in rows:
-        t, w = weighted(Counter(dict(zip(r.terms, r.tf, strict=True))), idf)
+        held, t, tf = bytes(r.terms), np.frombuffer(r.terms, np.int32), np.frombuffer(r.tf, np.int32)
         if len(t):
-            ready.append((int(t[np.argmax(w)]), tuple(t.tolist()), r.key, r.y, t, w))
+            _, w, norm = weighted(t, tf, idf)
+            ready.append((int(t[np.argmax(w)]), held, r.key, r.y, t, tf, norm))
     ready.sort(key=lambda x: x[:4])  # by strongest term, so that a block holds like examples
     labels_ = np.array([x[3] for x in ready], dtype=np.float64)
+    index = BlockMaxIndex(
+        [(t, tf) for *_, t, tf, _ in ready], len(terms), damp=damped, per_term=idf, per_example=1 / np.array([x[-1] for x in ready]),
+    )
     model = Model(
-        terms, idf, BlockMaxIndex([(t, w) for *_, t, w in ready], len(terms)), labels_,
-        np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0,
+        terms, idf, index, labels_, np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0,
     )
     bare = [r.y for r in rows if not r.terms]
-    model.alone = (sum(bare) + 0.5) / (len(bare) + 1) * bool(terms)
+    if rows:
+        model.alone = (sum(bare) + sum(r.y for r in rows) / len(rows)) / (len(bare) + 1)
     votes, truth = [], []
     for i in np.linspace(0, len(ready) - 1, min(calibrate, len(ready))).astype(int).tolist():
-        t, w = ready[i][4:]
+        t, w, _ = weighted(*ready[i][4:6], idf)
         same = [i]
-        for step in (-1, 1):  # copies of the example, which stand next to it, don't vote on it
+        for step in (-1, 1):  # rows of the same key don't vote on it; other copies do, as they do on a new text
             j = i + step
-            while 0 <= j < len(ready) and ready[j][1] == ready[i][1] and np.allclose(ready[j][5], w):
+            while 0 <= j < len(ready) and ready[j][1:3] == ready[i][1:3]:
                 same.append(j)
                 j += step
         vote, _, _ = model.vote(t, w, np.array(same))

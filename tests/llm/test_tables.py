@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -295,3 +296,50 @@ def test_scores_of_held_out_texts(spark, docs_of):
     assert got[1002].neighbours and all(i % 4 == 0 for i in got[1002].neighbours)
     none = toxicity.fit(docs, labels.limit(0))
     assert {r.r.score for r in docs.select(toxicity.scorer(docs, none)(F.col("text")).alias("r")).collect()} == {0.0}
+
+
+def test_every_term_and_example_counts(spark, docs_of):
+    """A toxic word beyond any short list, in few toxic examples; neighbours as by brute force."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(4))
+    common, strong, rare = ([word() for _ in range(n)] for n in (300, 90, 14))
+    rows = []
+    for i in range(600):
+        w = rnd.choices(common, k=12)
+        if i % 3 == 0:
+            w += [rnd.choice(strong)] * 2 if i % 2 else [rare[(i // 6) % 14]] * 2
+        rows.append((i, " ".join(w)))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    asked = [(1000 + i, f"{w} {w}") for i, w in enumerate(rare)] + [(2000, "clean " + " ".join(common[:8]))]
+    docs = docs_of([*rows, *asked])
+    model = toxicity.fit(docs, labels, learn=F.col("doc_id") < 600)
+    assert model.index.n == 600
+    score = toxicity.scorer(docs, model)
+    got = {r.doc_id: r.r for r in docs.select("doc_id", score(F.col("text")).alias("r")).collect()}
+    found = [i for i, _ in asked[:14]]
+    for i, w in asked[:14]:
+        own = [j for j, t in rows if w.split()[0] in t.split()]
+        assert set(got[i].neighbours[: len(own)]) == set(own) and got[i].score > got[2000].score
+
+    counts = {i: Counter(x for c in t.split() for x in toxicity.terms_of(c)) for i, t in [*rows, *asked]}
+    df = Counter(x for c in counts.values() for x in c)
+    known = {x for i, _ in rows for x in counts[i]}
+
+    def unit(i):
+        w = {x: (1 + math.log(n)) * (math.log((1 + len(counts)) / (1 + df[x])) + 1) for x, n in counts[i].items() if x in known}
+        size = math.sqrt(sum(v * v for v in w.values()))
+        return {x: v / size for x, v in w.items()}
+
+    units = {i: unit(i) for i, _ in rows}
+    for i in (0, 1, 2, found[0], found[-1], 2000):
+        q = unit(i)
+        cosine = {j: sum(v * u.get(x, 0.0) for x, v in q.items()) for j, u in units.items()}
+        best = sorted((c for c in cosine.values() if c > 0), reverse=True)[: toxicity.NEAREST]
+        assert got[i].cosines == pytest.approx(best)
+        assert [cosine[j] for j in got[i].neighbours] == pytest.approx(best)
+    alike = toxicity.BlockMaxIndex([(np.arange(3), np.ones(3))] * 200 + [(np.array([3]), np.ones(1))], 5)
+    assert alike.nearest(np.array([3]), np.ones(1), 3)[0].tolist() == [200]
+    assert alike.nearest(np.array([0, 3]), np.ones(2), 3)[0].tolist() == [0, 1, 2]
