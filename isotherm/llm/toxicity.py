@@ -6,12 +6,14 @@ frequencies are counted over all documents. Examples are ordered so that like on
 neighbours and cut into blocks of ``BLOCK``; the index holds the postings of every term and, for
 terms in more than one of ``COMMON`` examples, the largest weight in each block. A query reads its rarer
 terms first; blocks whose upper bound stays below the k-th best of these sums are left out where few
-others remain, so the neighbours are exact, ties going to the lower example. Votes weigh 1 / (distance + ``SOFT``). A monotone fit (pool adjacent violators) on examples scored
+others remain, so the neighbours are exact, ties going to the lower example. Votes weigh 1 / (distance + ``SOFT``) times the example's weight. A monotone fit (pool adjacent violators) on examples scored
 against all others turns votes into probabilities; a text without any neighbour gets the rate of the
 examples without one, smoothed by one example of the overall rate.
 
 The labelled sample is bounded: at most ``toxic`` + ``clean`` examples, those with the smallest hash
-of the key. Index, vocabulary and calibration follow from these bounds and are broadcast.
+of the key. Index, vocabulary and calibration follow from these bounds and are broadcast. An
+example weighs the inverse of its class's drawing share (1 on average) in votes, in the monotone fit and in the
+score without a neighbour, so scores mean rates among all labels, whatever the bounds.
 
 Defined cases: null and empty texts have no terms and get the score of texts without a
 neighbour. An example with a null label or text is no example; a document labelled twice counts as
@@ -179,13 +181,15 @@ class Model:
     keys: np.ndarray
     steps: tuple[np.ndarray, np.ndarray]  # votes and the scores they stand for
     alone: float  # score without a neighbour
+    shares: tuple[float, float]  # weight of a clean and of a toxic example
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, skip: np.ndarray | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
         found, cosine = self.index.nearest(terms, weights, NEAREST, skip)
         if not len(found):
             return None, found, cosine
-        w = 1 / (np.maximum(1 - cosine, 0) + SOFT)
-        return float(w @ self.labels[found] / w.sum()), found, cosine
+        y = self.labels[found]
+        w = np.where(y > 0, self.shares[1], self.shares[0]) / (np.maximum(1 - cosine, 0) + SOFT)
+        return float(w @ y / w.sum()), found, cosine
 
     def score(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int], list[float]]:
         terms, weights, _ = weighted(*counts, self.idf)
@@ -195,32 +199,40 @@ class Model:
         return float(np.interp(vote, *self.steps)), self.keys[found].tolist(), cosine.tolist()
 
 
-def monotone(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators; each pool's rate is smoothed by one example of either label."""
+def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators of weighted labels; each pool's rate is smoothed by one example of the overall rate."""
     order = np.argsort(x, kind="stable")
-    pools: list[list[float]] = []  # votes, labels, size
-    for v, l in zip(x[order], y[order], strict=True):
-        pools.append([v, float(l), 1.0])
+    weight = np.ones(len(x)) if weight is None else weight
+    overall = float(weight @ y / weight.sum())
+    pools: list[list[float]] = []  # votes, labels, size, all weighted
+    for v, l, w in zip(x[order], y[order], weight[order], strict=True):
+        pools.append([v * w, float(l * w), float(w)])
         while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
             v2, l2, n2 = pools.pop()
             pools[-1] = [pools[-1][0] + v2, pools[-1][1] + l2, pools[-1][2] + n2]
     at = np.array([p[0] / p[2] for p in pools])
-    rate = np.maximum.accumulate([(p[1] + 0.5) / (p[2] + 1) for p in pools])
+    rate = np.maximum.accumulate([(p[1] + overall) / (p[2] + 1) for p in pools])
     return at, rate
 
 
-def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, key: str, toxic: int, clean: int) -> DataFrame:
-    """The bounded sample of examples: key, text, label."""
+def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, key: str, toxic: int, clean: int) -> tuple[DataFrame, tuple[float, float]]:
+    """The bounded sample of examples (key, text, label), and the weight of a clean and of a toxic
+    one: known / drawn labels of the class, 1 on average over the drawn."""
     marked = (
         labels.filter(F.col("toxic").isNotNull() & F.col(key).isNotNull() & learn)
         .groupBy(key).agg(F.max("toxic").alias("y"))
     )
     chosen = drawn(marked.filter("y > 0"), toxic, key).union(drawn(marked.filter("y <= 0"), clean, key))
     chosen = chosen.select(F.col(key).alias("_k"), (F.col("y") > 0).cast("int").alias("_y"))
+    sizes = lambda rows: {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known, got = sizes(marked.select((F.col("y") > 0).cast("int").alias("y"))), sizes(chosen.select(F.col("_y").alias("y")))
+    even = sum(got.values()) / max(1, sum(known.get(y, 0) for y in got))
+    weights = tuple(even * known.get(y, 0) / got[y] if got.get(y) else 1.0 for y in (0, 1))
     # at most toxic + clean narrow rows
-    return docs.join(F.broadcast(chosen), F.col(key) == F.col("_k")).filter(F.col(text).isNotNull()).select(
+    examples = docs.join(F.broadcast(chosen), F.col(key) == F.col("_k")).filter(F.col(text).isNotNull()).select(
         F.col("_k").alias("key"), F.col(text).alias("text"), F.col("_y").alias("y")
     )
+    return examples, weights
 
 
 def all_terms(examples: DataFrame) -> list[str]:
@@ -271,7 +283,7 @@ def fit(
     ``learn`` says which rows of ``labels`` may be learned from; ``calibrate`` bounds the
     examples that are scored against the others.
     """
-    examples = labelled(docs, labels, F.lit(True) if learn is None else learn, text=text, key=key, toxic=toxic, clean=clean)
+    examples, shares = labelled(docs, labels, F.lit(True) if learn is None else learn, text=text, key=key, toxic=toxic, clean=clean)
     terms = all_terms(examples) if examples.filter("y = 1").limit(1).count() else []
     shared = docs.sparkSession.sparkContext.broadcast(terms)
     n, df = document_frequencies(docs, shared, text=text) if terms else (0, np.zeros(0))
@@ -299,11 +311,12 @@ def fit(
         [(t, tf) for *_, t, tf, _ in ready], len(terms), damp=damped, per_term=idf, per_example=1 / np.array([x[-1] for x in ready]),
     )
     model = Model(
-        terms, idf, index, labels_, np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0,
+        terms, idf, index, labels_, np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0, shares,
     )
-    bare = [r.y for r in rows if not r.terms]
     if rows:
-        model.alone = (sum(bare) + sum(r.y for r in rows) / len(rows)) / (len(bare) + 1)
+        rate = sum(shares[1] * r.y for r in rows) / sum(shares[r.y] for r in rows)
+        bare = [r.y for r in rows if not r.terms]
+        model.alone = (shares[1] * sum(bare) + rate) / (sum(shares[y] for y in bare) + 1)
     votes, truth = [], []
     for i in np.linspace(0, len(ready) - 1, min(calibrate, len(ready))).astype(int).tolist():
         t, w, _ = weighted(*ready[i][4:6], idf)
@@ -318,7 +331,7 @@ def fit(
             votes.append(vote)
             truth.append(labels_[i])
     if votes:
-        model.steps = monotone(np.array(votes), np.array(truth))
+        model.steps = monotone(np.array(votes), np.array(truth), np.where(np.array(truth) > 0, shares[1], shares[0]))
     return model
 
 

@@ -214,7 +214,7 @@ def test_binomial_tail():
 
 
 def test_shards_are_even_and_gapless(docs_of):
-    hot = [(i, "hot text " * 30 if i % 3 == 0 else f"{i} " * (i % 40)) for i in range(3000)]
+    hot = [(i, "hot text " * 30 if i % 3 == 0 else f"{i} " * (i % 40)) for i in range(6000)]
     got = sharding.placed(docs_of([*hot, (1, None), (1, None), (None, "a")])).collect()
     size, slots, where = defaultdict(int), defaultdict(list), defaultdict(set)
     for r in got:
@@ -343,3 +343,22 @@ def test_every_term_and_example_counts(spark, docs_of):
     alike = toxicity.BlockMaxIndex([(np.arange(3), np.ones(3))] * 200 + [(np.array([3]), np.ones(1))], 5)
     assert alike.nearest(np.array([3]), np.ones(1), 3)[0].tolist() == [200]
     assert alike.nearest(np.array([0, 3]), np.ones(2), 3)[0].tolist() == [0, 1, 2]
+
+
+def test_drawing_shares_are_weighed_back(spark, docs_of):
+    """One text in ten is toxic, and nothing in the texts tells which; drawn are as many of either."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("bcdfgklm") + rnd.choice("aeiou") for _ in range(2))
+    words = [word() for _ in range(60)]
+    docs = docs_of([(i, " ".join(rnd.choices(words, k=8)) if i % 4 else "") for i in range(6000)])
+    labels = spark.createDataFrame([(i, 1, int(rnd.random() < 0.1)) for i in range(6000)], "doc_id long, quality int, toxic int")
+    learn = F.col("doc_id") < 4000
+    rate = labels.filter(learn).agg(F.avg("toxic")).head()[0]
+    model = toxicity.fit(docs, labels, learn=learn, toxic=300, clean=300)
+    assert model.alone == pytest.approx(rate, abs=0.05)
+    score = toxicity.scorer(docs, model)
+    got = [r.r.score for r in docs.filter("doc_id >= 4000 AND text <> ''").select(score(F.col("text")).alias("r")).collect()]
+    assert sum(got) / len(got) == pytest.approx(rate, abs=0.08)
+    assert sum(s >= 0.5 for s in got) < 0.05 * len(got)
