@@ -87,7 +87,7 @@ def vocabulary_of(terms: list[str]) -> Vocabulary:
 
 
 def damped(tf: np.ndarray) -> np.ndarray:
-    return 1 + np.log(tf)
+    return 1 + np.log(tf, dtype=np.float64)
 
 
 def weighted(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -114,14 +114,18 @@ class BlockMaxIndex:
         self.per_example = np.ones(self.n) if per_example is None else per_example
         values = np.unique(np.concatenate([np.unique(v) for _, v in examples] or [np.zeros(0)]))
         small = np.uint16 if len(values) <= 1 << 16 else np.uint32
-        code = np.concatenate([np.searchsorted(values, v).astype(small) for _, v in examples] or [np.zeros(0, small)])
         self.values = damp(values) if damp else values
-        term = np.concatenate([t for t, _ in examples] or [np.zeros(0)]).astype(np.int32)
-        order = np.argsort(term, kind="stable")
-        self.code = code[order]
-        self.example = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in examples])[order]
-        size = np.bincount(term, minlength=n_terms)
+        size = np.zeros(n_terms, dtype=np.int64)
+        for t, _ in examples:
+            size[t] += 1  # a term occurs once in an example
         self.start = np.concatenate([[0], np.cumsum(size)])
+        self.example = np.empty(int(self.start[-1]), dtype=np.int32)
+        self.code = np.empty(len(self.example), dtype=small)
+        free = self.start[:-1].copy()
+        for i, (t, v) in enumerate(examples):
+            at = free[t]
+            self.example[at], self.code[at] = i, np.searchsorted(values, v)
+            free[t] += 1
         common = np.flatnonzero(size * COMMON > self.n)
         self.row = np.full(n_terms, -1, dtype=np.int32)
         self.row[common] = np.arange(len(common))
@@ -299,9 +303,12 @@ def fit(
 
     rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").collect() if terms else []
     shared.unpersist()
-    ready = []
-    for r in rows:
-        held, t, tf = bytes(r.terms), np.frombuffer(r.terms, np.int32), np.frombuffer(r.tf, np.int32)
+    ready, ys, bare = [], [r.y for r in rows], [r.y for r in rows if not r.terms]
+    while rows:  # each row is given up as it is read
+        r = rows.pop()
+        held, tf = bytes(r.terms), np.frombuffer(r.tf, np.int32)
+        t = np.frombuffer(held, np.int32)
+        tf = tf.astype(np.uint16 if tf.max(initial=0) < 1 << 16 else np.int32)
         if len(t):
             _, w, norm = weighted(t, tf, idf)
             ready.append((int(t[np.argmax(w)]), held, r.key, r.y, t, tf, norm))
@@ -313,9 +320,8 @@ def fit(
     model = Model(
         terms, idf, index, labels_, np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0, shares,
     )
-    if rows:
-        rate = sum(shares[1] * r.y for r in rows) / sum(shares[r.y] for r in rows)
-        bare = [r.y for r in rows if not r.terms]
+    if ys:
+        rate = shares[1] * sum(ys) / sum(shares[y] for y in ys)
         model.alone = (shares[1] * sum(bare) + rate) / (sum(shares[y] for y in bare) + 1)
     votes, truth = [], []
     for i in np.linspace(0, len(ready) - 1, min(calibrate, len(ready))).astype(int).tolist():
