@@ -243,7 +243,7 @@ def train(examples: list[tuple[str, int, int, int]], *, seed: int = 5, epochs: i
         return net
     kept = next((k for k in range(len(scores)) if binomial_lower(k, len(scores), risk) >= recall), None)
     kept = kept if kept is not None else int(np.ceil(recall * len(scores)))
-    net.threshold = float(min(0.999, max(0.5, scores[len(scores) - kept])))
+    net.threshold = float(scores[len(scores) - kept])
     return net
 
 

@@ -100,3 +100,20 @@ def test_columns_over_odd_rows(spark, docs_of):
     assert (None, "assign:0:24,hex:8:24") in got and (1, "") in got
     hidden = docs.select(pii.redactor(docs, pii.train(pii.written_forms(each=3)))(F.col("text")).alias("t")).collect()
     assert {r.t for r in hidden} >= {None, "", "write [EMAIL]"}
+
+
+def test_threshold_below_one_half_keeps_the_recall():
+    """Half of the secrets look like the four times as many other tokens: only a low threshold keeps them."""
+    rnd = random.Random(6)
+    token = lambda letters: "".join(rnd.choice(letters) for _ in range(20))
+    examples = []
+    for i in range(600):
+        t = token("ABCDEF0123456789") if i % 10 == 0 else token("ghijklmnop0123456789")
+        examples.append((t, 0, len(t), int(i % 10 == 0 or i % 10 == 1)))
+    net = secret_scan.train(examples, epochs=4)
+    mixed = sorted(set(examples))
+    random.Random(5).shuffle(mixed)
+    held = [e for e in mixed[::3] if e[3]]
+    scores = net.scores([(*secret_scan.coded(t, s, e), e - s) for t, s, e, _ in held])
+    assert net.threshold < 0.5
+    assert (scores >= net.threshold - 1e-12).mean() >= 0.95
