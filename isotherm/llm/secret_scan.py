@@ -1,7 +1,7 @@
 """Secrets: fixed patterns plus spans that a character convolutional network adds.
 
 The patterns of ``base_spans`` always stand. A candidate is every token of at least
-``SHORTEST`` characters out of letters, digits and ``+/_.=-`` that holds a letter and a digit.
+``SHORTEST`` characters out of letters, digits and ``+/_.=-``, with or without digits.
 The network reads the whole candidate and ``BESIDE`` characters on either side: a convolution
 over characters and their types, the maxima inside and beside the candidate, one hidden layer,
 one logit. It is trained here in numpy on labelled findings: what the patterns find, and what
@@ -40,11 +40,9 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
-_DIGITS = re.compile(r"[0-9]+")
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
-_LETTERS = string.ascii_letters + string.digits + "+/_.=-"
-_IN_TOKEN = frozenset(_LETTERS)
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+# read from the left, so a match begins where its token does
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -70,16 +68,8 @@ def written(spans: list[Span]) -> str:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    done = 0
-    for m in _DIGITS.finditer(text):
-        if m.start() < done:
-            continue
-        start = m.start()
-        while start > done and text[start - 1] in _IN_TOKEN:
-            start -= 1
-        done = _TOKEN.match(text, start).end()
-        if done - start >= SHORTEST and any(c.isalpha() for c in text[start:done]):
-            yield start, done
+    for m in _CANDIDATE.finditer(text):
+        yield m.span()
 
 
 # ---- the network --------------------------------------------------------------------------
@@ -262,6 +252,7 @@ def written_findings(seed: int = 3, each: int = 70) -> list[tuple[str, int, int,
         (1, lambda: "eyJ" + some(alnum, 17) + "." + some(alnum, 40) + "." + some(alnum + "_-", 43)),
         (1, lambda: some(b64, rnd.choice((24, 32, 40, 64))) + rnd.choice(("", "=", "=="))),
         (1, lambda: some(alnum, rnd.randrange(20, 48))), (1, lambda: some("0123456789ABCDEF", 32)),
+        (1, lambda: some(string.ascii_letters, rnd.randrange(14, 41))), (1, lambda: some(string.digits, rnd.randrange(20, 41))),
         (1, lambda: "AKIA" + some(string.ascii_uppercase + string.digits, 16)), (1, lambda: some("0123456789abcdef", 40)),
         (0, lambda: f"{word()}{rnd.randrange(1, 99)}.{word()}.{word()}"), (0, lambda: f"{word()}-{word()}-{rnd.randrange(1, 2030)}"),
         (0, lambda: f"{word()}_{word()}_{rnd.randrange(1, 99)}.{rnd.choice(('txt', 'py', 'html', 'csv'))}"),
@@ -271,12 +262,16 @@ def written_findings(seed: int = 3, each: int = 70) -> list[tuple[str, int, int,
         (0, lambda: f"{word()}.{word()}{rnd.randrange(9)}.example.{rnd.choice(('com', 'org', 'net'))}"),
         (0, lambda: f"v{rnd.randrange(9)}.{rnd.randrange(99)}.{rnd.randrange(99)}-{word()}{rnd.randrange(9)}"),
         (0, lambda: f"{word()}{word()}{word()}{rnd.randrange(9)}{word()}"),
+        (0, lambda: f"{word()}{word()}{word()}{rnd.choice(('', '.', '...'))}"), (0, lambda: (word() + word() + word()).capitalize()),
+        (0, lambda: f"{word()}-{word()}-{word()}"), (0, lambda: f"{word()}_{word()}.{word()}"), (0, lambda: rnd.choice("-=_.") * rnd.randrange(12, 60)),
+        (0, lambda: f"20{some(string.digits, 2)}-0{rnd.randrange(1, 9)}-1{rnd.randrange(9)}.{some(string.digits, 2)}.{some(string.digits, 2)}"),
+        (0, lambda: f"{rnd.randrange(1, 9)}.{some(string.digits, 12)}"), (0, lambda: f"20{some(string.digits, 2)}0{rnd.randrange(1, 9)}1{some(string.digits, 7)}"),
     ]
     out = []
     for label, make in makers:
         for _ in range(each):
             body = make()
-            if len(body) < SHORTEST or not any(c.isdigit() for c in body):
+            if len(body) < SHORTEST:
                 continue
             before = " ".join(word() for _ in range(rnd.randrange(4))) + rnd.choice((" ", "\n", " (", ' "', " key: ", "@" if not label else " "))
             after = rnd.choice((" ", ". ", '"', ")", "\n", "")) + " ".join(word() for _ in range(rnd.randrange(4)))

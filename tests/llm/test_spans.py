@@ -117,3 +117,22 @@ def test_threshold_below_one_half_keeps_the_recall():
     scores = net.scores([(*secret_scan.coded(t, s, e), e - s) for t, s, e, _ in held])
     assert net.threshold < 0.5
     assert (scores >= net.threshold - 1e-12).mean() >= 0.95
+
+
+def test_keys_without_a_digit_or_a_letter_are_found():
+    """Recall over whole texts, before any candidate is made."""
+    net = secret_scan.train(secret_scan.written_findings(each=40), epochs=6)
+    rnd = random.Random(21)
+    some = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for make in (lambda: some(letters, 24), lambda: some("0123456789", 28)):
+        hits = 0
+        for _ in range(40):
+            body = make()
+            t = "the key is " + body + " for now"
+            tokens = list(secret_scan.candidates(t))
+            hits += (11, 11 + len(body)) in tokens and net.scores([(*secret_scan.coded(t, 11, 11 + len(body)), len(body))])[0] >= net.threshold
+        assert hits >= 32
+    plain = "misunderstanding of internationalisation, well-established - straightforward responsibilities"
+    tokens = list(secret_scan.candidates(plain))
+    assert [plain[a:b] for a, b in tokens] == ["misunderstanding", "internationalisation", "well-established", "straightforward", "responsibilities"]
