@@ -1,7 +1,7 @@
 """Personal data: fixed patterns plus spans from a semi-Markov conditional random field.
 
 The patterns of ``base_spans`` always stand. Beside them a semi-Markov CRF reads every stretch
-that holds a digit or an at sign no pattern has covered. Candidate segments of up to
+of tokens that a segment around a digit or an at sign no pattern has covered can reach. Candidate segments of up to
 ``LONGEST`` tokens get a score from features of the whole span (its shape, its number of
 digits, check sum, dotted quad, address form, neighbours); a dynamic programme over the bounded
 segments then chooses boundaries and types together. Stretches are cut where no segment can
@@ -40,8 +40,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]")
-# it begins where a token does, so a long token without a mark is read once
-_STRETCH = re.compile(r"(?<!\S)\S*[0-9@]\S*(?:[ \t]\S*[0-9@]\S*)*")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|[^\s]")
 
 
@@ -121,7 +119,11 @@ def features(text: str, start: int, end: int) -> list[str]:
         f"runs={','.join(str(len(r)) for r in re.findall('[0-9]+', s)[:6])}" if "@" not in s else "at",
     ]
     if len(digits) >= 12:
-        out.append(f"luhn={luhn(digits)}")
+        out += [f"luhn={luhn(digits)}", f"luhn={luhn(digits)} {out[-1]}"]
+    if "@" not in s:
+        out.append(f"words={'a' in shape} {out[5]}")
+    if any(c.isspace() for c in s):
+        out.append(f"dense={''.join(shape.split())}")
     if shape == "9.9.9.9":
         out.append(f"quad={all(map(_octet, s.split('.')))}")
     if "@" in s:
@@ -135,14 +137,16 @@ def segments(text: str, bounds: list[int]) -> list[tuple[int, int, list[str]]]:
     """Candidate segments as token positions: no white space at the ends, four digits or an at
     sign inside."""
     out, n = [], len(bounds) - 1
+    tokens = [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    marks, blank = [0], [t.isspace() for t in tokens]
+    for t in tokens:  # an at sign counts as four digits
+        marks.append(marks[-1] + (4 if t == "@" else len(_digits(t))))
     for i in range(n):
-        if text[bounds[i]].isspace():
+        if blank[i]:
             continue
         for j in range(i + 1, min(n, i + LONGEST) + 1):
-            s = text[bounds[i] : bounds[j]]
-            if s[-1].isspace() or not ("@" in s or len(_digits(s)) >= 4):
-                continue
-            out.append((i, j, features(text, bounds[i], bounds[j])))
+            if not blank[j - 1] and marks[j] - marks[i] >= 4:
+                out.append((i, j, features(text, bounds[i], bounds[j])))
     return out
 
 
@@ -238,18 +242,24 @@ def train(examples: list[tuple[str, list[Span]]], *, epochs: int = 4, rate: floa
 
 
 def stretches(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
-    """Stretches with a digit or an at sign outside the spans."""
-    for m in _STRETCH.finditer(text):
-        start, end = m.span()
-        inside = [s for s in spans if s[0] < end and s[1] > start]
-        if not inside:
-            yield start, end
-            continue
-        at = start
-        for s in [*inside, (end, end, "")]:
-            if at < s[0] and _MARK.search(text, at, s[0]):
-                yield at, s[0]
-            at = max(at, s[1])
+    """Stretches outside the spans that hold all segments: the ``LONGEST`` - 1 tokens on either side of
+    each digit or at sign, joined where they meet."""
+    at = 0
+    for s in [*spans, (len(text), len(text), "")]:
+        if at < s[0] and _MARK.search(text, at, s[0]):
+            bounds = _bounds(text, at, s[0])
+            first = last = -1
+            for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                if not _MARK.search(text, a, b):
+                    continue
+                if first >= 0 and i - LONGEST + 1 > last:
+                    yield bounds[first], bounds[last]
+                    first = -1
+                if first < 0:
+                    first = max(0, i - LONGEST + 1)
+                last = min(len(bounds) - 1, i + LONGEST)
+            yield bounds[first], bounds[last]
+        at = max(at, s[1])
 
 
 def find(text: str, weights: Weights) -> tuple[list[Span], list[Span]]:
@@ -277,11 +287,23 @@ def written_forms(seed: int = 11, each: int = 30) -> list[tuple[str, list[Span]]
     n = lambda k: "".join(rnd.choice("0123456789") for _ in range(k))
     octet = lambda: str(rnd.randrange(256))
     name = lambda: "".join(rnd.choice("abcdefghijklmnoprstu") for _ in range(rnd.randrange(3, 8)))
+    gap = lambda: rnd.choice(("  ", "\n", " \n", "\t"))
+    prose = lambda: " ".join(name() for _ in range(rnd.randrange(1, 4)))
     makers = [
         ("phone", lambda: f"({n(3)}) {n(3)}-{n(4)}"),
         ("phone", lambda: f"{n(3)}-{n(3)}-{n(4)}"),
         ("phone", lambda: f"{n(3)}.{n(3)}.{n(4)}"),
         ("phone", lambda: f"+{rnd.randrange(1, 99)} ({n(3)}) {n(3)}-{n(4)}"),
+        ("phone", lambda: f"({n(3)}) {n(3)} - {n(4)}"),
+        ("phone", lambda: f"({n(3)}){gap()}{n(3)}-{n(4)}"),
+        ("phone", lambda: f"{n(3)}{gap()}{n(3)}{gap()}{n(4)}"),
+        ("card", lambda: re.sub(r"(\d{4})(?=\d)", r"\1 - ", _card_number(rnd, True))),
+        ("card", lambda: re.sub(r"(\d{4})(?=\d)", lambda m: m[1] + gap(), _card_number(rnd, True))),
+        ("email", lambda: f"{name()} @ {name()}.com"),
+        ("email", lambda: f"{name()}{gap()}@{gap()}{name()}.example.org"),
+        (None, lambda: re.sub(r"(\d{4})(?=\d)", r"\1 - ", _card_number(rnd, False))),
+        (None, lambda: f"{name()} 19{n(2)} {name()} {name()} {n(2)} {name()}"),
+        (None, lambda: f"{name()} {n(1)} {name()} {n(3)}, {name()} 20{n(2)}"),
         ("card", lambda: re.sub(r"(\d{4})(?=\d)", r"\1.", _card_number(rnd, True))),
         ("card", lambda: re.sub(r"(\d{4})(?=\d)", r"\1 ", _card_number(rnd, True))),
         ("card", lambda: _card_number(rnd, True)),
@@ -306,6 +328,8 @@ def written_forms(seed: int = 11, each: int = 30) -> list[tuple[str, list[Span]]
         for _ in range(each):
             before, after = rnd.choice(("", f"{n(2)} ", "(", '"', "x1 ")), rnd.choice(("", ".", ",", ")", f" {n(3)}", "***"))
             body = make()
+            if rnd.random() < 0.5 and not ("@" in body and body[0] != "@" and " " in body):
+                before, after = prose() + rnd.choice((" ", ": ", "\n")) + before, after + rnd.choice((" ", "\n", ". ")) + prose()
             text = before + body + after
             out.append((text, [(len(before), len(before) + len(body), kind)] if kind else []))
     return out
@@ -320,7 +344,7 @@ def fit(docs: DataFrame, *, text: str = "text", train_docs: int = 4_000, most: i
             found = []
             for t in batch["t"]:
                 if t and _MARK.search(t):
-                    found += [s for _, s in zip(range(4), (m[0] for m in _STRETCH.finditer(t) if m.end() - m.start() <= 200), strict=False)]
+                    found += [s for _, s in zip(range(4), (t[a:b] for a, b in stretches(t, []) if b - a <= 400), strict=False)]
             yield pd.DataFrame({"s": pd.Series(found, dtype=object)})
 
     sample = drawn(docs.select(F.col(text).cast("string").alias("t")), train_docs, "t").mapInPandas(extract, "s string")

@@ -136,3 +136,25 @@ def test_keys_without_a_digit_or_a_letter_are_found():
     plain = "misunderstanding of internationalisation, well-established - straightforward responsibilities"
     tokens = list(secret_scan.candidates(plain))
     assert [plain[a:b] for a, b in tokens] == ["misunderstanding", "internationalisation", "well-established", "straightforward", "responsibilities"]
+
+
+def test_spaced_and_broken_forms_in_running_text():
+    weights = pii.train(pii.written_forms())
+    forms = [("(555) 123 - 4567", "phone"), ("(555)  123-4567", "phone"), ("(555)\n123-4567", "phone"), ("4111 - 1111 - 1111 - 1111", "card"),
+             ("4111  1111  1111  1111", "card"), ("4111\n1111\n1111\n1111", "card"), ("john @ example.com", "email")]
+    for form, kind in forms:
+        for before, after in (("", ""), (": ", "."), ("(", ")")):
+            text = before + form + after
+            assert (len(before), len(before) + len(form), kind) in pii.find(text, weights)[1], text
+
+
+def test_stretches_hold_every_segment():
+    """Every segment of the whole text lies in one stretch, whatever lies between its digits."""
+    rnd = random.Random(31)
+    for _ in range(60):
+        text = "".join(rnd.choice(("word", "a", " ", "  ", "\n", "1", "2024", "@", ".", "-", "(", "one two three four five six seven eight ")) for _ in range(40))
+        bounds = pii._bounds(text, 0, len(text))
+        held = list(pii.stretches(text, []))
+        assert all(a[1] <= b[0] for a, b in zip(held, held[1:], strict=False))
+        for i, j, _ in pii.segments(text, bounds):
+            assert any(a <= bounds[i] and bounds[j] <= b for a, b in held)
