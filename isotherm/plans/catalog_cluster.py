@@ -248,11 +248,10 @@ def kmeans_mllib(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def kmeans_final(spark: SparkSession, sf: str) -> DataFrame:
-    """K from a short sweep, then the final fit and its assignment."""
-    points = vectors(spark, sf)
-    metrics = ev.k_sweep(points, ids=IDS, k_range=range(8, 13), n_init=5, max_iter=50)
-    fit = ev.kmeans_final(points, metrics, ids=IDS, n_init=10)
-    return km.assign_nearest(points, fit.centroids).select("vec_id", "cluster")
+    """K from the whole sweep, then the final fit and its assignment."""
+    points = _separated(spark, sf)
+    fit = ev.kmeans_final(points, ev.k_sweep(points, ids=IDS), ids=IDS)
+    return _named_by_member(km.assign_nearest(points, fit.centroids))
 
 
 @query()
@@ -294,7 +293,7 @@ def davies_bouldin(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def k_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.k_sweep(vectors(spark, sf), ids=IDS, n_init=5, max_iter=50)
+    return ev.k_sweep(_separated(spark, sf), ids=IDS)
 
 
 @query(f"""WITH m AS (SELECT l_linenumber + 2 AS k, avg(l_discount * l_quantity) AS silhouette FROM lineitem GROUP BY l_linenumber)

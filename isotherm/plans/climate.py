@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from isotherm.operators import evaluate as ev
 from isotherm.operators import features as ft
 from isotherm.operators import kmeans as km
 from isotherm.operators import quality, reduce
@@ -34,6 +35,7 @@ class Clustering:
     dropped: list[str]
     reduction: reduce.Reduction
     fit: km.Fit
+    metrics: DataFrame | None = None  # of the sweep, where K was chosen
 
 
 def cluster_locations(
@@ -42,13 +44,16 @@ def cluster_locations(
     keys: Sequence[str] = ("lat", "lon"),
     threshold: float = 0.99,
     variance: float = 0.95,
-    k: int = km.K,
+    k: int | None = km.K,
+    sweep: dict | None = None,
     **kmeans_options,
 ) -> Clustering:
     """Fill, prune, standardise, reduce and cluster a feature table (one row a location).
 
     The feature table is the first small result of the flow and several passes read it,
     so it is written once to the shared folder; the daily rows are read a single time.
+    Without ``k``, a sweep (its options in ``sweep``) chooses it by the silhouette, and the final
+    fit follows with that K.
     """
     features = tables.materialise(features, "features")
     names = numeric_features(features, keys)
@@ -58,9 +63,14 @@ def cluster_locations(
     filled = filled.select(*keys, *kept)
     reduction = reduce.fit_reduction(filled, kept, variance=variance)
     scores = reduce.apply_reduction(reduction, filled, keep=keys)
-    fit = km.kmeans(scores, k, ids=keys, **kmeans_options)
+    metrics = None
+    if k is None:
+        metrics = ev.k_sweep(scores, ids=keys, **(sweep or {}))
+        fit = ev.kmeans_final(scores, metrics, ids=keys, **kmeans_options)
+    else:
+        fit = km.kmeans(scores, k, ids=keys, **kmeans_options)
     assignments = km.assign_nearest(scores, fit.centroids)
-    return Clustering(assignments, scores, filled, dropped, reduction, fit)
+    return Clustering(assignments, scores, filled, dropped, reduction, fit, metrics)
 
 
 def labelled_features(result: Clustering, *, keys: Sequence[str] = ("lat", "lon")) -> DataFrame:

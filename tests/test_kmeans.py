@@ -260,3 +260,32 @@ def test_samples(spark, monkeypatch):
     assert {r["id"] for r in sm.sample_rows(big, 495, ids=["id"]).collect()} == sets[0]
     with pytest.raises(ValueError, match="row key"):
         sm.sample_rows(big.select(F.lit(1).alias("id")), 10, ids=["id"])
+
+
+def test_flow_chooses_k(spark):
+    """Four groups of locations: without K, the flow sweeps, selects 4 and fits it."""
+    from isotherm.plans import climate
+
+    rng = np.random.default_rng(5)
+    rows = [(float(i), float(i % 7), *(10.0 * np.array([[0, 0], [0, 1], [1, 0], [1, 1]])[i % 4] + rng.normal(0, 0.2, 2)).tolist()) for i in range(80)]
+    table = spark.createDataFrame(rows, "lat double, lon double, a double, b double")
+    result = climate.cluster_locations(table, k=None, sweep={"k_range": range(3, 7), "n_init": 2}, n_init=2)
+    assert [r["k"] for r in result.metrics.orderBy("k").collect()] == [3, 4, 5, 6]
+    groups = {(int(r["lat"]) % 4, r["cluster"]) for r in result.assignments.collect()}
+    assert len(result.fit.centroids) == len(groups) == 4
+
+
+def test_sweep_queries_run_the_whole_range(spark, monkeypatch):
+    """k_sweep and kmeans_final call the library with its own settings."""
+    from isotherm.operators import evaluate as ev
+    from isotherm.plans import catalog_cluster as cc
+
+    calls = []
+    monkeypatch.setattr(cc, "_separated", lambda spark, sf: "points")
+    monkeypatch.setattr(cc, "_named_by_member", lambda assigned: assigned)
+    monkeypatch.setattr(cc.km, "assign_nearest", lambda points, centroids: "assigned")
+    monkeypatch.setattr(ev, "k_sweep", lambda points, **options: calls.append(options))
+    monkeypatch.setattr(ev, "kmeans_final", lambda points, metrics, **options: calls.append(options) or type("Fit", (), {"centroids": None}))
+    cc.k_sweep(spark, "")
+    cc.kmeans_final(spark, "")
+    assert calls == [{"ids": cc.IDS}] * 3
