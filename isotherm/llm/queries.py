@@ -207,3 +207,47 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from isotherm.llm import decontaminate
 
     return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+#: The rows that take part as integers, every anchor scored against every row. Sums of products stay exact as doubles.
+OP11_SQL = r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+  list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, b FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 100 * s.score BETWEEN 50 * positive_score AND 95 * positive_score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query(OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    shifted = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(shifted)
+
+
+@query()
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import language_id
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = language_id.fit(docs, learn=~held_out)
+    predict = language_id.scorer(docs, model)
+    return docs.select("doc_id", held_out.alias("held_out"), predict(F.col("text")).alias("r")).select("doc_id", "held_out", "r.lang_pred", "r.score")
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from isotherm.llm import whitening
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.apply(vectors, whitening.fit(vectors, key="vec_id"), key="vec_id").withColumnRenamed("key", "vec_id")
