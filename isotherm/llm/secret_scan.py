@@ -6,9 +6,10 @@ The network reads the whole candidate and ``BESIDE`` characters on either side:
 over characters and their types, the maxima inside and beside the candidate, one hidden layer,
 one logit. It is trained here in numpy on labelled findings: what the patterns find, and what
 they leave, in at most ``train_docs`` documents, together with written-out key formats and
-look-alikes. A held-out third calibrates the logit (Platt) and sets the threshold: the
-highest one whose recall is at least ``recall`` by an exact binomial lower bound, or if there
-is none the highest with that recall as observed.
+look-alikes. A held-out third calibrates the logit (Platt, by damped Newton steps with a ridge) and
+sets the logit from which a candidate is reported: the highest one whose recall is at least ``recall`` by an
+exact binomial lower bound, or if there is none the highest with that recall as observed
+(``Network.exact`` says which). Tokens of any length are read whole, ``CELLS`` characters at a time.
 
 Defined cases: null and empty texts have no spans. Spans count code points, end exclusive, in
 the order of start, then kind as listed in ``KINDS``. An added span overlaps no pattern span.
@@ -33,6 +34,8 @@ from isotherm.llm.common import drawn
 
 KINDS = ("assign", "access", "hex", "model")
 SHORTEST, BESIDE, TAPS, FILTERS, HIDDEN = 12, 24, 5, 24, 16
+#: Places (characters x candidates) the network holds at once.
+CELLS = 40_000
 Span = tuple[int, int, str]
 
 _ASSIGN = re.compile(
@@ -113,7 +116,10 @@ class Network:
     b2: np.ndarray
     slope: float = 1.0
     shift: float = 0.0
-    threshold: float = 0.5
+    #: Logit from which a candidate is reported, and the recall it was chosen for: ``exact`` if the
+    #: binomial bound holds on the held-out findings, else the share observed there.
+    cut: float = 0.0
+    exact: bool = False
 
     PARTS = ("chars", "types", "bias", "w1", "b1", "w2", "b2")
 
@@ -162,9 +168,24 @@ class Network:
         chars, types = gathered(code, self.chars), gathered(_TYPE[code], self.types)
         return [chars, types, bias, w1, b1, w2, b2]
 
-    def logits(self, found: list[tuple[np.ndarray, int, int]], *, cells: int = 40_000) -> np.ndarray:
+    def pooled(self, codes: np.ndarray, place: np.ndarray, *, cells: int = CELLS) -> np.ndarray:
+        """What :meth:`forward` pools, held for ``cells`` places at a time: maxima of pieces combine exactly."""
+        width, piece = place.shape[1], max(1, cells // len(place))
+        inside, beside = np.zeros((len(place), FILTERS)), np.zeros((len(place), FILTERS))
+        for s in range(0, width, piece):
+            e = min(s + piece, width)
+            conv = np.broadcast_to(self.bias, (len(place), e - s, FILTERS)).copy()
+            for t in range(TAPS):
+                part = codes[:, s + t : e + t]
+                conv += self.chars[part, t] + self.types[_TYPE[part], t]
+            for pool, kind in ((inside, 1), (beside, 0)):
+                np.maximum(pool, np.where((place[:, s:e] == kind)[:, :, None], conv, -1).max(1), out=pool)
+        size = np.log((place == 1).sum(1, keepdims=True)) / 4
+        return np.concatenate([inside, beside, size], 1)
+
+    def logits(self, found: list[tuple[np.ndarray, int, int]], *, cells: int = CELLS) -> np.ndarray:
         """Logits of candidates, in batches of similar length and bounded size. A longer
-        candidate than that is read by itself."""
+        candidate than that is read by itself, piece by piece."""
         out = np.empty(len(found))
         order = sorted(range(len(found)), key=lambda i: len(found[i][0]))
         at = 0
@@ -173,12 +194,50 @@ class Network:
             while end < len(order) and (end + 1 - at) * len(found[order[end]][0]) <= cells:
                 end += 1
             some = order[at:end]
-            out[some] = self.forward(*padded([found[i] for i in some]))["logit"]
+            pooled = self.pooled(*padded([found[i] for i in some]), cells=cells)
+            out[some] = np.maximum(pooled @ self.w1 + self.b1, 0) @ self.w2 + self.b2[0]
             at = end
         return out
 
+    def calibrated(self, logits: np.ndarray) -> np.ndarray:
+        return np.exp(-np.logaddexp(0, -(self.slope * logits + self.shift)))
+
     def scores(self, found: list[tuple[np.ndarray, int, int]]) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.logits(found) + self.shift)))
+        return self.calibrated(self.logits(found))
+
+
+    @property
+    def threshold(self) -> float:
+        """The cut as a calibrated score."""
+        return float(self.calibrated(np.array(self.cut)))
+
+
+def platt(x: np.ndarray, y: np.ndarray, *, ridge: float = 0.01, steps: int = 100) -> tuple[float, float]:
+    """Slope and shift of the calibrated score of logits x with labels y.
+
+    Newton steps on the log loss with smoothed targets, halved until the loss falls; the
+    ridge holds the slope near 1 where the classes are apart, so it is always finite.
+    """
+    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+
+    def loss(a: float, b: float) -> float:
+        z = a * x + b
+        return float((np.logaddexp(0, z) - target * z).sum() + ridge * len(x) * (a - 1) ** 2 / 2)
+
+    a, b = 1.0, 0.0
+    now = loss(a, b)
+    for _ in range(steps):
+        p = np.exp(-np.logaddexp(0, -(a * x + b)))
+        w = p * (1 - p)
+        g = np.array([((p - target) * x).sum() + ridge * len(x) * (a - 1), (p - target).sum()])
+        h = np.array([[(w * x * x).sum() + ridge * len(x), (w * x).sum()], [(w * x).sum(), w.sum() + 1e-9]])
+        move, size = np.linalg.solve(h, g), 1.0
+        while size > 1e-9 and (new := loss(a - size * move[0], b - size * move[1])) > now:
+            size /= 2
+        if size <= 1e-9 or now - new <= 1e-12 * abs(now):
+            break
+        a, b, now = a - size * move[0], b - size * move[1], new
+    return float(a), float(b)
 
 
 def binomial_lower(hits: int, n: int, risk: float) -> float:
@@ -218,22 +277,15 @@ def train(examples: list[tuple[str, int, int, int]], *, seed: int = 5, epochs: i
                 getattr(net, p)[...] -= 0.004 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     x = net.logits([(*coded(t, s, e), e - s) for t, s, e, _ in held])
     y = np.array([y for *_, y in held], dtype=float)
-    target = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):  # Newton steps for slope and shift
-        p = 1 / (1 + np.exp(-(a * x + b)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - target) * x).sum() + 1e-3 * (a - 1), (p - target).sum()])
-        h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
-        a, b = np.array([a, b]) - np.linalg.solve(h, g)
-    net.slope, net.shift = float(a), float(b)
-    scores = np.sort(1 / (1 + np.exp(-(a * x[y == 1] + b))))
-    if not len(scores):
-        net.threshold = 1.0
+    net.slope, net.shift = platt(x, y) if len(x) else (1.0, 0.0)
+    logits = np.sort(x[y == 1])
+    if not len(logits):
+        net.cut = np.inf  # nothing to find was ever seen
         return net
-    kept = next((k for k in range(len(scores)) if binomial_lower(k, len(scores), risk) >= recall), None)
-    kept = kept if kept is not None else int(np.ceil(recall * len(scores)))
-    net.threshold = float(scores[len(scores) - kept])
+    kept = next((k for k in range(len(logits)) if binomial_lower(k, len(logits), risk) >= recall), None)
+    net.exact = kept is not None
+    kept = kept if kept is not None else int(np.ceil(recall * len(logits)))
+    net.cut = float(logits[len(logits) - kept])
     return net
 
 
@@ -263,6 +315,7 @@ def written_findings(seed: int = 3, each: int = 70) -> list[tuple[str, int, int,
         (0, lambda: f"v{rnd.randrange(9)}.{rnd.randrange(99)}.{rnd.randrange(99)}-{word()}{rnd.randrange(9)}"),
         (0, lambda: f"{word()}{word()}{word()}{rnd.randrange(9)}{word()}"),
         (0, lambda: f"{word()}{word()}{word()}{rnd.choice(('', '.', '...'))}"), (0, lambda: (word() + word() + word()).capitalize()),
+        (0, lambda: (word() + word() + word()).upper() + rnd.choice(("", "!!", ".", ","))), (0, lambda: f"{word()}-{word()}-{word()}".upper()),
         (0, lambda: f"{word()}-{word()}-{word()}"), (0, lambda: f"{word()}_{word()}.{word()}"), (0, lambda: rnd.choice("-=_.") * rnd.randrange(12, 60)),
         (0, lambda: f"20{some(string.digits, 2)}-0{rnd.randrange(1, 9)}-1{rnd.randrange(9)}.{some(string.digits, 2)}.{some(string.digits, 2)}"),
         (0, lambda: f"{rnd.randrange(1, 9)}.{some(string.digits, 12)}"), (0, lambda: f"20{some(string.digits, 2)}0{rnd.randrange(1, 9)}1{some(string.digits, 7)}"),
@@ -306,6 +359,18 @@ def find(text: str) -> tuple[list[Span], list[tuple[int, int]]]:
     return base_spans(text), list(candidates(text))
 
 
+def apart(tokens: list[tuple[int, int]], base: list[Span]) -> Iterator[tuple[int, int]]:
+    """Candidates that no pattern span overlaps; both lists are walked once. Tokens are in order and apart."""
+    spans, at = sorted(base), 0
+    reach = 0  # end of the furthest span that begins before the token's end
+    for start, end in tokens:
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][1])
+            at += 1
+        if reach <= start:
+            yield start, end
+
+
 RESULT = "n_assign long, n_access long, n_hex long, n_candidates long, base string, spans string"
 
 
@@ -319,12 +384,12 @@ def scanner(docs: DataFrame, network: Network):
         for i, t in enumerate(texts):
             base, tokens = find(t) if t else ([], [])
             found.append((base, len(tokens)))
-            pairs += [(i, s, e, *coded(t, s, e)) for s, e in tokens]
+            pairs += [(i, s, e, *coded(t, s, e)) for s, e in apart(tokens, base)]
         added: dict[int, list[Span]] = {}
         if pairs:
-            scores = net.scores([(c, at, e - s) for _, s, e, c, at in pairs])
-            for (i, s, e, _, _), score in zip(pairs, scores, strict=True):
-                if score >= net.threshold and not any(b[0] < e and b[1] > s for b in found[i][0]):
+            logits = net.logits([(c, at, e - s) for _, s, e, c, at in pairs])
+            for (i, s, e, _, _), logit in zip(pairs, logits, strict=True):
+                if logit >= net.cut:
                     added.setdefault(i, []).append((s, e, "model"))
         rows = []
         for i, (base, n) in enumerate(found):

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,45 @@ def test_stretches_hold_every_segment():
         assert all(a[1] <= b[0] for a, b in zip(held, held[1:], strict=False))
         for i, j, _ in pii.segments(text, bounds):
             assert any(a <= bounds[i] and bounds[j] <= b for a, b in held)
+
+
+def test_calibration_of_separable_classes_is_finite():
+    x, y = np.r_[np.full(300, -40.0), np.full(100, 55.0)], np.r_[np.zeros(300), np.ones(100)]
+    slope, shift = secret_scan.platt(x, y)
+    assert 0 < slope < 2 and abs(shift) < 50
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 2, 20_000)
+    y = (rng.random(20_000) < 1 / (1 + np.exp(-(1.7 * x - 0.6)))).astype(float)
+    assert secret_scan.platt(x, y, ridge=0.0) == pytest.approx((1.7, -0.6), abs=0.1)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_network_of_a_table(spark, sf):
+    """Trained as the query trains it: finite, recall and precision on unseen findings, plain words left alone."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    net = secret_scan.fit(docs)
+    assert 0 < net.slope < 5 and np.isfinite(net.shift) and 0.0 < net.threshold < 1.0
+    held = secret_scan.written_findings(seed=9, each=20)
+    hit = net.logits([(*secret_scan.coded(t, s, e), e - s) for t, s, e, _ in held]) >= net.cut
+    truth = np.array([y for *_, y in held], bool)
+    assert hit[truth].mean() >= 0.9 and truth[hit].mean() >= 0.9
+    rows = docs.select(secret_scan.scanner(docs, net)(F.col("text")).alias("r")).select("r.*").collect()
+    added = sum(s.startswith("model") for r in rows for s in r.spans.split(","))
+    assert added <= 0.01 * sum(r.n_candidates for r in rows)
+
+
+def test_long_tokens_and_many_patterns():
+    net = secret_scan.Network.start(3)
+    text = "".join(random.Random(4).choice("abcXYZ019+/") for _ in range(300_000))
+    codes, place = secret_scan.padded([(*secret_scan.coded(text, 0, len(text)), len(text))])
+    assert net.pooled(codes, place, cells=7_001).tolist() == net.forward(codes, place)["pooled"].tolist()
+    tokens = [(i * 40, i * 40 + 30) for i in range(50_000)]
+    base = [(i * 40 + 29, i * 40 + 39, "hex") for i in range(0, 50_000, 2)]
+    kept = list(secret_scan.apart(tokens, base))
+    assert kept == [t for i, t in enumerate(tokens) if i % 2]
+    rnd = random.Random(8)
+    for _ in range(200):
+        cuts = sorted(rnd.sample(range(200), 12))
+        tokens = list(zip(cuts[::2], cuts[1::2], strict=True))
+        base = [(a, a + rnd.randrange(1, 30), "hex") for a in rnd.sample(range(200), 5)]
+        assert list(secret_scan.apart(tokens, base)) == [t for t in tokens if not any(b[0] < t[1] and b[1] > t[0] for b in base)]

@@ -221,7 +221,7 @@ def test_shards_are_even_and_gapless(docs_of):
         size[r.shard] += r.size
         slots[r.shard].append(r.slot)
         where[r.text_crc32].add(r.shard)
-    assert sorted(size) == list(range(8)) and len(got) == 3003
+    assert sorted(size) == list(range(8)) and len(got) == 6003
     assert max(size.values()) - min(size.values()) <= 0.02 * sum(size.values()) / 8
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sum(len(s) > 1 for s in where.values()) == 1  # only the group too large for a shard is split
