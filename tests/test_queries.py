@@ -22,13 +22,10 @@ def test_matches_sql(spark, duck, name):
     assert differences(spark, duck, SF, QUERIES[name], SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", ["kmeans_parallel_init", "kmeans_restarts", "seed_control", "pca_variance", "apply_model"])
+@pytest.mark.parametrize("name", ["kmeans_parallel_init", "pca_variance"])
 def test_runs_without_sql(spark, name):
     rows = QUERIES[name](spark, SF).collect()
     assert rows
-    if name == "kmeans_restarts":
-        best = [r for r in rows if r["best"]]
-        assert len(best) == 1 and best[0]["cost"] == min(r["cost"] for r in rows)
     if name == "pca_variance":
         assert sum(r["ratio"] for r in rows) == pytest.approx(1.0)
 
