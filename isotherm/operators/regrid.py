@@ -1,34 +1,35 @@
-"""Regridding as a sparse matrix product.
+"""Regridding over the source nodes that a target needs.
 
 Interpolation weights depend on geometry alone and, on rectilinear grids, follow from the
-position of every target index between the source nodes of its axis. Sources are spread
-once by (time, tile of the target grid), so a group is a bounded neighbourhood whatever the
-number of nodes or days. A group becomes one dense node array, and all measures of all
-products are interpolated by array arithmetic. A join of every source row with its
-targets and a sum per target says the same, but copies each row some twenty times and
-took three times as long at fifty measures.
+position of every target index between the source nodes of its axis. So does the set of
+nodes that are needed at all: index arithmetic tells it for any row, and the ends of an axis
+become range predicates that reach the scan. What is left is packed where it is read: the rows
+of one (time, tile of the target grid) become one binary row, a border node one more in the tile
+beside it, and the first row of a time in a task announces the time to every tile. One shuffle brings the
+packs of a (time, tile) together, where a dense array over the needed nodes alone is filled and all
+measures of all products are interpolated by array arithmetic. Memory follows the tile, however
+fine or large the source; every product is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isotherm.functions.exprs import nan_as_null, round_coord
 from isotherm.operators.grid import Axis, Grid
 
-# A route is about this wide once broadcast.
-_ROUTE_BYTES = 64
 _EDGE = 1e-9
-# Stands in for the source node on the rows that only announce a time.
-_MARKER = -1
+# Rows of a task that are packed together.
+_PACKED = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -69,73 +70,69 @@ class AxisPosition:
             (p >= -_EDGE) & (p <= source.size - 1 + _EDGE) & (source.size > 1),
         )
 
-    @property
-    def first(self) -> int:
-        return int(min(self.lower.min(), self.nearest.min()))
-
-    @property
-    def last(self) -> int:
-        return int(max(self.upper.max(), self.nearest.max()))
+    @cached_property
+    def needed(self) -> np.ndarray:
+        """Source nodes these targets use, in order."""
+        return np.unique(np.r_[self.lower, self.upper, self.nearest])
 
 
 def _tile_index(target: Axis, tile: int, number: int) -> np.ndarray:
     return np.arange(number * tile, min((number + 1) * tile, target.size))
 
 
-def axis_routes(source: Axis, target: Axis, *, tile: int = 64) -> pd.DataFrame:
-    """``node, tile``: the target tiles a source node contributes to (one, more next to a
-    border), and every tile for the marker."""
-    parts = []
-    for number in range(-(-target.size // tile)):
-        at = AxisPosition.of(source, target, _tile_index(target, tile, number))
-        nodes = np.unique(np.r_[_MARKER, at.lower, at.upper, at.nearest])
-        parts.append(pd.DataFrame({"node": nodes, "tile": number}))
-    return pd.concat(parts)
+def _position(source: Grid, target: Grid, axis: str, tile: int, number: int) -> AxisPosition:
+    goal = getattr(target, axis)
+    return AxisPosition.of(getattr(source, axis), goal, _tile_index(goal, tile, number))
 
 
-def _routed(
-    stacked: DataFrame, products: Sequence[Product], target: Grid, axis: str, tile: int, broadcast_limit: int
-) -> DataFrame:
-    """Add the tile of one axis, one row per tile a row is needed in."""
-    if getattr(target, axis).size <= tile:
-        return stacked.withColumn(f"_{axis}_tile", F.lit(0))
-    routes = pd.concat(
-        [
-            axis_routes(getattr(p.grid, axis), getattr(target, axis), tile=tile).assign(p=number)
-            for number, p in enumerate(products)
-        ]
-    )
-    table = stacked.sparkSession.createDataFrame(
-        pa.Table.from_pandas(routes[["p", "node", "tile"]], preserve_index=False).rename_columns(
-            ["_p", f"_{axis}_node", f"_{axis}_tile"]
-        ),
-        f"_p int, _{axis}_node int, _{axis}_tile int",
-    )
-    small = len(routes) * _ROUTE_BYTES <= broadcast_limit
-    return stacked.join(F.broadcast(table) if small else table.hint("merge"), ["_p", f"_{axis}_node"])
+def needed_range(source: Axis, target: Axis) -> tuple[float, float]:
+    """Coordinates of the outermost source nodes that the target axis uses."""
+    ends = AxisPosition.of(source, target, np.array([0, target.size - 1])).needed
+    low, high = (source.start + n * source.step for n in (int(ends[0]), int(ends[-1])))
+    return min(low, high), max(low, high)
+
+
+def is_needed(source: Axis, target: Axis, node: Column) -> Column:
+    """May a target use the source node? It must lie less than one source step away; the outermost
+    nodes also serve the targets beyond them."""
+    at = (F.lit(source.start - target.start) + node * F.lit(source.step)) / F.lit(target.step)
+    away = F.abs(at - F.least(F.greatest(F.rint(at), F.lit(0.0)), F.lit(float(target.size - 1))))
+    return (away <= abs(source.step / target.step) * (1 + _EDGE)) | node.isin(0, source.size - 1)
+
+
+def node_tiles(source: Axis, target: Axis, tile: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last tile with a target that may use the node; the outermost nodes also serve all
+    targets beyond them."""
+    at = (source.start + node * source.step - target.start) / target.step
+    reach = abs(source.step / target.step)
+    first, last = np.floor(at - reach), np.ceil(at + reach)
+    before, after = (0, source.size - 1) if source.step * target.step > 0 else (source.size - 1, 0)
+    first, last = np.where(node == before, 0, first), np.where(node == after, target.size - 1, last)
+    return tuple(np.clip(i, 0, target.size - 1).astype(np.int64) // tile for i in (first, last))
 
 
 class _NodeArray:
-    """The source nodes around one tile as a dense array, missing ones NaN."""
+    """The needed source nodes of one tile as a dense array, missing ones NaN."""
 
     def __init__(self, lat: AxisPosition, lon: AxisPosition, measures: int) -> None:
         self.lat, self.lon = lat, lon
-        self.shape = (lat.last - lat.first + 1, lon.last - lon.first + 1)
-        self.values = np.full((self.shape[0] * self.shape[1], measures), np.nan)
+        self.rows, self.columns = lat.needed, lon.needed
+        self.values = np.full((len(self.rows) * len(self.columns), measures), np.nan)
         self.seen = np.zeros(len(self.values), dtype=bool)
 
     def put(self, y: np.ndarray, x: np.ndarray, values: np.ndarray) -> None:
-        y, x = y - self.lat.first, x - self.lon.first
-        inside = (y >= 0) & (y < self.shape[0]) & (x >= 0) & (x < self.shape[1])
-        at = y[inside] * self.shape[1] + x[inside]
+        i = np.minimum(np.searchsorted(self.rows, y), len(self.rows) - 1)
+        j = np.minimum(np.searchsorted(self.columns, x), len(self.columns) - 1)
+        used = (self.rows[i] == y) & (self.columns[j] == x)
+        at = i[used] * len(self.columns) + j[used]
         if self.seen[at].any() or len(np.unique(at)) < len(at):
             raise ValueError("a node occurs twice at one time; use Product(unique=False) to average")
         self.seen[at] = True
-        self.values[at] = values[inside]
+        self.values[at] = values[used]
 
     def take(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
-        grid = self.values.reshape(*self.shape, -1)
-        return grid[np.ix_(y - self.lat.first, x - self.lon.first)]
+        grid = self.values.reshape(len(self.rows), len(self.columns), -1)
+        return grid[np.ix_(np.searchsorted(self.rows, y), np.searchsorted(self.columns, x))]
 
     def nearest(self) -> np.ndarray:
         return self.take(self.lat.nearest, self.lon.nearest)
@@ -166,31 +163,95 @@ def _measures(product: Product) -> list[str]:
     return plain + [f"{c}__{part}" for c in product.circular for part in ("sin", "cos")]
 
 
-def _stacked_rows(product: Product, number: int, time: str) -> DataFrame:
-    """Rows of one product keyed by node index, and one marker per time: it keeps every
-    target of that time in the result, also where all rows around it are absent."""
-    rows = product.rows
+def needed_rows(product: Product, target: Grid, time: str) -> DataFrame:
+    """``time, _lat_node, _lon_node`` and the measures of the rows the target needs.
+
+    Coordinates beyond the outermost needed nodes are cut by a range predicate on the columns
+    themselves, which files and partitions can be skipped by; within it, index arithmetic decides. A
+    coordinate that is null, or next to a needed node but off it, fails the job.
+    """
+    rows, keys, used = product.rows, [], F.lit(True)
+    for name in ("lat", "lon"):
+        source, goal = getattr(product.grid, name), getattr(target, name)
+        low, high = needed_range(source, goal)
+        slack = abs(source.step) / 2
+        rows = rows.filter(F.col(name).between(low - slack, high + slack) | F.col(name).isNull())
+        keys.append(source.index(F.col(name)).alias(f"_{name}_node"))
+        node = F.rint(source.position(F.col(name)))
+        used = used & (is_needed(source, goal, node) | node.isNull())
+    rows = rows.filter(used)
     for c in product.circular:
         rows = rows.withColumns({f"{c}__sin": F.sin(F.radians(c)), f"{c}__cos": F.cos(F.radians(c))})
     measures = _measures(product)
-    rows = rows.select(
-        F.lit(number).alias("_p"),
-        time,
-        product.grid.lat.index(F.col("lat")).alias("_lat_node"),
-        product.grid.lon.index(F.col("lon")).alias("_lon_node"),
-        *measures,
-    )
+    rows = rows.select(time, *keys, *[F.col(c).cast("double").alias(c) for c in measures])
     if not product.unique:
-        rows = rows.groupBy("_p", time, "_lat_node", "_lon_node").agg(
-            *[F.avg(nan_as_null(F.col(c).cast("double"))).alias(c) for c in measures]
-        )
-    rows = rows.select(
-        "_p", time, "_lat_node", "_lon_node", *[F.col(c).cast("double").alias(c) for c in measures]
-    )
-    markers = product.rows.groupBy(time).agg(F.lit(number).alias("_p")).select(
-        "_p", time, F.lit(_MARKER).alias("_lat_node"), F.lit(_MARKER).alias("_lon_node")
-    )
-    return rows.unionByName(markers, allowMissingColumns=True)
+        rows = rows.groupBy(time, "_lat_node", "_lon_node").agg(*[F.avg(nan_as_null(F.col(c))).alias(c) for c in measures])
+    return rows
+
+
+def _packed(product: Product, number: int, target: Grid, time: str, tile: int) -> DataFrame:
+    """One row per (time, tile) and ``_PACKED`` rows of a task: node indexes and measures as bytes."""
+    rows, measures, grid = needed_rows(product, target, time), len(_measures(product)), product.grid
+    tiles = [(ty, tx) for ty in range(-(-target.lat.size // tile)) for tx in range(-(-target.lon.size // tile))]
+    schema = T.StructType(
+        [rows.schema[time], *[T.StructField(c, T.IntegerType()) for c in ("_p", "_lat_tile", "_lon_tile")],
+         *[T.StructField(c, T.BinaryType()) for c in ("_y", "_x", "_values")]]
+    )
+
+    def packs(times: pa.Array, tile_ids: list[tuple[int, int]], parts: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
+        y, x, values = zip(*parts, strict=True)
+        columns = [times, [number] * len(parts), [t for t, _ in tile_ids], [t for _, t in tile_ids]]
+        arrays = [columns[0], *[pa.array(c, pa.int32()) for c in columns[1:]], *[pa.array(c, pa.binary()) for c in (y, x, values)]]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    def split(held: list[pa.RecordBatch], announced: set) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        times = table.column(time).combine_chunks()
+        coded = times.dictionary_encode(null_encoding="encode")
+        code, distinct = coded.indices.to_numpy(), coded.dictionary
+        fresh = [i for i, t in enumerate(distinct) if t not in announced]
+        if fresh:
+            announced.update(distinct[i] for i in fresh)
+            for at in range(0, len(fresh), 1000):
+                some = distinct.take(pa.array(np.repeat(fresh[at : at + 1000], len(tiles))))
+                yield packs(some, tiles * (len(some) // len(tiles)), [(b"", b"", b"")] * len(some))
+        y, x = (table.column(c).to_numpy().astype(np.int64) for c in ("_lat_node", "_lon_node"))
+        values = np.column_stack([table.column(c).to_numpy() for c in table.column_names[3:]]).astype(np.float64, copy=False)
+        (y0, y1), (x0, x1) = node_tiles(grid.lat, target.lat, tile, y), node_tiles(grid.lon, target.lon, tile, x)
+        # a row once per tile it reaches
+        wide = x1 - x0 + 1
+        copies = (y1 - y0 + 1) * wide
+        row = np.repeat(np.arange(len(y)), copies)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)
+        ty, tx = y0[row] + nth // wide[row], x0[row] + nth % wide[row]
+        order = np.lexsort((tx, ty, code[row]))
+        row, ty, tx = row[order], ty[order], tx[order]
+        start = np.flatnonzero(np.r_[True, (np.diff(code[row]) != 0) | (np.diff(ty) != 0) | (np.diff(tx) != 0)])
+        y32, x32 = y.astype(np.int32), x.astype(np.int32)
+        ends = np.r_[start[1:], len(row)]
+        for at in range(0, len(start), 1000):
+            pieces = [row[a:b] for a, b in zip(start[at : at + 1000], ends[at : at + 1000], strict=True)]
+            first = start[at : at + 1000]
+            yield packs(
+                times.take(pa.array(row[first])), list(zip(ty[first].tolist(), tx[first].tolist(), strict=True)),
+                [(y32[r].tobytes(), x32[r].tobytes(), values[r].tobytes()) for r in pieces],
+            )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, announced = [], 0, set()
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size >= _PACKED:
+                yield from split(held, announced)
+                held, size = [], 0
+        if held:
+            yield from split(held, announced)
+
+    if measures == 0:
+        raise ValueError(f"product {product.name!r} has no measures")
+    return rows.mapInArrow(pack, schema)
 
 
 def regrid_products(
@@ -200,18 +261,15 @@ def regrid_products(
     time: str = "time",
     tile: int = 64,
     method: str = "linear+nearest",
-    broadcast_limit: int = 64 << 20,
 ) -> DataFrame:
     """All products on the target grid, inner-joined on (time, node), in one shuffle.
 
     The products are stacked before the shuffle instead of being joined after it. A time
-    must occur in every product. Output: ``time, lat_i, lon_i, lat, lon``, the measures, and
+    must occur in every product, at a node the target needs. Output: ``time, lat_i, lon_i, lat, lon``, the measures, and
     one ``is_extrapolated`` flag per product (suffixed by its name when there are several).
 
     ``method``: ``linear`` leaves targets outside the hull, or next to a missing source
     value, missing; ``nearest`` uses the nearest node only; ``linear+nearest`` falls back.
-    Beyond one tile per axis a table of node-to-tile routes, as long as the source axis, is
-    broadcast while it stays below ``broadcast_limit`` bytes and shuffled otherwise.
     """
     if method not in ("linear", "nearest", "linear+nearest"):
         raise ValueError(f"unknown method {method!r}")
@@ -220,10 +278,8 @@ def regrid_products(
         raise ValueError("measures of different products share a name")
     stacked = None
     for number, product in enumerate(products):
-        rows = _stacked_rows(product, number, time)
-        stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
-    for axis in ("lat", "lon"):
-        stacked = _routed(stacked, products, target, axis, tile, broadcast_limit)
+        rows = _packed(product, number, target, time, tile)
+        stacked = rows if stacked is None else stacked.unionByName(rows)
 
     flags = []
     if method != "nearest":
@@ -268,42 +324,27 @@ def regrid_products(
         yield pa.RecordBatch.from_arrays([arrays[f] for f in schema.names], names=schema.names)
 
     def interpolate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows arrive sorted by (time, tile); one group is open at a time."""
+        """Packs arrive sorted by (time, tile); one group is open at a time."""
         key, nodes, present = None, [], None
+        positions = cache(lambda p, axis, number: _position(plans[p][0], target, axis, tile, number))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
             times = batch.column(time)
-            code = times.dictionary_encode(null_encoding="encode").indices.to_numpy()
-            p, y, x, ty, tx = (
-                batch.column(c).to_numpy() for c in ("_p", "_lat_node", "_lon_node", "_lat_tile", "_lon_tile")
-            )
-            values = [
-                np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in measures]).astype(float)
-                for _, measures, _, _ in plans
-            ]
-            changed = (np.diff(code) != 0) | (np.diff(ty) != 0) | (np.diff(tx) != 0)
-            starts = np.r_[0, np.flatnonzero(changed) + 1]
-            for a, b in zip(starts, np.r_[starts[1:], batch.num_rows], strict=True):
-                own = (times[a], int(ty[a]), int(tx[a]))
-                if key is None or own[1:] != key[1:] or not own[0].equals(key[0]):
+            columns = [batch.column(c).to_pylist() for c in ("_p", "_lat_tile", "_lon_tile")]
+            for at, (p, ty, tx) in enumerate(zip(*columns, strict=True)):
+                if key is None or (ty, tx) != key[1:] or not key[0].equals(times[at]):
                     if key is not None:
                         yield from finished(key, nodes, present)
-                    key, present = own, np.zeros(len(plans), dtype=bool)
+                    key, present = (times[at], ty, tx), np.zeros(len(plans), dtype=bool)
                     nodes = [
-                        _NodeArray(
-                            AxisPosition.of(grid.lat, target.lat, _tile_index(target.lat, tile, own[1])),
-                            AxisPosition.of(grid.lon, target.lon, _tile_index(target.lon, tile, own[2])),
-                            len(measures),
-                        )
-                        for grid, measures, _, _ in plans
+                        _NodeArray(positions(n, "lat", ty), positions(n, "lon", tx), len(measures))
+                        for n, (_, measures, _, _) in enumerate(plans)
                     ]
-                for number in range(len(plans)):
-                    mine = a + np.flatnonzero(p[a:b] == number)
-                    present[number] |= len(mine) > 0
-                    mine = mine[y[mine] != _MARKER]
-                    if len(mine):
-                        nodes[number].put(y[mine], x[mine], values[number][mine])
+                present[p] = True
+                y, x, values = (batch.column(c)[at].as_buffer() for c in ("_y", "_x", "_values"))
+                if y.size:
+                    nodes[p].put(
+                        np.frombuffer(y, np.int32), np.frombuffer(x, np.int32), np.frombuffer(values, np.float64).reshape(-1, len(plans[p][1]))
+                    )
         if key is not None:
             yield from finished(key, nodes, present)
 

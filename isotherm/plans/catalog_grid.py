@@ -13,18 +13,24 @@ from isotherm.operators.regrid import regrid, regrid_products
 from isotherm.plans import climate
 from isotherm.plans.registry import query
 from isotherm.plans.standins import (
+    COARSE_GRID,
     DAILY_SQL,
+    FINE_GRID,
+    FINE_SQL,
     METEO,
     METEO_GRID,
     METEO_SQL,
     PARAMS,
     SOLAR,
+    SOLAR_DAYS_SQL,
     SOLAR_GRID,
     SOLAR_SQL,
     daily,
+    fine,
     meteo,
     regrid_sql,
     solar,
+    solar_days,
     table,
 )
 from isotherm.plans.standins import settle_sql as st
@@ -114,6 +120,23 @@ def regrid_full(spark: SparkSession, sf: str) -> DataFrame:
     return _settled(regrid(meteo(spark, sf), gr.Grid.dense()))
 
 
+@query(f"""WITH {FINE_SQL}, {regrid_sql("fine", FINE_GRID, METEO, target=COARSE_GRID)}
+SELECT time, lat_i, lon_i, lat, lon, {_settled_sql(METEO)}, is_extrapolated FROM fine_dense""")
+def regrid_fine(spark: SparkSession, sf: str) -> DataFrame:
+    """A source finer and larger than the target: an eighth of its nodes is needed."""
+    return _settled(regrid(fine(spark, sf), COARSE_GRID, tile=2))
+
+
+DEGREE_GRID = gr.Grid.dense(spacing=1.0)
+
+
+@query(f"""WITH {SOLAR_DAYS_SQL}, {regrid_sql("solar", SOLAR_GRID, SOLAR, target=DEGREE_GRID)}
+SELECT time, lat_i, lon_i, lat, lon, {_settled_sql(SOLAR)}, is_extrapolated FROM solar_dense""")
+def regrid_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows with holes over three by five tiles."""
+    return _settled(regrid(solar_days(spark, sf), DEGREE_GRID, tile=2))
+
+
 _JOINED = f"""SELECT m.time, m.lat_i, m.lon_i, m.lat, m.lon, {_settled_sql(METEO)}, {_settled_sql(SOLAR)}"""
 
 

@@ -65,12 +65,12 @@ HOLED_SQL = """holed AS (
   FROM lineitem)"""
 
 
-def _native(spark: SparkSession, sf_dir: str, grid: Grid, measures: dict[str, str]) -> DataFrame:
-    """Monthly means per native node; the node of a row is its part key modulo the grid."""
+def _native(spark: SparkSession, sf_dir: str, grid: Grid, measures: dict[str, str], period: str = "month", key: str = "l_partkey") -> DataFrame:
+    """Means per period and native node; the node of a row is its key modulo the grid."""
     rows = table(spark, sf_dir, "lineitem")
-    cell = F.col("l_partkey") % grid.size
+    cell = F.expr(f"({key}) % {grid.size}")
     means = (
-        rows.groupBy(F.trunc("l_shipdate", "month").alias("time"), cell.alias("cell"))
+        rows.groupBy(F.date_trunc(period, "l_shipdate").cast("date").alias("time"), cell.alias("cell"))
         .agg(*[F.avg(c).alias(name) for name, c in measures.items()])
     )
     lat_i = F.expr(f"cell div {grid.lon.size}")
@@ -94,26 +94,45 @@ def solar(spark: SparkSession, sf_dir: str) -> Product:
     return Product("solar", _native(spark, sf_dir, SOLAR_GRID, SOLAR), SOLAR_GRID, list(SOLAR))
 
 
-def native_sql(name: str, grid: Grid, measures: dict[str, str]) -> str:
+#: A source finer than its target that reaches beyond it on every side, and the coarse target.
+FINE_GRID = Grid(Axis(44.0, 0.3, 20), Axis(-127.0, 0.3, 40))
+COARSE_GRID = Grid(Axis(45.53, 1.0, 4), Axis(-124.77, 1.5, 6))
+FINE_KEY = "l_orderkey * 131 + l_linenumber * 17"
+
+
+def fine(spark: SparkSession, sf_dir: str) -> Product:
+    return Product("fine", _native(spark, sf_dir, FINE_GRID, METEO, key=FINE_KEY), FINE_GRID, list(METEO))
+
+
+def solar_days(spark: SparkSession, sf_dir: str) -> Product:
+    """Daily rows; about a third of the nodes are missing on a day."""
+    return Product("solar", _native(spark, sf_dir, SOLAR_GRID, SOLAR, "day"), SOLAR_GRID, list(SOLAR))
+
+
+def native_sql(name: str, grid: Grid, measures: dict[str, str], period: str = "month", key: str = "l_partkey") -> str:
     """CTE ``name``: the native product with its node indexes ``sy, sx``."""
     means = ", ".join(f"avg({c}) AS {m}" for m, c in measures.items())
     return f"""{name} AS (
-  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS time,
-         (l_partkey % {grid.size}) // {grid.lon.size} AS sy, (l_partkey % {grid.size}) % {grid.lon.size} AS sx,
-         {grid.lat.start}e0 + ((l_partkey % {grid.size}) // {grid.lon.size}) * {grid.lat.step}e0 AS lat,
-         {grid.lon.start}e0 + ((l_partkey % {grid.size}) % {grid.lon.size}) * {grid.lon.step}e0 AS lon,
+  SELECT CAST(date_trunc('{period}', l_shipdate) AS DATE) AS time,
+         (({key}) % {grid.size}) // {grid.lon.size} AS sy, (({key}) % {grid.size}) % {grid.lon.size} AS sx,
+         {grid.lat.start}e0 + ((({key}) % {grid.size}) // {grid.lon.size}) * {grid.lat.step}e0 AS lat,
+         {grid.lon.start}e0 + ((({key}) % {grid.size}) % {grid.lon.size}) * {grid.lon.step}e0 AS lon,
          {means}
   FROM lineitem GROUP BY ALL)"""
 
 
 METEO_SQL = native_sql("meteo", METEO_GRID, METEO)
 SOLAR_SQL = native_sql("solar", SOLAR_GRID, SOLAR)
+FINE_SQL = native_sql("fine", FINE_GRID, METEO, key=FINE_KEY)
+SOLAR_DAYS_SQL = native_sql("solar", SOLAR_GRID, SOLAR, "day")
 
 
-def regrid_sql(name: str, grid: Grid, measures: dict[str, str], *, method: str = "linear+nearest") -> str:
+def regrid_sql(
+    name: str, grid: Grid, measures: dict[str, str], *, method: str = "linear+nearest", target: Grid | None = None
+) -> str:
     """CTEs up to ``{name}_dense``, written without the weight table of the engine: the
     nearest node comes from a brute-force search over all nodes."""
-    n, t = name, Grid.dense()
+    n, t = name, target or Grid.dense()
     lin = ", ".join(f"sum(w * {m}) AS {m}" for m in measures)
     pick = {
         "linear": lambda m: f"l.{m}",
@@ -122,9 +141,9 @@ def regrid_sql(name: str, grid: Grid, measures: dict[str, str], *, method: str =
     }[method]
     values = ", ".join(f"{pick(m)} AS {m}" for m in measures)
     return f"""{n}_pos AS (
-  SELECT i AS lat_i, j AS lon_i, 45.53e0 + i * 0.25e0 AS lat, -124.77e0 + j * 0.25e0 AS lon,
-         (45.53e0 + i * 0.25e0 - ({grid.lat.start}e0)) / {grid.lat.step}e0 AS py,
-         (-124.77e0 + j * 0.25e0 - ({grid.lon.start}e0)) / {grid.lon.step}e0 AS px
+  SELECT i AS lat_i, j AS lon_i, {t.lat.start}e0 + i * {t.lat.step}e0 AS lat, {t.lon.start}e0 + j * {t.lon.step}e0 AS lon,
+         ({t.lat.start}e0 + i * {t.lat.step}e0 - ({grid.lat.start}e0)) / {grid.lat.step}e0 AS py,
+         ({t.lon.start}e0 + j * {t.lon.step}e0 - ({grid.lon.start}e0)) / {grid.lon.step}e0 AS px
   FROM range({t.lat.size}) a(i), range({t.lon.size}) b(j)),
 {n}_hull AS (
   SELECT *, CAST(least(floor(py), {grid.lat.size - 2}) AS BIGINT) AS y0, CAST(least(floor(px), {grid.lon.size - 2}) AS BIGINT) AS x0

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from isotherm.operators.grid import Axis, Grid, infer_axis
-from isotherm.operators.regrid import AxisPosition, Product, axis_routes, regrid, regrid_products
+from isotherm.operators.regrid import AxisPosition, Product, is_needed, needed_range, needed_rows, node_tiles, regrid, regrid_products
 from isotherm.plans.standins import METEO_GRID, SOLAR_GRID
 
 DAYS = [dt.date(2020, 1, d) for d in range(1, 6)]
@@ -40,15 +40,13 @@ def test_golden_counts(spark, grid, native, inside):
         AxisPosition.of(getattr(grid, a), getattr(target, a), np.arange(getattr(target, a).size)) for a in ("lat", "lon")
     )
     assert lat.inside.sum() * lon.inside.sum() == inside
-    routes = axis_routes(grid.lon, target.lon, tile=8)
-    assert set(routes["tile"]) == set(range(5)) and (routes[routes["node"] >= 0].groupby("node").size() <= 3).all()
     out = regrid(product(spark, grid, cube_rows(grid, days=DAYS[:1], value=lambda a, b, t: 1.0)), target, method="linear")
     row = out.agg(F.count("v"), F.min("v"), F.max("v")).head()
     # weights of a target add up to one
     assert row[0] == inside and row[1] == pytest.approx(1.0) and row[2] == pytest.approx(1.0)
 
 
-@pytest.mark.parametrize("options", [{}, {"tile": 4}, {"tile": 4, "broadcast_limit": 0}])
+@pytest.mark.parametrize("options", [{}, {"tile": 4}, {"tile": 1}])
 def test_planar_field_is_exact_inside_and_nearest_outside(spark, options):
     out = regrid(product(spark, METEO_GRID, cube_rows(METEO_GRID)), Grid.dense(), **options).toPandas()
     assert len(out) == 495 * len(DAYS)
@@ -118,13 +116,84 @@ def test_off_grid_coordinate_fails(spark):
         regrid(product(spark, METEO_GRID, rows), Grid.dense()).collect()
 
 
-@pytest.mark.parametrize("tile", [64, 8])
-def test_one_exchange_carries_the_rows(spark, tile):
-    p = product(spark, METEO_GRID, cube_rows(METEO_GRID))
-    plan = regrid(p, Grid.dense(), tile=tile)._jdf.queryExecution().executedPlan().toString()
-    # the row exchange, and the one of the distinct times behind the markers
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert plan.count("BroadcastHashJoin") == (0 if tile == 64 else 2)
+AXES = [
+    (Axis(46.0, 0.5, 7), Axis(45.53, 0.25, 15)), (Axis(-124.375, 0.625, 12), Axis(-124.77, 0.25, 33)), (Axis(0.0, 0.01, 900), Axis(1.003, 1.0, 6)),
+    (Axis(10.0, -0.1, 101), Axis(0.55, 0.5, 17)), (Axis(0.0, 0.25, 5), Axis(0.0, 0.25, 5)), (Axis(3.0, 1.0, 1), Axis(0.0, 1.0, 9)),
+    (Axis(0.0, 1.0, 4), Axis(20.0, 0.5, 8)), (Axis(0.0, 1.0, 4), Axis(-9.0, 0.5, 8)), (Axis(0.0, 7.0, 30), Axis(3.5, 7.0, 29)), (Axis(0.0, 0.3, 50), Axis(14.0, -0.9, 14)),
+]
+
+
+@pytest.mark.parametrize(("source", "target"), AXES)
+def test_needed_nodes_by_arithmetic(spark, source, target):
+    at = AxisPosition.of(source, target, np.arange(target.size))
+    inside = at.inside
+    # beyond the hull only the nearest node counts
+    want = set(np.r_[at.lower[inside], at.upper[inside], at.nearest].tolist())
+    nodes = spark.range(source.size).withColumn("used", is_needed(source, target, F.col("id")))
+    got = {r["id"] for r in nodes.filter("used").collect()}
+    # one more on either side of a target that lies on a node, and the ends
+    assert want <= got and len(got - want - {0, source.size - 1}) <= 2 * target.size
+    low, high = needed_range(source, target)
+    places = source.start + np.array(sorted(want)) * source.step
+    assert low <= places.min() and places.max() <= high
+    for tile in (1, 4, 64):
+        first, last = node_tiles(source, target, tile, np.arange(source.size))
+        for number in range(-(-target.size // tile)):
+            index = np.arange(number * tile, min((number + 1) * tile, target.size))
+            own = AxisPosition.of(source, target, index)
+            used = np.r_[own.lower[own.inside], own.upper[own.inside], own.nearest]
+            assert ((first[used] <= number) & (number <= last[used])).all()
+
+
+def test_source_far_finer_and_larger_than_the_target(spark):
+    """A hundred nodes to a target step: what is read and held follows the target."""
+    source, target = Grid(Axis(40.0, 0.01, 1200), Axis(-130.0, 0.01, 1500)), Grid(Axis(45.003, 1.0, 4), Axis(-124.776, 1.0, 6))
+    ids = spark.range(source.size, numPartitions=8)
+    lat = source.lat.value(F.expr("id div 1500")).alias("lat")
+    lon = source.lon.value(F.expr("id % 1500")).alias("lon")
+    rows = ids.select(F.lit(DAYS[0]).alias("time"), lat, lon).withColumn("v", 3.0 + 2.0 * F.col("lat") - 0.5 * F.col("lon"))
+    p = Product("p", rows, source, ["v"])
+    needed = needed_rows(p, target, "time")
+    assert needed.count() <= (3 * 4) * (3 * 6)
+    out = regrid(p, target, tile=3).toPandas()
+    assert len(out) == 24 and not out["is_extrapolated"].any()
+    assert np.allclose(out["v"], 3.0 + 2.0 * out["lat"] - 0.5 * out["lon"], atol=1e-9)
+
+
+def test_ranges_reach_the_scan_and_each_product_is_read_once(spark, tmp_path):
+    parts = []
+    for name, grid in (("a", METEO_GRID), ("b", SOLAR_GRID)):
+        path = str(tmp_path / name)
+        product(spark, grid, cube_rows(grid)).rows.withColumnRenamed("v", name).withColumn("unread", F.lit(1)).write.parquet(path)
+        parts.append(Product(name, spark.read.parquet(path), grid, [name]))
+    target = Grid(Axis(47.1, 0.1, 10), Axis(-121.0, 0.1, 10))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = regrid_products(parts, target, tile=4)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert plan.count("Or(And(GreaterThanOrEqual(lat,") == 2 and plan.count("LessThanOrEqual(lon,") == 2 and "unread" not in plan
+    assert regrid_products(parts, target, tile=4).count() == 500
+
+
+def test_absent_rows_still_give_targets(spark):
+    """A time whose rows lie in one corner has all its targets, also where no row is near."""
+    rows = [(DAYS[0], 46.0, -124.375, 1.0), (DAYS[1], 30.0, 0.0, 1.0)]
+    out = regrid(product(spark, METEO_GRID, rows), Grid.dense(), tile=4).toPandas()
+    assert len(out) == 495 and out["v"].notna().sum() > 0 and (out["v"].dropna() == 1.0).all()
+    assert regrid(product(spark, METEO_GRID, []), Grid.dense()).count() == 0
+    with pytest.raises(PySparkException):
+        regrid(product(spark, METEO_GRID, [(DAYS[0], None, -124.375, 1.0)]), Grid.dense()).collect()
+
+
+@pytest.mark.parametrize("packed", [1, 7, 1 << 16])
+def test_pack_size_does_not_matter(spark, monkeypatch, packed):
+    from isotherm.operators import regrid as module
+
+    monkeypatch.setattr(module, "_PACKED", packed)
+    rows = spark.createDataFrame(cube_rows(METEO_GRID), "time date, lat double, lon double, v double").repartition(3)
+    out = regrid(Product("p", rows, METEO_GRID, ["v"]), Grid.dense(), tile=8).filter("not is_extrapolated").toPandas()
+    assert len(out) == 336 * len(DAYS)
+    assert np.allclose(out["v"], [planar(a, b, t) for a, b, t in zip(out["lat"], out["lon"], out["time"], strict=True)], atol=1e-9)
 
 
 def test_axis_and_grid(spark):
