@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 
@@ -72,6 +74,29 @@ def group_sums(points: np.ndarray, group: np.ndarray, size: int) -> tuple[np.nda
     return sums, counts
 
 
+def quanta(bound: float, n: int, precision: int = 60) -> list[float]:
+    """Steps of the places in which up to n values of at most ``bound`` in size are added exactly.
+
+    Sums of n multiples of a step stay whole multiples a double can hold, so their order does not
+    matter. Places follow until what is left of a value is 2^-``precision`` of the bound.
+    """
+    if not bound > 0.0:
+        return [1.0]
+    room = 52 - max(2, int(n - 1).bit_length())
+    top = math.frexp(bound)[1]
+    return [math.ldexp(1.0, max(top - room * (i + 1), -1070)) for i in range(max(1, -(-precision // room)))]
+
+
+def places(values: np.ndarray, steps: list[float]) -> list[np.ndarray]:
+    """Values as one array of multiples per step, the coarsest first; what is below the last is dropped."""
+    out = []
+    for step in steps:
+        shift = 1.5 * 2.0**52 * step
+        out.append((values + shift) - shift)
+        values = values - out[-1]
+    return out
+
+
 def uniform(bits: np.ndarray, seed: int) -> np.ndarray:
     """Uniform draws in [0, 1) from row hashes and a seed (SplitMix64 finaliser).
 

@@ -1,8 +1,10 @@
 """K-means as Spark jobs.
 
 Points are packed once into blocks (one row per Arrow batch) and cached; every round is
-one job in which a task reduces its blocks to at most K partial sums per restart, Catalyst
-adds the partials up, and K x d numbers return to the driver. All restarts share a pass.
+one job in which a task reduces its blocks to one row per restart and non-empty cluster, an array of
+sums; a merge tree on the executors adds them up, and K x d numbers return to the driver. Sums are
+kept in places that add exactly (:func:`isotherm.functions.kernels.quanta`), so a round gives the
+same bits however the points are partitioned. All restarts share a pass.
 Only centroids cross rounds, so the lineage of the points never grows and a lost executor
 costs no more than the recomputation of its blocks.
 """
@@ -18,11 +20,12 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
 from isotherm.functions.exprs import hash_bits, hash_uniform, squared_distance
+from isotherm.operators.partials import FAN, merge_arrays, task_part
 
 # Defaults of the two published variants.
 K, SEED, SEED_STEP, ROUND_STEP = 14, 42, 7919, 977
@@ -30,10 +33,7 @@ MAX_ITER, TOL, N_INIT = 50, 1e-4, 10
 INIT_ROUNDS, OVERSAMPLE = 2, 2.0
 RANDOM_TOL, RANDOM_N_INIT = 0.01, 3
 
-_COUNT, _COST = -1, -2
-# Partials that may travel straight to the driver; more are added up on the executors.
-_DIRECT_ROWS = 500_000
-_PARTIAL = "run int, cluster int, dim int, value double"
+_PARTIAL = "run int, cluster int, part long, sums array<double>"
 
 Blocks = Iterator[tuple[np.ndarray, np.ndarray]]
 
@@ -51,6 +51,19 @@ class PackedPoints:
     def tasks(self) -> int:
         return self.df.rdd.getNumPartitions()
 
+    @cached_property
+    def extent(self) -> tuple[int, float]:
+        """Number of points and their largest coordinate in size, by one pass."""
+
+        def fold(points: Blocks) -> Iterator[dict]:
+            n, most = 0, 0.0
+            for _, x in points:
+                n, most = n + len(x), max(most, float(np.abs(x).max(initial=0.0)))
+            yield {"n": pa.array([n], pa.int64()), "most": [most]}
+
+        row = _scan(self, "n long, most double", fold).agg(F.sum("n").alias("n"), F.max("most").alias("most")).head()
+        return row["n"] or 0, row["most"] or 0.0
+
 
 def pack_points(points: DataFrame, *, ids: Sequence[str], features: str = "features") -> PackedPoints:
     """``h binary, x binary, d int``: row hashes and vectors of one Arrow batch per row.
@@ -103,57 +116,66 @@ def _scan(blocks: PackedPoints, schema: str, fold: Callable[[Blocks], Iterable[d
 # --------------------------------------------------------------------------- passes
 
 
+def _steps(blocks: PackedPoints, centers: Sequence[np.ndarray], vectors: bool) -> tuple[list[float], list[float]]:
+    """Places of the coordinate sums and of the cost."""
+    n, most = blocks.extent
+    d = max((c.shape[1] for c in centers), default=0)
+    reach = most + max((float(np.abs(c).max(initial=0.0)) for c in centers), default=0.0)
+    return kernels.quanta(most, n) if vectors else [], kernels.quanta(2 * d * reach * reach, n)
+
+
 def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True) -> DataFrame:
-    """Map side of a round: per task, run and non-empty cluster the vector sum (one row
-    per dimension, unless ``vectors`` is off), the count (``dim`` -1) and the cost
-    (``dim`` -2)."""
+    """Map side of a round: one row per task, run and non-empty cluster. ``sums`` holds the vector sum in
+    its places (unless ``vectors`` is off), the cost in its places and the count."""
     centers = [np.asarray(c, dtype=float) for c in centers]
+    steps, cost_steps = _steps(blocks, centers, vectors)
 
     def fold(points: Blocks) -> Iterator[dict]:
-        totals = [np.zeros((len(c), (c.shape[1] if vectors else 0) + 2)) for c in centers]
+        totals = [np.zeros((len(c), c.shape[1] * len(steps) + len(cost_steps) + 1)) for c in centers]
         for _, x in points:
+            split = kernels.places(x, steps)
+            split = np.hstack(split) if split else x[:, :0]
             for c, total in zip(centers, totals, strict=True):
                 best, d2 = kernels.nearest(x, c)
-                sums, counts = kernels.group_sums(x if vectors else x[:, :0], best, len(c))
-                total[:, :-2] += sums
-                total[:, _COST] += np.bincount(best, weights=d2, minlength=len(c))
-                total[:, _COUNT] += counts
+                priced = np.column_stack([split, *kernels.places(d2, cost_steps)])
+                sums, counts = kernels.group_sums(priced, best, len(c))
+                total[:, :-1] += sums
+                total[:, -1] += counts
         for run, total in enumerate(totals):
-            used = np.flatnonzero(total[:, _COUNT])
+            used = np.flatnonzero(total[:, -1])
             if len(used):
-                width = total.shape[1]
-                dims = np.r_[np.arange(width - 2), _COST, _COUNT]
                 yield {
-                    "run": np.full(len(used) * width, run, dtype=np.int32),
-                    "cluster": np.repeat(used, width).astype(np.int32),
-                    "dim": np.tile(dims, len(used)).astype(np.int32),
-                    "value": total[used].ravel(),
+                    "run": np.full(len(used), run, dtype=np.int32),
+                    "cluster": used.astype(np.int32),
+                    "part": np.full(len(used), task_part(), dtype=np.int64),
+                    "sums": list(total[used]),
                 }
 
     return _scan(blocks, _PARTIAL, fold)
 
 
-def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True):
-    """Reduce side: sums, counts and cost per run.
-
-    Few tasks and small partials go to the driver as they are, which saves a shuffle on
-    small data; otherwise Catalyst adds them up first, so K x d values per run return.
-    """
+def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None):
+    """Reduce side: sums, counts and cost per run. At most one row per task, run and cluster is
+    shuffled; the root of the merge tree is here, so at most ``FAN`` rows per run and cluster return.
+    ``seen`` observes the rows the tasks emit."""
+    centers = [np.asarray(c, dtype=float) for c in centers]
     partials = partial_sums(blocks, centers, vectors=vectors)
-    widths = [(np.shape(c)[1] if vectors else 0) + 2 for c in centers]
-    if blocks.tasks * sum(len(c) * w for c, w in zip(centers, widths, strict=True)) > _DIRECT_ROWS:
-        partials = partials.groupBy("run", "cluster", "dim").agg(F.sum("value").alias("value"))
-    rows = partials.toArrow()
-    run, cluster, dim, value = (rows.column(n).to_numpy() for n in ("run", "cluster", "dim", "value"))
-    order = np.argsort(run, kind="stable")
-    bounds = np.searchsorted(run[order], np.arange(len(centers) + 1))
+    if seen is not None:
+        partials = partials.observe(seen, F.count(F.lit(1)).alias("n_partials"), F.sum(F.element_at("sums", -1)).cast("long").alias("n_points"))
+    steps, cost_steps = _steps(blocks, centers, vectors)
+    rows = merge_arrays(partials, ["run", "cluster"], ["sums"], parts=blocks.tasks, keep=FAN).toArrow()
+    run, cluster = (rows.column(n).to_numpy() for n in ("run", "cluster"))
+    sums = rows.column("sums").combine_chunks()
     out = []
-    for number, (c, width) in enumerate(zip(centers, widths, strict=True)):
-        # the negative dims of cost and count land in the last two columns
-        mine = order[bounds[number] : bounds[number + 1]]
-        total = np.zeros((len(c), width))
-        np.add.at(total, (cluster[mine], dim[mine]), value[mine])
-        out.append((total[:, :-2], total[:, _COUNT], float(total[:, _COST].sum())))
+    for number, c in enumerate(centers):
+        width = c.shape[1] * len(steps)
+        total = np.zeros((len(c), width + len(cost_steps) + 1))
+        for at in np.flatnonzero(run == number):
+            total[cluster[at]] += sums[at].values.to_numpy()
+        # the finest place first, so that none of it is lost
+        vector = sum(reversed(np.split(total[:, :width], len(steps), axis=1))) if steps else total[:, :0]
+        cost = sum(reversed([total[:, width + i].sum() for i in range(len(cost_steps))]))
+        out.append((vector, total[:, -1], float(cost)))
     return out
 
 
@@ -508,9 +530,10 @@ def assign_many(
 
 
 def vector_sums(df: DataFrame, *, label: str = "cluster", features: str = "features", cost: str | None = None) -> DataFrame:
-    """``label, dim, value``: sums per label and dimension, count (-1) and cost (-2).
+    """``label, sums``: one row per label, its vector sum, count and cost in one array.
 
-    Every task pre-aggregates its rows, so a label that holds most rows is no hot key.
+    Every task pre-aggregates its rows into one row per label, so a label that holds most rows is no
+    hot key; rows of a label are added in the order of the tasks.
     """
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -520,16 +543,14 @@ def vector_sums(df: DataFrame, *, label: str = "cluster", features: str = "featu
                 continue
             x = kernels.as_matrix(batch.column(1))
             values, group = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
-            sums, counts = kernels.group_sums(x, group, len(values))
-            price = np.bincount(group, weights=batch.column(2).to_numpy(zero_copy_only=False), minlength=len(values))
-            rows = np.hstack([sums, counts[:, None], price[:, None]])
-            for value, row in zip(values.tolist(), rows, strict=True):
+            price = batch.column(2).to_numpy(zero_copy_only=False)
+            sums, counts = kernels.group_sums(np.column_stack([x, np.ones(len(x)), price]), group, len(values))
+            for value, row in zip(values.tolist(), sums, strict=True):
                 totals[value] = totals[value] + row if value in totals else row
-        for value, row in totals.items():
-            dims = np.r_[np.arange(len(row) - 2), _COUNT, _COST].astype(np.int32)
+        if totals:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([value] * len(row), pa.int64()), pa.array(dims), pa.array(row)],
-                names=["label", "dim", "value"],
+                [pa.array(list(totals), pa.int64()), pa.array([task_part()] * len(totals), pa.int64()), pa.array(list(totals.values()), pa.list_(pa.float64()))],
+                names=["label", "part", "sums"],
             )
 
     price = F.col(cost) if cost else F.lit(0.0)
@@ -538,28 +559,19 @@ def vector_sums(df: DataFrame, *, label: str = "cluster", features: str = "featu
         F.col(features).cast("array<double>").alias("x"),
         price.cast("double").alias("cost"),
     )
-    return (
-        source.mapInArrow(fold, "label long, dim int, value double")
-        .groupBy("label", "dim")
-        .agg(F.sum("value").alias("value"))
-    )
+    partials = source.mapInArrow(fold, "label long, part long, sums array<double>")
+    return merge_arrays(partials, ["label"], ["sums"], parts=source.rdd.getNumPartitions())
 
 
 def centroid_update(df: DataFrame, *, label: str = "cluster", features: str = "features", d2: str | None = "d2") -> DataFrame:
     """``cluster, n, cost, centroid array<double>``: merged partials, one row per cluster."""
-    ordered = F.array_sort(
-        F.collect_list(F.when(F.col("dim") >= 0, F.struct("dim", "value")))
-    )
-    rows = vector_sums(df, label=label, features=features, cost=d2).groupBy("label").agg(
-        F.max(F.when(F.col("dim") == _COUNT, F.col("value"))).alias("n"),
-        F.max(F.when(F.col("dim") == _COST, F.col("value"))).alias("cost"),
-        ordered.alias("sums"),
-    )
+    rows = vector_sums(df, label=label, features=features, cost=d2)
+    n = F.element_at("sums", -2)
     return rows.select(
         F.col("label").cast("int").alias("cluster"),
-        F.col("n").cast("long").alias("n"),
-        "cost",
-        F.transform("sums", lambda e: e["value"] / F.col("n")).alias("centroid"),
+        n.cast("long").alias("n"),
+        F.element_at("sums", -1).alias("cost"),
+        F.transform(F.slice("sums", F.lit(1), F.size("sums") - 2), lambda v: v / n).alias("centroid"),
     )
 
 
@@ -610,12 +622,13 @@ def centroid_shift(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def partial_record_count(blocks: PackedPoints, centroids: np.ndarray) -> DataFrame:
-    """How far one round shrinks: points in, (task, cluster) partials out."""
-    emitted = partial_sums(blocks, [centroids]).filter(F.col("dim") == _COUNT)
-    return emitted.agg(
-        F.sum("value").cast("long").alias("n_points"),
-        F.count(F.lit(1)).alias("n_partials"),
-        F.try_divide(F.sum("value"), F.count(F.lit(1))).alias("reduction"),
+    """How far one round shrinks: points in, rows that its tasks really emit, counted in the pass itself."""
+    seen = Observation()
+    _round(blocks, [centroids], seen=seen)
+    found = seen.get
+    n, rows = found["n_points"] or 0, found["n_partials"]
+    return blocks.df.sparkSession.createDataFrame(
+        [(n, rows, n / rows if rows else None)], "n_points long, n_partials long, reduction double"
     )
 
 

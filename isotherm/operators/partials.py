@@ -30,10 +30,13 @@ def _added(rows: Column, name: str) -> Column:
 
 
 def merge_arrays(
-    partials: DataFrame, keys: Sequence[str], arrays: Sequence[str], *, parts: int, fan: int = FAN, part: str = "part"
+    partials: DataFrame, keys: Sequence[str], arrays: Sequence[str], *, parts: int, fan: int = FAN, part: str = "part", keep: int = 1
 ) -> DataFrame:
     """``keys, arrays``: the sums of all partials of a key, for positions ``0..parts-1``.
 
+    ``keep`` leaves the last levels to the reader: at most so many rows of a key, and none is shuffled if the
+    tasks were so few.
+
     Every array of a column has the same length for one key. At most ``parts`` rows of a key
     are shuffled, then ``parts / fan``, and so on; nothing passes through the driver or Python.
     An empty input gives an empty table.
@@ -42,11 +45,10 @@ def merge_arrays(
         raise ValueError("fan must be 2 at least")
     columns = [*keys, *arrays]
     rows = partials.select(F.col(part).cast("long").alias("_part"), *columns)
-    while True:
+    while parts > keep:
         level = rows.groupBy(*keys, F.floor(F.col("_part") / fan).alias("_next")).agg(
             F.array_sort(F.collect_list(F.struct("_part", *arrays))).alias("_all")
         )
         rows = level.select(F.col("_next").alias("_part"), *keys, *[_added(F.col("_all"), a).alias(a) for a in arrays])
         parts = -(-parts // fan)
-        if parts <= 1:
-            return rows.select(*columns)
+    return rows.select(*columns)

@@ -184,10 +184,14 @@ def dsquared_sample(spark: SparkSession, sf: str) -> DataFrame:
     return drawn.select("vec_id", settle("d2", 6).alias("d2"))
 
 
-@query()
+@query(f"""{ASSIGNED_SQL} SELECT count(*) AS n_points, count(DISTINCT (vec_id % 4, cluster)) AS n_partials,
+count(*) / count(DISTINCT (vec_id % 4, cluster)) AS reduction FROM near""")
 def partial_record_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the tasks of one round emit, observed in the pass, for partitions known by key."""
     points = vectors(spark, sf)
-    return km.partial_record_count(km.pack_points(points, ids=IDS), _start(points))
+    dealt = points.repartitionById(4, (F.col("vec_id") % 4).cast("int"))
+    with km.CachedPoints(dealt, ids=IDS) as blocks:
+        return km.partial_record_count(blocks, _start(points))
 
 
 def _fit_rows(spark: SparkSession, fits: list[km.Fit]) -> DataFrame:

@@ -106,13 +106,43 @@ def test_result_does_not_depend_on_partitions(spark):
     assert sampled[0] == sampled[1]
 
 
-def test_shuffled_partials_equal_direct_ones(spark, monkeypatch):
-    x, _ = blobs(k=5, spread=3.0)
-    df = frame(spark, x, parts=6)
-    direct = km.lloyd(df, x[:5], ids=["id"], max_iter=3)
-    monkeypatch.setattr(km, "_DIRECT_ROWS", 0)
-    shuffled = km.lloyd(df, x[:5], ids=["id"], max_iter=3)
-    assert np.allclose(direct.centroids, shuffled.centroids) and direct.cost == pytest.approx(shuffled.cost)
+def test_every_bit_is_the_same_for_any_partitioning(spark):
+    """Places add exactly, so neither blocks, tasks nor the merge order can show in a result."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 5)) * 10.0 ** rng.integers(-6, 6, (3000, 1))
+    seen = []
+    for parts in (1, 4, 40):
+        with km.CachedPoints(frame(spark, x, parts=parts), ids=["id"]) as blocks:
+            assert blocks.tasks == parts
+            rounds = km._round(blocks, [x[:7], x[5:25]])
+            fit = km.lloyd_blocks(blocks, [x[:7]], max_iter=4)[0]
+        seen.append([(s.tobytes(), n.tobytes(), cost) for s, n, cost in rounds] + [fit.centroids.tobytes(), fit.cost])
+    assert seen[0] == seen[1] == seen[2]
+    own = ((x[:, None] - x[:7]) ** 2).sum(2).argmin(1)
+    sums = np.frombuffer(seen[0][0][0]).reshape(7, 5)
+    assert np.allclose(sums, [x[own == j].sum(0) for j in range(7)], rtol=1e-9, atol=1e-9 * np.abs(x).max())
+
+
+def test_places_add_exactly():
+    from isotherm.functions import kernels
+
+    rng = np.random.default_rng(4)
+    for scale, n in ((1.0, 10), (1e-300, 1000), (1e12, 100_000), (3.7, 1)):
+        x = rng.standard_normal(n) * scale
+        steps = kernels.quanta(float(np.abs(x).max()), n)
+        parts = kernels.places(x, steps)
+        for part in parts:
+            assert part.sum() == rng.permutation(part).sum() == np.add.reduce(part[::-1])
+        assert np.abs(sum(parts) - x).max() <= 2.0**-58 * np.abs(x).max()
+    assert kernels.places(np.zeros(3), kernels.quanta(0.0, 3))[0].tolist() == [0.0] * 3
+
+
+def test_observed_rows_are_those_emitted(spark):
+    x, _ = blobs(k=8, per=500)
+    with km.CachedPoints(frame(spark, x, parts=4), ids=["id"]) as blocks:
+        emitted = km.partial_sums(blocks, [x[:8]]).count()
+        row = km.partial_record_count(blocks, x[:8]).head()
+        assert (row["n_points"], row["n_partials"], row["reduction"]) == (4000, emitted, 4000 / emitted)
 
 
 def test_empty_clusters(spark):

@@ -35,5 +35,8 @@ def test_no_rows_and_no_keys(spark):
     assert merge_arrays(empty, [], ["x"], parts=0).collect() == []
     some = spark.createDataFrame([(i, [1, i]) for i in range(100)], "part long, x array<long>")
     assert merge_arrays(some, [], ["x"], parts=100, fan=5).head()["x"] == [100, 4950]
+    few = merge_arrays(some, [], ["x"], parts=100, fan=5, keep=20).collect()
+    assert len(few) == 20 and sum(r["x"][1] for r in few) == 4950
+    assert merge_arrays(some, [], ["x"], parts=100, keep=100).count() == 100
     with pytest.raises(ValueError, match="fan"):
         merge_arrays(some, [], ["x"], parts=100, fan=1)
