@@ -11,97 +11,128 @@ from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
 from isotherm.operators import kmeans as km
+from isotherm.operators.partials import merge_arrays
+
+#: Rows of a block and blocks of a group in the exact silhouette.
+BLOCK_ROWS, GROUP_BLOCKS = 2048, 8
+
 
 def _silhouette_rows(
-    df: DataFrame, ids: Sequence[str], labels: Sequence[str], features: str, block_rows: int
+    df: DataFrame, ids: Sequence[str], labels: Sequence[str], features: str, block_rows: int, group_blocks: int
 ) -> DataFrame:
     """``_row struct<ids>, labeling, own, silhouette`` for every row and label column.
 
-    Rows are dealt into hashed blocks of about ``block_rows``; a task measures one pair of
-    blocks and returns distance *sums* per (row, cluster), so no pair of points leaves it.
-    Several labelings of the same points share the distances.
+    Rows are dealt into hashed blocks of about ``block_rows``, each packed into one binary row. A task gets
+    one pair of groups of ``group_blocks`` blocks, measures them block against block by matrix products
+    and adds the distances up per (row, cluster): what it returns is one array per block, whatever it
+    met. So a block travels once per group, and its sums return once per group. Arrays of a block are merged
+    in a tree, and scored next to its keys. Several labelings of the same points share the distances.
     """
     rows = df.select(
         F.struct(*ids).alias("_row"),
         F.array(*[F.col(c).cast("long") for c in labels]).alias("labels"),
         F.col(features).cast("array<double>").alias("x"),
     )
-    n_blocks = max(1, -(-rows.count() // block_rows))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("_row", "x"), F.lit(n_blocks)).cast("int"))
-    last = F.lit(n_blocks - 1)
-    left = dealt.withColumns({"i": F.col("b"), "j": F.explode(F.sequence(F.col("b"), last))})
-    right = dealt.withColumns({"j": F.col("b"), "i": F.explode(F.sequence(F.lit(0), F.col("b")))})
+    sizes = rows.select(F.posexplode("labels").alias("labeling", "own")).groupBy("labeling", "own").count().collect()
+    known = [sorted((r["own"], r["count"]) for r in sizes if r["labeling"] == i) for i in range(len(labels))]
+    total = sum(n for _, n in known[0])
+    n_blocks = max(1, -(-total // block_rows))
+    groups = -(-n_blocks // group_blocks)
+    # clusters of all labelings side by side
+    values = [np.array([v for v, _ in k], dtype=np.int64) for k in known]
+    width = sum(len(v) for v in values)
+
     row_type = rows.schema["_row"].dataType.simpleString()
-    fields = ["_row", "labeling", "own", "other", "total", "n"]
-
-    def unpacked(t: pa.Table):
-        labels = t.column("labels").combine_chunks()
-        own = labels.flatten().to_numpy().reshape(len(labels), -1)
-        return t.column("_row").combine_chunks(), own, kernels.as_matrix(t.column("x"))
-
-    def sums_to(a, b) -> Iterator[pa.Table]:
-        """Distance sums of every row of a to the clusters of b, per labeling."""
-        (keys, own_a, xa), (_, own_b, xb) = a, b
-        for k in range(0, len(xa), 256):
-            gap = kernels.distances(xa[k : k + 256], xb)
-            height = len(gap)
-            for labeling in range(own_b.shape[1]):
-                values, group = np.unique(own_b[:, labeling], return_inverse=True)
-                member = np.zeros((len(xb), len(values)))
-                member[np.arange(len(xb)), group] = 1.0
-                width = len(values)
-                at = np.repeat(np.arange(k, k + height), width)
-                yield pa.table(
-                    [
-                        keys.take(pa.array(at)),
-                        pa.array(np.full(width * height, labeling, np.int32)),
-                        pa.array(own_a[at, labeling]),
-                        pa.array(np.tile(values, height)),
-                        pa.array((gap @ member).ravel()),
-                        pa.array(np.tile(member.sum(axis=0).astype(np.int64), height)),
-                    ],
-                    names=fields,
-                )
-
-    def measure(a: pa.Table, b: pa.Table) -> pa.Table:
-        # both sides hold a block for every pair that occurs, unless one block is empty
-        if not a.num_rows or not b.num_rows:
-            some = a if a.num_rows else b
-            return next(sums_to(unpacked(some), unpacked(some))).slice(0, 0)
-        one = unpacked(a)
-        if a.column("i")[0].as_py() == a.column("j")[0].as_py():
-            return pa.concat_tables(sums_to(one, one))
-        two = unpacked(b)
-        return pa.concat_tables([*sums_to(one, two), *sums_to(two, one)])
-
-    sums = (
-        left.groupBy("i", "j")
-        .cogroup(right.groupBy("i", "j"))
-        .applyInArrow(measure, f"_row {row_type}, labeling int, own long, other long, total double, n long")
-        .groupBy("_row", "labeling", "own", "other")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    )
-    is_own = F.col("own") == F.col("other")
-    per_row = sums.groupBy("_row", "labeling", "own").agg(
-        F.max(F.when(is_own, F.col("n"))).alias("n_own"),
-        F.max(F.when(is_own, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
-        F.min(F.when(~is_own, F.col("total") / F.col("n"))).alias("b"),
-    )
-    score = F.when((F.col("n_own") == 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    dealt = rows.withColumn("b", F.pmod(F.xxhash64("_row", "x"), F.lit(n_blocks)).cast("int"))
+
+    def pack(where, t):
+        """One row per block; every reader finds its rows in the same order."""
+        t = t.take(pa.array(np.lexsort((t.column("h2").to_numpy(), t.column("h1").to_numpy()))))
+        own = np.stack(t.column("labels").to_pylist()).astype(np.int64) if len(t) else np.zeros((0, len(labels)), np.int64)
+        keys = pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), t.column("_row").combine_chunks())
+        cells = [pa.array([m.tobytes()], pa.binary()) for m in (own, np.ascontiguousarray(kernels.as_matrix(t.column("x"))))]
+        return pa.table([pa.array([where[0].as_py()], pa.int32()), keys, *cells], names=["b", "keys", "own", "x"])
+
+    keyed = dealt.withColumns({"h1": F.xxhash64("_row"), "h2": F.xxhash64("_row", "x", "labels")})
+    packed = keyed.groupBy("b").applyInArrow(pack, f"b int, keys array<{row_type}>, own binary, x binary")
+
+    def blocks_of(t: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """Number, cluster membership and points of each block; a group without blocks has no columns either."""
+        if not t.num_rows:
+            return []
+        out = []
+        for b, own, x in zip(t.column("b"), t.column("own"), t.column("x"), strict=True):
+            mine = np.frombuffer(own.as_buffer(), np.int64).reshape(-1, len(labels))
+            member, at = np.zeros((len(mine), width)), 0
+            for i, v in enumerate(values):
+                member[np.arange(len(mine)), at + np.searchsorted(v, mine[:, i])] = 1.0
+                at += len(v)
+            points = np.frombuffer(x.as_buffer(), np.float64)
+            out.append((b.as_py(), member, points.reshape(len(mine), -1)))
+        return out
+
+    def measure(where, a, b):
+        i, j = (w.as_py() for w in where)
+        left = blocks_of(a)
+        right = left if i == j else blocks_of(b)
+        sums = [np.zeros(member.shape) for _, member, _ in left]
+        back = sums if i == j else [np.zeros(member.shape) for _, member, _ in right]
+        for p, (_, mine, x) in enumerate(left):
+            for q in range(p if i == j else 0, len(right)):
+                _, theirs, y = right[q]
+                for k in range(0, len(x), 512):
+                    gap = kernels.distances(x[k : k + 512], y)
+                    sums[p][k : k + 512] += gap @ theirs
+                    if i != j or p != q:
+                        back[q] += gap.T @ mine[k : k + 512]
+        made = [(number, j, part) for (number, _, _), part in zip(left, sums, strict=True)]
+        if i != j:
+            made += [(number, i, part) for (number, _, _), part in zip(right, back, strict=True)]
+        return pa.table(
+            [pa.array([b for b, _, _ in made], pa.int32()), pa.array([g for _, g, _ in made], pa.int64()),
+             pa.array([part.ravel() for *_, part in made], pa.list_(pa.float64()))],
+            names=["b", "part", "sums"],
+        )
+
+    bare = packed.select("b", "own", "x", F.expr(f"b div {group_blocks}").cast("int").alias("g"))
+    left = bare.withColumns({"i": F.col("g"), "j": F.explode(F.sequence(F.col("g"), F.lit(groups - 1)))})
+    right = bare.withColumns({"j": F.col("g"), "i": F.explode(F.sequence(F.lit(0), F.col("g")))})
+    met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(measure, "b int, part long, sums array<double>")
+    merged = merge_arrays(met, ["b"], ["sums"], parts=groups)
+
+    def score(where, sums, t):
+        own = np.frombuffer(t.column("own")[0].as_buffer(), np.int64).reshape(-1, len(labels))
+        keys = t.column("keys").combine_chunks().flatten()
+        total, at, made = np.array(sums.column("sums")[0].values).reshape(len(own), width), 0, []
+        for i, k in enumerate(known):
+            size = np.array([n for _, n in k], dtype=float)
+            mine, each, rows = np.searchsorted(values[i], own[:, i]), total[:, at : at + len(k)], np.arange(len(own))
+            at += len(k)
+            a = each[rows, mine] / np.maximum(size[mine] - 1, 1)
+            mean = each / size
+            mean[rows, mine] = np.inf
+            b = mean.min(axis=1, initial=np.inf)
+            top = np.maximum(a, np.where(np.isfinite(b), b, 0))
+            fit = (size[mine] > 1) & np.isfinite(b) & (top > 0)
+            value = np.where(fit, (np.where(np.isfinite(b), b, 0) - a) / np.where(top > 0, top, 1), 0.0)
+            made.append(pa.table([keys, np.full(len(own), i, np.int32), own[:, i], value], names=["_row", "labeling", "own", "silhouette"]))
+        return pa.concat_tables(made)
+
+    return merged.groupBy("b").cogroup(packed.groupBy("b")).applyInArrow(
+        score, f"_row {row_type}, labeling int, own long, silhouette double"
     )
-    return per_row.select("_row", "labeling", "own", score.alias("silhouette"))
 
 
 def silhouette_samples(
-    df: DataFrame, *, ids: Sequence[str], label: str = "cluster", features: str = "features", block_rows: int = 2048
-) -> DataFrame:
+    df: DataFrame, *, ids: Sequence[str], label: str = "cluster", features: str = "features", block_rows: int = BLOCK_ROWS,
+    group_blocks: int = GROUP_BLOCKS,
+) -> DataFrame:
     """Exact Euclidean silhouette per row, for any number of rows: ``*ids, cluster, silhouette``.
 
     The arithmetic is quadratic by nature, memory and task size do not grow; where that
     cost is too high use :func:`silhouette_squared`. ``ids`` must be a row key.
     """
-    scored = _silhouette_rows(df, ids, [label], features, block_rows)
+    scored = _silhouette_rows(df, ids, [label], features, block_rows, group_blocks)
     return scored.select("_row.*", F.col("own").cast("int").alias("cluster"), "silhouette")
 
 
@@ -111,10 +142,11 @@ def silhouette(df: DataFrame, *, label: str = "cluster", **options) -> DataFrame
 
 
 def silhouette_many(
-    df: DataFrame, *, ids: Sequence[str], labels: Sequence[str], features: str = "features", block_rows: int = 2048
-) -> DataFrame:
+    df: DataFrame, *, ids: Sequence[str], labels: Sequence[str], features: str = "features", block_rows: int = BLOCK_ROWS,
+    group_blocks: int = GROUP_BLOCKS,
+) -> DataFrame:
     """Mean Euclidean silhouette of several label columns: ``labeling, silhouette``."""
-    scored = _silhouette_rows(df, ids, labels, features, block_rows)
+    scored = _silhouette_rows(df, ids, labels, features, block_rows, group_blocks)
     return scored.groupBy("labeling").agg(F.avg("silhouette").alias("silhouette"))
 
 
@@ -160,6 +192,32 @@ def silhouette_squared(df: DataFrame, *, label: str = "cluster", features: str =
     return rows.agg(F.avg(score("own", "x")).alias("silhouette"))
 
 
+def silhouettes_of_centers(blocks: km.PackedPoints, centers: Sequence[np.ndarray], spread: Sequence[km.Scatter]) -> list[float]:
+    """Mean squared-distance silhouettes of the assignments to several sets of centers, in one pass
+    over the packed points for all of them; ``spread`` is their :func:`kmeans.cluster_scatter`."""
+
+    def fold(points: km.Blocks) -> Iterator[dict]:
+        total, n = np.zeros(len(centers)), 0
+        for _, x in points:
+            n += len(x)
+            for run, (c, s) in enumerate(zip(centers, spread, strict=True)):
+                if len(s.means) < 2:
+                    continue
+                mine = np.searchsorted(s.used, kernels.nearest(x, c)[0])
+                away = np.stack([((x - m) ** 2).sum(axis=1) for m in s.means], axis=1) + s.variance
+                rows, size = np.arange(len(x)), s.sizes[mine]
+                own = away[rows, mine] * size / np.maximum(size - 1, 1)
+                away[rows, mine] = np.inf
+                other = away.min(axis=1)
+                top = np.maximum(own, other)
+                total[run] += np.where((size > 1) & (top > 0), (other - own) / np.where(top > 0, top, 1.0), 0.0).sum()
+        yield {"run": np.arange(len(centers), dtype=np.int32), "total": total, "n": np.full(len(centers), n, np.int64)}
+
+    sums = km.scan(blocks, "run int, total double, n long", fold).groupBy("run")
+    rows = sums.agg((F.sum("total") / F.sum("n")).alias("mean")).collect()
+    return [v for _, v in sorted((r["run"], r["mean"]) for r in rows)]
+
+
 def davies_bouldin(df: DataFrame, *, label: str = "cluster", features: str = "features") -> DataFrame:
     """Mean over clusters of the worst (s_i + s_j) / d_ij; only K rows meet."""
     ids, means = km.collect_centroids(
@@ -206,13 +264,13 @@ def k_sweep(
     max_iter: int = 300,
     tol: float = km.TOL,
     seed: int = km.SEED,
-    measure: str = "euclidean",
+    measure: str = "squared",
 ) -> DataFrame:
     """``k, inertia, silhouette, davies_bouldin`` per K.
 
     Restarts of all K run side by side: one pass over the cached points per round serves
-    as many runs as fit the partial-sum limit. ``measure`` picks the exact Euclidean
-    silhouette (quadratic) or the squared one (linear).
+    as many runs as fit the partial-sum limit. ``measure`` picks the squared silhouette (linear,
+    one pass for all K) or the exact Euclidean one (quadratic, for tables of locations).
     """
     if measure not in ("euclidean", "squared"):
         raise ValueError(f"unknown measure {measure!r}")
@@ -230,19 +288,15 @@ def k_sweep(
                 seeds=[runs[i][1] for i in group],
             )
         best = [km.best_of(fits[i * n_init : (i + 1) * n_init]) for i in range(len(k_range))]
-        spread = km.cluster_scatter(blocks, [f.centroids for f in best])
-    centers = [f.centroids for f in best]
-    labelled = km.assign_many(points, centers, features=features)
-    names = [f"cluster{i}" for i in range(len(centers))]
+        centers = [f.centroids for f in best]
+        spread = km.cluster_scatter(blocks, centers)
+        scores = dict(enumerate(silhouettes_of_centers(blocks, centers, spread))) if measure == "squared" else {}
     if measure == "euclidean":
-        rows = silhouette_many(labelled, ids=ids, labels=names, features=features).collect()
+        labelled = km.assign_many(points, centers, features=features)
+        rows = silhouette_many(labelled, ids=ids, labels=[f"cluster{i}" for i in range(len(centers))], features=features).collect()
         scores = {r["labeling"]: r["silhouette"] for r in rows}
-    else:
-        scores = {
-            i: silhouette_squared(labelled, label=c, features=features).head()[0] for i, c in enumerate(names)
-        }
     out = [
-        (int(k), f.cost, scores[i], _davies_bouldin(*spread[i]))
+        (int(k), f.cost, scores[i], _davies_bouldin(spread[i].means, spread[i].away))
         for i, (k, f) in enumerate(zip(k_range, best, strict=True))
     ]
     return points.sparkSession.createDataFrame(

@@ -61,7 +61,7 @@ class PackedPoints:
                 n, most = n + len(x), max(most, float(np.abs(x).max(initial=0.0)))
             yield {"n": pa.array([n], pa.int64()), "most": [most]}
 
-        row = _scan(self, "n long, most double", fold).agg(F.sum("n").alias("n"), F.max("most").alias("most")).head()
+        row = scan(self, "n long, most double", fold).agg(F.sum("n").alias("n"), F.max("most").alias("most")).head()
         return row["n"] or 0, row["most"] or 0.0
 
 
@@ -102,7 +102,7 @@ def _unpack(batches: Iterable[pa.RecordBatch]) -> Blocks:
             )
 
 
-def _scan(blocks: PackedPoints, schema: str, fold: Callable[[Blocks], Iterable[dict]]) -> DataFrame:
+def scan(blocks: PackedPoints, schema: str, fold: Callable[[Blocks], Iterable[dict]]) -> DataFrame:
     """One pass in which ``fold`` turns the blocks of a task into a few column batches."""
     names = [part.split()[0] for part in schema.split(", ")]
 
@@ -151,7 +151,7 @@ def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors
                     "sums": list(total[used]),
                 }
 
-    return _scan(blocks, _PARTIAL, fold)
+    return scan(blocks, _PARTIAL, fold)
 
 
 def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None):
@@ -198,7 +198,7 @@ def _smallest_draws(blocks: PackedPoints, seeds: Sequence[int], k: int) -> list[
             for run, (u, bits, rows) in kept.items():
                 yield {"run": np.full(len(u), run, np.int32), "u": u, "h": bits, "x": list(rows)}
 
-        return _scan(blocks, "run int, u double, h long, x array<double>", fold)
+        return scan(blocks, "run int, u double, h long, x array<double>", fold)
 
     if k == 1:
         smallest = drawn(seeds).groupBy("run").agg(F.min(F.struct("u", "h", "x")).alias("s"))
@@ -223,7 +223,7 @@ def farthest_in_blocks(blocks: PackedPoints, centers: np.ndarray) -> np.ndarray:
         if top is not None:
             yield {"d2": [top[0]], "h": [int(top[1])], "x": [top[2]]}
 
-    far = _scan(blocks, "d2 double, h long, x array<double>", fold)
+    far = scan(blocks, "d2 double, h long, x array<double>", fold)
     return np.array(far.orderBy(F.desc("d2"), "h").limit(1).head()["x"])
 
 
@@ -248,7 +248,7 @@ def _sample_by_distance(
                     seen[run].update(h[hit].tolist())
                     yield {"run": np.full(len(hit), run, np.int32), "h": h[hit], "x": list(x[hit])}
 
-    found = _scan(blocks, "run int, h long, x array<double>", fold).collect()
+    found = scan(blocks, "run int, h long, x array<double>", fold).collect()
     rows = sorted({(r["run"], r["h"]): r for r in found}.values(), key=lambda r: (r["run"], r["h"]))
     d = centers[0].shape[1]
     return [np.array([r["x"] for r in rows if r["run"] == i]).reshape(-1, d) for i in range(len(centers))]
@@ -446,38 +446,46 @@ def lloyd(
         return lloyd_blocks(blocks, [centroids], **options)[0]
 
 
-def cluster_scatter(
-    blocks: PackedPoints, centers: Sequence[np.ndarray]
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For every set of centers: means of its non-empty clusters and the mean Euclidean
-    distance of their members to them. Two passes for all sets together."""
+@dataclass(frozen=True)
+class Scatter:
+    """Non-empty clusters of one set of centers."""
+
+    used: np.ndarray
+    means: np.ndarray
+    sizes: np.ndarray
+    away: np.ndarray  # mean distance of the members to their mean
+    variance: np.ndarray  # mean squared distance
+
+
+def cluster_scatter(blocks: PackedPoints, centers: Sequence[np.ndarray]) -> list[Scatter]:
+    """Means, sizes and spread of the clusters of every set of centers. Two passes for all sets together."""
     means = []
     for c, (sums, counts, _) in zip(centers, _round(blocks, centers), strict=True):
         means.append(np.where(counts[:, None] > 0, sums / np.where(counts > 0, counts, 1.0)[:, None], c))
 
     def fold(points: Blocks) -> Iterator[dict]:
-        totals = [np.zeros((len(c), 2)) for c in centers]
+        totals = [np.zeros((len(c), 3)) for c in centers]
         for _, x in points:
             for c, m, total in zip(centers, means, totals, strict=True):
                 best, _ = kernels.nearest(x, c)
-                away = np.sqrt(((x - m[best]) ** 2).sum(axis=1))
-                total[:, 0] += np.bincount(best, weights=away, minlength=len(c))
-                total[:, 1] += np.bincount(best, minlength=len(c))
+                away = ((x - m[best]) ** 2).sum(axis=1)
+                for column, weights in enumerate((None, np.sqrt(away), away)):
+                    total[:, column] += np.bincount(best, weights=weights, minlength=len(c))
         for run, total in enumerate(totals):
             yield {
                 "run": np.full(len(total), run, np.int32),
                 "cluster": np.arange(len(total), dtype=np.int32),
-                "away": total[:, 0],
-                "n": total[:, 1],
+                "part": np.full(len(total), task_part(), np.int64),
+                "sums": list(total),
             }
 
-    sums = _scan(blocks, "run int, cluster int, away double, n double", fold)
-    rows = sums.groupBy("run", "cluster").agg(F.sum("away").alias("away"), F.sum("n").alias("n")).collect()
+    rows = merge_arrays(scan(blocks, _PARTIAL, fold), ["run", "cluster"], ["sums"], parts=blocks.tasks).collect()
     out = []
     for run, m in enumerate(means):
-        mine = {r["cluster"]: r["away"] / r["n"] for r in rows if r["run"] == run and r["n"] > 0}
-        used = sorted(mine)
-        out.append((m[used], np.array([mine[j] for j in used])))
+        mine = {r["cluster"]: r["sums"] for r in rows if r["run"] == run and r["sums"][0] > 0}
+        used = np.array(sorted(mine), dtype=np.int64)
+        sizes, away, squares = np.array([mine[j] for j in used]).reshape(-1, 3).T
+        out.append(Scatter(used, m[used], sizes, away / sizes, squares / sizes))
     return out
 
 

@@ -52,8 +52,8 @@ def cluster_locations(
 
     The feature table is the first small result of the flow and several passes read it,
     so it is written once to the shared folder; the daily rows are read a single time.
-    Without ``k``, a sweep (its options in ``sweep``) chooses it by the silhouette, and the final
-    fit follows with that K.
+    Without ``k``, a sweep (its options in ``sweep``) chooses it by the silhouette, the exact Euclidean one
+    for a table of locations, and the final fit follows with that K.
     """
     features = tables.materialise(features, "features")
     names = numeric_features(features, keys)
@@ -65,7 +65,7 @@ def cluster_locations(
     scores = reduce.apply_reduction(reduction, filled, keep=keys)
     metrics = None
     if k is None:
-        metrics = ev.k_sweep(scores, ids=keys, **(sweep or {}))
+        metrics = ev.k_sweep(scores, ids=keys, **{"measure": "euclidean", **(sweep or {})})
         fit = ev.kmeans_final(scores, metrics, ids=keys, **kmeans_options)
     else:
         fit = km.kmeans(scores, k, ids=keys, **kmeans_options)

@@ -191,14 +191,14 @@ def test_uniform_draws():
     assert abs(np.corrcoef(u, kernels.uniform(np.arange(100_000), 8))[0, 1]) < 0.02
 
 
-@pytest.mark.parametrize("block_rows", [2048, 50])
-def test_silhouette(spark, block_rows):
+@pytest.mark.parametrize(("block_rows", "group_blocks"), [(2048, 8), (50, 1), (7, 3)])
+def test_silhouette(spark, block_rows, group_blocks):
     x, labels = blobs(k=5, per=40, spread=4.0)
     labels = labels.copy()
     labels[0] = 9  # a cluster of one
     df = frame(spark, x, labels)
     want = silhouette_numpy(x, labels)
-    got = ev.silhouette_samples(df, ids=["id"], block_rows=block_rows).toPandas().sort_values("id")
+    got = ev.silhouette_samples(df, ids=["id"], block_rows=block_rows, group_blocks=group_blocks).toPandas().sort_values("id")
     assert np.allclose(got["silhouette"], want)
     assert ev.silhouette(df, ids=["id"], block_rows=block_rows).head()[0] == pytest.approx(want.mean())
     squared = ev.silhouette_squared(df).head()[0]
@@ -207,6 +207,27 @@ def test_silhouette(spark, block_rows):
     assert squared == pytest.approx(silhouette_numpy(x, labels, squared=True).mean())
 
 
+def test_silhouette_ships_blocks_not_rows(spark):
+    """Every row is shuffled once, when it is packed; then blocks travel, once per group, and arrays per block."""
+    rng = np.random.default_rng(2)
+    df = frame(spark, rng.standard_normal((4000, 3)), np.arange(4000) % 3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored = ev.silhouette(df, ids=["id"], block_rows=100, group_blocks=10)
+        scored.collect()
+        plan, rows = [scored._jdf.queryExecution().executedPlan()], []
+        while plan:
+            node = plan.pop()
+            children = node.children()
+            plan += [children.apply(i) for i in range(children.size())]
+            if node.nodeName() == "Exchange":
+                rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # 40 blocks in 4 groups: a block goes to each group once a side, its sums come back once a group
+    assert sorted(r for r in rows if r)[-1] <= 4000 and sum(r for r in rows if r < 4000) <= 4 * 40 * 4
+
+
 def test_squared_silhouette_equals_spark_ml(spark):
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
