@@ -214,7 +214,8 @@ def mine(
         others = bounded.select("*", group.alias("g"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("s"))
 
         def ordered(where, left: pa.Table, right: pa.Table) -> pa.Table:
-            return tile(where, left, right.sort_by([("vec_id", "ascending"), ("r", "ascending")]))
+            # a side without rows has no columns either
+            return tile(where, left, right.sort_by([("vec_id", "ascending"), ("r", "ascending")]) if len(right) else right)
 
         return copies.groupBy("s", "g").cogroup(others.groupBy("s", "g")).applyInArrow(ordered, schema)
 
