@@ -96,7 +96,8 @@ def _silhouette_rows(
 
     bare = packed.select("b", "own", "x", F.expr(f"b div {group_blocks}").cast("int").alias("g"))
     left = bare.withColumns({"i": F.col("g"), "j": F.explode(F.sequence(F.col("g"), F.lit(groups - 1)))})
-    right = bare.withColumns({"j": F.col("g"), "i": F.explode(F.sequence(F.lit(0), F.col("g")))})
+    again = bare.select(*[F.col(c).alias(c) for c in bare.columns])  # columns of its own, as both sides meet
+    right = again.withColumns({"j": F.col("g"), "i": F.explode(F.sequence(F.lit(0), F.col("g")))})
     met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(measure, "b int, part long, sums array<double>")
     merged = merge_arrays(met, ["b"], ["sums"], parts=groups)
 
