@@ -7,13 +7,12 @@ hashes after another and dropped as soon as the posterior probability (uniform p
 their similarity reaches the threshold falls below ``miss``. Survivors are verified exactly on the full sets:
 first one per class, then all whose classes are not in one component yet.
 
-What a star may leave open is settled in rounds: in every large bucket that still spans several
-components, the classes outside its largest component are a query set that is run against the
-bucket block by block. A pair is compared in the first band it shares, and only if the shingles
-that each has in common with any other class are enough for a link, which no pair that is one fails. A
-round takes, for each class and foreign component, the candidates of best estimate, eight times
-as many as the round before, until a round finds no link and has left none out. So only classes that share no band at all are
-missed, with probability (1 - s^rows)^bands at similarity s (5e-8 at 0.8 for 32 bands of 4), and
+What a star may leave open is settled in one more pass. Classes that large buckets connect while they still
+span several components form regions. In a region, the classes outside its largest component are a query set
+that is run against the region block by block: a task holds the signatures and full sets of one block of each,
+drops pairs by the same posterior bounds, counts the common shingles of the rest exactly and returns links only, at
+most one per component it merges. So a class travels once per block, a pair never, and only classes that share
+no band at all are missed, with probability (1 - s^rows)^bands at similarity s (5e-8 at 0.8 for 32 bands of 4), and
 what ``miss`` allows.
 
 Defined cases: a document without words or text has an empty set, is linked with nothing and forms its
@@ -35,7 +34,8 @@ from pyspark.sql import functions as F
 
 from isotherm.llm.common import materialise
 
-ALL_PAIRS, BATCH, BLOCK = 24, 32, 256
+#: Classes of a bucket that are all compared, hashes of a batch, and what a block holds at most, on average.
+ALL_PAIRS, BATCH, BLOCK, BLOCK_BYTES = 24, 32, 512, 2 << 20
 REMEMBERED = 250_000
 _U = np.uint64
 
@@ -244,19 +244,11 @@ def near_duplicates(
     more = materialise(_verified(rest, sets, percent), "minhash-links")
     links = links.union(more)
     roots = components(links, "minhash-roots")
-    most, left_open = 1, not large.isEmpty()
-    if left_open:
-        common = _common(large, roots, sets)
-        signed = materialise(large.join(common, "set").join(classes.select("set", "n", "sig"), "set"), "minhash-large")
-    while left_open:
-        tried = materialise(_strays(signed, roots, needed, percent, most, rows), "minhash-tried")
-        found = materialise(_verified(tried.select("a", "b").distinct(), sets, percent), "minhash-links")
-        if not found.isEmpty():
+    if not large.isEmpty():
+        found = _unsettled(large, roots, classes, sets, needed, percent)
+        if found is not None:
             links = links.union(found)
             roots = components(links, "minhash-roots")
-        else:
-            left_open = not tried.filter("more").isEmpty()
-        most *= 8
 
     joined = classes.select("set", "rep").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -293,70 +285,78 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _common(large: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """For the classes of large buckets that span components: how many of their shingles any other such class has."""
+def _linked(x: np.ndarray, others: list[np.ndarray], inside: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets ``others`` are similar enough to x; all hold places of the flags ``inside``."""
+    inside[x] = True
+    sizes = np.array([len(o) for o in others])
+    both = np.add.reduceat(inside[np.concatenate(others)], np.cumsum(sizes) - sizes, dtype=np.int64)
+    inside[x] = False
+    return 100 * both >= percent * (len(x) + sizes - both)
+
+
+def spanning_links(strays: pd.DataFrame, members: pd.DataFrame, needed: list[int], percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between the components of two blocks, found by comparing every stray with every member of another
+    component; a link that joins nothing new is left out. Columns: set, root, n, sig, hashes."""
+    if not len(strays) or not len(members):
+        return []
+    roots = {r: i for i, r in enumerate(pd.unique(pd.concat([members["root"], strays["root"]])))}
+    own, mine = (np.array([roots[r] for r in t["root"]]) for t in (members, strays))
+    raw = [np.frombuffer(h, _U) for t in (members, strays) for h in t["hashes"]]
+    distinct, place = np.unique(np.concatenate(raw), return_inverse=True)
+    coded = np.split(place, np.cumsum([len(h) for h in raw])[:-1])
+    inside = np.zeros(len(distinct), dtype=bool)
+    y = np.frombuffer(b"".join(members["sig"]), dtype=np.uint32).reshape(len(members), -1)
+    n, names = members["n"].to_numpy(dtype=np.int64), members["set"].to_numpy()
+    out = []
+    for i, (set_, size, sig) in enumerate(zip(strays["set"], strays["n"], strays["sig"], strict=True)):
+        fits = (own != mine[i]) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+        at = np.flatnonzero(fits)
+        x = np.frombuffer(sig, dtype=np.uint32)
+        at = at[survives(np.broadcast_to(x, (len(at), len(x))), y[at], needed)]
+        if not len(at):
+            continue
+        at = at[_linked(coded[len(members) + i], [coded[j] for j in at], inside, percent)]
+        for j in at.tolist():
+            if own[j] != mine[i]:
+                out.append((min(set_, names[j]), max(set_, names[j])))
+                gone = own[j]
+                own[own == gone], mine[mine == gone] = mine[i], mine[i]
+    return out
+
+
+def _unsettled(large: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, needed: list[int], percent: int) -> DataFrame | None:
+    """The links that large buckets still hold between components: ``a, b``, written; None if there are no such buckets."""
     rows = large.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    spans = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-    wanted = large.join(spans, "bucket", "left_semi").select("set").distinct()
+    spans = rows.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("set").alias("low"))
+    edges = materialise(rows.join(spans.filter("x <> y"), "bucket").select(F.col("low").alias("a"), F.col("set").alias("b")).distinct(), "minhash-edges")
+    if edges.isEmpty():
+        return None
+    regions = components(edges, "minhash-regions").withColumnRenamed("root", "region")
+    nodes = edges.select(F.col("b").alias("set")).distinct().join(regions, "set", "left").join(roots, "set", "left")
+    nodes = nodes.withColumns({"region": F.coalesce("region", "set"), "root": F.coalesce("root", "set")})
+    nodes = materialise(nodes.join(classes.select("set", "n", "sig"), "set").join(sets, "set"), "minhash-nodes")
+
+    sizes = nodes.groupBy("region", "root").agg(F.count(F.lit(1)).alias("m"), F.sum(F.length("hashes") + F.length("sig")).alias("bytes"))
+    largest = F.struct("m", "root")
+    tops = sizes.groupBy("region").agg(
+        F.max_by("root", largest).alias("top"), F.sum("m").alias("m"), F.sum("bytes").alias("bytes"),
+        (F.sum("m") - F.max("m")).alias("strays"), (F.sum("bytes") - F.max_by("bytes", largest)).alias("stray_bytes"),
+    )
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for set_, h in zip(batch["set"], batch["hashes"], strict=True):
-                values = np.frombuffer(h, np.int64)
-                yield pd.DataFrame({"set": pd.Series([set_] * len(values), dtype=object), "h": values})
-
-    each = sets.join(wanted, "set", "left_semi").mapInPandas(spread, "set binary, h long")
-    each = materialise(each, "minhash-shingles")
-    twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    counts = each.join(twice, "h", "left_semi").groupBy("set").agg(F.count(F.lit(1)).alias("f"))
-    return wanted.join(counts, "set", "left").select("set", F.coalesce("f", F.lit(0)).alias("f"))
-
-
-def _strays(signed: DataFrame, roots: DataFrame, needed: list[int], percent: int, most: int, width: int) -> DataFrame:
-    """In every bucket, plausible pairs between the classes outside its largest component and all
-    its classes, block against block: the ``most`` best for each class and foreign component of a
-    block, ``more`` if that left any out."""
-    # a class with too few common shingles is linked with none
-    rows = signed.filter(100 * F.col("f") >= percent * F.col("n")).join(roots, "set", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "set"))
-    sizes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
-    tops = sizes.groupBy("bucket").agg(
-        F.max_by("root", F.struct("m", "root")).alias("top"), F.sum("m").alias("m"), F.count(F.lit(1)).alias("parts")
-    )
-    open_ = rows.join(tops.filter("parts > 1"), "bucket")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    place = lambda salt: F.pmod(F.xxhash64("set", F.lit(salt)), blocks).cast("int")
-    columns = ("set", "root", "n", "f", "band", "sig")
-    all_ = open_.select("bucket", place(1).alias("block"), *columns, F.lit(False).alias("stray"))
-    strays = open_.filter("root != top").select(
-        "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), *columns, F.lit(True).alias("stray"), place(2).alias("part")
-    )
-    # one group for each block of members and each block of strays
-    spread = all_.join(strays.select("bucket", "block", "part").distinct(), ["bucket", "block"])
-    together = spread.select(*strays.columns).union(strays)
+    def cut(m: str, size: str):
+        return F.greatest(F.ceil(F.col(m) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("int")
+
+    tops = tops.filter("strays > 0").select("region", "top", cut("m", "bytes").alias("blocks"), cut("strays", "stray_bytes").alias("parts"))
+    open_ = nodes.join(tops, "region")
+    place = lambda salt, of: F.pmod(F.xxhash64("set", F.lit(salt)), F.col(of)).cast("int")
+    each = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    columns = ("set", "root", "n", "sig", "hashes")
+    members = open_.select("region", place(1, "blocks").alias("block"), each("parts").alias("part"), *columns, F.lit(False).alias("stray"))
+    strays = open_.filter("root != top").select("region", each("blocks").alias("block"), place(2, "parts").alias("part"), *columns, F.lit(True).alias("stray"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        s, m = group[group["stray"]], group[~group["stray"]]
-        out = []
-        y = np.frombuffer(b"".join(m["sig"]), dtype=np.uint32).reshape(len(m), -1)
-        sets, roots_ = m["set"].to_numpy(), m["root"].to_numpy()
-        for set_, root, n, f, band, sig in zip(*(s[c] for c in columns), strict=True):
-            both = np.minimum(m["f"].to_numpy(), f)
-            fits = (roots_ != root) & (100 * both >= percent * (m["n"].to_numpy() + n - both))
-            x = np.frombuffer(sig, dtype=np.uint32)
-            if band:  # a pair that shares an earlier band was met there
-                earlier = (x[: band * width] == y[:, : band * width]).reshape(len(m), band, width).all(2).any(1)
-                fits &= ~earlier
-            at = np.flatnonzero(fits)
-            at = at[survives(np.broadcast_to(x, y[at].shape), y[at], needed)]
-            order = at[np.argsort(-(x == y[at]).sum(1), kind="stable")]
-            seen: dict[bytes, int] = {}
-            for i in order.tolist():
-                seen[roots_[i]] = k = seen.get(roots_[i], 0) + 1
-                if k <= most:
-                    out.append([min(set_, sets[i]), max(set_, sets[i]), False])
-            if out and any(k > most for k in seen.values()):
-                out[-1][2] = True
-        return pd.DataFrame(out, columns=["a", "b", "more"], dtype=object)
-
-    return together.groupBy("bucket", "block", "part").applyInPandas(compare, "a binary, b binary, more boolean")
+        found = spanning_links(group[group["stray"]], group[~group["stray"]], needed, percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
+
+    links = members.union(strays).groupBy("region", "block", "part").applyInPandas(compare, "a binary, b binary")
+    return materialise(links.distinct(), "minhash-links")

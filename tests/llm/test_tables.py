@@ -362,3 +362,47 @@ def test_drawing_shares_are_weighed_back(spark, docs_of):
     got = [r.r.score for r in docs.filter("doc_id >= 4000 AND text <> ''").select(score(F.col("text")).alias("r")).collect()]
     assert sum(got) / len(got) == pytest.approx(rate, abs=0.08)
     assert sum(s >= 0.5 for s in got) < 0.05 * len(got)
+
+
+def test_many_copies_just_below_the_threshold(spark, docs_of, monkeypatch):
+    """300 variants of one text whose pairs lie on both sides of 0.8, and blocks that cut them."""
+    rnd = random.Random(17)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for _ in range(3 if i % 3 else 4):
+            w[rnd.randrange(len(w))] = f"z{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    want = _components(rows, 4, 80)
+    assert 3 < len({c for _, c in want.values()}) < 290
+    monkeypatch.setattr(minhash, "BLOCK", 70)
+    got = minhash.near_duplicates(docs_of(rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_spanning_links_join_what_brute_force_joins():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 60, 100, dtype=np.uint64)
+    sign = minhash.Signatures(128)
+    rows = []
+    for i in range(120):
+        h = np.unique(np.concatenate([rng.choice(base, 88 + i % 10, replace=False), rng.integers(0, 1 << 60, i % 4, dtype=np.uint64)]))
+        rows.append((bytes([i]), bytes([i - i % 5]), len(h), sign(h).tobytes(), h.tobytes()))
+    frame = pd.DataFrame(rows, columns=["set", "root", "n", "sig", "hashes"], dtype=object)
+    needed = [minhash.least_matches(n, 0.8, 1e-6) for n in range(32, 129, 32)]
+    found = minhash.spanning_links(frame[::2], frame, needed, 80)
+    sets = {r[0]: set(np.frombuffer(r[4], np.uint64).tolist()) for r in rows}
+
+    def parts(links):
+        up = {r[0]: r[1] for r in rows}
+        for a, b in links:
+            old, new = up[a], up[b]
+            up = {k: new if v == old else v for k, v in up.items()}
+        return {frozenset(k for k in up if up[k] == v) for v in up.values()}
+
+    alike = [(a, b) for a in sets for b in sets if a != b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and (a[0] % 2 == 0 or b[0] % 2 == 0)]
+    assert parts(found) == parts(alike) and len(found) < 120 and set(found) <= {(min(p), max(p)) for p in alike}
