@@ -4,12 +4,16 @@ A task hands over one row per key: the key, its position ``part`` and arrays of
 Rows meet in groups of ``fan`` consecutive positions, are added element by element in the
 order of their positions, and the sums meet again the same way. No task ever holds more
 than ``fan`` arrays of a key, and since the order is fixed, so is every last bit.
+States that do not simply add up are merged by a function in the same tree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +56,47 @@ def merge_arrays(
         rows = level.select(F.col("_next").alias("_part"), *keys, *[_added(F.col("_all"), a).alias(a) for a in arrays])
         parts = -(-parts // fan)
     return rows.select(*columns)
+
+
+State = list[np.ndarray]
+
+
+def fold_states(
+    df: DataFrame, each: Callable[[np.ndarray], State], combine: Callable[[State, State], State], *, fan: int = FAN
+) -> State | None:
+    """One state of all rows of numeric columns; None without any row.
+
+    ``each`` makes the state of a batch, a matrix with NaN for missing values, ``combine`` that of two
+    neighbours. A task hands over one binary row; while there are more than ``fan`` of them, groups of
+    ``fan`` neighbours merge on the executors, and the root is the driver. The rows are read once.
+    """
+
+    def packed(part: int, state: State) -> pa.RecordBatch:
+        arrays = [pa.array([part], pa.int64()), pa.array([[a.tobytes() for a in state]], pa.list_(pa.binary()))]
+        arrays.append(pa.array([[list(a.shape) for a in state]], pa.list_(pa.list_(pa.int64()))))
+        return pa.RecordBatch.from_arrays(arrays, names=["part", "state", "shapes"])
+
+    def states(t: pa.Table | pa.RecordBatch) -> list[State]:
+        rows = sorted(zip(*(t.column(c).to_pylist() for c in ("part", "state", "shapes")), strict=True), key=lambda r: r[0])
+        return [[np.frombuffer(b).reshape(s) for b, s in zip(state, shapes, strict=True)] for _, state, shapes in rows]
+
+    def start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
+                total = each(x) if total is None else combine(total, each(x))
+        if total is not None:
+            yield packed(task_part(), total)
+
+    schema = "part long, state array<binary>, shapes array<array<bigint>>"
+    rows, parts = df.mapInArrow(start, schema), df.rdd.getNumPartitions()
+    while parts > fan:
+
+        def merge(key, t):
+            return pa.Table.from_batches([packed(key[0].as_py(), reduce(combine, states(t)))])
+
+        rows = rows.groupBy(F.floor(F.col("part") / fan).alias("next")).applyInArrow(merge, schema)
+        parts = -(-parts // fan)
+    found = states(rows.toArrow())
+    return reduce(combine, found) if found else None

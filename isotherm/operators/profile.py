@@ -12,9 +12,9 @@ from isotherm.operators.columns import resolve_themes
 
 
 def cluster_sizes(df: DataFrame, *, label: str = "cluster") -> DataFrame:
-    """Rows and percent per label. The window runs over the K counted rows, not the data."""
+    """Rows and percent per label, in the order of the labels. The window runs over the K counted rows, not the data."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    return counts.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).orderBy(label)
 
 
 def cluster_profile(
@@ -27,7 +27,7 @@ def cluster_profile(
     cuts=REGION_CUTS,
     default_region: str = REGION_DEFAULT,
 ) -> DataFrame:
-    """Size, extent, center, region and themed means per cluster, in one aggregation."""
+    """Size, extent, center, region and themed means per cluster, in one aggregation, in the order of the labels."""
     chosen = resolve_themes(df.columns) if themes is None else dict(themes)
     grouped = df.groupBy(label).agg(
         F.count(F.lit(1)).alias("n_locations"),
@@ -39,7 +39,7 @@ def cluster_profile(
         F.avg(lon).alias("lon_center"),
         *[F.avg(c).alias(theme) for theme, c in chosen.items()],
     )
-    return grouped.withColumn("region", region("lon_center", cuts, default_region))
+    return grouped.withColumn("region", region("lon_center", cuts, default_region)).orderBy(label)
 
 
 def profile_minmax(profile: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,12 +1,13 @@
 """Correlation pruning, standardisation and principal components.
 
-Everything here rests on two passes over the rows: one global aggregate for the moments
-of the columns, one Gramian of the standardised columns. d x d numbers reach the driver.
+Everything here rests on mergeable states that one pass over the rows builds: moments per column,
+pairwise co-moments for correlations, and an R factor of the centred rows for components. States of
+tasks meet in a tree on the executors; d x d numbers reach the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
-
+from isotherm.operators.partials import State, fold_states
 
 
 @dataclass(frozen=True)
@@ -30,125 +31,90 @@ class Moments:
         return bool((self.counts == self.rows).all())
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
-    """Row count, and count, mean and population std per column, missing values left out.
-
-    A task reduces its rows to one partial per column; the merge is the exact one for
-    (count, mean, squared deviations). An aggregate expression per column and statistic
-    would say the same, but compiling a thousand of them takes longer than the pass.
-    The std of a constant column is 0.
-    """
-    d = len(columns)
-    schema = "i int, rows double, n double, mean double, dev double, lo double, hi double"
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def merge(t: np.ndarray) -> np.ndarray:
-        """Partials of one column (a row each) to one row."""
-        n = t[:, 1].sum()
-        mean = (t[:, 1] * t[:, 2]).sum() / n if n else 0.0
-        dev = t[:, 3].sum() + (t[:, 1] * (t[:, 2] - mean) ** 2).sum()
-        return np.array([t[:, 0].sum(), n, mean, dev, t[:, 4].min(), t[:, 5].max()])
-
-    def table(index: np.ndarray, values: np.ndarray) -> pa.Table:
-        arrays = [pa.array(index, pa.int32())] + [pa.array(values[:, c]) for c in range(values.shape[1])]
-        return pa.table(arrays, names=names)
-
-    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
-            present = ~np.isnan(x)
-            n = present.sum(axis=0).astype(np.float64)
-            mean = np.where(present, x, 0.0).sum(axis=0) / np.maximum(n, 1.0)
-            dev = np.where(present, (x - mean) ** 2, 0.0).sum(axis=0)
-            lo = np.where(present, x, np.inf).min(axis=0, initial=np.inf)
-            hi = np.where(present, x, -np.inf).max(axis=0, initial=-np.inf)
-            part = np.column_stack([np.full(d, float(len(x))), n, mean, dev, lo, hi])
-            total = part if total is None else np.stack([merge(p) for p in np.stack([total, part], axis=1)])
-        if total is not None:
-            yield from table(np.arange(d), total).to_batches()
-
-    # one group per column, as many rows as there are tasks
-    merged = _doubles(df, columns).mapInArrow(fold, schema).groupBy("i").applyInArrow(
-        lambda t: table(
-            t.column("i").to_numpy()[:1],
-            merge(np.column_stack([t.column(c).to_numpy() for c in names[1:]]))[None],
-        ),
-        schema,
-    )
-    rows = merged.toArrow()
-    index = rows.column("i").to_numpy()
-    values = np.column_stack([rows.column(c).to_numpy() for c in names[1:]])
-    if not len(index):
-        return Moments(0, np.zeros(d), np.zeros(d), np.zeros(d))
-    total = np.stack([merge(values[index == i]) for i in range(d)])
-    std = np.where(total[:, 5] > total[:, 4], np.sqrt(total[:, 3] / np.maximum(total[:, 1], 1.0)), 0.0)
-    return Moments(int(total[0, 0]), total[:, 1], total[:, 2], std)
-
-
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.selectExpr(*[f"cast(`{c}` AS double) AS c{i}" for i, c in enumerate(columns)])
 
 
-def gramians(df: DataFrame, columns: Sequence[str], stats: Moments, *, masked: bool) -> dict[str, np.ndarray]:
-    """Sums over rows of standardised values z: ``p`` = z_i z_j, and with ``masked`` also
-    over rows where both are present ``n`` = 1, ``s`` = z_i, ``q`` = z_i^2 (by i, j).
+def _extremes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    present = ~np.isnan(x)
+    return np.where(present, x, np.inf).min(axis=0), np.where(present, x, -np.inf).max(axis=0)
+
+
+def moments(df: DataFrame, columns: Sequence[str]) -> Moments:
+    """Row count, and count, mean and population std per column, missing values left out, in one pass.
 
-    A task reduces its rows to d partial rows with matrix products; Catalyst adds up the
-    partials before they travel.
+    The merge is the exact one for (count, mean, squared deviations). An aggregate expression per
+    column and statistic would say the same, but compiling a thousand of them takes longer than the
+    pass. The std of a constant column is 0.
     """
-    kinds = ["p", "n", "s", "q"] if masked else ["p"]
-    mean, scale = stats.means, np.where(stats.stds > 0, stats.stds, 1.0)
     d = len(columns)
 
-    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {k: np.zeros((d, d)) for k in kinds}
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns])
-            z = (x - mean) / scale
-            if masked:
-                present = ~np.isnan(z)
-                z = np.where(present, z, 0.0)
-                mask = present.astype(np.float64)
-                total["n"] += mask.T @ mask
-                total["s"] += z.T @ mask
-                total["q"] += (z * z).T @ mask
-            elif np.isnan(z).any():
-                raise ValueError("missing values where none are allowed; fill them first")
-            total["p"] += z.T @ z
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(d, dtype=np.int32))] + [pa.array(list(total[k])) for k in kinds],
-            names=["i", *kinds],
-        )
-
-    partials = _doubles(df, columns).mapInArrow(fold, "i int, " + ", ".join(f"{k} array<double>" for k in kinds))
-    cells = partials.select("i", F.posexplode(F.arrays_zip(*kinds)).alias("j", "c"))
-    sums = cells.groupBy("i", "j").agg(*[F.sum(F.col("c")[k]).alias(k) for k in kinds]).toArrow()
-    out = {k: np.zeros((d, d)) for k in kinds}
-    at = sums.column("i").to_numpy(), sums.column("j").to_numpy()
-    for k in kinds:
-        out[k][at] = sums.column(k).to_numpy()
-    return out
+    def each(x: np.ndarray) -> State:
+        present = ~np.isnan(x)
+        n = present.sum(axis=0).astype(np.float64)
+        mean = np.where(present, x, 0.0).sum(axis=0) / np.maximum(n, 1.0)
+        dev = np.where(present, (x - mean) ** 2, 0.0).sum(axis=0)
+        return [np.array([float(len(x))]), n, mean, dev, *_extremes(x)]
+
+    def combine(a: State, b: State) -> State:
+        n = a[1] + b[1]
+        share, away = b[1] / np.maximum(n, 1.0), b[2] - a[2]
+        dev = a[3] + b[3] + away**2 * a[1] * share
+        return [a[0] + b[0], n, a[2] + away * share, dev, np.minimum(a[4], b[4]), np.maximum(a[5], b[5])]
+
+    found = fold_states(_doubles(df, columns), each, combine)
+    if found is None:
+        return Moments(0, np.zeros(d), np.zeros(d), np.zeros(d))
+    rows, n, mean, dev, low, high = found
+    std = np.where(high > low, np.sqrt(dev / np.maximum(n, 1.0)), 0.0)
+    return Moments(int(rows[0]), n, mean, std)
+
+
+def co_moments(df: DataFrame, columns: Sequence[str]) -> State | None:
+    """``n, mean, spread, product, low, high`` over all rows, by one pass: for columns i, j and the rows where
+    both are present their number, the mean of i, its squared deviations, and the products of deviations;
+    then the extremes of every column. None without rows."""
+
+    def each(x: np.ndarray) -> State:
+        present = ~np.isnan(x)
+        counts = np.maximum(present.sum(axis=0), 1)
+        pivot = np.where(present, x, 0.0).sum(axis=0) / counts
+        z = np.where(present, x - pivot, 0.0)
+        shape = (x.shape[1],) * 2
+        if present.all():
+            n, s = np.full(shape, float(len(x))), np.broadcast_to(z.sum(axis=0)[:, None], shape)
+            q = np.broadcast_to((z * z).sum(axis=0)[:, None], shape)
+        else:
+            mask = present.astype(np.float64)
+            n, s, q = mask.T @ mask, z.T @ mask, (z * z).T @ mask
+        some = np.maximum(n, 1.0)
+        return [n, np.where(n > 0, pivot[:, None] + s / some, 0.0), q - s * s / some, z.T @ z - s * s.T / some, *_extremes(x)]
+
+    def combine(a: State, b: State) -> State:
+        n = a[0] + b[0]
+        away, share = np.where((a[0] > 0) & (b[0] > 0), b[1] - a[1], 0.0), b[0] / np.maximum(n, 1.0)
+        mean = np.where(a[0] > 0, a[1], b[1]) + away * share
+        both = a[0] * share
+        return [
+            n, mean, a[2] + b[2] + away**2 * both, a[3] + b[3] + away * away.T * both,
+            np.minimum(a[4], b[4]), np.maximum(a[5], b[5]),
+        ]
+
+    return fold_states(_doubles(df, columns), each, combine)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pearson matrix with pairwise-complete rows; a constant column gives NaN."""
-    stats = moments(df, columns)
-    if stats.complete:
-        r = gramians(df, columns, stats, masked=False)["p"] / max(stats.rows, 1)
-    else:
-        g = gramians(df, columns, stats, masked=True)
-        top = g["n"] * g["p"] - g["s"] * g["s"].T
-        spread = g["n"] * g["q"] - g["s"] ** 2
-        with np.errstate(divide="ignore", invalid="ignore"):
-            # a column that is constant on the common rows leaves only rounding behind
-            varies = spread > 1e-12 * g["n"] * g["q"]
-            r = np.where(varies & varies.T, top / np.sqrt(spread * spread.T), np.nan)
-    constant = stats.stds <= 0
-    r = np.clip(r, -1.0, 1.0)
-    r[constant, :] = np.nan
-    r[:, constant] = np.nan
-    return r
+    """Pearson matrix with pairwise-complete rows, by one pass; a constant column gives NaN."""
+    d = len(columns)
+    found = co_moments(df, columns)
+    if found is None:
+        return np.full((d, d), np.nan)
+    n, mean, spread, product, low, high = found
+    # a column that is constant on the common rows leaves only rounding behind
+    whole = spread + n * (mean - np.diag(mean)[:, None]) ** 2
+    varies = (spread > 1e-12 * whole) & (spread > n * (1e-13 * np.abs(mean)) ** 2) & (high > low)[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(varies & varies.T, np.clip(product / np.sqrt(spread * spread.T), -1.0, 1.0), np.nan)
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -258,31 +224,58 @@ def components_for_variance(
     ).select(F.inline("r"))
 
 
+def centred_factor(df: DataFrame, columns: Sequence[str]) -> State | None:
+    """``n, holes, mean, R, low, high`` over all rows, by one pass: R is the triangular factor of the rows minus their
+    mean, so that R'R is their scatter. Factors merge by a QR of both and the difference of the means; nothing is
+    squared, so a large offset of a column costs no digits of its spread."""
+
+    def each(x: np.ndarray) -> State:
+        holes = np.isnan(x)
+        x = np.where(holes, 0.0, x)
+        mean = x.mean(axis=0)
+        mean = mean + (x - mean).mean(axis=0)  # what rounding left of a large mean
+        return [np.array([float(len(x))]), np.array([float(holes.sum())]), mean, np.linalg.qr(x - mean, mode="r"), x.min(axis=0), x.max(axis=0)]
+
+    def combine(a: State, b: State) -> State:
+        n, away = a[0] + b[0], b[2] - a[2]
+        between = np.sqrt(a[0] * b[0] / n) * away
+        factor = np.linalg.qr(np.vstack([a[3], b[3], between]), mode="r")
+        return [n, a[1] + b[1], a[2] + away * (b[0] / n), factor, np.minimum(a[4], b[4]), np.maximum(a[5], b[5])]
+
+    return fold_states(_doubles(df, columns), each, combine)
+
+
 def fit_reduction(
     df: DataFrame, columns: Sequence[str], *, variance: float = 0.95, components: int | None = None
 ) -> Reduction:
-    """Standardise (population std) and fit principal components in two passes.
+    """Standardise (population std) and fit principal components in one pass.
 
-    Signs are fixed: the largest loading of a component is positive. Without a given
-    count the smallest one that reaches ``variance`` is kept.
+    The components are singular vectors of the merged triangular factor. Signs are fixed: the largest
+    loading of a component is positive. Without a given count the smallest one that reaches ``variance``
+    is kept.
     """
-    stats = moments(df, columns)
-    if not stats.complete:
+    d = len(columns)
+    found = centred_factor(df, columns)
+    n, holes, mean, factor, low, high = found or (np.zeros(1), np.zeros(1), np.zeros(d), np.zeros((0, d)), np.zeros(d), np.zeros(d))
+    if holes[0]:
         raise ValueError("missing values where none are allowed; fill them first")
-    covariance = gramians(df, columns, stats, masked=False)["p"] / max(stats.rows, 1)
-    values, vectors = np.linalg.eigh(covariance)
-    values, vectors = np.clip(values[::-1], 0.0, None), vectors[:, ::-1]
+    rows = int(n[0])
+    stds = np.where(high > low, np.sqrt((factor**2).sum(axis=0) / max(rows, 1)), 0.0)
+    scaled = factor * np.where(stds > 0, 1.0 / np.where(stds > 0, stds, 1.0), 0.0)
+    singular, vectors = np.linalg.svd(scaled, full_matrices=True)[1:]
+    values = np.zeros(d)
+    values[: len(singular)] = singular**2 / max(rows, 1)
     total = values.sum()
     ratios = values / total if total > 0 else np.zeros_like(values)
     # no more components than the data can span
-    limit = min(len(values), max(stats.rows, 1))
+    limit = min(d, max(rows, 1))
     kept = min(components if components is not None else components_for(ratios, variance), limit)
-    loadings = vectors[:, :kept]
+    loadings = vectors.T[:, :kept]
     signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(kept)])
     return Reduction(
         columns=list(columns),
-        means=stats.means,
-        stds=stats.stds,
+        means=mean,
+        stds=stds,
         loadings=loadings * np.where(signs == 0, 1.0, signs),
         ratios=ratios,
     )

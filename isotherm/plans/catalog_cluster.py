@@ -250,7 +250,7 @@ def kmeans_mllib(spark: SparkSession, sf: str) -> DataFrame:
     return _named_by_member(model.transform(points))
 
 
-@query()
+@query(_KNOWN_SQL)
 def kmeans_final(spark: SparkSession, sf: str) -> DataFrame:
     """K from the whole sweep, then the final fit and its assignment."""
     points = _separated(spark, sf)

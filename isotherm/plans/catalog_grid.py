@@ -311,12 +311,6 @@ def _feature_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     return features, climate.numeric_features(features, ("lat", "lon"))
 
 
-@query()
-def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
-    features, names = _feature_table(spark, sf)
-    return rd.variance_table(spark, rd.fit_reduction(features, names))
-
-
 _ALL = [f"{p}_{n}" for p in PARAMS for n in ("mean", "std", "min", "max")] + [
     f"{p}_{n}" for p in sorted(PARAMS) for n in ("fall", "spring", "summer", "winter")
 ]
@@ -339,6 +333,19 @@ _SCORES_SQL = f"""WITH {_SEASONED}, f AS (SELECT lat, lon, {_RAW_SQL} FROM seaso
 SELECT lat, lon, CAST(least({len(_ALL)}, (SELECT count(*) FROM f)) AS INT) AS n_components, {st(_energy_sql(_ALL), 3)} AS energy FROM f, s"""
 
 
+@query(f"""WITH {_SEASONED}, f AS (SELECT lat, lon, {_RAW_SQL} FROM seasoned GROUP BY lat, lon),
+u AS (UNPIVOT f ON COLUMNS(* EXCLUDE (lat, lon)) INTO NAME c VALUE v),
+r AS (SELECT a.c AS a, b.c AS b, CASE WHEN stddev_pop(a.v) > 0 AND stddev_pop(b.v) > 0 THEN corr(a.v, b.v) ELSE 0 END AS r
+  FROM u a JOIN u b ON a.lat = b.lat AND a.lon = b.lon GROUP BY a.c, b.c)
+SELECT CAST({len(_ALL)} AS BIGINT) AS n_columns, 1e0 AS total, {st("sum(r * r) / power(sum(r) FILTER (a = b), 2)", 6)} AS energy FROM r""")
+def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of variance: they add up to one, and their squares to those of the correlations."""
+    features, names = _feature_table(spark, sf)
+    shares = rd.variance_table(spark, rd.fit_reduction(features, names))
+    energy = settle(F.sum(F.col("ratio") * F.col("ratio")), 6)
+    return shares.agg(F.count(F.lit(1)).alias("n_columns"), F.round(F.sum("ratio"), 9).alias("total"), energy.alias("energy"))
+
+
 def _energies(scores: DataFrame, *keys: str) -> DataFrame:
     energy = F.aggregate("features", F.lit(0.0), lambda t, v: t + v * v)
     return scores.select(*keys, F.size("features").alias("n_components"), settle(energy, 3).alias("energy"))

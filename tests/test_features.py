@@ -239,3 +239,54 @@ def test_missing_values_are_refused(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
     with pytest.raises(ValueError):
         rd.fit_reduction(df, ["a", "b"])
+
+
+def test_components_with_a_large_offset(spark):
+    """An offset of 1e8 costs none of the digits that squares of it would."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 4)) @ rng.normal(size=(4, 4))
+    x = np.round(x * 2**20) / 2**20  # the offset keeps these digits
+    names = list("abcd")
+    for parts in (1, 40):
+        near, far = (
+            rd.fit_reduction(spark.createDataFrame(pd.DataFrame(x + o, columns=names)).repartition(parts), names, components=4) for o in (0.0, 1e8)
+        )
+        assert np.allclose(far.ratios, near.ratios, rtol=1e-6) and np.allclose(far.stds, x.std(0), rtol=1e-7)
+        assert np.allclose(np.abs(far.loadings), np.abs(near.loadings), atol=1e-5)
+    empty = rd.fit_reduction(spark.createDataFrame([], "a double, b double"), ["a", "b"], components=1)
+    assert empty.ratios.tolist() == [0.0, 0.0]
+    one = rd.fit_reduction(spark.createDataFrame([(1.0, 5.0)], "a double, b double"), ["a", "b"])
+    assert one.stds.tolist() == [0.0, 0.0] and one.components == 1
+
+
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_correlations_in_one_pass(spark, parts):
+    """Holes, constants and offsets against pandas; the rows upstream are made once."""
+    rng = np.random.default_rng(parts)
+    x = rng.normal(size=(800, 6)) @ rng.normal(size=(6, 6)) * 10.0 ** np.arange(-2, 4) + 1e5
+    pdf = pd.DataFrame(x, columns=list("abcdef"))
+    pdf.loc[rng.random(800) < 0.3, "b"] = np.nan
+    pdf.loc[pdf["a"] > pdf["a"].median(), "c"] = np.nan
+    pdf["g"] = 7.0
+    pdf["h"] = np.where(pdf["c"].isna(), pdf["a"], 3.0)  # constant where c is present
+    pdf["i"] = np.nan
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame(pdf).repartition(parts)
+    df = df.mapInPandas(counted, df.schema)
+    names = list(pdf.columns)
+    got = rd.correlation_matrix(df, names)
+    assert seen.value == 800
+    want = pdf.corr().to_numpy()
+    want[names.index("c"), names.index("h")] = want[names.index("h"), names.index("c")] = np.nan
+    assert np.array_equal(np.isnan(got), np.isnan(want))
+    assert np.allclose(np.nan_to_num(got), np.nan_to_num(want), atol=1e-9)
+    seen.value = 0
+    stats = rd.moments(df, names)
+    assert seen.value == 800 and np.allclose(stats.means[:8], pdf.mean()[:8]) and np.allclose(stats.stds[:8], pdf.std(ddof=0)[:8])
+    assert np.isnan(rd.correlation_matrix(df.limit(0), names)).all()

@@ -22,12 +22,10 @@ def test_matches_sql(spark, duck, name):
     assert differences(spark, duck, SF, QUERIES[name], SQL[name]) == []
 
 
-@pytest.mark.parametrize("name", ["kmeans_parallel_init", "pca_variance"])
+@pytest.mark.parametrize("name", ["kmeans_parallel_init"])
 def test_runs_without_sql(spark, name):
     rows = QUERIES[name](spark, SF).collect()
     assert rows
-    if name == "pca_variance":
-        assert sum(r["ratio"] for r in rows) == pytest.approx(1.0)
 
 
 def test_flagship(spark):
