@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,24 +125,48 @@ def time_slice(df: DataFrame, start: str, end: str, *, time: str = "time") -> Da
     )
 
 
+# Fixed value: bits of Spark's bitmaps.
+_BITS = 32_768
+
+
 def missing_days(
     df: DataFrame, start: str, end: str, *, keys: Sequence[str] = ("lat", "lon"), time: str = "time"
 ) -> DataFrame:
     """Days without an observation: per key, or overall when ``keys`` is empty.
 
-    Runs as one anti join on (keys, day), so a key that holds most rows is spread over
-    its days.
+    The days of a key become bits, set before the shuffle, so one scan and one shuffle of a bitmap per task
+    and key answer it, and a key that holds most rows travels once per task. Unset bits come out as days. A key
+    without a day in the window misses all of them.
     """
-    day = F.col(time).cast("date").alias(time)
-    seen = df.groupBy(*keys, day).agg(F.lit(1).alias("one")).drop("one")
-    days = F.explode(
-        F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
-    ).alias(time)
-    if keys:
-        wanted = df.groupBy(*keys).agg(F.lit(1).alias("one")).select(*keys, days)
-    else:
-        wanted = day_axis(df.sparkSession, start, end).withColumnRenamed("time", time)
-    return wanted.join(seen, [*keys, time], "left_anti")
+    first = date.fromisoformat(start)
+    n = (date.fromisoformat(end) - first).days + 1
+    index = F.datediff(F.col(time).cast("date"), F.lit(first))
+    windows = range(0, max(n, 1), _BITS)
+    bitmaps = [
+        F.bitmap_construct_agg(F.when(index.between(low, min(low + _BITS, n) - 1), index - low).cast("long")).alias(f"_days{low}")
+        for low in windows
+    ]
+    seen = df.groupBy(*keys).agg(*bitmaps)
+
+    # seven bytes at a time, the first one highest, fit a long
+    step = 56
+
+    def word(low: int) -> Column:
+        count = -(-min(_BITS, n - low) // step)
+        part = lambda g: F.substring(F.col(f"_days{low}"), (g * 7 + 1).cast("int"), F.lit(7))
+        value = lambda g: F.conv(F.hex(F.rpad(part(g), 7, F.unhex(F.lit("00")))), 16, 10).cast("long")
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(count - 1)), lambda g: F.struct((g * step + low).alias("start"), F.lit(min(low + _BITS, n)).alias("end"), value(g).alias("bits"))
+        )
+
+    if n <= 0:
+        return seen.select(*keys, F.lit(first).alias(time)).limit(0)
+    words = seen.select(*keys, F.explode(F.concat(*[word(low) for low in windows])).alias("_word"))
+    start_, bits = F.col("_word.start"), F.col("_word.bits")
+    places = F.sequence(F.lit(0), F.least(F.lit(step), F.col("_word.end") - start_) - 1)
+    unset = F.filter(places, lambda p: F.bit_get(bits, F.lit(48) - F.floor(p / 8).cast("int") * 8 + p % 8) == 0)
+    gaps = words.filter(bits != (1 << step) - 1).select(*keys, start_.alias("_start"), F.explode(unset).alias("_place"))
+    return gaps.select(*keys, F.date_add(F.lit(first), F.col("_start") + F.col("_place")).alias(time))
 
 
 def grid_join(

@@ -126,6 +126,24 @@ def test_quality(spark):
     assert sorted(str(r["b"]) for r in guarded.collect()) == ["4.0", "6.0", "None", "None"]
 
 
+def test_missing_days_over_several_bitmaps(spark, monkeypatch):
+    """Windows of more days than a bitmap has, keys without any day, days outside the window."""
+    rng = np.random.default_rng(4)
+    start = dt.date(1900, 1, 1)
+    for n in (1, 55, 56, 57, 700, 40_000):
+        days = {k: set(rng.choice(n, rng.integers(0, n), replace=False).tolist()) for k in range(4)} | {4: set(range(n))}
+        rows = [(k, start + dt.timedelta(days=d)) for k, seen in days.items() for d in seen for _ in range(1 + d % 2)]
+        rows += [(k, start - dt.timedelta(days=1)) for k in days] + [(None, None), (5, start + dt.timedelta(days=n))]
+        df = spark.createDataFrame(rows, "site int, time date")
+        end = start + dt.timedelta(days=n - 1)
+        got = gr.missing_days(df, str(start), str(end), keys=("site",)).collect()
+        want = {(k, start + dt.timedelta(days=d)) for k, seen in (days | {5: set(), None: set()}).items() for d in set(range(n)) - seen}
+        assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert gr.missing_days(df, "2000-01-02", "2000-01-01", keys=("site",)).collect() == []
+    plan = gr.missing_days(df, "2000-01-01", "2000-12-31", keys=("site",))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_missing_days_and_slice(spark):
     rows = [(1, dt.datetime(2024, 1, d, 5)) for d in (1, 2, 4)] + [(2, dt.datetime(2024, 1, 3, 1))]
     df = spark.createDataFrame(rows, "site int, time timestamp_ntz")
