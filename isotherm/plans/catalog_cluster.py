@@ -491,9 +491,8 @@ UNION ALL SELECT 50, * FROM ({_prefix_sql("(SELECT round_even(count(*) * 0.5, 0)
 def fraction_sample(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select("event_id", "user_id", "value")
     parts = None
-    for percent in (10, 25, 50):
-        part = sm.fraction_sample(rows, percent / 100.0, ids=("event_id",))
-        part = part.select(F.lit(percent).alias("percent"), "*")
+    for fraction, part in sm.fraction_samples(rows, [0.1, 0.25, 0.5], ids=("event_id",)).items():
+        part = part.select(F.lit(round(100 * fraction)).alias("percent"), "*")
         parts = part if parts is None else parts.unionByName(part)
     return parts
 

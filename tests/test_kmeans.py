@@ -307,6 +307,19 @@ def test_samples(spark, monkeypatch):
     assert again == sets[0]
     assert sm.sample_rows(big, 0, ids=["id"]).count() == 0
     assert sm.sample_rows(big, 70_000, ids=["id"]).count() == 60_000
+    many = sm.fraction_samples(rows, [0.0, 0.1, 0.25, 0.5, 1.0], ids=["id"])
+    assert [df.count() for df in many.values()] == [0, 50, 124, 248, 495]
+    keys = {r["id"] for r in many[0.25].collect()}
+    assert keys == {r["id"] for r in sm.fraction_sample(rows, 0.25, ids=["id"]).collect()}
+    jobs = []
+    grouped = type(big).groupBy
+    monkeypatch.setattr(type(big), "groupBy", lambda self, *c: jobs.append(1) or grouped(self, *c))
+    sm.nested_samples(big, [1, 495, 5000, 50_000, 59_999], ids=["id"])
+    assert len(jobs) <= 3  # the count and every rank
+    monkeypatch.undo()
+    twice = big.limit(100).union(big.limit(100)).repartition(3)
+    assert sm.sample_rows(twice, 101, ids=["id"]).count() == 101
+    assert sm.nested_samples(big.limit(0), [3, None], ids=["id"])[3].count() == 0
     monkeypatch.setattr(sm, "_RANKED", 20)
     assert {r["id"] for r in sm.sample_rows(big, 495, ids=["id"]).collect()} == sets[0]
     with pytest.raises(ValueError, match="row key"):
