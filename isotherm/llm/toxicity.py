@@ -233,9 +233,8 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, ke
     even = sum(got.values()) / max(1, sum(known.get(y, 0) for y in got))
     weights = tuple(even * known.get(y, 0) / got[y] if got.get(y) else 1.0 for y in (0, 1))
     # at most toxic + clean narrow rows
-    examples = docs.join(F.broadcast(chosen), F.col(key) == F.col("_k")).filter(F.col(text).isNotNull()).select(
-        F.col("_k").alias("key"), F.col(text).alias("text"), F.col("_y").alias("y")
-    )
+    bodies = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    examples = bodies.join(F.broadcast(chosen), F.col("key") == F.col("_k")).select("key", "text", F.col("_y").alias("y"))
     return examples, weights
 
 
