@@ -12,7 +12,6 @@ METEOROLOGY = (
     "WS2M", "WS10M", "WS50M", "WD2M", "WD10M", "WD50M",
     "PS", "GWETROOT", "GWETTOP", "EVPTRNS",
 )
-# Requested by the older extraction, kept only where the source has them.
 RADIATION = (
     "ALLSKY_KT", "ALLSKY_SFC_LW_DWN", "ALLSKY_SFC_LW_UP", "ALLSKY_SFC_PAR_TOT",
     "ALLSKY_SFC_SW_DIFF", "ALLSKY_SFC_SW_DNI", "ALLSKY_SFC_SW_DWN", "ALLSKY_SFC_SW_UP",
