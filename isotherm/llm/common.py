@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from isotherm.sources.tables import materialise
 
-__all__ = ["drawn", "fresh", "small_batches", "materialise", "table", "text_of", "words_of"]
+__all__ = ["drawn", "fresh", "join_counts", "small_batches", "materialise", "table", "text_of", "words_of"]
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
+#: A key with more than one in so many rows is no longer shuffled to one task.
+HEAVY = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def join_counts(rows: DataFrame, counts: DataFrame, on: list[str], *, n: str = "n", total: int) -> DataFrame:
+    """``rows`` joined with ``counts``, a written table with one row per key of which ``n`` says how
+    many of the ``total`` rows have it.
+
+    Keys that hold more than one row in ``HEAVY`` are fewer than ``HEAVY``, by arithmetic, and are broadcast, so their
+    rows stay where they are; only the others are shuffled.
+    """
+    heavy = counts.filter(F.col(n) > max(1, total // HEAVY))
+    light = counts.filter(F.col(n) <= max(1, total // HEAVY))
+    if heavy.isEmpty():
+        return rows.join(light, on)
+    heavy = F.broadcast(heavy)
+    return rows.join(heavy, on).unionByName(rows.join(heavy, on, "left_anti").join(light, on))
+
+
 def drawn(rows: DataFrame, most: int, *by: str) -> DataFrame:
     """At most ``most`` rows, about so many where there are more, chosen by the hash of the columns
     ``by``. Rows are first thinned to their share, so no task returns more than its part."""

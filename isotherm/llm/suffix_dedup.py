@@ -7,13 +7,19 @@ twice or more matter, and each run of windows with one anchor is judged as a who
 each other by counting. Where an anchor comes with different runs, their suffixes are sorted: prefix
 polynomial hashes give the common extension of two suffixes by binary search, a merge sort
 built on that comparison orders those as far from their anchor, and neighbours whose common extension reaches ``length`` are
-repeats, compared byte by byte before they count. An anchor with more than ``VARIANTS`` different runs does
-not go to one task; its windows are counted by two hashes instead, which is exact but for
-collisions of 128 bits.
+repeats, compared byte by byte before they count.
+
+A sort holds ``VARIANTS`` different runs at most. An anchor with more is divided first, into groups of
+suffixes that alone can be equal: a run is cut where the distance to the anchor passes a multiple of ``WIDTHS``,
+and pieces belong together if the bytes that all windows of such a stretch share (its core) have one
+hash. Equal pieces settle each other, byte by byte; one of each goes on, to a sort or, where a group
+is still too large, to the next width. Pieces of one window have only equal ones in their group. So
+what is read again of an anchor are the stretches in which its runs part, never all their windows.
 
 Texts are shuffled twice (to cut out such runs, to remove what repeats), everything else is narrow.
-Anchors and runs are counted with partial aggregation, so a passage that a third of the
-documents share is no hot task.
+Anchors and runs are counted with partial aggregation, and where counts go back to rows, keys that hold more than
+a thousandth of the rows (fewer than a thousand keys) are broadcast: a passage that a third of the documents share is
+no hot task.
 
 Defined cases: a null text is empty; texts below ``length`` bytes keep all. Equal texts of at least that
 length lose all their bytes, as each repeats the other; repeated rows are such texts.
@@ -31,9 +37,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import materialise, text_of
+from isotherm.llm.common import join_counts, materialise, text_of
 
 GRAM, VARIANTS = 32, 1_024
+WIDTHS = (32, 4, 1)  # distances to the anchor that a piece spans, down to one window
 PIECE = 1 << 19  # windows handled at once
 BUFFER = 1 << 19  # bytes whose suffixes are sorted together
 _U = np.uint64
@@ -254,16 +261,17 @@ def all_runs(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _segments(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the wanted runs, from one row of each text."""
+    """The bytes of the wanted runs, from one row of each text, and where their anchor begins in them."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, held = [], 0
             for t, t1, t2, runs_ in zip(batch["text"], batch["t1"], batch["t2"], batch["runs"], strict=True):
                 data = t.encode("utf-8", "surrogatepass")
-                for r in runs_:
-                    piece = data[r["first"] : r["first"] + r["size"] + length - 1]
-                    out.append((r["anchor"], r["alone"], r["hot"], t1, t2, r["first"], piece))
+                pieces = [data[r["first"] : r["first"] + r["size"] + length - 1] for r in runs_]
+                places = _anchor_places(pieces, length)
+                for r, at, piece in zip(runs_, places, pieces, strict=True):
+                    out.append((r["anchor"], r["v"], r["alone"], t1, t2, r["first"], at, piece))
                     held += len(piece)
                 if held > 4 << 20:
                     yield pd.DataFrame(out, columns=names, dtype=object)
@@ -271,33 +279,41 @@ def _segments(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(out, columns=names, dtype=object)
 
-    names = ["anchor", "alone", "hot", "t1", "t2", "first", "bytes"]
-    lists = wanted.groupBy(*_TEXT_KEY).agg(F.collect_list(F.struct("anchor", "first", "size", "alone", "hot")).alias("runs"))
+    names = ["group", "v", "alone", "t1", "t2", "first", "at", "bytes"]
+    lists = wanted.groupBy(*_TEXT_KEY).agg(F.collect_list(F.struct("anchor", "first", "size", "alone", "v")).alias("runs"))
     found = rows.select("t1", "t2", "text").join(lists, list(_TEXT_KEY))
     # equal texts give equal rows: one of each is enough
     return found.mapInPandas(
-        cut, "anchor long, alone boolean, hot boolean, t1 long, t2 long, first int, bytes binary"
-    ).dropDuplicates(["anchor", "t1", "t2", "first"])
+        cut, "group long, v long, alone boolean, t1 long, t2 long, first int, at int, bytes binary"
+    ).dropDuplicates(["group", "t1", "t2", "first"])
+
+
+def _anchor_places(pieces: list[bytes], length: int) -> list[int]:
+    """Where the anchor of each run begins: all its windows have it at one place, so the first one tells."""
+    grams = length - GRAM + 1
+    out: list[int] = []
+    for i in range(0, len(pieces), 1024):
+        heads = np.frombuffer(b"".join(p[:length] for p in pieces[i : i + 1024]), dtype=np.uint8)
+        hashed = _mixed(Hashes(heads).windows(GRAM)) >> _U(20)
+        starts = np.arange(len(heads) // length) * length
+        out += hashed[starts[:, None] + np.arange(grams)].argmin(1).tolist()
+    return out
 
 
 def _sorted_repeats(segments: DataFrame, length: int) -> DataFrame:
-    """Intervals of the runs that stand alone, from the suffixes of all runs of their anchor."""
+    """Intervals of the segments that stand alone, from the suffixes of all segments of their group."""
 
     def judge(group: list[tuple]) -> list[tuple]:
-        data = np.frombuffer(b"".join(g[5] for g in group), dtype=np.uint8)
-        offset = np.cumsum([0, *(len(g[5]) for g in group)])
-        sizes = np.array([len(g[5]) - length + 1 for g in group])
+        data = np.frombuffer(b"".join(g[6] for g in group), dtype=np.uint8)
+        offset = np.cumsum([0, *(len(g[6]) for g in group)])
+        sizes = np.array([len(g[6]) - length + 1 for g in group])
         inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         starts = np.repeat(offset[:-1], sizes) + inside
         # equal windows have one anchor, and it as far from their start: these two make the cell
-        grams = _mixed(Hashes(data).windows(GRAM)) >> _U(20)
-        anchor_at = np.concatenate([
-            grams[offset[i : i + 1024, None][: len(group) - i] + np.arange(length - GRAM + 1)].argmin(1) for i in range(0, len(group), 1024)
-        ])
         number = np.unique(np.array([g[0] for g in group]), return_inverse=True)[1]
-        cells = np.repeat(number, sizes) * length + np.repeat(anchor_at, sizes) - inside
+        cells = np.repeat(number, sizes) * length + np.repeat(np.array([g[5] for g in group]), sizes) - inside
         flags, at, out = Suffixes(data, length).repeated(starts, cells), 0, []
-        for _, alone, t1, t2, first, piece in group:
+        for _, alone, t1, t2, first, _, piece in group:
             n = len(piece) - length + 1
             if alone:
                 out += [(t1, t2, a, b) for a, b in _intervals(flags[at : at + n], first, length)]
@@ -308,36 +324,67 @@ def _sorted_repeats(segments: DataFrame, length: int) -> DataFrame:
         group, held = [], 0
         for batch in batches:
             out = []
-            for row in zip(*(batch[c] for c in ("anchor", "alone", "t1", "t2", "first", "bytes")), strict=True):
-                if held >= BUFFER and row[0] != group[-1][0]:  # an anchor is never cut
+            for row in zip(*(batch[c] for c in ("group", "alone", "t1", "t2", "first", "at", "bytes")), strict=True):
+                if held >= BUFFER and row[0] != group[-1][0]:  # a group is never cut
                     out += judge(group)
                     group, held = [], 0
                 group.append(row)
-                held += len(row[5])
+                held += len(row[6])
             if out:
                 yield pd.DataFrame(out, columns=["t1", "t2", "a", "b"], dtype=object)
         if group:
             yield pd.DataFrame(judge(group), columns=["t1", "t2", "a", "b"], dtype=object)
 
-    spread = segments.filter("NOT hot").repartition("anchor").sortWithinPartitions("anchor", "t1", "t2", "first")
+    spread = segments.repartition("group").sortWithinPartitions("group", "t1", "t2", "first")
     return spread.mapInPandas(sort, "t1 long, t2 long, a int, b int")
 
 
-def _counted_repeats(segments: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many different runs, by counting their windows."""
+def _pieces(segments: DataFrame, width: int, length: int) -> DataFrame:
+    """Segments cut by the distance to their anchor; the new group adds the stretch and its core."""
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for alone, t1, t2, first, piece in zip(*(batch[c] for c in ("alone", "t1", "t2", "first", "bytes")), strict=True):
-                data = np.frombuffer(piece, dtype=np.uint8)
-                h1, h2 = (_mixed(Hashes(data, seed).windows(length)).view(np.int64) for seed in (3, 4))
-                yield pd.DataFrame({"h1": h1, "h2": h2, "alone": alone, "t1": t1, "t2": t2, "p": first + np.arange(len(h1))})
-
-    rows = segments.filter("hot").mapInPandas(windows, "h1 long, h2 long, alone boolean, t1 long, t2 long, p int")
-    rows = materialise(rows, "suffix-windows")
-    twice = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
-    hit = rows.filter("alone").join(twice, ["h1", "h2"])
-    return hit.select("t1", "t2", F.col("p").alias("a"), (F.col("p") + length).alias("b"))
+            data = np.frombuffer(b"".join(batch["bytes"]), dtype=np.uint8)
+            out, cores, offset = [], [], 0
+            for g, alone, t1, t2, first, at, piece in zip(
+                *(batch[c] for c in ("group", "alone", "t1", "t2", "first", "at", "bytes")), strict=True
+            ):
+                windows = len(piece) - length + 1
+                for stretch in range(at // width, (at - windows + 1) // width - 1, -1):
+                    # windows whose anchor is stretch * width up to as much and width - 1 away
+                    i, j = max(0, at - stretch * width - width + 1), min(windows - 1, at - stretch * width)
+                    out.append((g, stretch, alone, t1, t2, first + i, at - i, piece[i : j + length]))
+                    cores.append(offset + at - stretch * width)
+                offset += len(piece)
+            if out:
+                rows = pd.DataFrame(out, columns=names, dtype=object)
+                core = Hashes(data, seed=3).at(np.array(cores), length - width + 1)
+                owner = _mixed(rows["group"].to_numpy(np.int64).view(_U) + rows["stretch"].to_numpy(np.int64).view(_U))
+                rows["group"] = _mixed(core ^ owner).view(np.int64)
+                yield rows.drop(columns="stretch")
+
+    names = ["group", "stretch", "alone", "t1", "t2", "first", "at", "bytes"]
+    return segments.mapInPandas(cut, "group long, alone boolean, t1 long, t2 long, first int, at int, bytes binary")
+
+
+def _divided(segments: DataFrame, width: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """Intervals of the pieces that equal another one, and one of each kind for what is left to
+    compare: groups that hold several kinds, with their number ``v``."""
+    cut = materialise(_pieces(segments, width, length), "suffix-pieces")
+    kind = ["group", "at", "bytes"]
+    kinds = cut.groupBy(*kind).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "first")).alias("one"), F.bool_or("alone").alias("open")
+    )
+    kinds = materialise(kinds, "suffix-pieces-kinds")
+    total = cut.count()
+    hit = join_counts(cut, kinds.filter("n > 1 AND open").select(*kind, "n"), kind, total=total).filter("alone")
+    intervals = hit.select("t1", "t2", F.col("first").alias("a"), (F.col("first") + F.octet_length("bytes")).alias("b"))
+    groups = kinds.groupBy("group").agg(
+        F.count(F.lit(1)).alias("v"), F.bool_or(F.col("open") & (F.col("n") == 1)).alias("any")
+    ).filter("v > 1 AND any").select("group", "v")
+    groups = materialise(groups, "suffix-pieces-groups")
+    left = join_counts(kinds.select(*kind, "n", "one", "open"), groups, ["group"], n="v", total=kinds.count())
+    return intervals, left.select("group", "v", (F.col("open") & (F.col("n") == 1)).alias("alone"), "one.*", "at", "bytes")
 
 
 def repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length: int = 200) -> DataFrame:
@@ -345,23 +392,32 @@ def repeats(docs: DataFrame, *, text: str = "text", key: str = "doc_id", length:
     rows = _keyed(docs, text, key)
     cut = materialise(all_runs(rows, length), "suffix-runs")
     anchors = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("low"), F.max("run").alias("high")).filter("n > 1")
-    again = materialise(cut.join(anchors.select("anchor", F.expr("low <> high").alias("mixed")), "anchor"), "suffix-again")
+    anchors = materialise(anchors.select("anchor", "n", F.expr("low <> high").alias("mixed")), "suffix-anchors")
+    again = materialise(join_counts(cut, anchors, ["anchor"], total=cut.count()).drop("n"), "suffix-again")
     settled = again.filter("NOT mixed")
     # runs of anchors that come with several: those found twice are settled, one of each is kept to compare with
-    kinds = again.filter("mixed").groupBy("anchor", "run").agg(
+    mixed = again.filter("mixed")
+    kinds = mixed.groupBy("anchor", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "first", "size")).alias("one")
     )
     kinds = materialise(kinds, "suffix-kinds")
-    settled = settled.select("t1", "t2", "first", "size").union(
-        again.filter("mixed").join(kinds.filter("n > 1").select("anchor", "run"), ["anchor", "run"]).select("t1", "t2", "first", "size")
-    )
-    variants = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("v"))
-    wanted = kinds.join(variants, "anchor").select(
-        "anchor", "one.*", (F.col("n") == 1).alias("alone"), (F.col("v") > VARIANTS).alias("hot")
+    twice = join_counts(mixed, kinds.filter("n > 1").select("anchor", "run", "n"), ["anchor", "run"], total=mixed.count())
+    settled = settled.select("t1", "t2", "first", "size").union(twice.select("t1", "t2", "first", "size"))
+    variants = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("v"), F.bool_or(F.col("n") == 1).alias("any"))
+    variants = materialise(variants.filter("any").select("anchor", "v"), "suffix-variants")
+    wanted = join_counts(kinds, variants, ["anchor"], n="v", total=kinds.count()).select(
+        "anchor", "one.*", (F.col("n") == 1).alias("alone"), "v"
     )
-    segments = materialise(_segments(rows, wanted, length), "suffix-segments")
+    left = materialise(_segments(rows, wanted, length), "suffix-segments")
     intervals = settled.select("t1", "t2", F.col("first").alias("a"), (F.col("first") + F.col("size") + (length - 1)).alias("b"))
-    intervals = intervals.union(_sorted_repeats(segments, length)).union(_counted_repeats(segments, length))
+    intervals = intervals.union(_sorted_repeats(left.filter(F.col("v") <= VARIANTS), length))
+    for width in WIDTHS:
+        large = left.filter(F.col("v") > VARIANTS)
+        if large.isEmpty():
+            break
+        found, left = _divided(large, width, length)
+        left = materialise(left, "suffix-left")
+        intervals = intervals.union(found).union(_sorted_repeats(left.filter(F.col("v") <= VARIANTS), length))
     lists = intervals.groupBy(*_TEXT_KEY).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
     @F.pandas_udf("n_removed long, n_spans long, kept_sha256 string")
