@@ -49,6 +49,18 @@ def nearest(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
     return best, np.einsum("ij,ij->i", gap, gap)
 
 
+def bounds(points: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the nearest center, an upper bound of its distance and a lower bound of all others',
+    as 16-bit numbers and single precision rounded outwards."""
+    best, d2 = nearest(points, centers)
+    norms, size = np.einsum("ij,ij->i", centers, centers), np.einsum("ij,ij->i", points, points)
+    others = points @ (-2.0 * centers.T) + norms
+    others[np.arange(len(points)), best] = np.inf
+    low = others.min(axis=1) + size - 1e-11 * (size + norms.max())
+    up, low = np.sqrt(d2).astype(np.float32), np.sqrt(np.maximum(low, 0.0)).astype(np.float32)
+    return best.astype(np.uint16), np.nextafter(up, np.float32(np.inf)), np.nextafter(low, np.float32(-np.inf))
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of all rows of a to all rows of b.
 

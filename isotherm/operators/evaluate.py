@@ -342,7 +342,8 @@ def kmeans_final(
 
 
 def metrics_row(metrics: DataFrame) -> DataFrame:
-    """The sweep as one row of arrays, the shape of the metrics file."""
+    """The sweep as one row of arrays, the shape of the metrics file: the K of the largest silhouette, that of the
+    smallest Davies-Bouldin index beside it, and whether the first sits on the edge of the sweep."""
     ordered = F.array_sort(
         F.collect_list(F.struct("k", "inertia", "silhouette", "davies_bouldin"))
     )
@@ -352,4 +353,6 @@ def metrics_row(metrics: DataFrame) -> DataFrame:
         F.col("m.silhouette").alias("silhouettes"),
         F.col("m.davies_bouldin").alias("davies_bouldin"),
         select_k(metrics).select("optimal_k").scalar().alias("optimal_k"),
+        select_k(metrics, metric="davies_bouldin", largest=False).select("optimal_k").scalar().alias("optimal_k_davies_bouldin"),
+        select_k(metrics).select("at_boundary").scalar().alias("at_boundary"),
     )

@@ -7,6 +7,10 @@ kept in places that add exactly (:func:`isotherm.functions.kernels.quanta`), so
 same bits however the points are partitioned. All restarts share a pass.
 Only centroids cross rounds, so the lineage of the points never grows and a lost executor
 costs no more than the recomputation of its blocks.
+
+Late rounds move centroids little. On request, labels and distance bounds of one round, kept beside the points,
+settle most points by the triangle inequality, and as sums add exactly, a round only
+adds what moved to the sums of that round (:class:`Bounds`). The result is the same to the bit.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
@@ -33,6 +37,10 @@ MAX_ITER, TOL, N_INIT = 50, 1e-4, 10
 INIT_ROUNDS, OVERSAMPLE = 2, 2.0
 RANDOM_TOL, RANDOM_N_INIT = 0.01, 3
 
+#: The round whose labels later rounds start from, and how often all points may be measured in sum before they are taken anew.
+BOUNDS_FROM, BOUNDS_REFRESH = 3, 1.0
+_BOUND_BYTES = 10  # a point and run
+
 _PARTIAL = "run int, cluster int, part long, sums array<double>"
 
 Blocks = Iterator[tuple[np.ndarray, np.ndarray]]
@@ -154,31 +162,129 @@ def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors
     return scan(blocks, _PARTIAL, fold)
 
 
-def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None):
-    """Reduce side: sums, counts and cost per run. At most one row per task, run and cluster is
-    shuffled; the root of the merge tree is here, so at most ``FAN`` rows per run and cluster return.
-    ``seen`` observes the rows the tasks emit."""
+def _added_up(blocks: PackedPoints, partials: DataFrame, shapes: Sequence[tuple[int, int]]) -> list[np.ndarray]:
+    """Sums of the partials of every run, clusters x width. At most one row per task, run and cluster is
+    shuffled; the root of the merge tree is here, so at most ``FAN`` rows per run and cluster return."""
+    rows = merge_arrays(partials, ["run", "cluster"], ["sums"], parts=blocks.tasks, keep=FAN).toArrow()
+    run, cluster = (rows.column(n).to_numpy() for n in ("run", "cluster"))
+    sums = rows.column("sums").combine_chunks()
+    out = [np.zeros(shape) for shape in shapes]
+    for number, total in enumerate(out):
+        for at in np.flatnonzero(run == number):
+            total[cluster[at]] += sums[at].values.to_numpy()
+    return out
+
+
+def _whole(total: np.ndarray, steps: int) -> np.ndarray:
+    """Vector sums from their places, the finest first, so that none of it is lost."""
+    return sum(reversed(np.split(total, steps, axis=1))) if steps else total[:, :0]
+
+
+def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None, raw: list | None = None):
+    """Reduce side: sums, counts and cost per run. ``seen`` observes the rows the tasks emit, ``raw`` takes the
+    vector sums in their places, with the counts behind them."""
     centers = [np.asarray(c, dtype=float) for c in centers]
     partials = partial_sums(blocks, centers, vectors=vectors)
     if seen is not None:
         partials = partials.observe(seen, F.count(F.lit(1)).alias("n_partials"), F.sum(F.element_at("sums", -1)).cast("long").alias("n_points"))
     steps, cost_steps = _steps(blocks, centers, vectors)
-    rows = merge_arrays(partials, ["run", "cluster"], ["sums"], parts=blocks.tasks, keep=FAN).toArrow()
-    run, cluster = (rows.column(n).to_numpy() for n in ("run", "cluster"))
-    sums = rows.column("sums").combine_chunks()
+    widths = [c.shape[1] * len(steps) for c in centers]
+    shapes = [(len(c), w + len(cost_steps) + 1) for c, w in zip(centers, widths, strict=True)]
     out = []
-    for number, c in enumerate(centers):
-        width = c.shape[1] * len(steps)
-        total = np.zeros((len(c), width + len(cost_steps) + 1))
-        for at in np.flatnonzero(run == number):
-            total[cluster[at]] += sums[at].values.to_numpy()
-        # the finest place first, so that none of it is lost
-        vector = sum(reversed(np.split(total[:, :width], len(steps), axis=1))) if steps else total[:, :0]
+    for total, width in zip(_added_up(blocks, partials, shapes), widths, strict=True):
         cost = sum(reversed([total[:, width + i].sum() for i in range(len(cost_steps))]))
-        out.append((vector, total[:, -1], float(cost)))
+        out.append((_whole(total[:, :width], len(steps)), total[:, -1], float(cost)))
+        if raw is not None:
+            raw.append(np.column_stack([total[:, :width], total[:, -1]]))
     return out
 
 
+class Bounds:
+    """Labels and distance bounds of every point in one round, cached beside the points.
+
+    With ``moved`` how far each centroid has gone since, a point whose upper bound plus the move of its own
+    centroid stays below its lower bound less the largest move of another one, or below half the way from its own to
+    the next centroid, keeps its label unmeasured. All later rounds hang on the points and this one round, so the lineage stays two steps deep. Per point
+    and run ``_BOUND_BYTES`` are kept, and a second copy of the points.
+    """
+
+    def __init__(self, blocks: PackedPoints, runs: Sequence[int], centers: Sequence[np.ndarray], totals: Sequence[np.ndarray]) -> None:
+        self.blocks, self.looked = blocks, 0
+        self.place = {run: at for at, run in enumerate(runs)}
+        self.centers, self.totals = [np.array(c) for c in centers], list(totals)
+        centers = self.centers
+
+        def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                near = []
+                for _, x in _unpack([batch]):
+                    near.append([b"".join(part.tobytes() for part in kernels.bounds(x, c)) for c in centers])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.list_(pa.binary()))], names=["h", "x", "d", "near"])
+
+        self.df = blocks.df.mapInArrow(measure, "h binary, x binary, d int, near array<binary>").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def release(self) -> None:
+        self.df.unpersist()
+
+    def round(self, runs: Sequence[int], centers: Sequence[np.ndarray], raw: list) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
+        """Vector sums and counts of every run, and how many points were measured; ``raw`` as in a full round."""
+        places, old = [self.place[r] for r in runs], [self.centers[self.place[r]] for r in runs]
+        steps, _ = _steps(self.blocks, centers, True)
+        width = [c.shape[1] * len(steps) + 1 for c in centers]
+        apart = [kernels.distances(c, c) + np.diag(np.full(len(c), np.inf)) for c in centers]
+        half = [a.min(axis=1) / 2 for a in apart]
+
+        def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # one row more than clusters: the points measured
+            totals = [np.zeros((len(c) + 1, w)) for c, w in zip(centers, width, strict=True)]
+            for batch in batches:
+                for (_, x), near in zip(_unpack([batch]), batch.column(3), strict=True):
+                    for at, before, c, middle, total in zip(places, old, centers, half, totals, strict=True):
+                        held = near[at].as_buffer()
+                        n = len(x)
+                        label = np.frombuffer(held, np.uint16, n).astype(np.int64)
+                        up, low = np.frombuffer(held, np.float32, 2 * n, 2 * n).astype(float).reshape(2, n)
+                        moved = np.sqrt(((c - before) ** 2).sum(axis=1))
+                        far = int(moved.argmax())
+                        others = np.full(len(c), moved[far])
+                        others[far] = np.delete(moved, far).max(initial=0.0)
+                        safe = np.maximum(low - others[label], middle[label])
+                        open_ = np.flatnonzero(~((up + moved[label]) * (1 + 1e-9) < safe))
+                        # one distance, to the own centroid, settles many of these
+                        gap = x[open_] - c[label[open_]]
+                        open_ = open_[~(np.sqrt(np.einsum("ij,ij->i", gap, gap)) * (1 + 1e-9) < safe[open_])]
+                        best, _ = kernels.nearest(x[open_], c) if len(open_) else (label[open_], None)
+                        total[-1, -1] += len(open_)
+                        changed = best != label[open_]
+                        if changed.any():
+                            rows = open_[changed]
+                            split = np.column_stack([*kernels.places(x[rows], steps), np.ones(len(rows))])
+                            for sign, owner in ((1, best[changed]), (-1, label[rows])):
+                                sums, _ = kernels.group_sums(split, owner, len(c))
+                                total[:-1] += sign * sums
+            for run, total in enumerate(totals):
+                used = np.flatnonzero(total.any(axis=1))
+                if len(used):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(used), run, np.int32)), pa.array(used.astype(np.int32)),
+                            pa.array(np.full(len(used), task_part(), np.int64)), pa.array(list(total[used])),
+                        ],
+                        names=["run", "cluster", "part", "sums"],
+                    )
+
+        found = _added_up(self.blocks, self.df.mapInArrow(fold, _PARTIAL), [(len(c) + 1, w) for c, w in zip(centers, width, strict=True)])
+        out = []
+        for at, total in zip(places, found, strict=True):
+            whole = self.totals[at] + total[:-1]
+            raw.append(whole)
+            out.append((_whole(whole[:, :-1], len(steps)), whole[:, -1]))
+        looked = [int(total[-1, -1]) for total in found]
+        first = self.blocks.extent[0] if self.looked == 0 else 0  # the bounds themselves, taken in this pass
+        self.looked += sum(looked) + len(runs)
+        return out, [n + first for n in looked]
+
+
 def _smallest_draws(blocks: PackedPoints, seeds: Sequence[int], k: int) -> list[np.ndarray]:
     """For every seed the k points with the smallest draws: a uniform sample. A task
     returns at most k points per seed."""
@@ -227,6 +333,52 @@ def farthest_in_blocks(blocks: PackedPoints, centers: np.ndarray) -> np.ndarray:
     return np.array(far.orderBy(F.desc("d2"), "h").limit(1).head()["x"])
 
 
+def refill_farthest(blocks: PackedPoints, centers: Sequence[np.ndarray], empty: Sequence[np.ndarray]) -> list[np.ndarray]:
+    """Centers of every run with its empty ones moved, in order, to the point then farthest from all.
+
+    One pass for all runs and clusters: tasks keep the points farthest from the centers that stay, which
+    no replacement can bring farther away, and the moves are replayed on these. Only where the farthest of them
+    is no longer beyond the last one kept, another pass looks among all points.
+    """
+    centers = [np.array(c, dtype=float) for c in centers]
+    stay = [np.delete(c, e, axis=0) for c, e in zip(centers, empty, strict=True)]
+    room = 256 + 16 * max(len(e) for e in empty)
+
+    def fold(points: Blocks) -> Iterator[dict]:
+        heaps: dict = {}
+        for h, x in points:
+            for run, c in enumerate(stay):
+                d2 = kernels.nearest(x, c)[1] if len(c) else np.full(len(x), np.inf)
+                rows = (d2, h, x)
+                if run in heaps:
+                    rows = tuple(np.concatenate(pair) for pair in zip(heaps[run], rows, strict=True))
+                first = np.lexsort((rows[1], -rows[0]))[:room]
+                heaps[run] = tuple(part[first] for part in rows)
+        for run, (d2, h, x) in heaps.items():
+            n = len(d2)
+            yield {"run": np.full(n, run, np.int32), "part": np.full(n, task_part(), np.int64), "d2": d2, "h": h, "x": list(x)}
+
+    rows, parts = scan(blocks, "run int, part long, d2 double, h long, x array<double>", fold), blocks.tasks
+    while True:  # groups of tasks first, so that no task meets the heaps of all
+        rows = rows.withColumn("part", F.floor(F.col("part") / FAN))
+        best = Window.partitionBy("run", "part").orderBy(F.desc("d2"), "h")
+        rows = rows.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= room).drop("_rank")
+        parts = -(-parts // FAN)
+        if parts <= 1:
+            break
+    kept: list[list] = [[] for _ in centers]
+    for r in rows.collect():
+        kept[r["run"]].append(r)
+    for c, holes, mine in zip(centers, empty, kept, strict=True):
+        h, x = np.array([r["h"] for r in mine]), np.array([r["x"] for r in mine])
+        last = min((r["d2"] for r in mine), default=0.0) if len(mine) >= room else -1.0
+        for j in holes:
+            d2 = kernels.nearest(x, c)[1]
+            top = np.lexsort((h, -d2))[0]
+            c[j] = x[top] if d2[top] > last else farthest_in_blocks(blocks, c)
+    return centers
+
+
 def _sample_by_distance(
     blocks: PackedPoints, centers: Sequence[np.ndarray], factors: Sequence[float], seeds: Sequence[int]
 ) -> list[np.ndarray]:
@@ -309,6 +461,7 @@ class Fit:
     attempt: int = 0
     seed: int | None = None
     costs: list[float] = field(default_factory=list)
+    measured: list[int] = field(default_factory=list)  # points compared with all centroids, by round
 
 
 def fused_groups(starts: Sequence[np.ndarray], limit: int = 50_000) -> list[list[int]]:
@@ -334,44 +487,74 @@ def lloyd_blocks(
     empty: str = "farthest",
     seeds: Sequence[int] | None = None,
     keep_costs: bool = False,
+    bounds: bool = False,
 ) -> list[Fit]:
     """Lloyd rounds for several starts at once; a converged run leaves the passes.
 
     ``empty``: ``farthest`` moves an empty cluster to the point farthest from all current
     centroids (each replacement sees the earlier ones), ``random`` to a random point,
     ``keep`` leaves it. ``tol=None`` disables the early exit. Cost and sizes belong to the
-    final centroids.
+    final centroids. ``bounds`` lets late rounds measure only points whose label may change, where the
+    bounds of all runs take no more room than the points; costs of single rounds need them all. It pays
+    where K x d is large: it keeps a second copy of the points.
     """
     if empty not in ("farthest", "random", "keep"):
         raise ValueError(f"unknown policy {empty!r}")
     current = [np.array(s, dtype=float) for s in starts]
     iterations, done = [0] * len(current), [False] * len(current)
     trace: list[list[float]] = [[] for _ in current]
+    measured: list[list[int]] = [[] for _ in current]
+    narrow = all(_BOUND_BYTES * len(current) <= 8 * c.shape[1] and 1 < len(c) < 1 << 16 for c in current)
+    held: Bounds | None = None
     for step in range(1, max_iter + 1):
         runs = [i for i, d in enumerate(done) if not d]
         if not runs:
             break
-        for i, (sums, counts, cost) in zip(runs, _round(blocks, [current[i] for i in runs]), strict=True):
+        centers = [current[i] for i in runs]
+        raw: list[np.ndarray] = []
+        if held is not None:
+            found, looked = held.round(runs, centers, raw)
+            for i, n in zip(runs, looked, strict=True):
+                measured[i].append(n)
+            worn = held.looked > BOUNDS_REFRESH * blocks.extent[0] * len(runs)
+        else:
+            rounds = _round(blocks, centers, raw=raw)
+            found, worn = [(sums, counts) for sums, counts, _ in rounds], False
+            for i, (_, counts, cost) in zip(runs, rounds, strict=True):
+                trace[i].append(cost)
+                measured[i].append(int(counts.sum()))
+        if bounds and narrow and not keep_costs and BOUNDS_FROM <= step <= max_iter - 2 and (held is None or worn):
+            if held is not None:
+                held.release()
+            held = Bounds(blocks, runs, centers, raw)
+        updates, holes = {}, {}
+        for i, (sums, counts) in zip(runs, found, strict=True):
             used = counts > 0
-            updated = np.where(used[:, None], sums / np.where(used, counts, 1.0)[:, None], current[i])
-            for j in np.flatnonzero(~used) if empty != "keep" else ():
-                if empty == "farthest":
-                    updated[j] = farthest_in_blocks(blocks, updated)
-                else:
-                    base = seeds[i] if seeds is not None else SEED
-                    updated[j] = _smallest_draws(blocks, [base + 1_000_003 * step + int(j)], 1)[0][0]
-            shift = np.sqrt(((updated - current[i]) ** 2).sum(axis=1)).max()
-            current[i], iterations[i] = updated, step
-            trace[i].append(cost)
+            updates[i] = np.where(used[:, None], sums / np.where(used, counts, 1.0)[:, None], current[i])
+            if empty != "keep" and not used.all():
+                holes[i] = np.flatnonzero(~used)
+        if holes and empty == "farthest":
+            filled = refill_farthest(blocks, [updates[i] for i in holes], list(holes.values()))
+            updates |= dict(zip(holes, filled, strict=True))
+        elif holes:
+            base = {i: seeds[i] if seeds is not None else SEED for i in holes}
+            draws = [(i, j, base[i] + 1_000_003 * step + int(j)) for i in holes for j in holes[i]]
+            for (i, j, _), point in zip(draws, _smallest_draws(blocks, [d for *_, d in draws], 1), strict=True):
+                updates[i][j] = point[0]
+        for i in runs:
+            shift = np.sqrt(((updates[i] - current[i]) ** 2).sum(axis=1)).max()
+            current[i], iterations[i] = updates[i], step
             done[i] = tol is not None and shift < tol
+    if held is not None:
+        held.release()
     final = _round(blocks, current, vectors=False)
     return [
         Fit(
             c, cost, n, stop, counts.astype(np.int64), attempt=i,
-            seed=seeds[i] if seeds is not None else None, costs=t if keep_costs else [],
+            seed=seeds[i] if seeds is not None else None, costs=t if keep_costs else [], measured=m,
         )
-        for i, (c, (_, counts, cost), n, stop, t) in enumerate(
-            zip(current, final, iterations, done, trace, strict=True)
+        for i, (c, (_, counts, cost), n, stop, t, m) in enumerate(
+            zip(current, final, iterations, done, trace, measured, strict=True)
         )
     ]
 

@@ -120,6 +120,15 @@ def kmeans_lloyd3(spark: SparkSession, sf: str) -> DataFrame:
     return _centers(spark, fit.centroids)
 
 
+@query(f"""WITH {VECTORS_SQL}, {_lloyd_sql(7)}
+SELECT cluster, {_UPDATE_COLUMNS}, {st('list_sum(c)', 6)} AS total FROM upd6""")
+def kmeans_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Seven rounds, the last ones by distance bounds."""
+    points = vectors(spark, sf)
+    fit = km.lloyd(points, _start(points), ids=IDS, max_iter=7, tol=None, empty="keep", bounds=True)
+    return _centers(spark, fit.centroids)
+
+
 _REGIME_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _REGIME_SQL = f"""s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _MEASURES)} FROM lineitem),
@@ -141,6 +150,24 @@ def regime_rounds(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns({f"x{i}": settle(f"x{i}", 5) for i in range(4)})
 
 
+_ZSCORED_SQL = f"""s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _MEASURES)} FROM lineitem),
+pts AS (SELECT row_number() OVER (ORDER BY {", ".join(_REGIME_KEYS)}) AS vec_id, 0 AS label,
+  [{", ".join(f"({c} - m_{c}) / s_{c}" for c in _MEASURES)}] AS x FROM lineitem, s),
+start AS (SELECT CAST(vec_id - 1 AS INT) AS cluster, x AS c FROM pts WHERE vec_id <= 14)"""
+
+
+@query(f"""WITH {_ZSCORED_SQL}, {_lloyd_sql(3)}, {assign_sql('fin', 'upd2')}
+SELECT cluster AS regime, count(*) AS n_rows, {st('sum(d2)', 3)} AS cost FROM fin GROUP BY cluster""")
+def regime_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily rows standardised, reduced and clustered. All components are kept, a rotation, which
+    leaves distances as they were: sizes and costs of the regimes are those of the standardised rows."""
+    rows = table(spark, sf, "lineitem").select(*_REGIME_KEYS, *_MEASURES)
+    regimes = climate.daily_regimes(rows, _MEASURES, keys=_REGIME_KEYS, components=len(_MEASURES))
+    start = km.first_centroids(regimes, km.K, order=_REGIME_KEYS)
+    named, _ = climate.regime_clusters(regimes, keys=_REGIME_KEYS, start=start, max_iter=3, tol=None, empty="keep")
+    return named.groupBy("regime").agg(F.count(F.lit(1)).alias("n_rows"), settle(F.sum("d2"), 3).alias("cost"))
+
+
 _FAR = 100.0
 
 
@@ -300,6 +327,23 @@ def k_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return ev.k_sweep(_separated(spark, sf), ids=IDS)
 
 
+@query(f"""WITH p AS (SELECT vec_id, label, list_concat(CAST(embedding AS DOUBLE[]), list_transform(range(10), lambda i: CASE WHEN i = label THEN 10e0 ELSE 0e0 END)) AS x FROM embeddings),
+m AS (SELECT label, list(m ORDER BY dim) AS c FROM (SELECT label, dim, avg(v) AS m FROM (SELECT label, unnest(range(len(x))) AS dim, unnest(x) AS v FROM p) GROUP BY label, dim) GROUP BY label),
+d AS (SELECT label, any_value(c) AS c, avg(list_distance(x, c)) AS s, sum(pow(list_distance(x, c), 2)) AS cost FROM p JOIN m USING (label) GROUP BY label),
+db AS (SELECT avg(r) AS v FROM (SELECT a.label, max((a.s + b.s) / list_distance(a.c, b.c)) AS r FROM d a JOIN d b ON a.label <> b.label GROUP BY a.label))
+SELECT 10 AS optimal_k, 10 AS optimal_k_davies_bouldin, false AS at_boundary, 13 AS n_k, {st("(SELECT sum(cost) FROM d)", 3)} AS inertia,
+  {st("(SELECT v FROM db)", 6)} AS davies_bouldin""")
+def metrics_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The record of a whole sweep K = 3..15 over separated points: both choices of K, and the
+    measures at that K."""
+    record = ev.metrics_row(ev.k_sweep(_separated(spark, sf), ids=IDS))
+    at = (F.array_position("k_range", F.col("optimal_k")) - 1).cast("int")
+    return record.select(
+        "optimal_k", "optimal_k_davies_bouldin", "at_boundary", F.size("k_range").alias("n_k"),
+        settle(F.get("inertias", at), 3).alias("inertia"), settle(F.get("davies_bouldin", at), 6).alias("davies_bouldin"),
+    )
+
+
 @query(f"""WITH m AS (SELECT l_linenumber + 2 AS k, avg(l_discount * l_quantity) AS silhouette FROM lineitem GROUP BY l_linenumber)
 SELECT CAST(k AS INT) AS optimal_k, {st("silhouette", 6)} AS score, k IN (3, 9) AS at_boundary FROM m ORDER BY silhouette DESC, k LIMIT 1""")
 def select_k(spark: SparkSession, sf: str) -> DataFrame:

@@ -371,3 +371,43 @@ def apply_model(spark: SparkSession, sf: str) -> DataFrame:
 SELECT site, time, {len(PARAMS)} AS n_components, {st(_energy_sql(PARAMS), 3)} AS energy FROM daily, s""")
 def daily_regimes(spark: SparkSession, sf: str) -> DataFrame:
     return _energies(climate.daily_regimes(daily(spark, sf), PARAMS, keys=("site", "time")), "site", "time")
+
+
+_THREE = PARAMS[:3]
+#: The characteristic equation of a 3 x 3 correlation matrix, solved in closed form.
+_SHARES_SQL = f"""{DAILY_SQL}, r AS (SELECT {", ".join(f"corr({a}, {b}) AS {n}" for n, a, b in
+  (("r12", _THREE[0], _THREE[1]), ("r13", _THREE[0], _THREE[2]), ("r23", _THREE[1], _THREE[2])))} FROM daily),
+p AS (SELECT sqrt((r12 * r12 + r13 * r13 + r23 * r23) / 3e0) AS p, r12 * r13 * r23 AS det FROM r),
+a AS (SELECT p, acos(greatest(-1e0, least(1e0, det / (p * p * p)))) / 3e0 AS phi FROM p),
+pcs AS (SELECT unnest([1, 2, 3]) AS pc, unnest([1 + 2 * p * cos(phi), 1 + 2 * p * cos(phi + 4 * pi() / 3), 1 + 2 * p * cos(phi + 2 * pi() / 3)]) / 3e0 AS ratio FROM a),
+shares AS (SELECT pc, ratio, sum(ratio) OVER (ORDER BY pc) AS cum FROM pcs)"""
+
+
+def _three_measures(spark: SparkSession, sf: str) -> DataFrame:
+    return rd.variance_table(spark, rd.fit_reduction(daily(spark, sf).select(*_THREE), _THREE))
+
+
+@query(f"WITH {_SHARES_SQL} SELECT CAST(pc AS INT) AS pc, {st('ratio', 6)} AS ratio, {st('cum', 6)} AS cumulative FROM shares")
+def pca_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of variance of a fitted reduction of the daily rows."""
+    return _three_measures(spark, sf).select("pc", *[settle(c, 6).alias(c) for c in ("ratio", "cumulative")])
+
+
+@query(f"""WITH {_SHARES_SQL} SELECT t AS threshold, CAST(coalesce(min(pc) FILTER (cum >= t), 3) AS INT) AS n_components
+FROM shares, (VALUES (0.3e0), (0.6e0), (0.9e0), (1.1e0)) x(t) GROUP BY t""")
+def pca_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    """How many components of a fitted reduction reach a share of variance."""
+    return rd.components_for_variance(_three_measures(spark, sf), [0.3, 0.6, 0.9, 1.1])
+
+
+_TWO = PARAMS[:2]
+
+
+@query(f"""WITH {DAILY_SQL}, s AS ({_spread_sql(_TWO, "daily")}), r AS (SELECT corr({_TWO[0]}, {_TWO[1]}) AS r FROM daily),
+z AS (SELECT site, time, ({_TWO[0]} - m_{_TWO[0]}) / s_{_TWO[0]} AS a, sign(r) * ({_TWO[1]} - m_{_TWO[1]}) / s_{_TWO[1]} AS b FROM daily, s, r)
+SELECT site, time, {st("abs(a + b) / sqrt(2e0)", 5)} AS pc1, {st("abs(a - b) / sqrt(2e0)", 5)} AS pc2 FROM z""")
+def pca_pair(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of two measures: their components are the sum and the difference, whose signs are free."""
+    rows = daily(spark, sf).select("site", "time", *_TWO)
+    scores = rd.apply_reduction(rd.fit_reduction(rows, _TWO, components=2), rows, keep=("site", "time"))
+    return scores.select("site", "time", *[settle(F.abs(F.col("features")[i]), 5).alias(f"pc{i + 1}") for i in range(2)])

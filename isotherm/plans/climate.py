@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +111,16 @@ def daily_regimes(
     return reduce.apply_reduction(reduction, df, keep=keys)
 
 
+def regime_clusters(
+    regimes: DataFrame, *, keys: Sequence[str], k: int = km.K, start: np.ndarray | None = None, **options
+) -> tuple[DataFrame, km.Fit]:
+    """Cluster the reduced daily rows (:func:`daily_regimes`), from given centroids or by restarts: rows
+    with their regime, and the fit. The scores are written once, as every round reads them."""
+    regimes = tables.materialise(regimes, "regimes")
+    fit = km.kmeans(regimes, k, ids=keys, **options) if start is None else km.lloyd(regimes, start, ids=keys, **options)
+    return km.assign_nearest(regimes, fit.centroids, cluster="regime"), fit
+
+
 def climate_clusters(
     products: Sequence[Product], *, seasonal: Sequence[str] | None = None, target: Grid | None = None, **options
 ) -> Clustering:

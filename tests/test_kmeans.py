@@ -123,6 +123,52 @@ def test_every_bit_is_the_same_for_any_partitioning(spark):
     assert np.allclose(sums, [x[own == j].sum(0) for j in range(7)], rtol=1e-9, atol=1e-9 * np.abs(x).max())
 
 
+def test_bounds_change_no_bit_and_spare_distances(spark):
+    """Overlapping points far from the origin, several runs that converge at different rounds."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4000, 8)) + 3 * rng.integers(0, 3, (4000, 8)) + 1e4
+    seeds = km.restart_seeds(3)
+    with km.CachedPoints(frame(spark, x, parts=5), ids=["id"]) as blocks:
+        starts = [s for s in km._smallest_draws(blocks, seeds, 9)]
+        plain = km.lloyd_blocks(blocks, starts, seeds=seeds, bounds=False, max_iter=40)
+        quick = km.lloyd_blocks(blocks, starts, seeds=seeds, bounds=True, max_iter=40)
+    for a, b in zip(plain, quick, strict=True):
+        assert a.centroids.tobytes() == b.centroids.tobytes() and a.cost == b.cost and a.sizes.tolist() == b.sizes.tolist()
+        assert (a.iterations, a.converged) == (b.iterations, b.converged) and len(a.measured) == len(b.measured) == a.iterations
+        assert set(a.measured) == {len(x)}
+        assert sum(b.measured[5:]) < 0.5 * sum(a.measured[5:])
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(6)
+    for offset in (0.0, 1e6):
+        x, c = rng.standard_normal((500, 4)) + offset, rng.standard_normal((7, 4)) + offset
+        best, up, low = kernels.bounds(x, c)
+        d = np.sqrt(((x[:, None] - c) ** 2).sum(2))
+        own = d[np.arange(500), best]
+        d[np.arange(500), best] = np.inf
+        assert (own <= up).all() and (low <= d.min(1)).all() and np.allclose(up, own, rtol=1e-6)
+
+
+@pytest.mark.parametrize("copies", [1, 600])
+def test_all_empty_clusters_move_in_one_pass(spark, monkeypatch, copies):
+    """As if each had its own pass; with many copies of the farthest point the points kept run out and passes follow."""
+    x, _ = blobs(k=4, spread=3.0)
+    x = np.vstack([x, np.repeat([[90.0, 90.0, 90.0]], copies, axis=0)])
+    start = [np.vstack([x[:3], np.full((n, 3), 1e4)]) for n in (1, 4)]
+    passes = []
+    whole = km.farthest_in_blocks
+    with km.CachedPoints(frame(spark, x, parts=6), ids=["id"]) as blocks:
+        want = [c.copy() for c in start]
+        for c in want:
+            for j in range(3, len(c)):
+                c[j] = whole(blocks, c)
+        monkeypatch.setattr(km, "farthest_in_blocks", lambda *a: passes.append(1) or whole(*a))
+        got = km.refill_farthest(blocks, start, [np.arange(3, len(c)) for c in start])
+    assert all(a.tobytes() == b.tobytes() for a, b in zip(got, want, strict=True))
+    assert bool(passes) == (copies > 1)
+
+
 def test_places_add_exactly():
     from isotherm.functions import kernels
 
