@@ -59,6 +59,8 @@ def join_counts(rows: DataFrame, counts: DataFrame, on: list[str], *, n: str = "
     if heavy.isEmpty():
         return rows.join(light, on)
     heavy = F.broadcast(heavy)
+    if light.isEmpty():
+        return rows.join(heavy, on)
     return rows.join(heavy, on).unionByName(rows.join(heavy, on, "left_anti").join(light, on))
 
 

@@ -1,7 +1,7 @@
 """Benchmark passages in documents, all in DataFrame functions.
 
 Every window of a document that has as many words as a benchmark item is compared with the items of
-that size by 5-word shingles. A window reaches the similarity ``percent`` only if enough of its
+that size by 5-word shingles; a document shorter than the item is a window by itself. A window reaches the similarity ``percent`` only if enough of its
 shingles occur in items of its size, so windows are counted out first from the shingles that do (exact: no
 window that could match is lost). The others get a SimHash of 64 bits over their shingles;
 fingerprints are cut into ``RADIUS`` + 1 blocks, of which two fingerprints within the radius share at least one
@@ -106,17 +106,19 @@ def leaks(
     starts = None
     for k in widths:
         shingled = worded.select("_k1", "_k2", F.size("w").alias("words"), F.posexplode(_hashes(F.col("w"), k)).alias("p", "h"))
-        hits = shingled.join(known, "h").filter((F.least("n", F.lit(SHINGLE)) == k) & (F.col("n") <= F.col("words")))
-        span = F.sequence(F.greatest(F.col("p") - F.col("n") + k, F.lit(0)), F.least(F.col("p"), F.col("words") - F.col("n")))
-        near = hits.filter(F.greatest(F.col("p") - F.col("n") + k, F.lit(0)) <= F.least(F.col("p"), F.col("words") - F.col("n")))
-        near = near.select("_k1", "_k2", "n", F.explode(span).alias("s"))
+        hits = shingled.join(known, "h").filter(F.least("n", F.lit(SHINGLE)) == k)
+        first = F.greatest(F.col("p") - F.col("n") + k, F.lit(0))
+        last = F.least(F.col("p"), F.greatest(F.col("words") - F.col("n"), F.lit(0)))
+        near = hits.filter(first <= last)
+        near = near.select("_k1", "_k2", "n", F.least("n", "words").alias("m"), F.explode(F.sequence(first, last)).alias("s"))
         starts = near if starts is None else starts.union(near)
-    size = F.greatest(F.col("n") - (SHINGLE - 1), F.lit(1))
+    short = F.least("n", F.lit(SHINGLE)) - 1
+    size = F.col("m") + F.col("n") - 2 * short
     if starts is None:
-        starts = worded.select("_k1", "_k2", F.lit(0).alias("n"), F.lit(0).alias("s")).limit(0)
-    # both sides have `size` shingles: common >= percent / (100 + percent) * 2 * size. Copies of
+        starts = worded.select("_k1", "_k2", F.lit(0).alias("n"), F.lit(0).alias("m"), F.lit(0).alias("s")).limit(0)
+    # both sides together have `size` shingles: common >= percent / (100 + percent) * size. Copies of
     # a text count its shingles again, which lets more windows through, never fewer
-    enough = starts.groupBy("_k1", "_k2", "n", "s").agg(F.count(F.lit(1)).alias("c")).filter((100 + percent) * F.col("c") >= 2 * percent * size)
+    enough = starts.groupBy("_k1", "_k2", "n", "m", "s").agg(F.count(F.lit(1)).alias("c")).filter((100 + percent) * F.col("c") >= percent * size)
     lists = enough.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("n", "s")).alias("at"))
     lists = materialise(lists, "leak-windows")
 

@@ -8,8 +8,8 @@ strict and the last accepted before the first failure holds (fixed-sequence test
 level ``delta`` / (rules x strata); so with probability 1 - ``delta`` no stratum loses more than
 ``risk`` of its good documents to these rules. A rule without an accepted cutoff rejects none.
 
-Strata are the ``MOST_STRATA`` values of the stratum column with most good labels; all other
-values, null too, form one further stratum. The driver sees counts per stratum, rule and cutoff.
+Strata are the values of the stratum column, however many, null being one of its own. Counts, tests and cutoffs
+are rows of one table per stratum that is joined back; the driver sees the number of strata.
 
 Defined cases: null and empty texts have no words and fail the fixed rule. A null label or
 quality is no label; a document labelled twice counts with its lower quality. Without labels only the
@@ -19,18 +19,18 @@ fixed rules reject.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isotherm.llm.common import fresh, materialise, text_of, words_of
+from isotherm.llm.common import fresh, join_counts, materialise, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 #: Each rule's rate in thousandths, from the columns of ``with_features``.
 RULES = ("symbols", "dup_lines", "repeats", "capitals")
 #: Cutoffs in thousandths, lax to strict.
 CUTOFFS = (900, 800, 700, 600, 500, 400, 350, 300, 250, 200, 170, 140, 120, 100, 80, 60, 50, 40, 30, 20)
-MOST_STRATA = 64
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -107,82 +107,86 @@ def base_failed(features: Column) -> Column:
     return (n < 50) | (100 * features["n_repeat_words"] > 50 * n)
 
 
-def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) for a binomial X, summed in logarithms."""
-    logs = [
-        math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1) + j * math.log(p) + (n - j) * math.log1p(-p)
-        for j in range(k + 1)
-    ]
-    top = max(logs)
-    return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
+def _log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function for x >= 1, by Stirling's series ten steps up."""
+    y = x + 10.0
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    steps = reduce(lambda a, b: a * b, [x + float(i) for i in range(10)])
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(steps)
 
 
-def stratum(value: Column, known: list[str]) -> Column:
-    return F.when(value.isin(known), value).otherwise(F.lit(None)) if known else F.lit(None).cast("string")
+def binomial_tail(k: Column, n: Column, p: float) -> Column:
+    """P(X <= k) for a binomial X with k <= n p: the largest term, and those below it by their ratios.
+
+    Terms fall off like a normal density at least; those 12 deviations below the largest are
+    under 1e-31 of it and left out.
+    """
+    k, n = k.cast("double"), n.cast("double")
+    largest = (
+        _log_gamma(n + 1) - _log_gamma(k + 1) - _log_gamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    )
+    count = F.least(k, F.ceil(12 * F.sqrt(n * (p * (1 - p)))) + 60).cast("int")
+    places = F.filter(F.sequence(F.lit(0), count), lambda i: i < count)
+    one = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def step(so_far: Column, i: Column) -> Column:
+        term = so_far["term"] * (k - i) * (1 - p) / ((n - k + i + 1) * p)
+        return F.struct(term.alias("term"), (so_far["sum"] + term).alias("sum"))
+
+    return F.exp(largest) * F.aggregate(places, one, step, lambda x: x["sum"])
 
 
-Thresholds = dict[str | None, dict[str, int]]
+def stratum(value: Column) -> Column:
+    """A key that is never null: null is a stratum of its own."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
 
 
-def thresholds(
+def cutoffs(
     featured: DataFrame, labels: DataFrame, *, key: str = "doc_id", by: str = "lang", out: str = "features",
     risk: float = 0.04, delta: float = 0.05,
-) -> Thresholds:
-    """Cutoffs by stratum and rule, from the documents whose label says good.
+) -> DataFrame:
+    """``stratum, n`` and a cutoff per rule, null where none is accepted, from the documents whose label
+    says good; ``n`` of them count.
 
     Only the key, the stratum and four rates are shuffled. A good document that fails a fixed
     rule is not counted: these rules can't lose it any more.
     """
     good = labels.groupBy(F.col(key).alias("_key")).agg(F.min("quality").alias("_q")).filter("_q = 1").select("_key")
     narrow = featured.filter(~base_failed(F.col(out))).select(
-        F.col(key).alias("_key"), F.col(by).cast("string").alias("_by"), *[F.col(out)[r].alias(r) for r in RULES]
-    )
-    rows = narrow.join(good, "_key")
-    cells = [F.sum((F.col(r) > c).cast("long")).alias(f"{r}_{c}") for r in RULES for c in CUTOFFS]
-    counts = rows.groupBy("_by").agg(F.count(F.lit(1)).alias("n"), *cells)
-    known = counts.filter("_by IS NOT NULL").orderBy(F.desc("n"), "_by").limit(MOST_STRATA)
-    rest = known.select("_by", F.lit(True).alias("_known"))
-    pooled = (
-        counts.join(F.broadcast(rest), "_by", "left")  # at most MOST_STRATA rows
-        .groupBy(F.when(F.col("_known"), F.col("_by")).alias("_by"))
-        .agg(*[F.sum(c).alias(c) for c in ["n", *(f"{r}_{c}" for r in RULES for c in CUTOFFS)]])
-        .collect()
+        F.col(key).alias("_key"), stratum(F.col(by)).alias("stratum"), *[F.col(out)[r].alias(r) for r in RULES]
     )
-    level = delta / (len(RULES) * max(1, len(pooled)))
-    found: Thresholds = {}
-    for row in pooled:
-        cut = found.setdefault(row["_by"], {})
-        for r in RULES:
-            for c in CUTOFFS:
-                k, n, p = row[f"{r}_{c}"], row["n"], risk / len(RULES)
-                if k > p * n or binomial_tail(k, n, p) > level:
-                    break
-                cut[r] = c
-    return found
-
-
-def rejected(features: Column, by: Column, found: Thresholds) -> Column:
-    """Whether a threshold rejects the document."""
-    known = [s for s in found if s is not None]
-    if not any(found.values()):
-        return F.lit(False)
-
-    def over(cut: dict[str, int]) -> Column:
-        test = F.lit(False)
-        for r, c in cut.items():
-            test = test | (features[r] > c)
-        return test
-
-    value = by.cast("string")
-    out = F.when(F.lit(False), F.lit(False))
-    for s in known:
-        out = out.when(value == s, over(found[s]))
-    return F.coalesce(out.otherwise(over(found.get(None, {}))), F.lit(False))
+    over = [F.array(*[F.sum((F.col(r) > c).cast("long")) for c in CUTOFFS]).alias(r) for r in RULES]
+    counts = materialise(narrow.join(good, "_key").groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *over), "quality-counts")
+    level, p, n = delta / (len(RULES) * max(1, counts.count())), risk / len(RULES), F.col("n")
+
+    def last_accepted(rule: str) -> Column:
+        passed = F.transform(rule, lambda k: F.when(k > p * n, False).otherwise(binomial_tail(k, n, p) <= level))
+        failed = F.array_position(passed, F.lit(False)).cast("int")  # counted from 1; 0 where all passed
+        return F.when(failed == 0, CUTOFFS[-1]).when(failed > 1, F.get(F.array(*map(F.lit, CUTOFFS)), failed - 2))
+
+    return counts.select("stratum", "n", *[last_accepted(r).alias(r) for r in RULES])
+
+
+def judged(featured: DataFrame, cuts: DataFrame, *, by: str = "lang", out: str = "features") -> DataFrame:
+    """``featured`` with ``base_failed`` and ``kept`` in the struct ``out``.
+
+    ``featured`` is a written table. Cutoffs go back to its rows by stratum; strata with more than a thousandth
+    of the rows are broadcast, so a language that holds most rows stays where it is.
+    """
+    key, size, cut = (fresh(featured, f"_{out}_{x}") for x in ("stratum", "rows", "cut"))
+    keyed = featured.withColumn(key, stratum(F.col(by)))
+    packed = cuts.select(F.col("stratum").alias(key), F.struct(*RULES).alias(cut))
+    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias(size)).join(packed, key, "left")
+    rows = join_counts(keyed, materialise(sizes, "quality-cutoffs"), [key], n=size, total=featured.count())
+    f = F.col(out)
+    failed = base_failed(f)
+    rejected = reduce(lambda a, b: a | b, [F.coalesce(f[r] > F.col(cut)[r], F.lit(False)) for r in RULES])
+    return rows.withColumn(out, f.withField("base_failed", failed).withField("kept", ~failed & ~rejected)).select(*featured.columns)
 
 
 def verdicts(
     docs: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", by: str = "lang",
-    risk: float = 0.04, delta: float = 0.05, out: str = "features", cutoffs: Thresholds | None = None,
+    risk: float = 0.04, delta: float = 0.05, out: str = "features", cuts: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` with the struct ``out``: counts, rates, ``base_failed`` and ``kept``.
 
@@ -190,11 +194,6 @@ def verdicts(
     later filter repeats the counting.
     """
     featured = materialise(with_features(docs, text=text, out=out), "quality")
-    if cutoffs is None:
-        cutoffs = thresholds(featured, labels, key=key, by=by, out=out, risk=risk, delta=delta)
-    f = F.col(out)
-    failed = base_failed(f)
-    return featured.withColumn(
-        out,
-        f.withField("base_failed", failed).withField("kept", ~failed & ~rejected(f, F.col(by), cutoffs)),
-    )
+    if cuts is None:
+        cuts = cutoffs(featured, labels, key=key, by=by, out=out, risk=risk, delta=delta)
+    return judged(featured, cuts, by=by, out=out)

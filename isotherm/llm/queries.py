@@ -114,14 +114,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # the counts are taken once and read twice, by the thresholds and by the verdicts
     featured = materialise(qr.with_features(docs).drop("text"), "quality")
-    cutoffs = qr.thresholds(featured, table(spark, sf_dir, "labels"))
-    failed = qr.base_failed(F.col("features"))
-    return featured.select(
-        "doc_id",
-        *[F.col("features")[c].alias(c) for c in qr.COUNTS],
-        failed.alias("base_failed"),
-        (~failed & ~qr.rejected(F.col("features"), F.col("lang"), cutoffs)).alias("kept"),
-    )
+    rows = qr.judged(featured, qr.cutoffs(featured, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", *[F.col("features")[c].alias(c) for c in (*qr.COUNTS, "base_failed", "kept")])
 
 
 @query()
@@ -192,11 +186,11 @@ it AS (SELECT item_id, len(w) AS n, least(len(w), 5) AS k, array_to_string(w[p +
   FROM (SELECT item_id, w, unnest(range(0, len(w) - least(len(w), 5) + 1)) AS p FROM i WHERE len(w) > 0) GROUP BY ALL),
 ds AS (SELECT doc_id, len(w) AS n_words, k, p, array_to_string(w[p + 1:p + k], ' ') AS s
   FROM (SELECT doc_id, w, k, unnest(range(0, greatest(len(w) - k + 1, 0))) AS p FROM d, (SELECT DISTINCT k FROM it))),
-starts AS (SELECT DISTINCT doc_id, item_id, n, k, unnest(range(greatest(p - n + k, 0), least(p, n_words - n) + 1)) AS p0
-  FROM ds JOIN it USING (k, s) WHERE n_words >= n),
-inside AS (SELECT st.doc_id, st.item_id, st.n, st.k, st.p0, ds.s, count(*) AS c FROM starts st
+starts AS (SELECT DISTINCT doc_id, item_id, n, least(n_words, n) AS m, k, unnest(range(greatest(p - n + k, 0), least(p, greatest(n_words - n, 0)) + 1)) AS p0
+  FROM ds JOIN it USING (k, s)),
+inside AS (SELECT st.doc_id, st.item_id, st.n, st.m, st.k, st.p0, ds.s, count(*) AS c FROM starts st
   JOIN ds ON ds.doc_id = st.doc_id AND ds.k = st.k AND ds.p BETWEEN st.p0 AND st.p0 + st.n - st.k GROUP BY ALL),
-common AS (SELECT doc_id, item_id, p0, 2 * (inside.n - inside.k + 1) AS size, sum(least(inside.c, it.c)) AS c FROM inside JOIN it USING (item_id, s) GROUP BY doc_id, item_id, p0, inside.n, inside.k),
+common AS (SELECT doc_id, item_id, p0, inside.m + inside.n - 2 * inside.k + 2 AS size, sum(least(inside.c, it.c)) AS c FROM inside JOIN it USING (item_id, s) GROUP BY doc_id, item_id, p0, inside.m, inside.n, inside.k),
 found AS (SELECT doc_id, item_id, p0, CAST(c AS DOUBLE) / (size - c) AS similarity FROM common WHERE 100 * c >= 80 * (size - c))
 SELECT doc_id, item_id, similarity, p0 AS start_word FROM found QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, p0) = 1
 """

@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from isotherm.llm import decontaminate, minhash, quality_rules, sharding, suffix_dedup, toxicity, warc
 
@@ -80,8 +81,7 @@ def test_pruning_keeps_what_may_match():
 # ---- benchmark passages -------------------------------------------------------------------
 
 
-def _shingled(w):
-    k = min(5, len(w))
+def _shingled(w, k):
     return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
 
 
@@ -92,8 +92,9 @@ def _leaks(docs, items):
         for i, x in items:
             x = WORD.findall((x or "").lower())
             best = None
-            for s in range(len(w) - len(x) + 1) if x else ():
-                a, b = _shingled(w[s : s + len(x)]), _shingled(x)
+            k = min(5, len(x))
+            for s in range(max(len(w) - len(x), 0) + 1) if x else ():  # a shorter text is one window
+                a, b = _shingled(w[s : s + len(x)], k), _shingled(x, k)
                 both, all_ = sum((a & b).values()), sum((a | b).values())
                 if 100 * both >= 80 * all_ and (best is None or both / all_ > best[0]):
                     best = (both / all_, s)
@@ -113,6 +114,9 @@ def test_leaks_equal_brute_force(spark, docs_of):
             if x:
                 x[rnd.randrange(len(x))] = "zz"
         docs.append((i, " ".join(_words(rnd, rnd.randrange(50)) + x + _words(rnd, rnd.randrange(40)))))
+    for i, x in items[:30]:  # shortened items, shorter than any window
+        w = x.split()
+        docs += [(1000 + i, " ".join(w[: len(w) - len(w) // 20 - 1])), (2000 + i, " ".join(w[len(w) // 12 :]))]
     docs += [(900, None), (901, ""), (902, "a a a a a a a a b"), (903, docs[0][1]), (904, docs[0][1])]
     table = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
     got = decontaminate.leaks(docs_of(docs), table).collect()
@@ -192,22 +196,58 @@ def test_cutoffs_are_the_last_accepted_ones(spark, docs_of):
     rows = [(i, " ".join(f"x{rnd.randrange(10**6)}" + "#" * (8 if i % 50 == 0 else 0) for _ in range(60))) for i in range(900)]
     labels = spark.createDataFrame([(i, 1, 0) for i in range(900)] + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     featured = quality_rules.with_features(docs_of(rows))
-    found = quality_rules.thresholds(featured, labels, risk=0.2, delta=0.05)
+    found = {r.stratum: r for r in quality_rules.cutoffs(featured, labels, risk=0.2, delta=0.05).collect()}
     share = [r.features["symbols"] for r in featured.collect()]
     level, accepted = 0.05 / 4, None
     for c in quality_rules.CUTOFFS:
         k = sum(s > c for s in share)
-        if k > 0.05 * 900 or quality_rules.binomial_tail(k, 900, 0.05) > level:
+        if k > 0.05 * 900 or _tail(k, 900, 0.05) > level:
             break
         accepted = c
-    assert found["en"]["symbols"] == accepted
-    assert quality_rules.thresholds(featured, labels.limit(0)) == {}
+    assert found["=en"]["symbols"] == accepted and found["=en"]["n"] == 900
+    assert quality_rules.cutoffs(featured, labels.limit(0)).collect() == []
 
 
-def test_binomial_tail():
-    assert quality_rules.binomial_tail(0, 10, 0.1) == pytest.approx(0.9**10)
-    assert quality_rules.binomial_tail(10, 10, 0.1) == pytest.approx(1.0)
-    assert quality_rules.binomial_tail(1, 100_000, 0.02) < 1e-300 or quality_rules.binomial_tail(1, 100_000, 0.02) == 0.0
+def _tail(k, n, p):
+    return math.fsum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+
+
+def test_every_stratum_has_its_own_cutoffs(spark):
+    """70 languages of 120 good documents each, one without a label, and documents without a language."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(72 * 125):
+        lang = i // 125
+        loud = i % 125 >= 123 if lang % 2 else False  # the last documents of a language have no label
+        words = " ".join(f"x{rnd.randrange(10**6)}" + "#" * (9 if loud or (lang == 4 and i % 3 == 0) else 0) for _ in range(55))
+        rows.append((i, words, None if lang == 71 else f"l{lang}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(72 * 125) if i % 125 < 120 and i // 125 != 70], "doc_id long, quality int")
+    got = quality_rules.verdicts(docs, labels, risk=0.4, delta=0.5).collect()
+    level = 0.5 / (4 * 71)
+    share = {r.doc_id: [r.features[x] for x in quality_rules.RULES] for r in got}
+    cut = {}
+    for lang in range(72):
+        held = [share[lang * 125 + j] for j in range(120)] if lang != 70 else []
+        for rule in range(4):
+            for c in quality_rules.CUTOFFS if held else ():
+                k = sum(h[rule] > c for h in held)
+                if k > 0.1 * 120 or _tail(k, 120, 0.1) > level:
+                    break
+                cut[lang, rule] = c
+    want = {i: not any(share[i][rule] > cut.get((i // 125, rule), 10**9) for rule in range(4)) for i, _, _ in rows}
+    assert {r.doc_id: r.features["kept"] for r in got} == want
+    assert len({lang for lang, _ in cut}) == 71
+    assert {i // 125 for i, kept in want.items() if not kept} >= set(range(1, 70, 2))  # each rejects by its own
+
+
+def test_binomial_tail(spark):
+    cases = [(0, 10, 0.1), (1, 10, 0.1), (3, 900, 0.05), (45, 900, 0.05), (20, 3000, 0.01), (0, 1, 0.5), (90, 1000, 0.1)]
+    for k, n, p in cases:
+        row = spark.range(1).select(quality_rules.binomial_tail(F.lit(k), F.lit(n), p).alias("t")).head()
+        assert row.t == pytest.approx(_tail(k, n, p), rel=1e-9)
+    far = spark.range(1).select(quality_rules.binomial_tail(F.lit(9_900_000), F.lit(1_000_000_000), 0.01).alias("t")).head()
+    assert 0 < far.t < 1e-200
 
 
 # ---- shards -------------------------------------------------------------------------------
