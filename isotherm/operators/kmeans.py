@@ -2,9 +2,11 @@
 
 Points are packed once into blocks (one row per Arrow batch) and cached; every round is
 one job in which a task reduces its blocks to one row per restart and non-empty cluster, an array of
-sums; a merge tree on the executors adds them up, and K x d numbers return to the driver. Sums are
+sums; the executors add these up where they are many, and K x d numbers return to the driver. Sums are
 kept in places that add exactly (:func:`isotherm.functions.kernels.quanta`), so a round gives the
-same bits however the points are partitioned. All restarts share a pass.
+same bits however the points are partitioned. For the same reason a round after the first
+needs only what the points that changed clusters take along. All restarts share a pass, in which a centroid that
+several of them have is measured once.
 Only centroids cross rounds, so the lineage of the points never grows and a lost executor
 costs no more than the recomputation of its blocks.
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from isotherm.functions import kernels
 from isotherm.functions.exprs import hash_bits, hash_uniform, squared_distance
-from isotherm.operators.partials import FAN, merge_arrays, task_part
+from isotherm.operators.partials import FAN, add_rows, merge_arrays, task_part
 
 # Defaults of the two published variants.
 K, SEED, SEED_STEP, ROUND_STEP = 14, 42, 7919, 977
@@ -41,6 +43,10 @@ RANDOM_TOL, RANDOM_N_INIT = 0.01, 3
 BOUNDS_FROM, BOUNDS_REFRESH = 3, 1.0
 _BOUND_BYTES = 10  # a point and run
 
+#: Bytes of partial sums that a round may hand to the driver as the tasks emit them; more are added up on the executors.
+DIRECT_BYTES = 1 << 18
+_SHARD_BYTES, _SHARDS = 1 << 22, 64
+
 _PARTIAL = "run int, cluster int, part long, sums array<double>"
 
 Blocks = Iterator[tuple[np.ndarray, np.ndarray]]
@@ -138,17 +144,19 @@ def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors
     centers = [np.asarray(c, dtype=float) for c in centers]
     steps, cost_steps = _steps(blocks, centers, vectors)
 
+    rows, sets = kernels.shared_rows(centers)
+
     def fold(points: Blocks) -> Iterator[dict]:
         totals = [np.zeros((len(c), c.shape[1] * len(steps) + len(cost_steps) + 1)) for c in centers]
         for _, x in points:
             split = kernels.places(x, steps)
             split = np.hstack(split) if split else x[:, :0]
-            for c, total in zip(centers, totals, strict=True):
-                best, d2 = kernels.nearest(x, c)
-                priced = np.column_stack([split, *kernels.places(d2, cost_steps)])
-                sums, counts = kernels.group_sums(priced, best, len(c))
-                total[:, :-1] += sums
-                total[:, -1] += counts
+            for c, best, total in zip(centers, kernels.nearest_many(x, rows, sets), totals, strict=True):
+                if steps:
+                    total[:, : split.shape[1]] += kernels.moved_sums(split, best, None, len(c))
+                for i, price in enumerate(kernels.places(kernels.squared_gaps(x, c, best), cost_steps)):
+                    total[:, split.shape[1] + i] += np.bincount(best, weights=price, minlength=len(c))
+                total[:, -1] += np.bincount(best, minlength=len(c))
         for run, total in enumerate(totals):
             used = np.flatnonzero(total[:, -1])
             if len(used):
@@ -162,17 +170,69 @@ def partial_sums(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors
     return scan(blocks, _PARTIAL, fold)
 
 
-def _added_up(blocks: PackedPoints, partials: DataFrame, shapes: Sequence[tuple[int, int]]) -> list[np.ndarray]:
-    """Sums of the partials of every run, clusters x width. At most one row per task, run and cluster is
-    shuffled; the root of the merge tree is here, so at most ``FAN`` rows per run and cluster return."""
-    rows = merge_arrays(partials, ["run", "cluster"], ["sums"], parts=blocks.tasks, keep=FAN).toArrow()
-    run, cluster = (rows.column(n).to_numpy() for n in ("run", "cluster"))
-    sums = rows.column("sums").combine_chunks()
-    out = [np.zeros(shape) for shape in shapes]
-    for number, total in enumerate(out):
-        for at in np.flatnonzero(run == number):
-            total[cluster[at]] += sums[at].values.to_numpy()
-    return out
+def _added_up(blocks: PackedPoints, partials: DataFrame, shapes: Sequence[tuple[int, int]], emitted: int | None = None) -> list[np.ndarray]:
+    """Sums of the partials of every run, clusters x width. Tasks emit at most one row per run and cluster, about
+    ``emitted`` where that is known. Beyond ``DIRECT_BYTES`` of all tasks the executors add them up, so one row per run and cluster returns."""
+    offsets = np.concatenate([[0], np.cumsum([n for n, _ in shapes])]).astype(np.int64)
+    width = max((w for _, w in shapes), default=0)
+    size = 8 * width * blocks.tasks * (int(offsets[-1]) if emitted is None else emitted)
+    if blocks.tasks > 1 and size > DIRECT_BYTES:
+        partials = add_rows(partials, ["run", "cluster"], "sums", shards=min(_SHARDS, 1 + size // _SHARD_BYTES))
+    rows = partials.toArrow()
+    total = np.zeros((int(offsets[-1]), width))
+    if rows.num_rows:
+        at = offsets[rows.column("run").to_numpy()] + rows.column("cluster").to_numpy()
+        np.add.at(total, at, rows.column("sums").combine_chunks().flatten().to_numpy().reshape(len(at), width))
+    return np.split(total, offsets[1:-1])
+
+
+class Moves:
+    """Vector sums of every run in their places, with the counts behind them, and the centroids they belong to.
+
+    A later round measures the points against these and the new centroids, and a task emits only
+    what points that changed clusters add and take away, so late rounds emit little. The sums are those of a full round, to the bit.
+    """
+
+    def __init__(self, blocks: PackedPoints) -> None:
+        self.blocks, self.before, self.totals = blocks, {}, {}
+        self.emitted: int | None = None
+
+    def round(self, runs: Sequence[int], centers: Sequence[np.ndarray], raw: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Vector sums and counts of every run; ``raw`` takes the vector sums in their places, with the counts behind them."""
+        later = [i for i, r in enumerate(runs) if r in self.before]
+        steps, _ = _steps(self.blocks, centers, True)
+        rows, sets = kernels.shared_rows([*centers, *[self.before[runs[i]] for i in later]])
+        first, old = [i for i in range(len(runs)) if runs[i] not in self.before], sets[len(centers) :]
+        shapes = [(len(c), rows.shape[1] * len(steps) + 1) for c in centers]
+
+        def fold(points: Blocks) -> Iterator[dict]:
+            totals = [np.zeros(shape) for shape in shapes]
+            for _, x in points:
+                split = np.hstack([*kernels.places(x, steps), np.ones((len(x), 1))])
+                if first:
+                    for i, now in zip(first, kernels.nearest_many(x, rows, [sets[i] for i in first]), strict=True):
+                        totals[i] += kernels.moved_sums(split, now, None, len(totals[i]))
+                for j, at, was, now in kernels.relabelled(x, rows, old, [sets[i] for i in later]) if later else ():
+                    totals[later[j]] += kernels.moved_sums(split[at], now, was, len(totals[later[j]]))
+            for run, total in enumerate(totals):
+                used = np.flatnonzero(total.any(axis=1))
+                if len(used):
+                    yield {
+                        "run": np.full(len(used), run, dtype=np.int32),
+                        "cluster": used.astype(np.int32),
+                        "part": np.full(len(used), task_part(), dtype=np.int64),
+                        "sums": list(total[used]),
+                    }
+
+        found = _added_up(self.blocks, scan(self.blocks, _PARTIAL, fold), shapes, None if first else self.emitted)
+        self.emitted = 2 * sum(int(total.any(axis=1).sum()) for total in found)
+        out = []
+        for run, c, total in zip(runs, centers, found, strict=True):
+            whole = total + self.totals[run] if run in self.totals else total
+            self.before[run], self.totals[run] = np.array(c), whole
+            raw.append(whole)
+            out.append((_whole(whole[:, :-1], len(steps)), whole[:, -1]))
+        return out
 
 
 def _whole(total: np.ndarray, steps: int) -> np.ndarray:
@@ -180,9 +240,8 @@ def _whole(total: np.ndarray, steps: int) -> np.ndarray:
     return sum(reversed(np.split(total, steps, axis=1))) if steps else total[:, :0]
 
 
-def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None, raw: list | None = None):
-    """Reduce side: sums, counts and cost per run. ``seen`` observes the rows the tasks emit, ``raw`` takes the
-    vector sums in their places, with the counts behind them."""
+def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool = True, seen: Observation | None = None):
+    """Reduce side: sums, counts and cost per run. ``seen`` observes the rows the tasks emit."""
     centers = [np.asarray(c, dtype=float) for c in centers]
     partials = partial_sums(blocks, centers, vectors=vectors)
     if seen is not None:
@@ -194,8 +253,6 @@ def _round(blocks: PackedPoints, centers: Sequence[np.ndarray], *, vectors: bool
     for total, width in zip(_added_up(blocks, partials, shapes), widths, strict=True):
         cost = sum(reversed([total[:, width + i].sum() for i in range(len(cost_steps))]))
         out.append((_whole(total[:, :width], len(steps)), total[:, -1], float(cost)))
-        if raw is not None:
-            raw.append(np.column_stack([total[:, :width], total[:, -1]]))
     return out
 
 
@@ -227,7 +284,8 @@ class Bounds:
         self.df.unpersist()
 
     def round(self, runs: Sequence[int], centers: Sequence[np.ndarray], raw: list) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[int]]:
-        """Vector sums and counts of every run, and how many points were measured; ``raw`` as in a full round."""
+        """Vector sums and counts of every run, and how many points were measured; ``raw`` takes the vector sums in
+        their places, with the counts behind them."""
         places, old = [self.place[r] for r in runs], [self.centers[self.place[r]] for r in runs]
         steps, _ = _steps(self.blocks, centers, True)
         width = [c.shape[1] * len(steps) + 1 for c in centers]
@@ -388,11 +446,14 @@ def _sample_by_distance(
     Rows that share a key share a draw; a task returns such a candidate once.
     """
 
+    rows, sets = kernels.shared_rows(centers)
+
     def fold(points: Blocks) -> Iterator[dict]:
         seen: list[set[int]] = [set() for _ in centers]
         for h, x in points:
-            for run, (c, factor, seed) in enumerate(zip(centers, factors, seeds, strict=True)):
-                _, d2 = kernels.nearest(x, c)
+            near = kernels.nearest_many(x, rows, sets)
+            for run, (c, best, factor, seed) in enumerate(zip(centers, near, factors, seeds, strict=True)):
+                d2 = kernels.squared_gaps(x, c, best)
                 hit = np.flatnonzero((d2 > 0.0) & (kernels.uniform(h, seed) < factor * d2))
                 hit = hit[np.unique(h[hit], return_index=True)[1]]
                 hit = hit[[bits not in seen[run] for bits in h[hit].tolist()]] if len(hit) else hit
@@ -401,9 +462,10 @@ def _sample_by_distance(
                     yield {"run": np.full(len(hit), run, np.int32), "h": h[hit], "x": list(x[hit])}
 
     found = scan(blocks, "run int, h long, x array<double>", fold).collect()
-    rows = sorted({(r["run"], r["h"]): r for r in found}.values(), key=lambda r: (r["run"], r["h"]))
-    d = centers[0].shape[1]
-    return [np.array([r["x"] for r in rows if r["run"] == i]).reshape(-1, d) for i in range(len(centers))]
+    kept: list[list] = [[] for _ in centers]
+    for (run, _), r in sorted({(r["run"], r["h"]): r for r in found}.items()):
+        kept[run].append(r["x"])
+    return [np.array(x).reshape(-1, centers[0].shape[1]) for x in kept]
 
 
 # --------------------------------------------------------------------------- init and Lloyd
@@ -464,8 +526,8 @@ class Fit:
     measured: list[int] = field(default_factory=list)  # points compared with all centroids, by round
 
 
-def fused_groups(starts: Sequence[np.ndarray], limit: int = 50_000) -> list[list[int]]:
-    """Runs that share a pass: consecutive ones while a task emits at most ``limit`` partials."""
+def fused_groups(starts: Sequence[np.ndarray], limit: int = 500_000) -> list[list[int]]:
+    """Runs that share a pass: consecutive ones while a task emits at most ``limit`` sums of coordinates."""
     groups: list[list[int]] = []
     size = limit + 1
     for i, s in enumerate(starts):
@@ -506,6 +568,7 @@ def lloyd_blocks(
     measured: list[list[int]] = [[] for _ in current]
     narrow = all(_BOUND_BYTES * len(current) <= 8 * c.shape[1] and 1 < len(c) < 1 << 16 for c in current)
     held: Bounds | None = None
+    moves = Moves(blocks)
     for step in range(1, max_iter + 1):
         runs = [i for i, d in enumerate(done) if not d]
         if not runs:
@@ -517,8 +580,12 @@ def lloyd_blocks(
             for i, n in zip(runs, looked, strict=True):
                 measured[i].append(n)
             worn = held.looked > BOUNDS_REFRESH * blocks.extent[0] * len(runs)
+        elif not keep_costs:
+            found, worn = moves.round(runs, centers, raw), False
+            for i, (_, counts) in zip(runs, found, strict=True):
+                measured[i].append(int(counts.sum()))
         else:
-            rounds = _round(blocks, centers, raw=raw)
+            rounds = _round(blocks, centers)
             found, worn = [(sums, counts) for sums, counts, _ in rounds], False
             for i, (_, counts, cost) in zip(runs, rounds, strict=True):
                 trace[i].append(cost)

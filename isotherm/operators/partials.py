@@ -58,6 +58,37 @@ def merge_arrays(
     return rows.select(*columns)
 
 
+def add_rows(partials: DataFrame, keys: Sequence[str], array: str, *, shards: int) -> DataFrame:
+    """``partials`` with one row per key (whole numbers) left: the sum of its arrays, which must add exactly.
+
+    As their order does not matter, a task adds rows as they come and holds the sums of its keys alone, however
+    many tasks handed them over. Arrays are of one length.
+    """
+    names = [f.name for f in partials.schema]
+    rest = [n for n in names if n not in (*keys, array)]
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: dict[tuple, int] = {}
+        totals: np.ndarray | None = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = batch.column(names.index(array)).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            found = zip(*(batch.column(names.index(k)).to_pylist() for k in keys), strict=True)
+            place = np.array([at.setdefault(k, len(at)) for k in found])
+            if totals is None:
+                totals = np.zeros((0, x.shape[1]))
+            if len(at) > len(totals):
+                totals = np.vstack([totals, np.zeros((max(len(at), 2 * len(totals)) - len(totals), x.shape[1]))])
+            np.add.at(totals, place, x)
+        if totals is not None:
+            columns = dict(zip(keys, (np.array(c) for c in zip(*at, strict=True)), strict=True))
+            columns |= {n: np.zeros(len(at), np.int64) for n in rest} | {array: list(totals[: len(at)])}
+            yield pa.RecordBatch.from_arrays([pa.array(columns[n]).cast(batch.schema.field(n).type) for n in names], names=names)
+
+    return partials.repartition(shards, *keys).mapInArrow(add, partials.schema)
+
+
 State = list[np.ndarray]
 
 

@@ -399,3 +399,50 @@ def test_sweep_queries_run_the_whole_range(spark, monkeypatch):
     cc.k_sweep(spark, "")
     cc.kmeans_final(spark, "")
     assert calls == [{"ids": cc.IDS}] * 3
+
+
+def test_late_rounds_hand_over_only_what_moved(spark, monkeypatch):
+    """Sums of later rounds are those of full rounds to the bit, added up on the executors, one row per cluster."""
+    x, _ = blobs(k=6, per=150, d=5, seed=3, spread=3.0)
+    x[::7] = np.round(x[::7])  # ties
+    returned = []
+    added = km.add_rows
+    monkeypatch.setattr(km, "DIRECT_BYTES", 0)
+    monkeypatch.setattr(km, "add_rows", lambda *a, **b: returned.append(added(*a, **b)) or returned[-1])
+    with km.CachedPoints(frame(spark, x, parts=7), ids=["id"]) as blocks:
+        moves, current = km.Moves(blocks), [x[:4], x[10:90], np.vstack([x[:3], x[:3]])]
+        for _ in range(4):
+            raw: list = []
+            found = moves.round(range(3), current, raw)
+            emitted = returned[-1].count()
+            full = km._round(blocks, current)
+            for (sums, counts), (sums2, counts2, _) in zip(found, full, strict=True):
+                assert np.array_equal(sums, sums2) and np.array_equal(counts, counts2)
+            assert emitted <= sum(len(c) for c in current)  # seven tasks, but one row per run and cluster
+            current = [np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], c) for (s, n), c in zip(found, current, strict=True)]
+        still = moves.round([0, 1, 2], [moves.before[i] for i in range(3)], [])
+        assert returned[-1].count() == 0 and np.array_equal(still[0][1], found[0][1])
+
+
+def test_a_sweep_shares_its_passes():
+    """All 260 runs of a sweep over 74 dimensions in one group."""
+    assert len(km.fused_groups([np.zeros((k, 74)) for k in range(3, 16) for _ in range(20)])) == 1
+
+
+def test_nearest_in_many_sets():
+    rng = np.random.default_rng(1)
+    for d, off in ((3, 0.0), (20, 1e4), (2, 1e7)):
+        x = rng.normal(size=(3000, d)) + off
+        x[:200] = np.round(x[:200])
+        sets = [np.vstack([x[rng.integers(0, 300, k)], x[:2]]) for k in (1, 5, 15, 90)]
+        sets[2][4], sets[3][7] = sets[2][1], sets[3][3]
+        moved = [np.where(rng.random((len(c), 1)) < 0.3, c + 0.1, c) for c in sets]
+        rows, numbers = kernels.shared_rows(sets + moved)
+        expected = [kernels.nearest(x, c)[0] for c in sets + moved]
+        for got, best in zip(kernels.nearest_many(x, rows, numbers), expected, strict=True):
+            assert np.array_equal(got, best)
+        labels = [b.copy() for b in expected[:4]]
+        for i, at, was, now in kernels.relabelled(x, rows, numbers[:4], numbers[4:]):
+            assert np.array_equal(labels[i][at], was) and (was != now).all()
+            labels[i][at] = now
+        assert all(np.array_equal(a, b) for a, b in zip(labels, expected[4:], strict=True))
