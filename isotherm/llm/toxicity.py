@@ -2,12 +2,14 @@
 
 Terms are lower-cased words and the 5- and 6-letter pieces inside words. All terms of the
 labelled examples make the vocabulary, which the bounded sample alone bounds; their document
-frequencies are counted over all documents. Examples are ordered so that like ones are
-neighbours and cut into blocks of ``BLOCK``; the index holds the postings of every term and, for
-terms in more than one of ``COMMON`` examples, the largest weight in each block. A query reads its rarer
-terms first; blocks whose upper bound stays below the k-th best of these sums are left out where few
-others remain, so the neighbours are exact, ties going to the lower example. Votes weigh 1 / (distance + ``SOFT``) times the example's weight. A monotone fit (pool adjacent violators) on examples scored
-against all others turns votes into probabilities; a text without any neighbour gets the rate of the
+frequencies are counted over all documents. Terms are told apart by 64-bit hashes, taken of whole arrays of
+letters; equal words of a batch are looked up once. Examples are put into blocks of like ones; the index holds the postings of
+every term and, for terms in more than a few examples, the largest weight in each block. A query reads its rarer
+terms first; blocks whose upper bound stays below the k-th best then known are left out. Texts are scored many
+together, so where a term is in many examples of a block, its weights are rows of a matrix that meets all of them at once. These
+sums choose the candidates, with room for rounding; cosines of candidates are summed again in double precision, so the
+neighbours are exact, ties going to the lower example. Votes weigh 1 / (distance + ``SOFT``) times the example's weight. A monotone fit (pool
+adjacent violators) on examples scored against all others, on the executors, turns votes into probabilities; a text without any neighbour gets the rate of the
 examples without one, smoothed by one example of the overall rate.
 
 The labelled sample is bounded: at most ``toxic`` + ``clean`` examples, those with the smallest hash
@@ -23,9 +25,11 @@ toxic if any label says so. Without a toxic example every score is 0.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from itertools import chain
+from dataclasses import dataclass, field
+from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -35,10 +39,18 @@ from pyspark.sql import functions as F
 
 from isotherm.llm.common import drawn
 
-BLOCK, COMMON, NEAREST, SOFT = 64, 16, 15, 0.02
+COMMON, NEAREST, SOFT = 16, 15, 0.02
 PIECES = (5, 6)
-REMEMBERED = 250_000
+#: Blocks of like examples at most, and so many examples in one on average at least.
+BLOCKS, BLOCK = 4, 64
+#: Shares of a block's examples from which a term's weights there are kept as full rows, by tier.
+TIERS = (0.05, 0.1, 0.2, 0.4)
+#: Reading one posting costs about as much as so many products of a full row.
+POSTING = 400
+#: Code points and queries that are handled at once.
+PORTION, TOGETHER = 1 << 18, 1024
 _WORD = re.compile(r"[^\W\d_]+")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def terms_of(chunk: str) -> set[str]:
@@ -51,39 +63,145 @@ def terms_of(chunk: str) -> set[str]:
     return out
 
 
-class Vocabulary(dict):
-    """Numbers of the terms in a chunk, remembered for a bounded number of chunks."""
+def mixed(h: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64 bits."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
-    def __init__(self, terms: list[str]) -> None:
-        super().__init__()
-        self.number = {t: i for i, t in enumerate(terms)}
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        known = self.number
-        found = tuple(sorted(known[t] for t in terms_of(chunk) if t in known))
-        if len(chunk) <= 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[chunk] = found
-        return found
+@cache
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """For every code point 1 for a letter of words, 2 for white space, else 0; and a random number."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    kind = np.zeros(len(every), np.uint8)
+    for value, found in ((1, _WORD), (2, re.compile(r"\s+"))):
+        for m in found.finditer(every):
+            kind[m.start() : m.end()] = value
+    return kind, mixed(np.arange(1, len(every) + 1, dtype=np.uint64) * _BASE)
 
-    def numbers(self, chunks) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, chunks)), np.int32)
 
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and in how many chunks of the text each occurs."""
-        terms, tf = np.unique(self.numbers(text.lower().split()), return_counts=True)
-        return terms, tf.astype(np.int32)
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """Neighbouring texts of about ``PORTION`` code points together."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) > PORTION:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t) + 1
+    if part:
+        yield part
 
 
-_kept: list[Vocabulary] = []
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def vocabulary_of(terms: list[str]) -> Vocabulary:
-    """The vocabulary of these terms; a worker keeps the last one with what it remembers."""
-    if not _kept or len(_kept[0].number) != len(terms) or any(a != b for a, b in zip(_kept[0].number, terms, strict=True)):
-        _kept[:] = [Vocabulary(terms)]
-    return _kept[0]
+@dataclass
+class Occurrences:
+    """Words of some texts, chunk by chunk, and the terms of the different ones by their hashes;
+    ``terms_of`` defines them."""
+
+    text: str  # the lower-cased texts, a line feed between them
+    doc: np.ndarray  # of each word in the texts, as are chunk and spelt, the number of the different word
+    chunk: np.ndarray
+    spelt: np.ndarray
+    word: np.ndarray  # of each term of a different word, as are hash, at and size
+    hash: np.ndarray
+    at: np.ndarray
+    size: np.ndarray  # letters; of a whole word 0
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Occurrences:
+        kinds, numbers = _letters()
+        texts = [t.lower() for t in texts]
+        text = "\n".join(texts)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind, number = kinds[points], numbers[points]
+        letter = kind == 1
+        step = np.diff(letter.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+        begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        size = end - begin
+        chunk = np.cumsum(kind == 2, dtype=np.int32)[begin]
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        doc = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begin, ends), prepend=0))
+        power = np.cumprod(np.full(int(size.max(initial=1)), _BASE))
+        first = np.cumsum(size) - size
+        whole = np.add.reduceat(number[letter] * power[_within(size)], first) if len(begin) else np.zeros(0, np.uint64)
+        whole, one, spelt = np.unique(whole, return_index=True, return_inverse=True)
+        begin, size, words = begin[one], size[one], np.arange(len(one))
+        word, hashes, at, sizes = [words], [mixed(whole)], [begin], [np.zeros(len(begin), np.int64)]
+        rolled = number
+        for n in range(2, max(PIECES) + 1):
+            rolled = rolled[:-1] * _BASE + number[n - 1 :]
+            if n in PIECES:
+                many = np.maximum(size - n + 1, 0)
+                own = np.repeat(words, many)
+                place = begin[own] + _within(many)
+                word.append(own)
+                hashes.append(mixed(rolled[place] ^ np.uint64(n)))
+                at.append(place)
+                sizes.append(np.full(len(own), n))
+        return cls(text, doc, chunk, spelt, *(np.concatenate(x) for x in (word, hashes, at, sizes)))
+
+    def term(self, i: int) -> str:
+        a, n = int(self.at[i]), int(self.size[i])
+        return "~" + self.text[a : a + n] if n else _WORD.match(self.text, a).group()
+
+
+class Vocabulary:
+    """Numbers of terms by their 64-bit hashes, which are given in the order of the numbers."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        order = np.argsort(hashes, kind="stable")
+        self.hash, self.number = hashes[order], order.astype(np.int32)
+        bits = max(1, len(hashes).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.slot = np.searchsorted(self.hash >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+    def __len__(self) -> int:
+        return len(self.hash)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for one that no term has."""
+        slot = (hashes >> self.shift).astype(np.int64)
+        at, end = self.slot[slot], self.slot[slot + 1]
+        out = np.full(len(hashes), -1, np.int32)
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        while len(left):
+            hit = self.hash[at] == hashes[left]
+            out[left[hit]] = self.number[at[hit]]
+            more = ~hit
+            at = at + 1
+            more &= at < end
+            left, at, end = left[more], at[more], end[more]
+        return out
+
+    def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each text's terms begin (and the last ones end), term numbers in rising order, and
+        in how many chunks of the text each occurs."""
+        begin, terms, tf = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for part in portions(texts):
+            found = Occurrences.of(part)
+            number = self.find(found.hash)
+            known = np.flatnonzero(number >= 0)
+            known = known[np.argsort(found.word[known], kind="stable")]
+            number, many = number[known], np.bincount(found.word[known], minlength=int(found.spelt.max(initial=-1)) + 1)
+            sizes = many[found.spelt]
+            word = np.repeat(np.arange(len(sizes)), sizes)
+            number = number[np.repeat((np.cumsum(many) - many)[found.spelt], sizes) + _within(sizes)].astype(np.int64)
+            by_chunk, by_term = (int(x).bit_length() for x in (found.chunk.max(initial=0), len(self)))
+            key = np.sort((((found.doc[word] << by_term) | number) << by_chunk) | found.chunk[word])
+            key = key[np.diff(key, prepend=-1) != 0] >> by_chunk
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            key, n = key[first], np.diff(first, append=len(key))
+            begin.append(begin[-1][-1] + np.searchsorted(key >> by_term, np.arange(1, len(part) + 1)))
+            terms.append(key & ((1 << by_term) - 1))
+            tf.append(n.astype(np.int32))
+        return np.concatenate(begin), np.concatenate(terms), np.concatenate(tf)
 
 
 def damped(tf: np.ndarray) -> np.ndarray:
@@ -98,10 +216,10 @@ def weighted(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.nda
 
 
 class BlockMaxIndex:
-    """Postings by term, with the largest weight of each common term in each block.
+    """Examples by their terms; the k of highest cosine, exactly, for many queries at once.
 
     The weight of an example's term is ``damp`` of the given value times ``per_term`` times ``per_example``.
-    Values are few, so postings hold their numbers.
+    Values are few, so their numbers are held. What speeds up reading is made where it is used (``Blocks``).
     """
 
     def __init__(
@@ -109,98 +227,300 @@ class BlockMaxIndex:
         per_term: np.ndarray | None = None, per_example: np.ndarray | None = None,
     ) -> None:
         self.n, self.n_terms = len(examples), n_terms
-        self.blocks = -(-max(self.n, 1) // BLOCK)
         self.per_term = np.ones(n_terms) if per_term is None else per_term
         self.per_example = np.ones(self.n) if per_example is None else per_example
         values = np.unique(np.concatenate([np.unique(v) for _, v in examples] or [np.zeros(0)]))
         small = np.uint16 if len(values) <= 1 << 16 else np.uint32
-        self.values = damp(values) if damp else values
-        size = np.zeros(n_terms, dtype=np.int64)
-        for t, _ in examples:
-            size[t] += 1  # a term occurs once in an example
-        self.start = np.concatenate([[0], np.cumsum(size)])
-        self.example = np.empty(int(self.start[-1]), dtype=np.int32)
-        self.code = np.empty(len(self.example), dtype=small)
-        free = self.start[:-1].copy()
+        self.given, self.values = values, damp(values) if damp else values
+        self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples], dtype=np.int64)]).astype(np.int64)
+        self.term, self.code = np.empty(int(self.begin[-1]), np.int32), np.empty(int(self.begin[-1]), small)
+        self.copy = np.zeros(self.n, np.int32)  # how many equal examples stand directly before this one
         for i, (t, v) in enumerate(examples):
-            at = free[t]
-            self.example[at], self.code[at] = i, np.searchsorted(values, v)
-            free[t] += 1
-        common = np.flatnonzero(size * COMMON > self.n)
-        self.row = np.full(n_terms, -1, dtype=np.int32)
-        self.row[common] = np.arange(len(common))
-        self.most = np.zeros((len(common), self.blocks))
-        self.cell = np.zeros((len(common), self.blocks + 1), dtype=np.int64)  # where a block's postings begin
-        for r, t in enumerate(common.tolist()):
-            a, b = self.start[t], self.start[t + 1]
-            at = self.example[a:b]
-            np.maximum.at(self.most[r], at // BLOCK, self.values[self.code[a:b]] * self.per_example[at])
-            self.cell[r] = a + np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
-
-    def _sums(self, weights: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """For every example the sum over the given stretches of postings."""
-        parts = [slice(a, b) for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-        if not parts:
-            return np.zeros(self.n)
-        example, code = (np.concatenate([x[p] for p in parts]) for x in (self.example, self.code))
-        return np.bincount(example, np.repeat(weights, end - start) * self.values[code], minlength=self.n) * self.per_example
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: np.ndarray | None = None, visit: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of highest positive cosine, exactly; ``skip`` marks some as absent. Where
-        at most ``visit`` blocks can hold any of them, no other block is read for the common terms."""
-        if not len(terms) or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        weights = weights * self.per_term[terms]
-        row = self.row[terms]
-        rare, common = row < 0, row >= 0
-        total = self._sums(weights[rare], self.start[terms[rare]], self.start[terms[rare] + 1])
-        if skip is not None:
-            total[skip] = -1.0
-        if common.any():
-            w, row = weights[common], row[common]
-            least = np.partition(total, self.n - k)[self.n - k] if self.n > k else 0.0
-            padded = np.zeros(self.blocks * BLOCK)
-            padded[: self.n] = total
-            bound = (padded.reshape(-1, BLOCK).max(1) + w @ self.most[row]) * (1 + 1e-9)
-            alive = np.flatnonzero(bound >= least)
-            if len(alive) <= visit:
-                total += self._sums(np.repeat(w, len(alive)), self.cell[row][:, alive].ravel(), self.cell[row][:, alive + 1].ravel())
-                total[~np.isin(np.arange(self.n) // BLOCK, alive)] = 0.0
-            else:
-                total += self._sums(w, self.start[terms[common]], self.start[terms[common] + 1])
-            if skip is not None:
-                total[skip] = -1.0
-        least = np.partition(total, self.n - k)[self.n - k] if self.n > k else 0.0
-        ids = np.flatnonzero((total >= least) & (total > 0))
-        ids = ids[np.lexsort((ids, -total[ids]))[:k]]
-        return ids, total[ids]
+            a, b = self.begin[i], self.begin[i + 1]
+            self.term[a:b], self.code[a:b] = t, np.searchsorted(values, v)
+            if i:
+                z = self.begin[i - 1]
+                if np.array_equal(self.term[a:b], self.term[z:a]) and np.array_equal(self.code[a:b], self.code[z:a]):
+                    self.copy[i] = self.copy[i - 1] + 1
+        # a term occurs once in an example
+        self.common = np.bincount(self.term, minlength=n_terms) * COMMON > self.n
+        self._blocks: Blocks | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_blocks": None}
+
+    def example_counts(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and the given values of an example."""
+        at = slice(self.begin[i], self.begin[i + 1])
+        return self.term[at], self.given[self.code[at]]
+
+    def cosines(self, ids: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Of the given examples, every product and sum in double precision, terms in rising order, common ones last."""
+        query, asked = self.blocks.query, self.blocks.asked
+        query[terms], asked[terms] = weights, True
+        out = []
+        for part in np.array_split(ids, -(-len(ids) // 64)):
+            # of an example only the terms that were asked for
+            some = [a + np.flatnonzero(asked.take(self.term[a:b])) for a, b in zip(self.begin[part].tolist(), self.begin[part + 1].tolist(), strict=True)]
+            at = np.concatenate(some)
+            t, code = self.term[at], self.code[at]
+            kind = 2 * np.repeat(np.arange(len(part)), [len(x) for x in some]) + self.common[t]
+            sums = np.bincount(kind, query[t] * self.values[code], minlength=2 * len(part)).reshape(-1, 2)
+            out.append(sums[:, 0] * self.per_example[part] + sums[:, 1] * self.per_example[part])
+        asked[terms] = False
+        return np.concatenate(out)
+
+    @property
+    def blocks(self) -> Blocks:
+        if self._blocks is None:
+            self._blocks = Blocks(self)
+        return self._blocks
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: np.ndarray | None = None, visit: int = 2) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of highest positive cosine, exactly; ``skip`` marks some as absent."""
+        return next(self.nearest_of([(terms, weights)], k, [skip], visit))
+
+    def nearest_of(self, queries: list, k: int, skip: list | None = None, visit: int = 2) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of many (terms, weights). ``visit`` blocks of the highest upper bounds are read
+        first; any other only if its bound reaches the k-th best of what is known then."""
+        skip = skip or [None] * len(queries)
+        queries = [(t, w * self.per_term[t]) for t, w in queries]
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not self.n:
+            yield from (none for _ in queries)
+            return
+        total = self.blocks.sums(queries, k, skip, visit)
+        for (t, w), absent, row in zip(queries, skip, total, strict=True):
+            least = np.partition(row, self.n - k)[self.n - k] if self.n > k else 0.0
+            at = np.flatnonzero((row >= least * (1 - 2 * self.blocks.off(len(t)))) & (row > 0))
+            ids = np.sort(self.blocks.order[at])
+            # of equal examples the first ones win
+            ids = ids[self.copy[ids] < k + (0 if absent is None else len(absent))]
+            if not len(ids):
+                yield none
+                continue
+            cosine = self.cosines(ids, t, w)
+            best = np.lexsort((ids, -cosine))[:k]
+            yield ids[best], cosine[best]
+
+
+class Blocks:
+    """Like examples as blocks, a term's largest weight in each, and weights laid out for reading.
+
+    Terms of few examples have postings only. For the others each block has its stretch of the
+    postings, its largest weight and, if the term is in many of its examples, a full row of weights, in tiers
+    of similar share. A query reads its rare terms first. Of a block that may hold any of the k
+    best it reads the rest: tier by tier either the postings or, together with other queries, all rows
+    as one product of matrices, whichever is less work. A posting is one number, the weight
+    in its upper and the place of the example in its lower half. No weight is negative, so sums in
+    single precision are ``off`` by a share of themselves at most.
+    """
+
+    def __init__(self, index: BlockMaxIndex) -> None:
+        n, n_terms = index.n, index.n_terms
+        sizes = np.diff(index.begin)
+        df = np.bincount(index.term, minlength=n_terms)
+        wide = np.flatnonzero(df >= max(24, n // 256))
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[wide] = np.arange(len(wide))
+        self.query, self.asked = np.zeros(n_terms), np.zeros(n_terms, bool)
+        self.half = 16 if n <= 1 << 16 else 32
+
+        owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        group = self._groups(index, df, owner)
+        self.order = np.argsort(group, kind="stable")
+        self.place = np.empty(n, np.int32)
+        self.place[self.order] = np.arange(n)
+        size = np.bincount(group)
+        self.edge = np.concatenate([[0], np.cumsum(size)])
+        blocks = len(size)
+
+        bits, codes = n.bit_length(), len(index.values).bit_length()
+        key = index.term.astype(np.int64)
+        key <<= bits
+        key |= self.place[owner]
+        del owner
+        key <<= codes
+        key |= index.code
+        key.sort()
+        self.start = np.concatenate([[0], np.cumsum(df)])
+        self.posting = np.empty(len(key), np.uint32 if self.half == 16 else np.uint64)
+        scale, values = index.per_example[self.order].astype(np.float32), index.values.astype(np.float32)
+        for a in range(0, len(key), 1 << 20):
+            some = key[a : a + (1 << 20)]
+            at = (some >> codes) & ((1 << bits) - 1)
+            weight = (values[some & ((1 << codes) - 1)] * scale[at]).view(np.uint32)
+            if self.half == 16:  # rounded to 8 binary digits
+                weight = (weight + np.uint32(1 << 15)) & np.uint32(0xFFFF0000)
+            self.posting[a : a + (1 << 20)] = (weight if self.half == 16 else weight.astype(np.uint64) << np.uint64(32)) | at.astype(self.posting.dtype)
+        del key
+
+        # per common term and block: where its postings begin, its largest weight, its tier and row
+        self.many, self.most = np.zeros((blocks, len(wide)), np.int32), np.zeros((blocks, len(wide)), np.float32)
+        parts = np.split(wide, np.flatnonzero(np.diff(np.cumsum(df[wide]) >> 20)) + 1)
+        block_of = np.repeat(np.arange(blocks), size)
+        for part in parts:
+            row, at, weight = self._stretches(part, df)
+            cell = block_of[at], row
+            np.add.at(self.many, cell, 1)
+            np.maximum.at(self.most, cell, weight)
+        self.cell = (self.start[wide] + np.cumsum(self.many, axis=0) - self.many).astype(np.int64)
+        share = self.many / size[:, None]
+        self.tier = np.where(size[:, None] < 32, 0, np.searchsorted(TIERS, share, side="right")).astype(np.int8)
+        by_tier = np.argsort(self.tier, axis=1, kind="stable")
+        column = np.empty((blocks, len(wide)), np.int32)
+        np.put_along_axis(column, by_tier, np.arange(len(wide), dtype=np.int32)[None, :], axis=1)
+        ends = np.array([np.bincount(t, minlength=len(TIERS) + 1) for t in self.tier]).cumsum(axis=1)
+        self.column = column - ends[:, :1].astype(np.int32)  # below 0 for tier 0
+        self.ends = ends - ends[:, :1]
+        self.full = [np.zeros((self.ends[b, -1], size[b]), np.float32) for b in range(blocks)]
+        for part in parts:
+            row, at, weight = self._stretches(part, df)
+            block = block_of[at]
+            column = self.column[block, row]
+            for b in range(blocks):
+                own = np.flatnonzero((block == b) & (column >= 0))
+                self.full[b][column[own], at[own] - self.edge[b]] = weight[own]
+        #: postings from which a tier's rows are read rather than these
+        self.worth = np.concatenate([np.full((blocks, 1), np.inf), np.diff(self.ends) * size[:, None] / POSTING], axis=1)
+
+    def off(self, n: int) -> float:
+        """The largest share by which a sum of n products may be off."""
+        return (n + 64) * 2.0**-23 + (1.01 * 2.0**-8 if self.half == 16 else 0)
+
+    def _split(self, posting: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and weights of postings."""
+        if self.half == 16:
+            return (posting & np.uint32(0xFFFF)).astype(np.int64), (posting & np.uint32(0xFFFF0000)).view(np.float32)
+        return (posting & np.uint64(0xFFFFFFFF)).astype(np.int64), (posting >> np.uint64(32)).astype(np.uint32).view(np.float32)
+
+    def _stretches(self, terms: np.ndarray, df: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, places and weights of all postings of some common terms."""
+        at = np.repeat(self.start[terms], df[terms]) + _within(df[terms])
+        return np.repeat(self.row[terms], df[terms]), *self._split(self.posting[at])
+
+    @staticmethod
+    def _groups(index: BlockMaxIndex, df: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Groups of examples with like frequent terms, by a few rounds of spherical k-means."""
+        k = min(BLOCKS, -(-index.n // BLOCK))
+        top = np.argsort(-df, kind="stable")[:512]
+        column = np.full(index.n_terms, -1, np.int32)
+        column[top] = np.arange(len(top))
+        at = np.flatnonzero(column[index.term] >= 0)
+        x = np.zeros((index.n, len(top)), np.float32)
+        x[owner[at], column[index.term[at]]] = 1
+        x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-9)
+        long = np.argsort(-np.diff(index.begin), kind="stable")[: -(-index.n // 2)]
+        centre = x[long[:1]]
+        for _ in range(k - 1):  # far from the others, but no outlier
+            near = (x[long] @ centre.T).max(1)
+            centre = np.vstack([centre, x[long[np.argsort(near, kind="stable")[len(long) // 50]]]])
+        for _ in range(8):
+            group = (x @ centre.T).argmax(1)
+            for g in range(k):
+                if (group == g).any():
+                    centre[g] = x[group == g].sum(0)
+            centre /= np.maximum(np.sqrt((centre * centre).sum(1, keepdims=True)), 1e-9)
+        return np.unique(group, return_inverse=True)[1]
+
+    def _read(self, begin: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        at = np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
+        place, weight = self._split(self.posting[at])
+        weight *= np.repeat(weights, sizes)
+        return np.bincount(place, weight, minlength=len(self.order))
+
+    def sums(self, queries: list, k: int, skip: list, visit: int) -> np.ndarray:
+        """For every query and place; of blocks that can't hold one of the k best the rare terms only."""
+        n, blocks = len(self.order), len(self.full)
+        total = np.zeros((len(queries), n), np.float32)
+        rest, bound = [], np.zeros((len(queries), blocks))
+        for q, (terms, weights) in enumerate(queries):
+            row, w = self.row[terms], weights.astype(np.float32)
+            rare = row < 0
+            t = terms[rare]
+            total[q] = self._read(self.start[t], self.start[t + 1] - self.start[t], w[rare])
+            rest.append((row[~rare], w[~rare]))
+            self._leave(total, q, skip)
+            bound[q] = np.maximum.reduceat(total[q], self.edge[:-1]) + self.most[:, rest[q][0]] @ rest[q][1]
+        rank = np.argsort(np.argsort(-bound, axis=1, kind="stable"), axis=1)
+        first = rank < visit
+        self._add(total, rest, first)
+        for q in range(len(queries)):
+            self._leave(total, q, skip)
+        if visit < blocks:
+            least = np.array([np.partition(x, n - k)[n - k] if n > k else 0.0 for x in total])
+            off = np.array([[self.off(len(t))] for t, _ in queries])
+            self._add(total, rest, ~first & (bound * (1 + 2 * off) >= least[:, None] * (1 - off)))
+        for q in range(len(queries)):
+            self._leave(total, q, skip)
+        return total
+
+    def _leave(self, total: np.ndarray, q: int, skip: list) -> None:
+        if skip[q] is not None:
+            total[q, self.place[skip[q]]] = -1.0
+
+    def _add(self, total: np.ndarray, rest: list, chosen: np.ndarray) -> None:
+        """Add the common terms of the chosen blocks."""
+        blocks, tiers = self.worth.shape
+        whole = np.zeros((len(rest), blocks, tiers), bool)
+        for q, (row, w) in enumerate(rest):
+            begin, sizes, weights = [], [], []
+            for b in np.flatnonzero(chosen[q]) if len(row) else ():
+                many, tier = self.many[b][row], self.tier[b][row]
+                whole[q, b] = np.bincount(tier, many, minlength=tiers) > self.worth[b]
+                left = np.flatnonzero((many > 0) & ~whole[q, b][tier])
+                begin.append(self.cell[b][row[left]])
+                sizes.append(many[left])
+                weights.append(w[left])
+            if begin:
+                total[q] += self._read(*(np.concatenate(x) for x in (begin, sizes, weights)))
+        for b in range(blocks):
+            asked = np.flatnonzero(whole[:, b].any(1))
+            if not len(asked):
+                continue
+            query = np.zeros((len(asked), len(self.full[b])), np.float32)
+            for i, q in enumerate(asked):
+                row, w = rest[q]
+                column = self.column[b][row]
+                own = np.flatnonzero(column >= 0)
+                query[i, column[own]] = w[own]
+            for j in range(1, tiers):
+                use = np.flatnonzero(whole[asked, b, j])
+                if len(use):
+                    a, z = self.ends[b, j - 1], self.ends[b, j]
+                    total[asked[use], self.edge[b] : self.edge[b + 1]] += query[use, a:z] @ self.full[b][a:z]
 
 
 @dataclass
-class Model:
-    terms: list[str]
-    idf: np.ndarray
+class Neighbours:
+    """Vocabulary and labelled examples, handed to the executors once."""
+
+    words: Vocabulary
     index: BlockMaxIndex
     labels: np.ndarray
     keys: np.ndarray
-    steps: tuple[np.ndarray, np.ndarray]  # votes and the scores they stand for
-    alone: float  # score without a neighbour
     shares: tuple[float, float]  # weight of a clean and of a toxic example
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: np.ndarray | None = None) -> tuple[float | None, np.ndarray, np.ndarray]:
-        found, cosine = self.index.nearest(terms, weights, NEAREST, skip)
-        if not len(found):
-            return None, found, cosine
-        y = self.labels[found]
-        w = np.where(y > 0, self.shares[1], self.shares[0]) / (np.maximum(1 - cosine, 0) + SOFT)
-        return float(w @ y / w.sum()), found, cosine
+    def votes(self, queries: list[tuple[np.ndarray, np.ndarray]], skip: list | None = None) -> Iterator[tuple[float | None, np.ndarray, np.ndarray]]:
+        """For each (terms, their counts) the vote, the neighbours and their cosines."""
+        for a in range(0, len(queries), TOGETHER):
+            asked = [weighted(t, tf, self.index.per_term)[:2] for t, tf in queries[a : a + TOGETHER]]
+            for found, cosine in self.index.nearest_of(asked, NEAREST, skip and skip[a : a + TOGETHER]):
+                if not len(found):
+                    yield None, found, cosine
+                    continue
+                y = self.labels[found]
+                w = np.where(y > 0, self.shares[1], self.shares[0]) / (np.maximum(1 - cosine, 0) + SOFT)
+                yield float(w @ y / w.sum()), found, cosine
 
-    def score(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int], list[float]]:
-        terms, weights, _ = weighted(*counts, self.idf)
-        vote, found, cosine = self.vote(terms, weights)
-        if vote is None:
-            return self.alone, [], []
-        return float(np.interp(vote, *self.steps)), self.keys[found].tolist(), cosine.tolist()
+
+@dataclass
+class Model:
+    index: BlockMaxIndex
+    shared: Broadcast  # of the Neighbours
+    steps: tuple[np.ndarray, np.ndarray]  # votes and the scores they stand for
+    alone: float  # score without a neighbour
 
 
 def monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -238,45 +558,100 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column, *, text: str, ke
     return examples, weights
 
 
-def all_terms(examples: DataFrame) -> list[str]:
-    """Every term of the examples, in order. Their number is bounded by the sample."""
+def all_terms(examples: DataFrame) -> np.ndarray:
+    """The hash of every term of the examples, by the order of the terms. Their number is bounded by the sample."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[str] = set()
+        seen = np.zeros(0, np.uint64)
         for batch in batches:
-            for t in batch["text"]:
-                for c in set(t.lower().split()):
-                    seen |= terms_of(c)
-            if len(seen) > 500_000:
-                yield pd.DataFrame({"term": pd.Series(list(seen), dtype=object)})
-                seen.clear()
-        yield pd.DataFrame({"term": pd.Series(list(seen), dtype=object)})
+            for part in portions(batch["text"].tolist()):
+                found = Occurrences.of(part)
+                hashes, first = np.unique(found.hash, return_index=True)
+                new = ~np.isin(hashes, seen, assume_unique=True)
+                seen = np.concatenate([seen, hashes[new]])
+                yield pd.DataFrame({"term": pd.Series([found.term(i) for i in first[new]], dtype=object), "h": hashes[new].view(np.int64)})
 
-    return sorted(examples.select("text").mapInPandas(tally, "term string").distinct().toArrow()["term"].to_pylist())
+    rows = examples.select("text").mapInPandas(tally, "term string, h long").distinct().toArrow()
+    return rows.sort_by("term")["h"].to_numpy().view(np.uint64)
 
 
-def document_frequencies(docs: DataFrame, terms: Broadcast, *, text: str) -> tuple[int, np.ndarray]:
+def document_frequencies(docs: DataFrame, words: Broadcast, *, text: str) -> tuple[int, np.ndarray]:
     """Number of documents, and of documents with each term, over the whole table."""
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = vocabulary_of(terms.value)
-        counts, n = np.zeros(len(vocabulary.number), np.int64), 0
+        vocabulary = words.value
+        counts, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             n += len(batch)
-            for t in batch["t"]:
-                if t:
-                    # the set of chunks is enough to tell which terms occur
-                    counts[np.unique(vocabulary.numbers(set(t.lower().split())))] += 1
+            _, found, _ = vocabulary.counts([t for t in batch["t"] if t])
+            counts += np.bincount(found, minlength=len(counts))
         some = np.flatnonzero(counts)
         yield pd.DataFrame({"term": np.append(some, -1).astype(np.int32), "n": np.append(counts[some], n)})
 
     rows = docs.select(F.col(text).alias("t")).mapInPandas(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     term, n = (rows[c].to_numpy() for c in ("term", "n"))
-    df = np.zeros(len(terms.value))
+    df = np.zeros(len(words.value))
     df[term[term >= 0]] = n[term >= 0]
     return int(n[term < 0].sum()), df
 
 
+def _read_examples(examples: DataFrame, words: Broadcast, idf: np.ndarray) -> tuple[BlockMaxIndex, np.ndarray, np.ndarray, list[int], list[int]]:
+    """The index of the examples that have terms, their labels, keys and runs of equal terms and key,
+    and the labels of the examples without a term."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            begin, terms, tf = words.value.counts(batch["text"].tolist())
+            each = list(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
+            small = [np.uint16 if tf[a:b].max(initial=0) < 1 << 16 else np.int32 for a, b in each]
+            yield pd.DataFrame({
+                "key": batch["key"], "y": batch["y"], "terms": [terms[a:b].astype(np.int32).tobytes() for a, b in each],
+                "tf": [tf[a:b].astype(s).tobytes() for (a, b), s in zip(each, small, strict=True)],
+            })
+
+    rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").toArrow().combine_chunks()
+    keys, ys = rows["key"].to_numpy(), rows["y"].to_numpy()
+    held, counts = rows["terms"].chunk(0) if len(rows) else [], rows["tf"].chunk(0) if len(rows) else []
+    terms = [np.frombuffer(x.as_buffer(), np.int32) for x in held]
+    tfs = [np.frombuffer(x.as_buffer(), np.uint16 if len(x.as_buffer()) * 2 == t.nbytes else np.int32) for x, t in zip(counts, terms, strict=True)]
+    norm, strongest = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+    for i, (t, tf) in enumerate(zip(terms, tfs, strict=True)):
+        if len(t):
+            _, w, norm[i] = weighted(t, tf, idf)
+            strongest[i] = t[np.argmax(w)]
+    order: list[int] = []  # by strongest term, then by all terms, so that equal examples are neighbours
+    full = [i for i in range(len(rows)) if len(terms[i])]
+    for _, like in groupby(sorted(full, key=strongest.__getitem__), key=strongest.__getitem__):
+        order += sorted(like, key=lambda i: (terms[i].tobytes(), int(keys[i]), int(ys[i])))
+    index = BlockMaxIndex([(terms[i], tfs[i]) for i in order], len(words.value), damp=damped, per_term=idf, per_example=1 / norm[order])
+    run = [0] * len(order)
+    for j in range(1, len(order)):
+        a, b = order[j - 1], order[j]
+        run[j] = run[j - 1] + int(keys[a] != keys[b] or not np.array_equal(terms[a], terms[b]))
+    return index, ys[order].astype(np.float64), keys[order].astype(np.int64), run, [int(y) for i, y in enumerate(ys) if not len(terms[i])]
+
+
+def _examples_votes(docs: DataFrame, shared: Broadcast, run: list[int], most: int) -> tuple[list[float], list[int]]:
+    """The votes on at most ``most`` examples, each scored against all others, and their numbers. Rows
+    of the same key don't vote on it; other copies do, as they do on a new text."""
+    asked = np.linspace(0, len(run) - 1, min(most, len(run))).astype(int)
+    first, last = np.searchsorted(run, np.array(run)[asked]), np.searchsorted(run, np.array(run)[asked], "right")
+
+    def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for batch in batches:
+            at = batch["id"].to_numpy()
+            queries = [m.index.example_counts(asked[i]) for i in at]
+            votes = m.votes(queries, [np.arange(first[i], last[i]) for i in at])
+            yield pd.DataFrame({"id": at, "vote": [v if v is not None else -1.0 for v, _, _ in votes]})
+
+    session = docs.sparkSession
+    parts = min(max(1, len(asked) // TOGETHER), session.sparkContext.defaultParallelism)
+    rows = session.range(0, len(asked), 1, parts).mapInPandas(vote, "id long, vote double").toArrow().sort_by("id")
+    votes = rows["vote"].to_numpy()
+    return votes[votes >= 0].tolist(), asked[votes >= 0].tolist()
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, *, learn: Column | None = None, text: str = "text", key: str = "doc_id",
     toxic: int = 4_000, clean: int = 8_000, calibrate: int = 3_000,
@@ -286,70 +661,58 @@ def fit(
     ``learn`` says which rows of ``labels`` may be learned from; ``calibrate`` bounds the
     examples that are scored against the others.
     """
+    context = docs.sparkSession.sparkContext
     examples, shares = labelled(docs, labels, F.lit(True) if learn is None else learn, text=text, key=key, toxic=toxic, clean=clean)
-    terms = all_terms(examples) if examples.filter("y = 1").limit(1).count() else []
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-    n, df = document_frequencies(docs, shared, text=text) if terms else (0, np.zeros(0))
+    any_toxic = bool(examples.filter("y = 1").limit(1).count())
+    hashes = all_terms(examples) if any_toxic else np.zeros(0, np.uint64)
+    words = Vocabulary(hashes)
+    if not any_toxic:
+        index = BlockMaxIndex([], 0)
+        nothing = Neighbours(words, index, np.zeros(0), np.zeros(0, np.int64), shares)
+        return Model(index, context.broadcast(nothing), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
+    shared = context.broadcast(words)
+    n, df = document_frequencies(docs, shared, text=text) if len(words) else (0, np.zeros(0))
     idf = np.log((1 + n) / (1 + df)) + 1
-
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = vocabulary_of(shared.value)
-        for batch in batches:
-            counts = [vocabulary.counts(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "key": batch["key"], "y": batch["y"], "terms": [t.tobytes() for t, _ in counts], "tf": [tf.tobytes() for _, tf in counts],
-            })
-
-    rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").collect() if terms else []
+    index, ys, keys, run, bare = _read_examples(examples, shared, idf)
     shared.unpersist()
-    ready, ys, bare = [], [r.y for r in rows], [r.y for r in rows if not r.terms]
-    while rows:  # each row is given up as it is read
-        r = rows.pop()
-        held, tf = bytes(r.terms), np.frombuffer(r.tf, np.int32)
-        t = np.frombuffer(held, np.int32)
-        tf = tf.astype(np.uint16 if tf.max(initial=0) < 1 << 16 else np.int32)
-        if len(t):
-            _, w, norm = weighted(t, tf, idf)
-            ready.append((int(t[np.argmax(w)]), held, r.key, r.y, t, tf, norm))
-    ready.sort(key=lambda x: x[:4])  # by strongest term, so that a block holds like examples
-    labels_ = np.array([x[3] for x in ready], dtype=np.float64)
-    index = BlockMaxIndex(
-        [(t, tf) for *_, t, tf, _ in ready], len(terms), damp=damped, per_term=idf, per_example=1 / np.array([x[-1] for x in ready]),
-    )
-    model = Model(
-        terms, idf, index, labels_, np.array([x[2] for x in ready], dtype=np.int64), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0, shares,
-    )
-    if ys:
-        rate = shares[1] * sum(ys) / sum(shares[y] for y in ys)
+    model = Model(index, context.broadcast(Neighbours(words, index, ys, keys, shares)), (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
+    every = [*ys.astype(int).tolist(), *bare]
+    if every and len(words):
+        rate = shares[1] * sum(every) / sum(shares[y] for y in every)
         model.alone = (shares[1] * sum(bare) + rate) / (sum(shares[y] for y in bare) + 1)
-    votes, truth = [], []
-    for i in np.linspace(0, len(ready) - 1, min(calibrate, len(ready))).astype(int).tolist():
-        t, w, _ = weighted(*ready[i][4:6], idf)
-        same = [i]
-        for step in (-1, 1):  # rows of the same key don't vote on it; other copies do, as they do on a new text
-            j = i + step
-            while 0 <= j < len(ready) and ready[j][1:3] == ready[i][1:3]:
-                same.append(j)
-                j += step
-        vote, _, _ = model.vote(t, w, np.array(same))
-        if vote is not None:
-            votes.append(vote)
-            truth.append(labels_[i])
+    votes, at = _examples_votes(docs, model.shared, run, calibrate) if run else ([], [])
     if votes:
-        model.steps = monotone(np.array(votes), np.array(truth), np.where(np.array(truth) > 0, shares[1], shares[0]))
+        truth = ys[at]
+        model.steps = monotone(np.array(votes), truth, np.where(truth > 0, shares[1], shares[0]))
     return model
 
 
+def together(batches: Iterator[pd.Series]) -> Iterator[list[str]]:
+    """Texts of several batches, about as many as are scored at once, fewer where they are long."""
+    held: list[str] = []
+    for texts in batches:
+        held += texts.tolist()
+        if len(held) >= TOGETHER or sum(map(len, held)) > 16 * PORTION:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def scorer(docs: DataFrame, model: Model):
     """A column function: text to score, and the keys and cosines of the neighbours it rests on."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, steps, alone = model.shared, model.steps, model.alone
 
     @F.pandas_udf("score double, neighbours array<long>, cosines array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        vocabulary = vocabulary_of(m.terms)
-        for texts in batches:
-            rows = [m.score(vocabulary.counts(t)) for t in texts]
+        for texts in together(batches):
+            begin, terms, tf = m.words.counts(texts)
+            queries = [(terms[a:b], tf[a:b]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+            rows = [
+                (alone if vote is None else float(np.interp(vote, *steps)), m.keys[found].tolist(), cosine.tolist())
+                for vote, found, cosine in m.votes(queries)
+            ]
             yield pd.DataFrame(rows, columns=["score", "neighbours", "cosines"])
 
     return lambda text: score(F.coalesce(text, F.lit("")))

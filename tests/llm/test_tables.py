@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -385,6 +386,49 @@ def test_every_term_and_example_counts(spark, docs_of):
     assert alike.nearest(np.array([0, 3]), np.ones(2), 3)[0].tolist() == [0, 1, 2]
 
 
+def test_terms_of_many_texts_at_once():
+    texts = ["", " ", "Vile-\u03a3\u03b1\u03c2 \u0130stanbul_x9 foo1bar na\u00efve ab ABCDEF abcdefabcdef abcdefabcdef", "a" * 30 + " " + "ab" * 9, "x\x1cyyyyyyy\x85zzzzzz \u00b2\u00b3"]
+    want = [Counter(x for c in t.lower().split() for x in toxicity.terms_of(c)) for t in texts]
+    found = toxicity.Occurrences.of(texts)
+    hashes = {found.term(i): h for i, h in enumerate(found.hash)}
+    assert set(hashes) == set().union(*want)
+    known = sorted(hashes)[::2]
+    begin, terms, tf = toxicity.Vocabulary(np.array([hashes[t] for t in known])).counts(texts)
+    for i, w in enumerate(want):
+        at = slice(begin[i], begin[i + 1])
+        assert dict(zip([known[t] for t in terms[at]], tf[at].tolist(), strict=True)) == {t: w[t] for t in known if t in w}
+        assert (np.diff(terms[at]) > 0).all()
+
+
+def test_few_postings_are_read_one_by_one(monkeypatch):
+    """Texts of three vocabularies, with copies: neighbours of many at once as by brute force, few postings read singly."""
+    rnd = np.random.default_rng(6)
+    share = 1 / np.arange(1, 701) ** 0.7
+    rows = [np.sort(rnd.choice(700, 90, replace=False, p=share / share.sum())) + 700 * (i % 3) for i in range(900)]
+    rows[400:440] = [rows[400]] * 40
+    examples = []
+    for t in rows:
+        w = rnd.integers(1, 4, len(t)) if len(examples) < 400 or len(examples) > 440 else np.ones(len(t), np.int64)
+        examples.append((t, w))
+    index = toxicity.BlockMaxIndex(examples, 2100, per_example=np.array([1 / np.linalg.norm(w) for _, w in examples]))
+    dense = np.zeros((900, 2100))
+    for i, (t, w) in enumerate(examples):
+        dense[i, t] = w / np.linalg.norm(w)
+    singly = []
+    read = toxicity.Blocks._read
+    monkeypatch.setattr(toxicity.Blocks, "_read", lambda self, begin, sizes, weights: singly.append(sizes.sum()) or read(self, begin, sizes, weights))
+    asked = [(t, w / np.linalg.norm(w)) for t, w in examples]
+    skip = [np.array([i]) for i in range(900)]
+    for i, (found, cosine) in enumerate(index.nearest_of(asked, 15, skip)):
+        every = dense @ dense[i]
+        every[i] = -1
+        assert cosine == pytest.approx(np.sort(every)[::-1][: len(cosine)]) and every[found] == pytest.approx(cosine) and len(found) == 15
+        if 400 <= i < 440:
+            assert found.tolist() == [j for j in range(400, 440) if j != i][:15]
+    postings = sum(int((dense[:, t] > 0).sum()) for t, _ in asked)
+    assert sum(singly) < 0.4 * postings
+
+
 def test_drawing_shares_are_weighed_back(spark, docs_of):
     """One text in ten is toxic, and nothing in the texts tells which; drawn are as many of either."""
     from pyspark.sql import functions as F
