@@ -44,11 +44,11 @@ PIECES = (5, 6)
 #: Blocks of like examples at most, and so many examples in one on average at least.
 BLOCKS, BLOCK = 4, 64
 #: Shares of a block's examples from which a term's weights there are kept as full rows, by tier.
-TIERS = (0.05, 0.1, 0.2, 0.4)
+TIERS = (0.08, 0.16, 0.32)
 #: Reading one posting costs about as much as so many products of a full row.
 POSTING = 400
 #: Code points and queries that are handled at once.
-PORTION, TOGETHER = 1 << 18, 1024
+PORTION, TOGETHER = 1 << 18, 512
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -336,28 +336,28 @@ class Blocks:
         blocks = len(size)
 
         bits, codes = n.bit_length(), len(index.values).bit_length()
+        del owner
         key = index.term.astype(np.int64)
         key <<= bits
-        key |= self.place[owner]
-        del owner
+        key |= np.repeat(self.place, sizes)
         key <<= codes
         key |= index.code
         key.sort()
         self.start = np.concatenate([[0], np.cumsum(df)])
         self.posting = np.empty(len(key), np.uint32 if self.half == 16 else np.uint64)
         scale, values = index.per_example[self.order].astype(np.float32), index.values.astype(np.float32)
-        for a in range(0, len(key), 1 << 20):
-            some = key[a : a + (1 << 20)]
+        for a in range(0, len(key), 1 << 18):
+            some = key[a : a + (1 << 18)]
             at = (some >> codes) & ((1 << bits) - 1)
             weight = (values[some & ((1 << codes) - 1)] * scale[at]).view(np.uint32)
             if self.half == 16:  # rounded to 8 binary digits
                 weight = (weight + np.uint32(1 << 15)) & np.uint32(0xFFFF0000)
-            self.posting[a : a + (1 << 20)] = (weight if self.half == 16 else weight.astype(np.uint64) << np.uint64(32)) | at.astype(self.posting.dtype)
+            self.posting[a : a + (1 << 18)] = (weight if self.half == 16 else weight.astype(np.uint64) << np.uint64(32)) | at.astype(self.posting.dtype)
         del key
 
         # per common term and block: where its postings begin, its largest weight, its tier and row
         self.many, self.most = np.zeros((blocks, len(wide)), np.int32), np.zeros((blocks, len(wide)), np.float32)
-        parts = np.split(wide, np.flatnonzero(np.diff(np.cumsum(df[wide]) >> 20)) + 1)
+        parts = np.split(wide, np.flatnonzero(np.diff(np.cumsum(df[wide]) >> 18)) + 1)
         block_of = np.repeat(np.arange(blocks), size)
         for part in parts:
             row, at, weight = self._stretches(part, df)
