@@ -234,16 +234,17 @@ class BlockMaxIndex:
         self.given, self.values = values, damp(values) if damp else values
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in examples], dtype=np.int64)]).astype(np.int64)
         self.term, self.code = np.empty(int(self.begin[-1]), np.int32), np.empty(int(self.begin[-1]), small)
+        df = np.zeros(n_terms, np.int64)
         self.copy = np.zeros(self.n, np.int32)  # how many equal examples stand directly before this one
         for i, (t, v) in enumerate(examples):
             a, b = self.begin[i], self.begin[i + 1]
             self.term[a:b], self.code[a:b] = t, np.searchsorted(values, v)
+            df[t] += 1  # a term occurs once in an example
             if i:
                 z = self.begin[i - 1]
                 if np.array_equal(self.term[a:b], self.term[z:a]) and np.array_equal(self.code[a:b], self.code[z:a]):
                     self.copy[i] = self.copy[i - 1] + 1
-        # a term occurs once in an example
-        self.common = np.bincount(self.term, minlength=n_terms) * COMMON > self.n
+        self.common = df * COMMON > self.n
         self._blocks: Blocks | None = None
 
     def __getstate__(self) -> dict:
@@ -609,11 +610,10 @@ def _read_examples(examples: DataFrame, words: Broadcast, idf: np.ndarray) -> tu
                 "tf": [tf[a:b].astype(s).tobytes() for (a, b), s in zip(each, small, strict=True)],
             })
 
-    rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").toArrow().combine_chunks()
+    rows = examples.mapInPandas(counted, "key long, y int, terms binary, tf binary").toArrow()
     keys, ys = rows["key"].to_numpy(), rows["y"].to_numpy()
-    held, counts = rows["terms"].chunk(0) if len(rows) else [], rows["tf"].chunk(0) if len(rows) else []
-    terms = [np.frombuffer(x.as_buffer(), np.int32) for x in held]
-    tfs = [np.frombuffer(x.as_buffer(), np.uint16 if len(x.as_buffer()) * 2 == t.nbytes else np.int32) for x, t in zip(counts, terms, strict=True)]
+    terms = [np.frombuffer(x.as_buffer(), np.int32) for x in rows["terms"]]  # no copies
+    tfs = [np.frombuffer(x.as_buffer(), np.uint16 if len(x.as_buffer()) * 2 == t.nbytes else np.int32) for x, t in zip(rows["tf"], terms, strict=True)]
     norm, strongest = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
     for i, (t, tf) in enumerate(zip(terms, tfs, strict=True)):
         if len(t):
