@@ -44,11 +44,13 @@ PIECES = (5, 6)
 #: Blocks of like examples at most, and so many examples in one on average at least.
 BLOCKS, BLOCK = 4, 64
 #: Shares of a block's examples from which a term's weights there are kept as full rows, by tier.
-TIERS = (0.08, 0.16, 0.32)
+TIERS = (0.16, 0.32)
 #: Reading one posting costs about as much as so many products of a full row.
 POSTING = 400
 #: Code points and queries that are handled at once.
-PORTION, TOGETHER = 1 << 18, 512
+PORTION, TOGETHER = 1 << 17, 256
+#: Neighbouring terms whose document frequencies travel in one row.
+SLICE = 4096
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -586,14 +588,17 @@ def document_frequencies(docs: DataFrame, words: Broadcast, *, text: str) -> tup
             n += len(batch)
             _, found, _ = vocabulary.counts([t for t in batch["t"] if t])
             counts += np.bincount(found, minlength=len(counts))
-        some = np.flatnonzero(counts)
-        yield pd.DataFrame({"term": np.append(some, -1).astype(np.int32), "n": np.append(counts[some], n)})
-
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(tally, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    term, n = (rows[c].to_numpy() for c in ("term", "n"))
-    df = np.zeros(len(words.value))
-    df[term[term >= 0]] = n[term >= 0]
-    return int(n[term < 0].sum()), df
+        part = np.arange(-1, -(-len(counts) // SLICE))  # -1: number of documents
+        yield pd.DataFrame({"part": part, "n": [np.array([n]).tobytes(), *(counts[p * SLICE : (p + 1) * SLICE].tobytes() for p in part[1:].tolist())]})
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(n, np.int64) for n in rows["n"])
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "n": [total.tobytes()]})
+
+    shape = "part long, n binary"
+    rows = docs.select(F.col(text).alias("t")).mapInPandas(tally, shape).groupBy("part").applyInPandas(added, shape).toArrow().sort_by("part")
+    every = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(n.as_buffer(), np.int64) for n in rows["n"])])
+    return (int(every[0]), every[1:].astype(float)) if len(every) else (0, np.zeros(len(words.value)))
 
 
 def _read_examples(examples: DataFrame, words: Broadcast, idf: np.ndarray) -> tuple[BlockMaxIndex, np.ndarray, np.ndarray, list[int], list[int]]:
